@@ -293,3 +293,141 @@ SQL["top_1_per_group"] = ("WITH c AS (SELECT lang, source, count(*) AS n FROM do
                           "SELECT lang, source, n FROM (SELECT *, row_number() OVER (PARTITION BY lang "
                           "ORDER BY n DESC, source) AS rn FROM c) WHERE rn = 1")
 SQL["top_k"] = "SELECT event_id, value FROM events ORDER BY value DESC, event_id LIMIT 10"
+
+# ---------------------------------------------------------------- sequences
+_BITS = ("bits AS (SELECT user_id, (value > 50)::INTEGER AS bit, "
+         "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS p, "
+         "row_number() OVER (PARTITION BY user_id, (value > 50)::INTEGER ORDER BY ts, event_id) - 1 AS q FROM events)")
+SQL["longest_run"] = (f"WITH {_BITS}, isl AS (SELECT user_id, bit, p - q AS isl, count(*) AS len FROM bits GROUP BY ALL) "
+                      "SELECT user_id, bit, max(len) AS longest FROM isl GROUP BY ALL")
+SQL["edge_runs"] = (f"WITH {_BITS}, g AS (SELECT user_id, count(*) AS n, min(p) FILTER (WHERE bit = 0) AS f0, "
+                    "max(p) FILTER (WHERE bit = 1) AS l1 FROM bits GROUP BY user_id), "
+                    "h AS (SELECT user_id, n, coalesce(f0, n) AS head, CASE WHEN l1 IS NULL THEN n ELSE n - 1 - l1 END AS tail "
+                    "FROM g) SELECT user_id, n, head, tail, greatest(head, tail) + "
+                    f"CASE WHEN head > {Q.RUN_T} AND tail > {Q.RUN_T} THEN n ELSE 0 END AS fitness FROM h")
+_ROUTE = ("WITH r AS (SELECT label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, "
+          "row_number() OVER (PARTITION BY label ORDER BY {order}) AS p, count(*) OVER (PARTITION BY label) AS n "
+          "FROM embeddings), l AS (SELECT a.label, a.n, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS d "
+          "FROM r a JOIN r b ON a.label = b.label AND b.p = (a.p % a.n) + 1) "
+          "SELECT label, n, round(sum(d), 6) AS length FROM l GROUP BY ALL")
+SQL["route_length"] = _ROUTE.format(order="vec_id")
+SQL["sort_encoded_route"] = _ROUTE.format(order="embedding[3]::DOUBLE, vec_id")
+_MI_PAIRS = [(a, b) for i, a in enumerate(Q.MI_COLS) for b in Q.MI_COLS[i + 1:]]
+SQL["pairwise_mutual_information"] = (
+    "WITH lg AS (" + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {a}::VARCHAR AS va, {b}::VARCHAR AS vb FROM lineitem"
+        for a, b in _MI_PAIRS) + "), "
+    "j AS (SELECT col_a, col_b, va, vb, count(*)::DOUBLE AS n FROM lg GROUP BY ALL), "
+    "ma AS (SELECT col_a, col_b, va, sum(n) AS na FROM j GROUP BY ALL), "
+    "mb AS (SELECT col_a, col_b, vb, sum(n) AS nb FROM j GROUP BY ALL), "
+    "tt AS (SELECT col_a, col_b, sum(n) AS nn FROM j GROUP BY ALL) "
+    "SELECT col_a, col_b, round(sum(n / nn * ln(n * nn / (na * nb))), 6) AS mi FROM j "
+    "JOIN ma USING (col_a, col_b, va) JOIN mb USING (col_a, col_b, vb) JOIN tt USING (col_a, col_b) GROUP BY ALL")
+
+# ---------------------------------------------------------------- planning
+from ..operators import planning as _PL  # noqa: E402
+
+_HZ = " ".join(f"WHEN kind = '{k}' THEN {D(v)}" for k, v in _PL.HAZARD_REWARD.items())
+_CELLS = (
+    "sr AS (SELECT s_nationkey AS nk, row_number() OVER (ORDER BY s_suppkey) - 1 AS r FROM supplier), "
+    "gm AS (SELECT ceil(sqrt(count(*)))::BIGINT AS n FROM supplier), "
+    "ar AS (SELECT unnest(range(n * n)) AS r, n FROM gm), "
+    "ck AS (SELECT ar.r, ar.n, CASE WHEN ar.r = 0 THEN 'X' WHEN sr.nk IS NULL THEN '0' WHEN sr.nk <= 3 THEN '1' "
+    "WHEN sr.nk = 4 THEN 'S' WHEN sr.nk = 5 THEN 'M' WHEN sr.nk = 6 THEN 'L' WHEN sr.nk = 7 THEN 'G' ELSE '0' END AS kind "
+    "FROM ar LEFT JOIN sr USING (r)), "
+    "lg AS (SELECT max(r) AS gr FROM ck WHERE kind = 'G'), "
+    "cells AS (SELECT (r % n)::INTEGER AS x, (n - 1 - r // n)::INTEGER AS y, kind, "
+    f"CASE WHEN r = (SELECT gr FROM lg) THEN {D(_PL.GOAL_REWARD)} {_HZ} ELSE {D(_PL.DEFAULT_REWARD)} END AS reward, "
+    "coalesce(r = (SELECT gr FROM lg), false) AS is_goal, n FROM ck)")
+SQL["grid_to_cells"] = f"WITH {_CELLS} SELECT x, y, kind, reward, is_goal FROM cells"
+_OTHER = (1.0 - _PL.SUCCESS_PROB) / 3
+_COMBOS = ", ".join(f"({a}, {dx}, {dy}, {D(_PL.SUCCESS_PROB if a == d else _OTHER)})"
+                    for a, _, _ in _PL.ACTIONS for d, dx, dy in _PL.ACTIONS)
+_TRANS = (
+    f"{_CELLS}, oc AS (SELECT * FROM cells WHERE kind <> '1'), "
+    f"mv(a, dx, dy, p) AS (VALUES {_COMBOS}), "
+    "tr0 AS (SELECT o.x, o.y, o.n, o.reward AS own_r, mv.a, mv.p, t.x AS tx, t.y AS ty, t.reward AS tr "
+    "FROM oc o CROSS JOIN mv LEFT JOIN oc t ON t.x = o.x + mv.dx AND t.y = o.y + mv.dy WHERE NOT o.is_goal), "
+    "tt AS (SELECT x + y * n AS s, a, CASE WHEN tr IS NULL THEN x + y * n ELSE tx + ty * n END AS s2, sum(p) AS p, "
+    "first(CASE WHEN tr IS NULL THEN own_r ELSE tr END) AS r FROM tr0 GROUP BY ALL), "
+    "st AS (SELECT x + y * n AS s FROM oc)")
+SQL["transition_table"] = f"WITH {_TRANS} SELECT s, a, s2, round(p, 6) AS p, r FROM tt"
+
+
+def _vsweep(prev: str) -> str:
+    return (f"(SELECT st.s, coalesce(m.v, 0.0) AS v FROM st LEFT JOIN (SELECT s, max(q) AS v FROM "
+            f"(SELECT tt.s, tt.a, sum(tt.p * (tt.r + {D(_PL.GAMMA)} * coalesce(vp.v, 0.0))) AS q FROM tt "
+            f"LEFT JOIN {prev} vp ON vp.s = tt.s2 GROUP BY tt.s, tt.a) GROUP BY s) m ON m.s = st.s)")
+
+
+def _qvals(v: str) -> str:
+    return (f"(SELECT tt.s, tt.a, sum(tt.p * (tt.r + {D(_PL.GAMMA)} * coalesce(vp.v, 0.0))) AS q FROM tt "
+            f"LEFT JOIN {v} vp ON vp.s = tt.s2 GROUP BY tt.s, tt.a)")
+
+
+def _greedy(v: str) -> str:
+    return (f"(SELECT s, a, q FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY round(q, 9) DESC, a) AS rn "
+            f"FROM {_qvals(v)}) WHERE rn = 1)")
+
+
+_VI_N = _PL.ITERATIONS["value_iteration"]
+_VI = (f"{_TRANS}, v0 AS (SELECT s, 0.0::DOUBLE AS v FROM st), "
+       + ", ".join(f"v{k} AS {_vsweep(f'v{k - 1}')}" for k in range(1, _VI_N + 1)) + ", "
+       + "dl AS (" + " UNION ALL ".join(f"SELECT {k} AS k, max(abs(a.v - b.v)) AS delta FROM v{k} a JOIN v{k - 1} b USING (s)"
+                                         for k in range(1, _VI_N + 1)) + "), "
+       + f"stp AS (SELECT coalesce(min(k) FILTER (WHERE delta < {D(_PL.THETA)}), {_VI_N})::INTEGER AS k FROM dl), "
+       + "av AS (" + " UNION ALL ".join(f"SELECT {k} AS k, s, v FROM v{k}" for k in range(1, _VI_N + 1)) + "), "
+       + "vf AS (SELECT s, v, stp.k AS sweeps FROM av JOIN stp USING (k))")
+SQL["value_iteration"] = f"WITH {_VI} SELECT s, round(v, 6) AS v, sweeps FROM vf"
+SQL["greedy_policy"] = f"WITH {_VI}, g AS {_greedy('vf')} SELECT s, a, round(q, 6) AS q FROM g"
+
+
+def _policy_sql() -> str:
+    rounds, sweeps = _PL.ITERATIONS["policy_iteration"], _VI_N
+    parts = [f"{_TRANS}, w0 AS (SELECT s, 0.0::DOUBLE AS v FROM st)"]
+    k = 0
+    for r in range(1, rounds + 1):
+        parts.append(f"pol{r} AS (SELECT s, a FROM {_greedy(f'w{k}')})")
+        parts.append(f"tp{r} AS (SELECT tt.* FROM tt JOIN pol{r} USING (s, a))")
+        for _ in range(sweeps):
+            k += 1
+            parts.append(
+                f"w{k} AS (SELECT st.s, coalesce(m.v, 0.0) AS v FROM st LEFT JOIN (SELECT tp.s, "
+                f"sum(tp.p * (tp.r + {D(_PL.GAMMA)} * coalesce(vp.v, 0.0))) AS v FROM tp{r} tp "
+                f"LEFT JOIN w{k - 1} vp ON vp.s = tp.s2 GROUP BY tp.s) m ON m.s = st.s)")
+    parts.append(f"fin AS (SELECT s, a FROM {_greedy(f'w{k}')})")
+    return "WITH " + ", ".join(parts) + f" SELECT w{k}.s, round(w{k}.v, 6) AS v, fin.a FROM w{k} LEFT JOIN fin USING (s)"
+
+
+SQL["policy_iteration"] = _policy_sql()
+SQL["reachable_states"] = (f"WITH RECURSIVE {_TRANS}, ed AS (SELECT DISTINCT s, s2 FROM tt WHERE p > 0), "
+                           "rc(s) AS (SELECT (n - 1) * n FROM gm UNION SELECT ed.s2 FROM rc JOIN ed ON ed.s = rc.s) "
+                           "SELECT s FROM rc")
+
+
+def _q_sql() -> str:
+    parts = ["lg AS (SELECT event_type AS s, user_id % 4 AS a, value AS r, "
+             "lead(event_type) OVER (ORDER BY ts, event_id) AS s2 FROM events)",
+             "ag AS (SELECT s, a, s2, count(*)::DOUBLE AS n, sum(r) AS rs FROM lg GROUP BY ALL)",
+             "q0 AS (SELECT DISTINCT s, a, 0.3::DOUBLE AS q FROM ag)"]
+    for k in range(1, Q.Q_SWEEPS + 1):
+        parts.append(
+            f"q{k} AS (SELECT q.s, q.a, {D(1 - 0.1)} * q.q + {D(0.1)} * t.t AS q FROM q{k - 1} q JOIN "
+            f"(SELECT g.s, g.a, (sum(g.rs) + {D(_PL.GAMMA)} * sum(g.n * coalesce(m.m, 0.0))) / sum(g.n) AS t FROM ag g "
+            f"LEFT JOIN (SELECT s, max(q) AS m FROM q{k - 1} GROUP BY s) m ON m.s = g.s2 GROUP BY g.s, g.a) t USING (s, a))")
+    return "WITH " + ", ".join(parts) + f" SELECT s, a, round(q, 6) AS q FROM q{Q.Q_SWEEPS}"
+
+
+SQL["batch_q_learning"] = _q_sql()
+
+# ---------------------------------------------------------------- search
+_CANDS = (f"{EMB}, w AS (SELECT c.c, j.j, ({H(chr(39) + 'cand:0:' + chr(39) + ' || c.c || chr(58) || j.j')}::DOUBLE "
+          f"/ 4294967296.0::DOUBLE - 0.5::DOUBLE) * 0.2::DOUBLE AS w FROM range({Q.N_CANDIDATES}) c(c), range(64) j(j)), "
+          "pr AS (SELECT emb.vec_id, w.c, sum(emb.v[w.j + 1] * w.w) AS p, any_value(emb.y) AS y FROM emb, w GROUP BY ALL)")
+SQL["population_score"] = (f"WITH {_CANDS} SELECT c::INTEGER AS candidate, round(sum((p - y) * (p - y)), 6) AS sse, "
+                           "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM pr GROUP BY c")
+SQL["search_tuning_report"] = (
+    f"WITH {_CANDS}, sp AS (SELECT vec_id, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {FX.TEST_PCT} "
+    "THEN 'test' ELSE 'train' END AS split FROM emb) "
+    "SELECT c::INTEGER AS candidate, split, round(sum((p - y) * (p - y)), 6) AS sse, "
+    "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM pr JOIN sp USING (vec_id) GROUP BY ALL")

@@ -622,3 +622,191 @@ def flagship(spark, sf):
     truth = e.where(F.col("split") == "test").select(F.col("vec_id").alias("qid"), "y")
     scored = truth.join(pred, "qid", "left").fillna({"prediction": 0})
     return M.metric_report(scored, "y", "prediction")
+
+
+# ---------------------------------------------------------------- 2.11 sequences
+
+from ..operators import sequences as SQ  # noqa: E402
+from ..operators import planning as PL  # noqa: E402
+from ..operators import search as SE  # noqa: E402
+from ..operators.ordering import ordinal  # noqa: E402
+
+RUN_T = 2
+
+
+def _bits(spark, sf):
+    ev = FX.events(spark, sf)
+    return ev.select("user_id", "ts", "event_id", (F.col("value") > 50).cast("int").alias("bit"))
+
+
+@q("longest_run")
+def _longest_run(spark, sf):
+    return SQ.longest_run(_bits(spark, sf), "user_id", ["ts", "event_id"], "bit")
+
+
+@q("edge_runs")
+def _edge_runs(spark, sf):
+    return SQ.edge_runs(_bits(spark, sf), "user_id", ["ts", "event_id"], "bit", RUN_T)
+
+
+def _stops(spark, sf):
+    e = FX.emb(spark, sf)
+    return e.select("vec_id", "label", F.col("vec")[0].alias("x"), F.col("vec")[1].alias("y"),
+                    F.col("vec")[2].alias("key"))
+
+
+@q("route_length")
+def _route_length(spark, sf):
+    r = SQ.route_length(_stops(spark, sf), "label", ["vec_id"], "x", "y")
+    return r.select("label", "n", r6(F.col("length")).alias("length"))
+
+
+@q("sort_encoded_route")
+def _sort_encoded_route(spark, sf):
+    r = SQ.route_length(_stops(spark, sf), "label", ["key", "vec_id"], "x", "y")
+    return r.select("label", "n", r6(F.col("length")).alias("length"))
+
+
+MI_COLS = ["l_returnflag", "l_linestatus", "l_linenumber"]
+
+
+@q("pairwise_mutual_information")
+def _pmi(spark, sf):
+    m = SQ.pairwise_mutual_information(table(spark, sf, "lineitem"), MI_COLS)
+    return m.select("col_a", "col_b", r6(F.col("mi")).alias("mi"))
+
+
+@q("chow_liu_tree")
+def _chow_liu_tree(spark, sf):
+    return SQ.chow_liu_tree(SQ.pairwise_mutual_information(table(spark, sf, "lineitem"), MI_COLS))
+
+
+# ---------------------------------------------------------------- 2.11 planning
+
+def grid_lines(spark, sf):
+    """Square map text derived from ``supplier``: one cell per supplier in key order.
+
+    Cell 0 is the start; nation 0-3 wall, 4/5/6 hazards S/M/L, 7 goal, else
+    empty; cells past the last supplier are empty.
+    """
+    sup = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    N = sup.count()
+    n = PL.side_for(N)
+    ranked = ordinal(sup, ["s_suppkey"], out="r")
+    nk = F.col("s_nationkey")
+    ch = (F.when(F.col("r") == 0, "X").when(nk.isNull(), "0").when(nk <= 3, "1").when(nk == 4, "S")
+          .when(nk == 5, "M").when(nk == 6, "L").when(nk == 7, "G").otherwise("0"))
+    cells = spark.range(n * n).withColumnRenamed("id", "r").join(ranked, "r", "left").select(
+        (F.col("r") / n).cast("long").alias("row"), (F.col("r") % n).alias("j"), ch.alias("ch"))
+    lines = cells.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("j", "ch"))).alias("_c"))
+    return lines.select("row", F.concat_ws("", F.transform("_c", lambda e: e["ch"])).alias("line")), n
+
+
+def _grid(spark, sf):
+    lines, n = grid_lines(spark, sf)
+    return PL.grid_to_cells(lines), n
+
+
+@q("grid_to_cells")
+def _grid_to_cells(spark, sf):
+    return _grid(spark, sf)[0]
+
+
+def _trans(spark, sf):
+    cells, n = _grid(spark, sf)
+    return PL.transition_table(cells, n), PL.states_of(cells, n), n
+
+
+@q("transition_table")
+def _transition_table(spark, sf):
+    t, _, _ = _trans(spark, sf)
+    return t.select("s", "a", "s2", r6(F.col("p")).alias("p"), "r")
+
+
+def _vi(spark, sf):
+    t, st, n = _trans(spark, sf)
+    return t, PL.value_iteration(t, st, PL.GAMMA, PL.THETA, PL.ITERATIONS["value_iteration"])
+
+
+@q("value_iteration")
+def _value_iteration(spark, sf):
+    _, v = _vi(spark, sf)
+    return v.select("s", r6(F.col("v")).alias("v"), "sweeps")
+
+
+@q("greedy_policy")
+def _greedy_policy(spark, sf):
+    t, v = _vi(spark, sf)
+    g = PL.greedy_policy(t, v.select("s", "v"))
+    return g.select("s", "a", r6(F.col("q")).alias("q"))
+
+
+@q("policy_iteration")
+def _policy_iteration(spark, sf):
+    t, st, n = _trans(spark, sf)
+    p = PL.policy_iteration(t, st, PL.GAMMA, rounds=PL.ITERATIONS["policy_iteration"],
+                            eval_sweeps=PL.ITERATIONS["value_iteration"])
+    return p.select("s", r6(F.col("v")).alias("v"), "a")
+
+
+@q("reachable_states")
+def _reachable_states(spark, sf):
+    t, st, n = _trans(spark, sf)
+    return PL.reachable_states(t, (n - 1) * n)
+
+
+Q_SWEEPS = 10
+
+
+@q("batch_q_learning")
+def _batch_q_learning(spark, sf):
+    ev = FX.events(spark, sf).select("event_id", "ts", "event_type", "user_id", "value")
+    pos = ordinal(ev, ["ts", "event_id"], out="pos")
+    nxt = pos.select((F.col("pos") - 1).alias("pos"), F.col("event_type").alias("s2"))
+    log = pos.join(nxt, "pos", "left").select(F.col("event_type").alias("s"),
+                                                F.pmod(F.col("user_id"), F.lit(4)).alias("a"), "value", "s2")
+    qv = PL.batch_q_learning(log, "s", "a", "value", "s2", PL.GAMMA, 0.3, 0.1, Q_SWEEPS)
+    return qv.select("s", "a", r6(F.col("q")).alias("q"))
+
+
+# ---------------------------------------------------------------- 2.11 search
+
+N_CANDIDATES = 16
+SEARCH_GENERATIONS = 5
+
+
+def _cands():
+    return SE.hashed_candidates(N_CANDIDATES, 64, seed=0, scale=0.2)
+
+
+@q("population_score")
+def _population_score(spark, sf):
+    s = SE.population_score(FX.emb(spark, sf), "vec", "y", _cands())
+    return s.select("candidate", r6(F.col("sse")).alias("sse"), r6(F.col("accuracy")).alias("accuracy"))
+
+
+@q("search_tuning_report")
+def _search_tuning_report(spark, sf):
+    e = FX.emb_split(spark, sf)
+    parts = [SE.population_score(e.where(F.col("split") == sp), "vec", "y", _cands()).withColumn("split", F.lit(sp))
+             for sp in ("train", "test")]
+    u = parts[0].unionByName(parts[1])
+    return u.select("candidate", "split", r6(F.col("sse")).alias("sse"), r6(F.col("accuracy")).alias("accuracy"))
+
+
+@q("search_hill_climb")
+def _search_hill_climb(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    return SE.search_hill_climb(e, "vec", "y", 64, SEARCH_GENERATIONS)
+
+
+@q("search_anneal")
+def _search_anneal(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    return SE.search_anneal(e, "vec", "y", 64, SEARCH_GENERATIONS)
+
+
+@q("search_genetic")
+def _search_genetic(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    return SE.search_genetic(e, "vec", "y", 64, SEARCH_GENERATIONS)
