@@ -69,3 +69,35 @@ def covariance_matrix(df: DataFrame, vec: Column | str) -> DataFrame:
     d = cov.shape[0]
     rows = [(i, j, float(cov[i, j])) for i in range(d) for j in range(d)]
     return df.sparkSession.createDataFrame(rows, "i int, j int, cov double")
+
+
+def reduce_partials(df: DataFrame, fn, length: int) -> np.ndarray:
+    """Sum of ``fn(batch) -> float array[length]`` over every Arrow batch of ``df``.
+
+    ``fn`` runs vectorised inside the tasks; each task emits one partial vector,
+    Spark sums them per entry, and only the ``length``-sized total reaches the
+    driver.  This is the map-side-combine pattern for model statistics (EM
+    sufficient statistics, ICA fixed-point moments).
+    """
+
+    def partial(batches):
+        import numpy as _np
+        import pandas as _pd
+        acc = _np.zeros(length)
+        seen = False
+        for pdf in batches:
+            if len(pdf):
+                acc += _np.asarray(fn(pdf), dtype=float)
+                seen = True
+        if seen:
+            yield _pd.DataFrame({"pos": _np.arange(length, dtype=_np.int64), "val": acc})
+
+    parts = df.mapInPandas(partial, "pos long, val double")
+    out = np.zeros(length)
+    for r in parts.groupBy("pos").agg(F.sum("val").alias("val")).collect():
+        out[r["pos"]] = r["val"]
+    return out
+
+
+def stack_vectors(series) -> np.ndarray:
+    return np.stack(series.to_numpy()).astype(float)

@@ -431,3 +431,59 @@ SQL["search_tuning_report"] = (
     "THEN 'test' ELSE 'train' END AS split FROM emb) "
     "SELECT c::INTEGER AS candidate, split, round(sum((p - y) * (p - y)), 6) AS sse, "
     "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM pr JOIN sp USING (vec_id) GROUP BY ALL")
+
+# ---------------------------------------------------------------- estimator kernels
+_UN = (f"{EMB}, u AS (SELECT vec_id, label, i, v[i] AS x FROM emb, range(1, 65) r(i)), "
+       "pa AS (SELECT label AS k, i, avg(x) AS mu, var_pop(x) + 1e-6::DOUBLE AS var FROM u GROUP BY label, i), "
+       "wk AS (SELECT label AS k, count(*)::DOUBLE / (SELECT count(*) FROM emb) AS w FROM emb GROUP BY label)")
+SQL["kmeans_step"] = (
+    f"WITH {_UN}, dd AS (SELECT u.vec_id, pa.k, sum((u.x - pa.mu) * (u.x - pa.mu)) AS d FROM u JOIN pa ON pa.i = u.i "
+    "GROUP BY u.vec_id, pa.k), "
+    "asg AS (SELECT vec_id, k, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, k) AS rn FROM dd) "
+    "WHERE rn = 1), "
+    "cs AS (SELECT k, count(*) AS n, sum(d) AS cost FROM asg GROUP BY k), "
+    "nm AS (SELECT asg.k, u.i, avg(u.x) AS value FROM asg JOIN u USING (vec_id) GROUP BY asg.k, u.i) "
+    "SELECT nm.k::INTEGER AS cluster, cs.n, round(cs.cost, 6) AS cost, (nm.i - 1)::INTEGER AS dim, "
+    "round(nm.value, 6) AS value FROM nm JOIN cs USING (k)")
+_LD = (f"{_UN}, ld AS (SELECT u.vec_id, pa.k, ln(any_value(wk.w)) - 0.5 * sum(ln(pa.var) + ln(2 * pi())) "
+       "- 0.5 * sum((u.x - pa.mu) * (u.x - pa.mu) / pa.var) AS ld FROM u JOIN pa ON pa.i = u.i JOIN wk ON wk.k = pa.k "
+       "GROUP BY u.vec_id, pa.k), "
+       "mx AS (SELECT vec_id, max(ld) AS m FROM ld GROUP BY vec_id), "
+       "lse AS (SELECT ld.vec_id, any_value(mx.m) + ln(sum(exp(ld.ld - mx.m))) AS lse FROM ld JOIN mx USING (vec_id) "
+       "GROUP BY ld.vec_id)")
+SQL["gmm_step"] = (
+    f"WITH {_LD}, rr AS (SELECT ld.vec_id, ld.k, exp(ld.ld - lse.lse) AS r FROM ld JOIN lse USING (vec_id)), "
+    "nk AS (SELECT k, sum(r) AS nk FROM rr GROUP BY k), "
+    "st AS (SELECT rr.k, u.i, sum(rr.r * u.x) AS s, sum(rr.r * u.x * u.x) AS q FROM rr JOIN u USING (vec_id) GROUP BY rr.k, u.i) "
+    "SELECT st.k::INTEGER AS component, round(nk.nk / (SELECT count(*) FROM emb), 6) AS weight, (st.i - 1)::INTEGER AS dim, "
+    "round(st.s / nk.nk, 6) AS mean, "
+    "round(greatest(st.q / nk.nk - (st.s / nk.nk) * (st.s / nk.nk) + 1e-6::DOUBLE, 1e-6::DOUBLE), 6) AS var "
+    "FROM st JOIN nk USING (k)")
+SQL["aic_bic"] = (
+    f"WITH {_LD}, ll AS (SELECT sum(lse) AS ll, count(*) AS n FROM lse), "
+    "pp AS (SELECT 2 * (SELECT count(*) FROM wk) * 64 + (SELECT count(*) FROM wk) - 1 AS p) "
+    "SELECT round(ll, 6) AS loglik, round(-2 * ll + 2 * p, 6) AS aic, round(-2 * ll + p * ln(n), 6) AS bic FROM ll, pp")
+SQL["covariance_matrix"] = (
+    f"WITH {EMB}, u AS (SELECT vec_id, i, v[i] AS x FROM emb, range(1, 65) r(i)) "
+    "SELECT (a.i - 1)::INTEGER AS i, (b.i - 1)::INTEGER AS j, round(covar_samp(a.x, b.x), 6) AS cov "
+    "FROM u a JOIN u b USING (vec_id) GROUP BY a.i, b.i")
+_RCA = (f"{EMB}, rm AS (SELECT i, j, CASE WHEN u < 1 / (2 * 8.0) THEN 1.0 WHEN u < 1 / 8.0 THEN -1.0 ELSE 0.0 END AS r "
+        f"FROM (SELECT i, j, {H(chr(39) + 'rca:0:' + chr(39) + ' || i || chr(58) || j')}::DOUBLE / 4294967296.0::DOUBLE AS u "
+        f"FROM range(64) a(i), range({Q.RCA_K}) b(j))), "
+        "pj AS (SELECT emb.vec_id, rm.j, sum(emb.v[rm.i + 1] * rm.r) AS value FROM emb, rm GROUP BY emb.vec_id, rm.j)")
+SQL["rca_project"] = f"WITH {_RCA} SELECT vec_id, j::INTEGER AS component, round(value, 6) AS value FROM pj"
+SQL["distance_correlation"] = (
+    f"WITH {_RCA}, py AS (SELECT vec_id, list(value ORDER BY j) AS y FROM pj GROUP BY vec_id), "
+    "xy AS (SELECT emb.vec_id, emb.v, py.y FROM emb JOIN py USING (vec_id)), "
+    "pr AS (SELECT list_reduce(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, q: p + q) AS d1, "
+    "list_reduce(list_transform(list_zip(a.y, b.y), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, q: p + q) AS d2 "
+    "FROM xy a, xy b) SELECT round(corr(d1, d2), 6) AS distance_correlation FROM pr")
+SQL["add_cluster_features"] = (
+    f"WITH {_LD}, km AS (SELECT vec_id, k FROM (SELECT u.vec_id, pa.k, row_number() OVER (PARTITION BY u.vec_id "
+    "ORDER BY sum((u.x - pa.mu) * (u.x - pa.mu)), pa.k) AS rn FROM u JOIN pa ON pa.i = u.i GROUP BY u.vec_id, pa.k) "
+    "WHERE rn = 1), "
+    "em AS (SELECT vec_id, k FROM (SELECT vec_id, k, row_number() OVER (PARTITION BY vec_id ORDER BY ld DESC, k) AS rn "
+    "FROM ld) WHERE rn = 1) "
+    "SELECT emb.vec_id, emb.label, " + ", ".join(f"(km.k = {i})::INTEGER AS km_{i}" for i in range(10)) + ", "
+    + ", ".join(f"(em.k = {i})::INTEGER AS em_{i}" for i in range(10))
+    + " FROM emb JOIN km USING (vec_id) JOIN em USING (vec_id)")

@@ -810,3 +810,319 @@ def _search_anneal(spark, sf):
 def _search_genetic(spark, sf):
     e = FX.emb(spark, sf).persist()
     return SE.search_genetic(e, "vec", "y", 64, SEARCH_GENERATIONS)
+
+
+# ---------------------------------------------------------------- 2.9 / 2.10 estimators
+
+import numpy as _np  # noqa: E402
+
+from ..operators import classify as CL  # noqa: E402
+from ..operators import clustering as CU  # noqa: E402
+from ..operators import projection as PJ  # noqa: E402
+
+MLP_HIDDEN = 16
+RCA_K = 8
+ICA_M = 8
+GMM_REG = 1e-6
+
+
+def _ml_split(spark, sf):
+    e = FX.emb_split(spark, sf)
+    tr = CL.ml_frame(e.where(F.col("split") == "train"), "vec", "y", ["vec_id"]).persist()
+    te = CL.ml_frame(e.where(F.col("split") == "test"), "vec", "y", ["vec_id"]).persist()
+    return tr, te
+
+
+def _predict(est):
+    def fn(spark, sf):
+        tr, te = _ml_split(spark, sf)
+        _, pred, _ = CL.fit_predict(est() if callable(est) else est, tr, te, ["vec_id"])
+        return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
+    return fn
+
+
+REGISTRY["clf_mlp"] = _predict(lambda: CL.mlp([64, MLP_HIDDEN, 2], max_iter=100))
+REGISTRY["clf_mlp_2layer"] = _predict(lambda: CL.mlp([64, MLP_HIDDEN, 8, 2], max_iter=100))
+REGISTRY["clf_svm_linear"] = _predict(lambda: CL.linear_svc(c=1.0, n=400))
+REGISTRY["clf_svm_poly"] = _predict(lambda: CL.poly_svc(degree=2, k=8, c=1.0, n=400))
+REGISTRY["clf_tree"] = _predict(lambda: CL.tree(max_depth=5, min_leaf=2))
+REGISTRY["clf_gbt"] = _predict(lambda: CL.gbt(n_estimators=10, max_depth=3))
+
+
+@q("mlp_loss_curve")
+def _mlp_loss_curve(spark, sf):
+    tr, _ = _ml_split(spark, sf)
+    model = CL.mlp([64, MLP_HIDDEN, 2], max_iter=50).fit(tr)
+    hist = model.summary().objectiveHistory
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
+
+
+def _kernel_svm(mapper):
+    def fn(spark, sf):
+        e = mapper(FX.emb_split(spark, sf))
+        tr = CL.ml_frame(e.where(F.col("split") == "train"), "kf", "y", ["vec_id"])
+        te = CL.ml_frame(e.where(F.col("split") == "test"), "kf", "y", ["vec_id"])
+        _, pred, _ = CL.fit_predict(CL.linear_svc(c=1.0, n=400), tr, te, ["vec_id"])
+        return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
+    return fn
+
+
+REGISTRY["clf_svm_rbf"] = _kernel_svm(lambda e: CL.rff_map(e, "vec", 64, 128, gamma=1.0, out="kf"))
+REGISTRY["clf_svm_sigmoid"] = _kernel_svm(lambda e: CL.sigmoid_map(e, "vec", "vec_id", 32, gamma=0.1, out="kf"))
+
+
+@q("clf_random_forest")
+def _clf_random_forest(spark, sf):
+    tr, te = _ml_split(spark, sf)
+    model = CL.random_forest(n_trees=50, min_leaf=1).fit(tr)
+    imp = model.featureImportances.toArray()
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
+
+
+@q("complexity_curve")
+def _complexity_curve(spark, sf):
+    tr, te = _ml_split(spark, sf)
+    return CL.complexity_curve(lambda d: CL.tree(max_depth=d), [2, 4, 8], tr, te, "max_depth")
+
+
+@q("grid_search_cv")
+def _grid_search_cv(spark, sf):
+    e = FX.emb(spark, sf)
+    data = S.kfold_assign(CL.ml_frame(e, "vec", "y", ["vec_id"]), "vec_id", 5, label_col="label")
+    return CL.grid_search_cv(CL.tree(), {"maxDepth": [2, 4], "minInstancesPerNode": [1, 5]}, data.persist(), 5)
+
+
+@q("learning_curve")
+def _learning_curve(spark, sf):
+    e = FX.emb(spark, sf)
+    data = CL.ml_frame(e, "vec", "y", ["vec_id"])
+    return CL.learning_curve(lambda: CL.tree(max_depth=5), data, "vec_id", [0.25, 0.5, 1.0], k=3)
+
+
+def _label_params(spark, sf):
+    """Per-label diagonal Gaussians (weights, means, population variances + reg), model-sized."""
+    e = FX.emb(spark, sf)
+    n = e.count()
+    rows = e.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
+                                  F.array(*[F.avg(F.col("vec")[i]) for i in range(64)]).alias("mu"),
+                                  F.array(*[F.var_pop(F.col("vec")[i]) for i in range(64)]).alias("var")).collect()
+    rows = sorted(rows, key=lambda r: r["label"])
+    return ([r["label"] for r in rows], _np.array([r["n"] / n for r in rows]), _np.array([r["mu"] for r in rows]),
+            _np.array([r["var"] for r in rows]) + GMM_REG, n)
+
+
+@q("kmeans_step")
+def _kmeans_step(spark, sf):
+    labels, _, mu, _, _ = _label_params(spark, sf)
+    s = CU.kmeans_step(FX.emb(spark, sf), "vec", mu.tolist())
+    return s.select("cluster", "n", r6(F.col("cost")).alias("cost"), "dim", r6(F.col("value")).alias("value"))
+
+
+@q("gmm_step")
+def _gmm_step(spark, sf):
+    labels, w, mu, var, n = _label_params(spark, sf)
+    nk, sk, qk, ll, cnt = CU.gmm_stats(FX.emb(spark, sf), "vec", w, mu, var)
+    w2, mu2, var2 = CU.gmm_m_step(nk, sk, qk, cnt, GMM_REG)
+    rows = [(int(labels[c]), float(w2[c]), j, float(mu2[c, j]), float(var2[c, j]))
+            for c in range(len(labels)) for j in range(mu2.shape[1])]
+    df = spark.createDataFrame(rows, "component int, weight double, dim int, mean double, var double")
+    return df.select("component", r6(F.col("weight")).alias("weight"), "dim", r6(F.col("mean")).alias("mean"),
+                     r6(F.col("var")).alias("var"))
+
+
+@q("aic_bic")
+def _aic_bic(spark, sf):
+    labels, w, mu, var, n = _label_params(spark, sf)
+    _, _, _, ll, cnt = CU.gmm_stats(FX.emb(spark, sf), "vec", w, mu, var)
+    aic, bic = CU.aic_bic(ll, len(labels), mu.shape[1], cnt)
+    return spark.createDataFrame([(ll, aic, bic)], "loglik double, aic double, bic double").select(
+        *[r6(F.col(c)).alias(c) for c in ("loglik", "aic", "bic")])
+
+
+@q("kmeans_fit")
+def _kmeans_fit(spark, sf):
+    e = FX.emb(spark, sf)
+    m = CU.kmeans_fit(e, "vec", 10, n_init=10)
+    return CU.kmeans_assign(m, e, "vec").select("vec_id", "label", "cluster")
+
+
+@q("sink_model_table")
+def _sink_model_table(spark, sf):
+    e = FX.emb(spark, sf)
+    m = CU.kmeans_fit(e, "vec", 10, n_init=1)
+    centres = [list(map(float, c)) for c in m.clusterCenters()]
+    return IO.sink_model_table(spark, centres, shared_path(spark, "kmeans-centres"), "cluster")
+
+
+def _cluster_scores(df, cluster_col):
+    """homogeneity (vs label), mode-vote F1 (vs y), squared silhouette for one clustering."""
+    h = M.homogeneity(df, cluster_col, "label").first()["homogeneity"]
+    voted = M.cluster_mode_vote(df, cluster_col, "y", "vec_id")
+    f1 = M.metric_report(voted, "y", "yhat").first()["f1"]
+    sil = NB.silhouette_sq(df, cluster_col, "vec").first()["silhouette"]
+    return float(h), float(f1), float(sil)
+
+
+@q("kmeans_sweep")
+def _kmeans_sweep(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    rows = []
+    for k in [2, 4, 8, 16]:
+        m = CU.kmeans_fit(e, "vec", k, n_init=2)
+        a = CU.kmeans_assign(m, e, "vec").persist()
+        rows.append((k, float(m.summary.trainingCost), *_cluster_scores(a, "cluster")))
+    return spark.createDataFrame(rows, "k int, cost double, homogeneity double, f1 double, silhouette double")
+
+
+@q("gmm_diag_fit")
+def _gmm_diag_fit(spark, sf):
+    p = CU.gmm_diag_fit(FX.emb(spark, sf), "vec", 4, max_iter=30)
+    rows = [(c, float(p["weights"][c]), j, float(p["means"][c, j]), float(p["vars"][c, j]))
+            for c in range(4) for j in range(p["means"].shape[1])]
+    return spark.createDataFrame(rows, "component int, weight double, dim int, mean double, var double")
+
+
+@q("gmm_sweep")
+def _gmm_sweep(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    rows = []
+    for k in [2, 4, 8]:
+        p = CU.gmm_diag_fit(e, "vec", k, max_iter=20)
+        aic, bic = CU.aic_bic(p["loglik"], k, p["means"].shape[1], p["n"])
+        a = CU.gmm_predict(e, "vec", p).persist()
+        rows.append((k, p["loglik"], aic, bic, p["iterations"], *_cluster_scores(a, "cluster")))
+    return spark.createDataFrame(rows, "k int, loglik double, aic double, bic double, iterations int, "
+                                       "homogeneity double, f1 double, silhouette double")
+
+
+@q("cluster_eval")
+def _cluster_eval(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    m = CU.kmeans_fit(e, "vec", 10, n_init=3)
+    a = CU.kmeans_assign(m, e, "vec")
+    voted = M.cluster_mode_vote(a, "cluster", "y", "vec_id")
+    return M.metric_report(voted, "y", "yhat", extra={"cost": float(m.summary.trainingCost)})
+
+
+@q("covariance_matrix")
+def _covariance_matrix(spark, sf):
+    from ..operators.linalg import covariance_matrix
+    c = covariance_matrix(FX.emb(spark, sf), "vec")
+    return c.select("i", "j", r6(F.col("cov")).alias("cov"))
+
+
+@q("pca_fit")
+def _pca_fit(spark, sf):
+    return PJ.pca_table(spark, PJ.pca_fit(FX.emb(spark, sf), "vec"))
+
+
+def _rca(spark, sf):
+    R = PJ.sparse_projection_matrix(64, RCA_K, seed=0)
+    return PJ.project(FX.emb(spark, sf), "vec", R, out="proj")
+
+
+@q("rca_project")
+def _rca_project(spark, sf):
+    p = _rca(spark, sf)
+    return p.select("vec_id", F.posexplode("proj").alias("component", "value")).select(
+        "vec_id", "component", r6(F.col("value")).alias("value"))
+
+
+@q("rca_gaussian")
+def _rca_gaussian(spark, sf):
+    p = PJ.project(FX.emb(spark, sf), "vec", PJ.gaussian_projection_matrix(64, RCA_K, seed=0), out="proj")
+    return p.select("vec_id", F.posexplode("proj").alias("component", "value"))
+
+
+@q("distance_correlation")
+def _distance_correlation(spark, sf):
+    d = NB.distance_correlation_sq(_rca(spark, sf), "vec", "proj")
+    return d.select(r6(F.col("distance_correlation")).alias("distance_correlation"))
+
+
+@q("ica_fit")
+def _ica_fit(spark, sf):
+    e = FX.emb(spark, sf)
+    fit = PJ.ica_fit(e, "vec", ICA_M, max_iter=100)
+    p = PJ.project(e, "vec", fit["unmixing"], fit["mean"], "ic")
+    k = M.kurtosis_abs_mean(p, [F.col("ic")[i] for i in range(ICA_M)])
+    return k.withColumn("iterations", F.lit(fit["iterations"]))
+
+
+@q("rf_feature_select")
+def _rf_feature_select(spark, sf):
+    e = FX.emb(spark, sf)
+    return PJ.rf_feature_select(e, "vec", "y", num_trees=50)
+
+
+def _projections(spark, sf, e):
+    pca = PJ.pca_fit(e, "vec")
+    ica = PJ.ica_fit(e, "vec", ICA_M, max_iter=50)
+    sel = [r["feature"] for r in PJ.rf_feature_select(e, "vec", "y", num_trees=30).where("selected").collect()]
+    return {
+        "pca": PJ.pca_project(e, "vec", pca, 8, "p"),
+        "ica": PJ.project(e, "vec", ica["unmixing"], ica["mean"], "p"),
+        "rca": PJ.project(e, "vec", PJ.sparse_projection_matrix(64, RCA_K, seed=0), out="p"),
+        "rfc": e.withColumn("p", F.array(*[F.col("vec")[i] for i in sel])),
+    }
+
+
+@q("project_then_cluster")
+def _project_then_cluster(spark, sf):
+    e = FX.emb(spark, sf).persist()
+    rows = []
+    for name, p in _projections(spark, sf, e).items():
+        p = p.persist()
+        km = CU.kmeans_assign(CU.kmeans_fit(p, "p", 10, n_init=1), p, "p")
+        rows.append((name, "kmeans", float(M.homogeneity(km, "cluster", "label").first()["homogeneity"])))
+        gm = CU.gmm_predict(p, "p", CU.gmm_diag_fit(p, "p", 4, max_iter=15))
+        rows.append((name, "em", float(M.homogeneity(gm, "cluster", "label").first()["homogeneity"])))
+    return spark.createDataFrame(rows, "projection string, clusterer string, homogeneity double")
+
+
+def _mlp_f1(p, vec, d):
+    tr = CL.ml_frame(p.where(F.col("split") == "train"), vec, "y", ["vec_id"])
+    te = CL.ml_frame(p.where(F.col("split") == "test"), vec, "y", ["vec_id"])
+    _, pred, secs = CL.fit_predict(CL.mlp([d, MLP_HIDDEN, 2], max_iter=100), tr, te, ["vec_id"])
+    return float(M.metric_report(pred, "label", "prediction", 1.0).first()["f1"]), secs
+
+
+@q("project_then_classify")
+def _project_then_classify(spark, sf):
+    e = S.split_random(FX.emb(spark, sf), "vec_id", FX.TEST_PCT).persist()
+    rows = [("full", *_mlp_f1(e, "vec", 64))]
+    for name, p in _projections(spark, sf, e).items():
+        d = len(p.select("p").first()[0])
+        rows.append((name, *_mlp_f1(p, "p", d)))
+    return spark.createDataFrame(rows, "projection string, f1 double, fit_seconds double")
+
+
+def _cluster_features(spark, sf):
+    labels, w, mu, var, n = _label_params(spark, sf)
+    e = FX.emb(spark, sf)
+    from ..functions.vectors import argmin_dist
+    e = e.withColumn("km", argmin_dist(_lit(mu), "vec"))
+    e = CU.gmm_predict(e, "vec", {"weights": w, "means": mu, "vars": var}, out="em")
+    lv = list(range(len(labels)))
+    return P.one_hot(e, ["km", "em"], level_map={"km": lv, "em": lv})
+
+
+def _lit(mu):
+    from ..functions.vectors import lit_matrix
+    return lit_matrix(mu.tolist())
+
+
+@q("add_cluster_features")
+def _add_cluster_features(spark, sf):
+    f = _cluster_features(spark, sf)
+    return f.select("vec_id", "label", *[c for c in f.columns if c.startswith("km_") or c.startswith("em_")])
+
+
+@q("cluster_then_classify")
+def _cluster_then_classify(spark, sf):
+    f = _cluster_features(spark, sf)
+    oh = [c for c in f.columns if c.startswith("km_") or c.startswith("em_")]
+    f = f.withColumn("vx", F.concat("vec", F.array(*[F.col(c).cast("double") for c in oh])))
+    f = S.split_random(f, "vec_id", FX.TEST_PCT)
+    f1, secs = _mlp_f1(f, "vx", 64 + len(oh))
+    return spark.createDataFrame([("clusters+full", f1, secs)], "features string, f1 double, fit_seconds double")
