@@ -22,16 +22,24 @@ from ..functions.vectors import argmin_dist, lit_matrix, sq_dist
 from .linalg import reduce_partials, stack_vectors
 
 
-def kmeans_fit(df: DataFrame, vec: str, k: int, n_init: int = 10, seed: int = 100, max_iter: int = 300):
-    """Best of ``n_init`` k-means fits (lowest within-cluster sum of squares)."""
+def kmeans_fit(df: DataFrame, vec: str, k: int, n_init: int = 10, seed: int = 100, max_iter: int = 300,
+               parallelism: int = 4):
+    """Best of ``n_init`` k-means fits (lowest within-cluster sum of squares; first seed on ties).
+
+    Restarts are independent Spark jobs submitted concurrently (like
+    ``CrossValidator(parallelism=...)``) over one persisted feature frame.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     data = df.withColumn("_features", array_to_vector(F.col(vec))).persist()
-    best = None
-    for i in range(n_init):
+
+    def fit(i):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="_features", predictionCol="cluster").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best[0]
+        return i, m, m.summary.trainingCost
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as ex:
+        fits = list(ex.map(fit, range(n_init)))
+    return min(fits, key=lambda t: (t[2], t[0]))[1]
 
 
 def kmeans_assign(model, df: DataFrame, vec: str) -> DataFrame:

@@ -18,11 +18,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
 from ..functions.vectors import dist, dot, lit_matrix, lit_vector, norm_sq, sq_dist
+from ..session import cut_lineage
 from .linalg import gram
 
 
@@ -32,6 +34,31 @@ def _pivots(base: DataFrame, id_col: str, vec: str, n_pivots: int) -> list[list[
     return [list(map(float, r[vec])) for r in rows]
 
 
+def _pivot_udfs(piv: np.ndarray):
+    """Arrow-batched numpy kernels for the pivot stage (rows x pivots distances)."""
+
+    def dists(v: pd.Series) -> np.ndarray:
+        x = np.stack(v.to_numpy()).astype(float)
+        out = np.empty((x.shape[0], piv.shape[0]))
+        for lo in range(0, x.shape[0], 2048):   # bounded memory per chunk
+            blk = x[lo:lo + 2048]
+            out[lo:lo + 2048] = np.sqrt(((blk[:, None, :] - piv[None, :, :]) ** 2).sum(-1))
+        return out
+
+    @F.pandas_udf("struct<cell:int,dp:double>")
+    def assign(bid: pd.Series, v: pd.Series) -> pd.DataFrame:
+        d = dists(v)
+        near = d <= d.min(axis=1, keepdims=True) * (1 + 1e-12) + 1e-12
+        # spread rows tied between several pivots (duplicates) by a row/pivot hash
+        h = (bid.to_numpy().astype(np.uint64)[:, None] * np.uint64(2654435761)
+             + np.arange(piv.shape[0], dtype=np.uint64)[None, :] * np.uint64(40503)) % np.uint64(4294967291)
+        h = np.where(near, h, np.uint64(2 ** 63))
+        cell = h.argmin(axis=1)
+        return pd.DataFrame({"cell": cell.astype("int32"), "dp": d[np.arange(len(cell)), cell]})
+
+    return dists, assign
+
+
 def knn_join(
     queries: DataFrame, base: DataFrame, k: int, q_id: str = "qid", b_id: str = "bid",
     vec: str = "vec", cell_size: int = 32, max_pivots: int = 256,
@@ -40,44 +67,46 @@ def knn_join(
 
     Output ``(q_id, b_id, distance, rank)`` with ``rank`` 1..k ordered by
     ``(distance, b_id)``.  Inputs carry an ``array<double>`` column ``vec``.
+    Pivot distances (rows x pivots) run as vectorised numpy in Arrow batches;
+    the bounds carry a relative margin, and the final ranking uses exact
+    distances computed per candidate pair on the JVM.
     """
     n_base = base.count()
     if n_base == 0:
         spark = queries.sparkSession
         return spark.createDataFrame([], f"{q_id} long, {b_id} long, distance double, rank int")
     p = max(1, min(max_pivots, math.ceil(n_base / cell_size)))
-    piv = _pivots(base, b_id, vec, p)
-    P = lit_matrix(piv)
-
-    # base rows -> nearest pivot (ties spread by row hash), distance to it
-    b = base.select(F.col(b_id).alias("_bid"), F.col(vec).alias("_bv"))
-    b = b.withColumn("_pd", F.transform(P, lambda row, i: F.struct(
-        dist(row, "_bv").alias("d"), hash32(F.col("_bid"), i).alias("t"), i.alias("i"))))
-    b = b.withColumn("_m", F.array_min("_pd")).select(
-        "_bid", "_bv", F.col("_m.i").alias("cell"), F.col("_m.d").alias("_dp"))
-    cells = b.groupBy("cell").agg(F.max("_dp").alias("r"), F.count(F.lit(1)).alias("cnt")).collect()
-    radius = [0.0] * p
-    count = [0] * p
-    for r in cells:
-        radius[r["cell"]] = float(r["r"])
-        count[r["cell"]] = int(r["cnt"])
-    R = lit_vector(radius)
-    C = F.expr("array(" + ",".join(f"{c}L" for c in count) + ")")
+    piv = np.array(_pivots(base, b_id, vec, p), dtype=float)
+    p = piv.shape[0]
+    dists, assign = _pivot_udfs(piv)
+
+    b = base.select(F.col(b_id).cast("long").alias("_bid"), F.col(vec).alias("_bv"))
+    b = b.withColumn("_a", assign("_bid", "_bv")).select("_bid", "_bv", F.col("_a.cell").alias("cell"),
+                                                         F.col("_a.dp").alias("_dp"))
+    b = cut_lineage(b)   # one assignment shared by the statistics and the join
+    radius = np.zeros(p)
+    count = np.zeros(p, dtype=np.int64)
+    for r in b.groupBy("cell").agg(F.max("_dp").alias("r"), F.count(F.lit(1)).alias("cnt")).collect():
+        radius[r["cell"]], count[r["cell"]] = float(r["r"]), int(r["cnt"])
+    kk = int(k)
+
+    @F.pandas_udf("struct<ub:double,cells:array<int>>")
+    def candidates(v: pd.Series) -> pd.DataFrame:
+        d = dists(v)
+        order = np.argsort(d, axis=1, kind="stable")
+        cum = np.cumsum(count[order], axis=1)
+        reach = (d[np.arange(len(d))[:, None], order] + radius[order])
+        enough = cum >= kk
+        has = enough.any(axis=1)
+        first = np.where(has, enough.argmax(axis=1), p - 1)
+        ub = np.array([reach[i, : first[i] + 1].max() for i in range(len(d))])
+        ub = np.where(has, ub, np.inf) * (1 + 1e-9) + 1e-9
+        ok = (d - radius[None, :] <= ub[:, None]) & (count[None, :] > 0)
+        return pd.DataFrame({"ub": ub, "cells": [np.nonzero(r)[0].astype("int32") for r in ok]})
 
     q = queries.select(F.col(q_id).alias("_qid"), F.col(vec).alias("_qv"))
-    q = q.withColumn("_cd", F.transform(P, lambda row, i: F.struct(
-        dist(row, "_qv").alias("d"), F.element_at(C, i + 1).alias("cnt"), F.element_at(R, i + 1).alias("r"),
-        i.alias("i"))))
-    # upper bound for the k-th distance: nearest cells until they hold >= k rows
-    srt = F.array_sort("_cd")
-    acc = F.aggregate(
-        srt, F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("ub")),
-        lambda s, e: F.when(s["n"] >= k, s).otherwise(
-            F.struct((s["n"] + e["cnt"]).alias("n"), F.greatest(s["ub"], e["d"] + e["r"]).alias("ub"))))
-    q = q.withColumn("_ub", F.when(acc["n"] >= k, acc["ub"]).otherwise(F.lit(float("inf"))))
-    q = q.select("_qid", "_qv", "_ub", F.explode(F.transform(
-        F.filter("_cd", lambda e: (e["cnt"] > 0) & (e["d"] - e["r"] <= F.col("_ub"))), lambda e: e["i"])).alias("cell"))
-
+    q = q.withColumn("_c", candidates("_qv")).select("_qid", "_qv", F.col("_c.ub").alias("_ub"),
+                                                      F.explode("_c.cells").alias("cell"))
     cand = q.join(b, "cell").select("_qid", "_bid", dist("_qv", "_bv").alias("distance"), "_ub")
     cand = cand.where(F.col("distance") <= F.col("_ub"))
     w = Window.partitionBy("_qid").orderBy("distance", "_bid")

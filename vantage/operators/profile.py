@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordering import exact_quantiles
+from .ordering import exact_quantiles_multi
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -37,10 +37,13 @@ def profile_describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     cols = list(cols or df.columns)
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     parts = []
+    numeric = [c for c in cols if isinstance(types[c], _NUMERIC)]
+    qs = {(r["column"], r["p"]): r["value"] for r in exact_quantiles_multi(df, numeric, [0.25, 0.5, 0.75]).collect()} \
+        if numeric else {}
     for c in cols:
         if isinstance(types[c], _NUMERIC):
             x = F.col(c).cast("double")
-            q = {r["p"]: r["value"] for r in exact_quantiles(df, c, [0.25, 0.5, 0.75]).collect()}
+            q = {p: qs.get((c, p)) for p in (0.25, 0.5, 0.75)}
             parts.append(df.agg(
                 F.lit(c).alias("column"), F.count(c).alias("count"),
                 F.lit(None).cast("bigint").alias("unique"), F.lit(None).cast("string").alias("top"),
