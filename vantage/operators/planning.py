@@ -189,5 +189,17 @@ def batch_q_learning(log: DataFrame, s: str, a: str, r: str, s2: str, gamma: flo
     return q
 
 
+# strategy registry: name -> callable(trans, states, budget) returning a value / Q table
+PLANNERS = {
+    "value_iteration": lambda trans, states, budget, **kw: value_iteration(trans, states, max_iter=budget, **kw),
+    "policy_iteration": lambda trans, states, budget, **kw: policy_iteration(trans, states, rounds=budget, **kw),
+}
+
+
+def run_planner(name: str, trans: DataFrame, states: DataFrame, budget: int | None = None, **kw) -> DataFrame:
+    """Look up a planner by name; the budget defaults to the per-algorithm iteration count (else 100)."""
+    return PLANNERS[name](trans, states, budget if budget is not None else ITERATIONS.get(name, 100), **kw)
+
+
 def side_for(n_items: int) -> int:
     return max(1, math.isqrt(max(n_items - 1, 0)) + 1) if n_items > 1 else 1

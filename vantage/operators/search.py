@@ -23,15 +23,25 @@ def hashed_candidates(n: int, d: int, seed: int = 0, scale: float = 0.2) -> list
     return [[(py_hash_unit("cand", seed, c, j) - 0.5) * scale for j in range(d)] for c in range(n)]
 
 
+def squared_error(pred, y):
+    return (pred - y) * (pred - y)
+
+
 def population_score(df: DataFrame, vec: str, y: str, cands: Sequence[Sequence[float]],
-                     threshold: float = 0.5) -> DataFrame:
-    """Per candidate: SSE of the linear prediction ``w.x`` and share of rows with ``|w.x - y| < threshold``."""
+                     threshold: float = 0.5, objective=squared_error, link=None) -> DataFrame:
+    """Per candidate: summed ``objective(pred, y)`` (``sse``) and share of rows with ``|pred - y| < threshold``.
+
+    ``pred = link(w.x)`` (identity by default).  ``objective`` and ``link`` are
+    ``Column -> Column`` callables, so injected evaluation functions stay on the JVM.
+    """
     W = lit_matrix(cands)
-    preds = df.select(F.transform(W, lambda w: dot(w, vec)).alias("_p"), F.col(y).cast("double").alias("_y"))
+    preds = df.select(F.transform(W, lambda w: dot(w, vec) if link is None else link(dot(w, vec))).alias("_p"),
+                      F.col(y).cast("double").alias("_y"))
     aggs = []
     for c in range(len(cands)):
-        e = F.col("_p")[c] - F.col("_y")
-        aggs += [F.sum(e * e).alias(f"sse{c}"), F.avg((F.abs(e) < threshold).cast("double")).alias(f"acc{c}")]
+        p, t = F.col("_p")[c], F.col("_y")
+        aggs += [F.sum(objective(p, t)).alias(f"sse{c}"),
+                 F.avg((F.abs(p - t) < threshold).cast("double")).alias(f"acc{c}")]
     row = preds.agg(*aggs, F.count(F.lit(1)).alias("n"))
     return row.select(F.inline(F.array(*[F.struct(
         F.lit(c).alias("candidate"), F.col(f"sse{c}").alias("sse"), F.col(f"acc{c}").alias("accuracy"))

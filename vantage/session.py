@@ -27,6 +27,7 @@ def build_session(cpus: int | str = "*", app: str = "vantage", shuffle_partition
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("VANTAGE_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
