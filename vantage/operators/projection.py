@@ -111,7 +111,7 @@ def gaussian_projection_matrix(d: int, k: int, seed: int = 0) -> np.ndarray:
     return np.random.default_rng(seed).normal(0, 1 / math.sqrt(k), size=(k, d))
 
 
-def rf_feature_select(df: DataFrame, vec: str, label: str, names: list[str] | None = None, num_trees: int = 100,
+def rf_feature_select(df: DataFrame, vec: str, label: str, names: list[str] | None = None, num_trees: int = 500,
                       min_leaf_frac: float = 0.01, seed: int = 0, keep: float = 0.95) -> DataFrame:
     """Random-forest importances, sorted, with the running sum; rows with cumulative <= ``keep`` are selected."""
     n = df.count()

@@ -874,7 +874,7 @@ REGISTRY["clf_svm_sigmoid"] = _kernel_svm(lambda e: CL.sigmoid_map(e, "vec", "ve
 @q("clf_random_forest")
 def _clf_random_forest(spark, sf):
     tr, te = _ml_split(spark, sf)
-    model = CL.random_forest(n_trees=50, min_leaf=1).fit(tr)
+    model = CL.random_forest(n_trees=500, min_leaf=1).fit(tr)
     imp = model.featureImportances.toArray()
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
 
@@ -1052,7 +1052,7 @@ def _ica_fit(spark, sf):
 @q("rf_feature_select")
 def _rf_feature_select(spark, sf):
     e = FX.emb(spark, sf)
-    return PJ.rf_feature_select(e, "vec", "y", num_trees=50)
+    return PJ.rf_feature_select(e, "vec", "y", num_trees=500)
 
 
 def _projections(spark, sf, e):
