@@ -67,7 +67,7 @@ def _pivot_udfs(piv_b):
 
 def knn_join(
     queries: DataFrame, base: DataFrame, k: int, q_id: str = "qid", b_id: str = "bid",
-    vec: str = "vec", cell_size: int = 32, max_pivots: int = 4096,
+    vec: str = "vec", cell_size: int = 32, max_pivots: int = 4096, q_block: int = 4096,
 ) -> DataFrame:
     """Exact k nearest base rows (Euclidean) for every query row.
 
@@ -76,7 +76,8 @@ def knn_join(
     Pivot-based partitioning with triangle-inequality pruning (in the spirit
     of Lu et al., VLDB 2012): pivot distances (rows x pivots) run as
     vectorised numpy in Arrow batches with conservative error bounds; the final
-    ranking uses exact distances computed per candidate pair on the JVM.
+    ranking uses exact distances, computed per (cell, query chunk) block as a
+    vectorised kernel that emits only each query's local top k.
     """
     n_base = base.count()
     if n_base == 0:
@@ -113,11 +114,48 @@ def knn_join(
         ok = (lo - radius[None, :] <= ub[:, None]) & (count[None, :] > 0)
         return pd.DataFrame({"ub": ub, "cells": [np.nonzero(r)[0].astype("int32") for r in ok]})
 
-    q = queries.select(F.col(q_id).alias("_qid"), F.col(vec).alias("_qv"))
+    q = queries.select(F.col(q_id).cast("long").alias("_qid"), F.col(vec).alias("_qv"))
     q = q.withColumn("_c", candidates("_qv")).select("_qid", "_qv", F.col("_c.ub").alias("_ub"),
                                                       F.explode("_c.cells").alias("cell"))
-    cand = q.join(b, "cell").select("_qid", "_bid", dist("_qv", "_bv").alias("distance"), "_ub")
-    cand = cand.where(F.col("distance") <= F.col("_ub"))
+    q = cut_lineage(q)
+    # split a cell wanted by many queries into chunks of <= q_block queries; only
+    # that cell's base rows are repeated, once per chunk
+    per_cell = {r["cell"]: int(r["n"]) for r in q.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chunks = np.ones(p, dtype=np.int64)
+    for c, m in per_cell.items():
+        chunks[c] = max(1, math.ceil(m / q_block))
+    CH = F.expr("array(" + ",".join(f"{int(v)}L" for v in chunks) + ")")
+    q = q.withColumn("_s", F.pmod(F.xxhash64("_qid"), F.element_at(CH, F.col("cell") + 1)))
+    bb = b.select("cell", "_bid", "_bv", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                             F.element_at(CH, F.col("cell") + 1) - 1)).alias("_s"))
+
+    def block_topk(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) == 0 or len(bp) == 0:
+            return pd.DataFrame({"_qid": [], "_bid": [], "distance": []})
+        bx = np.stack(bp["_bv"].to_numpy()).astype(float)
+        bid = bp["_bid"].to_numpy()
+        qids, bids, dist_out = [], [], []
+        qv = np.stack(qp["_qv"].to_numpy()).astype(float)
+        ubs = qp["_ub"].to_numpy()
+        qid = qp["_qid"].to_numpy()
+        step = max(1, 2 ** 22 // max(1, bx.shape[0] * bx.shape[1]))
+        for lo in range(0, len(qv), step):
+            blk = qv[lo:lo + step]
+            d = np.sqrt(((blk[:, None, :] - bx[None, :, :]) ** 2).sum(-1))
+            kk_ = min(kk, d.shape[1])
+            # local top-k by (distance, bid): sort keys within each query row
+            order = np.lexsort((np.broadcast_to(bid, d.shape), d), axis=1)[:, :kk_]
+            rows = np.arange(d.shape[0])[:, None]
+            dd = d[rows, order]
+            keep = dd <= ubs[lo:lo + step, None]
+            qids.append(np.repeat(qid[lo:lo + step], kk_)[keep.ravel()])
+            bids.append(bid[order].ravel()[keep.ravel()])
+            dist_out.append(dd.ravel()[keep.ravel()])
+        return pd.DataFrame({"_qid": np.concatenate(qids), "_bid": np.concatenate(bids),
+                             "distance": np.concatenate(dist_out)})
+
+    cand = q.groupBy("cell", "_s").cogroup(bb.groupBy("cell", "_s")).applyInPandas(
+        block_topk, "_qid long, _bid long, distance double")
     w = Window.partitionBy("_qid").orderBy("distance", "_bid")
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(F.col("_qid").alias(q_id), F.col("_bid").alias(b_id), "distance", "rank"))

@@ -100,10 +100,12 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     ``ordinal``; counts per column (one row each) fix the wanted positions.
     """
     spark = df.sparkSession
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v"))
-                                         for c in cols]))).where(F.col("_v").isNotNull())
+    # integer column codes keep the sorted / checkpointed rows narrow
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
+                                         for i, c in enumerate(cols)]))).where(F.col("_v").isNotNull())
     long = long.withColumn("_salt", F.xxhash64("_v", F.spark_partition_id(), F.monotonically_increasing_id()))
-    counts = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {cols[r["_c"]]: r["n"] for r in long.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    code = {c: i for i, c in enumerate(cols)}
     want = []
     for c in cols:
         n = counts.get(c, 0)
@@ -115,14 +117,14 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
             want.append((c, float(p), lo, min(lo + 1, n - 1), pos - lo))
     if not want:
         return spark.createDataFrame([], "column string, p double, value double")
-    pos = ordinal(long, ["_v", "_salt"], ["column"], out="_i")
-    keys = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(i).cast("long").alias("i"))
+    pos = ordinal(long, ["_v", "_salt"], ["_c"], out="_i")
+    keys = F.array(*[F.struct(F.lit(code[c]).alias("c"), F.lit(i).cast("long").alias("i"))
                      for c in counts for i in sorted({x for w in want if w[0] == c for x in (w[2], w[3])})])
-    picked = pos.where(F.array_contains(keys, F.struct(F.col("column").alias("c"), F.col("_i").alias("i"))))
+    picked = pos.where(F.array_contains(keys, F.struct(F.col("_c").alias("c"), F.col("_i").alias("i"))))
     aggs = []
     for c, p, lo, hi, frac in want:
-        v_lo = F.max(F.when((F.col("column") == c) & (F.col("_i") == lo), F.col("_v")))
-        v_hi = F.max(F.when((F.col("column") == c) & (F.col("_i") == hi), F.col("_v")))
+        v_lo = F.max(F.when((F.col("_c") == code[c]) & (F.col("_i") == lo), F.col("_v")))
+        v_hi = F.max(F.when((F.col("_c") == code[c]) & (F.col("_i") == hi), F.col("_v")))
         aggs.append(F.struct(F.lit(c).alias("column"), F.lit(p).alias("p"),
                              (v_lo + (v_hi - v_lo) * F.lit(frac)).alias("value")))
     return picked.agg(F.array(*aggs).alias("_q")).select(F.inline("_q"))

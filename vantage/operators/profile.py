@@ -40,29 +40,31 @@ def profile_describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     numeric = [c for c in cols if isinstance(types[c], _NUMERIC)]
     qs = {(r["column"], r["p"]): r["value"] for r in exact_quantiles_multi(df, numeric, [0.25, 0.5, 0.75]).collect()} \
         if numeric else {}
-    for c in cols:
-        if isinstance(types[c], _NUMERIC):
+    if numeric:
+        # every numeric statistic of every column in one scan
+        stats = []
+        for c in numeric:
             x = F.col(c).cast("double")
-            q = {p: qs.get((c, p)) for p in (0.25, 0.5, 0.75)}
-            parts.append(df.agg(
-                F.lit(c).alias("column"), F.count(c).alias("count"),
-                F.lit(None).cast("bigint").alias("unique"), F.lit(None).cast("string").alias("top"),
-                F.lit(None).cast("bigint").alias("freq"),
+            stats.append(F.struct(
+                F.lit(c).alias("column"), F.count(c).alias("count"), F.lit(None).cast("bigint").alias("unique"),
+                F.lit(None).cast("string").alias("top"), F.lit(None).cast("bigint").alias("freq"),
                 F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                F.lit(q.get(0.25)).cast("double").alias("q25"), F.lit(q.get(0.5)).cast("double").alias("q50"),
-                F.lit(q.get(0.75)).cast("double").alias("q75"), F.max(x).alias("max"),
-            ))
-        else:
-            v = F.col(c).cast("string")
-            counts = df.where(F.col(c).isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(counts.agg(
-                F.lit(c).alias("column"), F.sum("n").cast("bigint").alias("count"),
-                F.count(F.lit(1)).cast("bigint").alias("unique"),
-                # most frequent level, smallest level on ties
-                F.min_by("_v", F.struct((-F.col("n")).alias("a"), F.col("_v").alias("b"))).alias("top"),
-                F.max("n").cast("bigint").alias("freq"),
-                *[F.lit(None).cast("double").alias(k) for k in ("mean", "std", "min", "q25", "q50", "q75", "max")],
-            ))
+                F.lit(qs.get((c, 0.25))).cast("double").alias("q25"), F.lit(qs.get((c, 0.5))).cast("double").alias("q50"),
+                F.lit(qs.get((c, 0.75))).cast("double").alias("q75"), F.max(x).alias("max")))
+        parts.append(df.agg(F.array(*stats).alias("_s")).select(F.inline("_s")))
+    for c in cols:
+        if c in numeric:
+            continue
+        v = F.col(c).cast("string")
+        counts = df.where(F.col(c).isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.agg(
+            F.lit(c).alias("column"), F.sum("n").cast("bigint").alias("count"),
+            F.count(F.lit(1)).cast("bigint").alias("unique"),
+            # most frequent level, smallest level on ties
+            F.min_by("_v", F.struct((-F.col("n")).alias("a"), F.col("_v").alias("b"))).alias("top"),
+            F.max("n").cast("bigint").alias("freq"),
+            *[F.lit(None).cast("double").alias(k) for k in ("mean", "std", "min", "q25", "q50", "q75", "max")],
+        ))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
