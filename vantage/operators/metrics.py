@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .ordering import ordinal
 
 
@@ -101,7 +102,8 @@ def cluster_mode_vote(df: DataFrame, cluster: str, y: str, id_col: str, out: str
     votes = df.groupBy(cluster, y).agg(F.count(F.lit(1)).alias("_n"), F.min(id_col).alias("_first"))
     win = votes.groupBy(cluster).agg(
         F.max_by(F.col(y), F.struct(F.col("_n"), (-F.col("_first")).alias("_f"))).alias(out))
-    return df.join(win, cluster, "left")
+    # one row per cluster: broadcast after a size check (a hot cluster then never meets a shuffle)
+    return df.join(broadcast_if_small(win), cluster, "left")
 
 
 def homogeneity(df: DataFrame, cluster: str, y: str) -> DataFrame:

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 
 _LOW33 = (1 << 33) - 1
 
@@ -58,6 +58,9 @@ def ordinal(
     if not group_cols:
         # one row per task: size bounded by the partition count
         stats = F.broadcast(stats)
+    else:
+        # at most (tasks + groups) rows: broadcast after a size check, else shuffle join
+        stats = broadcast_if_small(cut_lineage(stats))
     res = tagged.join(stats, ["_pid", *group_cols])
     return res.select(*cols, (F.col("_off") + F.col("_loc") - F.col("_first")).alias(out))
 

@@ -66,3 +66,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+BROADCAST_MAX_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking its size; otherwise leave the join to a shuffle.
+
+    Meant for aggregated lookup tables (one row per task, group or cluster) whose
+    size depends on the data; one cheap count decides.
+    """
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
