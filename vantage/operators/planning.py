@@ -70,12 +70,13 @@ def transition_table(cells: DataFrame, n: int) -> DataFrame:
     s2x = F.when(ok, F.col("tx")).otherwise(F.col("x"))
     s2y = F.when(ok, F.col("ty")).otherwise(F.col("y"))
     rr = F.when(ok, F.col("tr")).otherwise(F.col("own_r"))
-    t = mv.select((F.col("x") + F.col("y") * n).alias("s"), "a", (s2x + s2y * n).alias("s2"), "p", rr.alias("r"))
+    t = mv.select((F.col("x") + F.col("y") * n).cast("long").alias("s"), "a", (s2x + s2y * n).cast("long").alias("s2"),
+                  "p", rr.alias("r"))
     return t.groupBy("s", "a", "s2").agg(F.sum("p").alias("p"), F.first("r").alias("r"))
 
 
 def states_of(cells: DataFrame, n: int) -> DataFrame:
-    return cells.where(F.col("kind") != "1").select((F.col("x") + F.col("y") * n).alias("s"))
+    return cells.where(F.col("kind") != "1").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
 
 
 def _q_values(trans: DataFrame, v: DataFrame, gamma: float) -> DataFrame:

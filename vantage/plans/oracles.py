@@ -49,16 +49,16 @@ SQL["profile_nulls"] = ("WITH c AS (" + " UNION ALL ".join(
 
 def _describe_cat(c):
     return (f"(WITH k AS (SELECT {c}::VARCHAR AS v, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1) "
-            f"SELECT '{c}' AS \"column\", sum(n)::BIGINT AS count, count(*)::BIGINT AS \"unique\", "
-            f"(SELECT v FROM k ORDER BY n DESC, v LIMIT 1) AS top, max(n)::BIGINT AS freq, "
+            f"SELECT '{c}' AS \"column\", sum(n)::BIGINT AS count, count(*)::DOUBLE AS \"unique\", "
+            f"(SELECT v FROM k ORDER BY n DESC, v LIMIT 1) AS top, max(n)::DOUBLE AS freq, "
             + ", ".join(f"NULL::DOUBLE AS {s}" for s in ("mean", "std", "min", "q25", "q50", "q75", "max"))
             + " FROM k)")
 
 
 def _describe_num(c):
     x = f"{c}::DOUBLE"
-    return (f"(SELECT '{c}' AS \"column\", count({c})::BIGINT AS count, NULL::BIGINT AS \"unique\", "
-            f"NULL::VARCHAR AS top, NULL::BIGINT AS freq, round(avg({x}), 6) AS mean, "
+    return (f"(SELECT '{c}' AS \"column\", count({c})::BIGINT AS count, NULL::DOUBLE AS \"unique\", "
+            f"NULL::VARCHAR AS top, NULL::DOUBLE AS freq, round(avg({x}), 6) AS mean, "
             f"round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min, "
             f"round(quantile_cont({x}, 0.25), 6) AS q25, round(quantile_cont({x}, 0.5), 6) AS q50, "
             f"round(quantile_cont({x}, 0.75), 6) AS q75, round(max({x}), 6) AS max FROM lineitem)")
@@ -139,7 +139,8 @@ SQL["cross_params"] = ("SELECT event_type AS experiment, p.param, count(*) FILTE
                        "FROM events, (VALUES " + ", ".join(f"({p})" for p in Q.CROSS_PARAMS) + ") p(param) GROUP BY ALL")
 
 # ---------------------------------------------------------------- joins
-SQL["bind_columns"] = ("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality, l.toxic "
+SQL["bind_columns"] = ("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality::DOUBLE AS quality, "
+                       "l.toxic::DOUBLE AS toxic "
                        "FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id")
 SQL["attach_labels"] = "SELECT doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN labels l USING (doc_id)"
 SQL["zip_truth_pred"] = f"WITH {TP} SELECT doc_id, y, yhat FROM tp"

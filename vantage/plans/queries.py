@@ -108,8 +108,9 @@ def _profile_nulls(spark, sf):
 @q("profile_describe")
 def _profile_describe(spark, sf):
     d = PR.profile_describe(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"] + LINE_NUM)
-    return d.select(*[r6(F.col(c)).alias(c) if c in ("mean", "std", "min", "q25", "q50", "q75", "max") else c
-                      for c in d.columns])
+    # counts that are NULL for some rows are reported as doubles (same rendering in every client)
+    return d.select(*[r6(F.col(c)).alias(c) if c in ("mean", "std", "min", "q25", "q50", "q75", "max")
+                      else F.col(c).cast("double").alias(c) if c in ("unique", "freq") else c for c in d.columns])
 
 
 # ---------------------------------------------------------------- 2.3 projections / expressions
@@ -307,7 +308,10 @@ def _cross_params(spark, sf):
 def _bind_columns(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "n_chars")
     lab = table(spark, sf, "labels")
-    return d.join(lab, "doc_id", "full_outer")
+    j = d.join(lab, "doc_id", "full_outer")
+    # label columns are NULL for unlabelled documents: reported as doubles
+    return j.select("doc_id", "n_chars", F.col("quality").cast("double").alias("quality"),
+                    F.col("toxic").cast("double").alias("toxic"))
 
 
 @q("attach_labels")
