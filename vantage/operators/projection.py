@@ -108,7 +108,15 @@ def sparse_projection_matrix(d: int, k: int, seed: int = 0, density: float | Non
 
 
 def gaussian_projection_matrix(d: int, k: int, seed: int = 0) -> np.ndarray:
-    return np.random.default_rng(seed).normal(0, 1 / math.sqrt(k), size=(k, d))
+    """N(0, 1/k) entries from hashed Box-Muller draws (reproducible in SQL):
+    ``sqrt(-2 ln(1 - u1)) cos(2 pi u2) / sqrt(k)`` with ``u1, u2 = hash_unit('grp', seed, i, j, 1|2)``."""
+    out = np.zeros((k, d))
+    for i in range(d):
+        for j in range(k):
+            u1 = py_hash_unit("grp", seed, i, j, 1)
+            u2 = py_hash_unit("grp", seed, i, j, 2)
+            out[j, i] = math.sqrt(-2.0 * math.log(1.0 - u1)) * math.cos(2.0 * math.pi * u2) / math.sqrt(k)
+    return out
 
 
 def rf_feature_select(df: DataFrame, vec: str, label: str, names: list[str] | None = None, num_trees: int = 500,

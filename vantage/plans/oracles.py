@@ -488,3 +488,16 @@ SQL["add_cluster_features"] = (
     "SELECT emb.vec_id, emb.label, " + ", ".join(f"(km.k = {i})::INTEGER AS km_{i}" for i in range(10)) + ", "
     + ", ".join(f"(em.k = {i})::INTEGER AS em_{i}" for i in range(10))
     + " FROM emb JOIN km USING (vec_id) JOIN em USING (vec_id)")
+
+SQL["sink_model_table"] = (f"WITH {EMB}, c AS (SELECT label, i, avg(v[i]) AS m FROM emb, range(1, 65) r(i) GROUP BY ALL) "
+                           "SELECT (dense_rank() OVER (ORDER BY label) - 1)::INTEGER AS component, (i - 1)::INTEGER AS dim, "
+                           "round(m, 6) AS value FROM c")
+_U = "{H}::DOUBLE / 4294967296.0::DOUBLE"
+SQL["rca_gaussian"] = (
+    f"WITH {EMB}, gm AS (SELECT i, j, sqrt(-2.0 * ln(1.0 - "
+    + _U.format(H=H(chr(39) + "grp:0:" + chr(39) + " || i || chr(58) || j || ':1'"))
+    + ")) * cos(2.0 * pi() * "
+    + _U.format(H=H(chr(39) + "grp:0:" + chr(39) + " || i || chr(58) || j || ':2'"))
+    + f") / sqrt({Q.RCA_K}.0) AS r FROM range(64) a(i), range({Q.RCA_K}) b(j)), "
+    "pj AS (SELECT emb.vec_id, gm.j, sum(emb.v[gm.i + 1] * gm.r) AS value FROM emb, gm GROUP BY emb.vec_id, gm.j) "
+    "SELECT vec_id, j::INTEGER AS component, round(value, 6) AS value FROM pj")

@@ -952,10 +952,10 @@ def _kmeans_fit(spark, sf):
 
 @q("sink_model_table")
 def _sink_model_table(spark, sf):
-    e = FX.emb(spark, sf)
-    m = CU.kmeans_fit(e, "vec", 10, n_init=1)
-    centres = [list(map(float, c)) for c in m.clusterCenters()]
-    return IO.sink_model_table(spark, centres, shared_path(spark, "kmeans-centres"), "cluster")
+    """Component means of the per-label mixture written as a table and read back."""
+    labels, _, mu, _, _ = _label_params(spark, sf)
+    t = IO.sink_model_table(spark, mu.tolist(), shared_path(spark, "component-means"), "component")
+    return t.select("component", "dim", r6(F.col("value")).alias("value"))
 
 
 def _cluster_scores(df, cluster_col):
@@ -1035,7 +1035,8 @@ def _rca_project(spark, sf):
 @q("rca_gaussian")
 def _rca_gaussian(spark, sf):
     p = PJ.project(FX.emb(spark, sf), "vec", PJ.gaussian_projection_matrix(64, RCA_K, seed=0), out="proj")
-    return p.select("vec_id", F.posexplode("proj").alias("component", "value"))
+    return p.select("vec_id", F.posexplode("proj").alias("component", "value")).select(
+        "vec_id", "component", r6(F.col("value")).alias("value"))
 
 
 @q("distance_correlation")
