@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import BROADCAST_MAX_ROWS, cut_lineage
 
 # fixed values of the studied grid problems
 SUCCESS_PROB = 0.8            # intended move succeeds
@@ -79,14 +79,24 @@ def states_of(cells: DataFrame, n: int) -> DataFrame:
     return cells.where(F.col("kind") != "1").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
 
 
-def _q_values(trans: DataFrame, v: DataFrame, gamma: float) -> DataFrame:
-    j = trans.join(v.select(F.col("s").alias("s2"), F.col("v").alias("_v2")), "s2", "left")
+def _small(states: DataFrame) -> bool:
+    """Value tables have one row per state: broadcast them when the state count is under the limit."""
+    return states.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+
+
+def _values_side(v: DataFrame, bcast: bool) -> DataFrame:
+    side = v.select(F.col("s").alias("s2"), F.col("v").alias("_v2"))
+    return F.broadcast(side) if bcast else side
+
+
+def _q_values(trans: DataFrame, v: DataFrame, gamma: float, bcast: bool = False) -> DataFrame:
+    j = trans.join(_values_side(v, bcast), "s2", "left")
     return j.groupBy("s", "a").agg(F.sum(F.col("p") * (F.col("r") + gamma * F.coalesce(F.col("_v2"), F.lit(0.0))))
                                    .alias("q"))
 
 
-def _bellman(trans: DataFrame, states: DataFrame, v: DataFrame, gamma: float) -> DataFrame:
-    best = _q_values(trans, v, gamma).groupBy("s").agg(F.max("q").alias("v"))
+def _bellman(trans: DataFrame, states: DataFrame, v: DataFrame, gamma: float, bcast: bool = False) -> DataFrame:
+    best = _q_values(trans, v, gamma, bcast).groupBy("s").agg(F.max("q").alias("v"))
     return states.join(best, "s", "left").select("s", F.coalesce(F.col("v"), F.lit(0.0)).alias("v"))
 
 
@@ -100,10 +110,11 @@ def value_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, t
     """
     trans = cut_lineage(trans)
     states = cut_lineage(states)
+    bcast = _small(states)
     v = cut_lineage(states.select("s", F.lit(0.0).alias("v")))
     k = 0
     for k in range(1, max_iter + 1):
-        nv = cut_lineage(_bellman(trans, states, v, gamma))
+        nv = cut_lineage(_bellman(trans, states, v, gamma, bcast))
         delta = nv.join(v.withColumnRenamed("v", "_old"), "s").agg(
             F.max(F.abs(F.col("v") - F.col("_old")))).first()[0] or 0.0
         v = nv
@@ -112,13 +123,14 @@ def value_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, t
     return v.withColumn("sweeps", F.lit(k))
 
 
-def greedy_policy(trans: DataFrame, v: DataFrame, gamma: float = GAMMA, digits: int = 9) -> DataFrame:
+def greedy_policy(trans: DataFrame, v: DataFrame, gamma: float = GAMMA, digits: int = 9,
+                  bcast: bool = False) -> DataFrame:
     """Argmax action per state from one-step look-ahead Q values; ties -> lowest action.
 
     Q is rounded to ``digits`` before the argmax so that sums that differ only
     in floating-point order do not flip a tie.
     """
-    q = _q_values(trans, v, gamma)
+    q = _q_values(trans, v, gamma, bcast)
     return q.groupBy("s").agg(F.max_by(F.struct("a", "q"), F.struct(F.round("q", digits).alias("_q"),
                                                                       (-F.col("a")).alias("_a"))).alias("_b")).select(
         "s", F.col("_b.a").alias("a"), F.col("_b.q").alias("q"))
@@ -132,16 +144,17 @@ def policy_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA,
     """
     trans = cut_lineage(trans)
     states = cut_lineage(states)
+    bcast = _small(states)
     v = cut_lineage(states.select("s", F.lit(0.0).alias("v")))
     for _ in range(rounds):
-        pol = cut_lineage(greedy_policy(trans, v, gamma).select("s", "a"))
+        pol = cut_lineage(greedy_policy(trans, v, gamma, bcast=bcast).select("s", "a"))
         tp = cut_lineage(trans.join(pol, ["s", "a"]))
         for _ in range(eval_sweeps):
-            j = tp.join(v.select(F.col("s").alias("s2"), F.col("v").alias("_v2")), "s2", "left")
+            j = tp.join(_values_side(v, bcast), "s2", "left")
             ev = j.groupBy("s").agg(F.sum(F.col("p") * (F.col("r") + gamma * F.coalesce(F.col("_v2"), F.lit(0.0))))
                                     .alias("v"))
             v = cut_lineage(states.join(ev, "s", "left").select("s", F.coalesce(F.col("v"), F.lit(0.0)).alias("v")))
-    final = greedy_policy(trans, v, gamma).select("s", "a")
+    final = greedy_policy(trans, v, gamma, bcast=bcast).select("s", "a")
     return v.join(final, "s", "left")
 
 
