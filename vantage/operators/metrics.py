@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
-from .ordering import ordinal
 
 
 def _c(x) -> Column:

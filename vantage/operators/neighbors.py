@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
-from ..functions.vectors import dist, dot, lit_matrix, lit_vector, norm_sq, sq_dist
+from ..functions.vectors import dist, dot, lit_matrix, lit_vector, norm_sq
 from ..session import cut_lineage
 from .linalg import gram
 

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .ordering import ordinal
 
 
@@ -45,7 +46,8 @@ def route_length(df: DataFrame, route: str, order_cols: Sequence[str], x: str, y
     """Total Euclidean length of each closed route (last stop back to the first)."""
     a = ordinal(df, order_cols, [route], out="_pos").select(route, "_pos", F.col(x).alias("_x"), F.col(y).alias("_y"))
     n = a.groupBy(route).agg(F.count(F.lit(1)).alias("n"))
-    a = a.join(n, route)
+    # one row per route; a route holding a third of the stops must not meet a shuffle join
+    a = a.join(broadcast_if_small(n), route)
     nxt = a.select(route, F.col("_pos").alias("_npos"), F.col("_x").alias("_nx"), F.col("_y").alias("_ny"))
     legs = a.withColumn("_npos", F.pmod(F.col("_pos") + 1, F.col("n"))).join(nxt, [route, "_npos"])
     return legs.groupBy(route).agg(F.first("n").alias("n"),

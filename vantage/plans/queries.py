@@ -11,8 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash32, hash_unit
-from ..functions.vectors import dist, norm_sq
+from ..functions.hashing import hash_unit
 from ..operators import metrics as M
 from ..operators import neighbors as NB
 from ..operators import prep as P
