@@ -133,3 +133,39 @@ def test_value_iteration_contracts(spark):
     d12 = max(abs(a[s] - b[s]) for s in a)
     d23 = max(abs(b[s] - c[s]) for s in a)
     assert d23 <= PL.GAMMA * d12 + 1e-9
+
+
+def test_connected_components_match_union_find(spark):
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = {r["node"]: r["label"] for r in PL.connected_components(df).collect()}
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    comp = {}
+    for x in {n for e in edges for n in e}:
+        comp.setdefault(find(x), []).append(x)
+    want = {x: min(members) for members in comp.values() for x in members}
+    assert got == want
+
+
+def test_symmetric_reachability_matches_bfs(spark):
+    for lines in (["X1G", "111", "000"], ["X0S0", "0110", "0M0G", "L000"], ["X00", "0G0", "000"]):
+        cells = _cells(spark, lines)
+        n = len(lines)
+        t = PL.transition_table(cells, n)
+        goal = cells.where("is_goal").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
+        start = (n - 1) * n
+        a = {r["s"] for r in PL.reachable_states(t, start).collect()}
+        b = {r["s"] for r in PL.reachable_states_symmetric(t, start, goal).collect()}
+        assert a == b

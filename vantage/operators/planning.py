@@ -217,3 +217,62 @@ def run_planner(name: str, trans: DataFrame, states: DataFrame, budget: int | No
 
 def side_for(n_items: int) -> int:
     return max(1, math.isqrt(max(n_items - 1, 0)) + 1) if n_items > 1 else 1
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """Component label (smallest node id) of every node of an undirected graph ``(u, v)``.
+
+    Alternating large-star / small-star rounds (Kiveris et al., "Connected
+    Components in MapReduce and Beyond", SoCC 2014): O(log^2 n) rounds, each a
+    group-by-min plus a join, with no per-node neighbour lists collected.  The
+    edge table is checkpointed every round.
+    """
+    e = edges.select(F.col("u").cast("long"), F.col("v").cast("long"))
+    e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).where(F.col("u") != F.col("v")).distinct()
+    nodes = cut_lineage(edges.select(F.col("u").cast("long").alias("n")).unionByName(
+        edges.select(F.col("v").cast("long").alias("n"))).distinct())
+    e = cut_lineage(e)
+
+    def both(df):
+        return df.unionByName(df.select(F.col("v").alias("u"), F.col("u").alias("v"))) \
+            .where(F.col("u") != F.col("v")).distinct()
+
+    prev = None
+    for _ in range(max_rounds):
+        # large star: connect every larger neighbour of u to the minimum of u's closed neighbourhood
+        m = e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        ls = e.where(F.col("v") > F.col("u")).join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = cut_lineage(both(ls))
+        # small star: connect u and its smaller neighbours to the minimum of them
+        sm = e.where(F.col("v") <= F.col("u"))
+        m2 = sm.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        ss = sm.join(m2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            m2.select("u", F.col("m").alias("v")))
+        e = cut_lineage(both(ss))
+        sig = e.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.min("v"), F.max("v")).first()
+        if prev is not None and tuple(sig) == prev:
+            break
+        prev = tuple(sig)
+    label = e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("label"))
+    return nodes.join(label.withColumnRenamed("u", "n"), "n", "left").select(
+        F.col("n").alias("node"), F.coalesce(F.col("label"), F.col("n")).alias("label"))
+
+
+def reachable_states_symmetric(trans: DataFrame, start: int, terminals: DataFrame) -> DataFrame:
+    """Reachability for transition graphs whose moves are reversible except out of terminal states.
+
+    Paths cannot pass through a terminal state, so the non-terminal states
+    reachable from ``start`` form its connected component in the graph without
+    terminals; a terminal is reachable when it is entered from that component.
+    """
+    spark = trans.sparkSession
+    term = terminals.select(F.col("s").cast("long").alias("t"))
+    ed = trans.where((F.col("p") > 0) & (F.col("s") != F.col("s2"))).select(
+        F.col("s").cast("long").alias("u"), F.col("s2").cast("long").alias("v")).distinct()
+    inner = ed.join(term, ed.v == term.t, "left_anti")
+    start_df = spark.createDataFrame([(int(start), int(start))], "u long, v long")
+    cc = connected_components(inner.unionByName(start_df))
+    lab = cc.where(F.col("node") == int(start)).select("label")
+    comp = cc.join(lab, "label").select(F.col("node").alias("s"))
+    entered = ed.join(comp.withColumnRenamed("s", "u"), "u").join(term, ed.v == term.t).select(F.col("t").alias("s"))
+    return comp.unionByName(entered).distinct()

@@ -754,8 +754,11 @@ def _policy_iteration(spark, sf):
 
 @q("reachable_states")
 def _reachable_states(spark, sf):
-    t, st, n = _trans(spark, sf)
-    return PL.reachable_states(t, (n - 1) * n)
+    # grid moves are reversible except out of the (absorbing) goal: component labelling, O(log^2 n) rounds
+    cells, n = _grid(spark, sf)
+    t = PL.transition_table(cells, n)
+    goal = cells.where("is_goal").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
+    return PL.reachable_states_symmetric(t, (n - 1) * n, goal)
 
 
 Q_SWEEPS = 10
