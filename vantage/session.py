@@ -80,3 +80,38 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     from pyspark.sql import functions as F
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files (Hadoop FileSystem, works for any cluster file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def tune_for_scale(spark: SparkSession, total_input_bytes: int, executor_cores: int,
+                   target_partition_bytes: int = 256 << 20) -> dict:
+    """Size scan splits and shuffle partitions so every task handles ~``target_partition_bytes``.
+
+    * ``spark.sql.files.maxPartitionBytes`` = target (scan tasks of one size);
+    * ``spark.sql.shuffle.partitions`` = max(2 x cores, input / target): the upper
+      bound for the first shuffle; AQE coalesces smaller post-aggregation stages
+      towards ``advisoryPartitionSizeInBytes`` and splits skewed join partitions.
+    Returns the settings applied.
+    """
+    parts = max(2 * executor_cores, -(-int(total_input_bytes) // target_partition_bytes))
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings
