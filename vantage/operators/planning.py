@@ -114,10 +114,12 @@ def value_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, t
     v = cut_lineage(states.select("s", F.lit(0.0).alias("v")))
     k = 0
     for k in range(1, max_iter + 1):
-        nv = cut_lineage(_bellman(trans, states, v, gamma, bcast))
-        delta = nv.join(v.withColumnRenamed("v", "_old"), "s").agg(
-            F.max(F.abs(F.col("v") - F.col("_old")))).first()[0] or 0.0
-        v = nv
+        # the previous value rides along, so the convergence check is a scan, not a second join
+        best = _q_values(trans, v, gamma, bcast).groupBy("s").agg(F.max("q").alias("_nv"))
+        nv = cut_lineage(v.join(best, "s", "left").select(
+            "s", F.coalesce(F.col("_nv"), F.lit(0.0)).alias("v"), F.col("v").alias("_old")))
+        delta = nv.agg(F.max(F.abs(F.col("v") - F.col("_old")))).first()[0] or 0.0
+        v = nv.select("s", "v")
         if delta < theta:
             break
     return v.withColumn("sweeps", F.lit(k))
