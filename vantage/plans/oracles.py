@@ -29,7 +29,8 @@ TP = (f"tp AS (SELECT l.doc_id, d.lang, d.source, d.n_chars, l.quality AS y, "
 LINE_NUM = Q.LINE_NUM
 
 # ---------------------------------------------------------------- sources / sinks
-SQL["scan_csv"] = "SELECT * FROM orders"
+SQL["scan_csv"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+                   "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority FROM orders")
 SQL["scan_csv_positional"] = ("SELECT " + ", ".join(f"round(embedding[{i + 1}]::DOUBLE, 6) AS f{i}" for i in range(64))
                               + ", label FROM embeddings")
 SQL["sink_csv"] = "SELECT * FROM customer"

@@ -43,7 +43,9 @@ def _scan_csv(spark, sf):
     IO.sink_csv(table(spark, sf, "orders"), path)
     schema = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string")
-    return IO.scan_csv(spark, path, schema)
+    df = IO.scan_csv(spark, path, schema)
+    # timestamps rendered as ISO text so every client compares the same value
+    return df.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @q("scan_csv_positional")
