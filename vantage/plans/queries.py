@@ -17,7 +17,7 @@ from ..operators import neighbors as NB
 from ..operators import prep as P
 from ..operators import profile as PR
 from ..operators import sampling as S
-from ..session import shared_path, table
+from ..session import cut_lineage, shared_path, table
 from ..sources import io as IO
 from . import fixtures as FX
 
@@ -730,6 +730,7 @@ def _transition_table(spark, sf):
 
 def _vi(spark, sf):
     t, st, n = _trans(spark, sf)
+    t = cut_lineage(t)   # built once, shared by the sweeps and the greedy read-out
     return t, PL.value_iteration(t, st, PL.GAMMA, PL.THETA, PL.ITERATIONS["value_iteration"])
 
 
