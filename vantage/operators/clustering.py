@@ -23,7 +23,7 @@ from .linalg import reduce_partials, stack_vectors
 
 
 def kmeans_fit(df: DataFrame, vec: str, k: int, n_init: int = 10, seed: int = 100, max_iter: int = 300,
-               parallelism: int = 4):
+               parallelism: int = 8):
     """Best of ``n_init`` k-means fits (lowest within-cluster sum of squares; first seed on ties).
 
     Restarts are independent Spark jobs submitted concurrently (like

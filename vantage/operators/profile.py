@@ -52,13 +52,14 @@ def profile_describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
                 F.lit(qs.get((c, 0.25))).cast("double").alias("q25"), F.lit(qs.get((c, 0.5))).cast("double").alias("q50"),
                 F.lit(qs.get((c, 0.75))).cast("double").alias("q75"), F.max(x).alias("max")))
         parts.append(df.agg(F.array(*stats).alias("_s")).select(F.inline("_s")))
-    for c in cols:
-        if c in numeric:
-            continue
-        v = F.col(c).cast("string")
-        counts = df.where(F.col(c).isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(counts.agg(
-            F.lit(c).alias("column"), F.sum("n").cast("bigint").alias("count"),
+    cats = [c for c in cols if c not in numeric]
+    if cats:
+        # all categorical columns in one pass: unpivot to (column, level), count, then summarise per column
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_v"))
+                                             for c in cats]))).where(F.col("_v").isNotNull())
+        counts = long.groupBy("column", "_v").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.groupBy("column").agg(
+            F.sum("n").cast("bigint").alias("count"),
             F.count(F.lit(1)).cast("bigint").alias("unique"),
             # most frequent level, smallest level on ties
             F.min_by("_v", F.struct((-F.col("n")).alias("a"), F.col("_v").alias("b"))).alias("top"),

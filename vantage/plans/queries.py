@@ -704,12 +704,13 @@ def grid_lines(spark, sf):
     cells = spark.range(n * n).withColumnRenamed("id", "r").join(ranked, "r", "left").select(
         (F.col("r") / n).cast("long").alias("row"), (F.col("r") % n).alias("j"), ch.alias("ch"))
     lines = cells.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("j", "ch"))).alias("_c"))
-    return lines.select("row", F.concat_ws("", F.transform("_c", lambda e: e["ch"])).alias("line")), n
+    lines = lines.select("row", F.concat_ws("", F.transform("_c", lambda e: e["ch"])).alias("line"))
+    return cut_lineage(lines), n
 
 
 def _grid(spark, sf):
     lines, n = grid_lines(spark, sf)
-    return PL.grid_to_cells(lines), n
+    return cut_lineage(PL.grid_to_cells(lines)), n
 
 
 @q("grid_to_cells")
