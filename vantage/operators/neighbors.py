@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
 from ..functions.vectors import dist, dot, lit_matrix, lit_vector, norm_sq
-from ..session import cut_lineage
+from pyspark import StorageLevel
+
 from .linalg import gram
 
 
@@ -92,7 +93,10 @@ def knn_join(
     b = base.select(F.col(b_id).cast("long").alias("_bid"), F.col(vec).alias("_bv"))
     b = b.withColumn("_a", assign("_bid", "_bv")).select("_bid", "_bv", F.col("_a.cell").alias("cell"),
                                                          F.col("_a.dp").alias("_dp"))
-    b = cut_lineage(b)   # one assignment shared by the statistics and the join
+    # the assignment is a deterministic function of the row, so a persisted copy is
+    # enough: a lost block is recomputed to the same cells (no checkpoint write of
+    # the whole base table)
+    b = b.persist(StorageLevel.MEMORY_AND_DISK)
     radius = np.zeros(p)
     count = np.zeros(p, dtype=np.int64)
     for r in b.groupBy("cell").agg(F.max("_dp").alias("r"), F.count(F.lit(1)).alias("cnt")).collect():
@@ -117,7 +121,7 @@ def knn_join(
     q = queries.select(F.col(q_id).cast("long").alias("_qid"), F.col(vec).alias("_qv"))
     q = q.withColumn("_c", candidates("_qv")).select("_qid", "_qv", F.col("_c.ub").alias("_ub"),
                                                       F.explode("_c.cells").alias("cell"))
-    q = cut_lineage(q)
+    q = q.persist(StorageLevel.MEMORY_AND_DISK)   # deterministic, as above
     # split a cell wanted by many queries into chunks of <= q_block queries; only
     # that cell's base rows are repeated, once per chunk
     per_cell = {r["cell"]: int(r["n"]) for r in q.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}

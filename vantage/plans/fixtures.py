@@ -12,7 +12,8 @@ from ..session import table
 DOC_THRESHOLD = 1500          # n_chars above -> predicted quality 1
 TEST_PCT = 20                 # hash split: bucket < 20 -> test
 KNN_K = 5
-EVENT_ITERATIONS = {"view": 20, "click": 2, "purchase": 50}   # lookup with default 100
+# lookup-with-default fixture: event type -> iteration budget of the planning problems (default 100)
+EVENT_ITERATIONS = {"view": 20, "click": 2, "purchase": 50}
 
 
 def emb(spark: SparkSession, sf: str) -> DataFrame:
