@@ -151,3 +151,36 @@ def learning_curve(make: Callable[[], object], data: DataFrame, id_col: str, fra
                      float(np.std(cv_scores)), float(np.mean(fit_times))))
     return spark.createDataFrame(rows, "train_size int, train_f1_mean double, train_f1_std double, "
                                        "cv_f1_mean double, cv_f1_std double, fit_seconds double")
+
+
+def knn_grid_search_cv(df: DataFrame, id_col: str, vec: str, label: str, fold_col: str, ks: Sequence[int]) -> DataFrame:
+    """Exact k-fold CV accuracy of the kNN vote for every ``k`` in ``ks``.
+
+    One exact kNN join per fold at ``max(ks)``; the vote for each smaller k is
+    read off the same ranked neighbour lists (ties -> lowest label).  Output
+    ``(k, mean_accuracy, best)`` with the first k winning ties.
+    """
+    from .neighbors import knn_join
+
+    kmax = max(ks)
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())   # k folds: model-sized
+    per_fold = []
+    for f in folds:
+        qy = df.where(F.col(fold_col) == f).select(F.col(id_col).alias("qid"), F.col(vec).alias("vec"),
+                                                   F.col(label).alias("truth"))
+        base = df.where(F.col(fold_col) != f).select(F.col(id_col).alias("bid"), F.col(vec).alias("vec"),
+                                                     F.col(label).alias("nl"))
+        nb = knn_join(qy.select("qid", "vec"), base.select("bid", "vec"), kmax).join(base.select("bid", "nl"), "bid")
+        fan = nb.select("qid", "rank", "nl", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")).where(
+            F.col("rank") <= F.col("k"))
+        votes = fan.groupBy("k", "qid", "nl").agg(F.count(F.lit(1)).alias("n"))
+        pred = votes.groupBy("k", "qid").agg(F.max_by("nl", F.struct("n", (-F.col("nl")).alias("_l"))).alias("pred"))
+        acc = pred.join(qy.select("qid", "truth"), "qid").groupBy("k").agg(
+            F.avg((F.col("pred") == F.col("truth")).cast("double")).alias("acc"))
+        per_fold.append(acc.withColumn("fold", F.lit(f)))
+    allf = per_fold[0]
+    for a in per_fold[1:]:
+        allf = allf.unionByName(a)
+    res = allf.groupBy("k").agg(F.avg("acc").alias("mean_accuracy"))
+    best = res.agg(F.min_by("k", F.struct((-F.col("mean_accuracy")).alias("a"), F.col("k"))).alias("bk")).first()["bk"]
+    return res.withColumn("best", F.col("k") == F.lit(best))

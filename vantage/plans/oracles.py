@@ -502,3 +502,20 @@ SQL["rca_gaussian"] = (
     + f") / sqrt({Q.RCA_K}.0) AS r FROM range(64) a(i), range({Q.RCA_K}) b(j)), "
     "pj AS (SELECT emb.vec_id, gm.j, sum(emb.v[gm.i + 1] * gm.r) AS value FROM emb, gm GROUP BY emb.vec_id, gm.j) "
     "SELECT vec_id, j::INTEGER AS component, round(value, 6) AS value FROM pj")
+
+SQL["grid_search_cv_knn"] = (
+    f"WITH {EMB}, f AS (SELECT vec_id, v, y, (row_number() OVER (PARTITION BY y ORDER BY "
+    f"{H(chr(39) + '0:' + chr(39) + ' || vec_id')}, vec_id) - 1) % 5 AS fold FROM emb), "
+    "dd AS (SELECT a.vec_id AS qid, a.y AS truth, a.fold, b.vec_id AS bid, b.y AS nl, "
+    "sqrt(list_reduce(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, q: p + q)) AS d "
+    "FROM f a JOIN f b ON a.fold <> b.fold), "
+    "rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, bid) AS rank FROM dd), "
+    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in Q.KNN_GRID) + "]) AS k), "
+    "vt AS (SELECT ks.k, qid, any_value(truth) AS truth, any_value(fold) AS fold, nl, count(*) AS n "
+    "FROM rk JOIN ks ON rk.rank <= ks.k GROUP BY ks.k, qid, nl), "
+    "pr AS (SELECT k, qid, truth, fold, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY k, qid "
+    "ORDER BY n DESC, nl) AS rn FROM vt) WHERE rn = 1), "
+    "fa AS (SELECT k, fold, avg((pred = truth)::INTEGER::DOUBLE) AS acc FROM pr GROUP BY k, fold), "
+    "ma AS (SELECT k, avg(acc) AS mean_accuracy FROM fa GROUP BY k), "
+    "bk AS (SELECT k FROM ma ORDER BY mean_accuracy DESC, k LIMIT 1) "
+    "SELECT ma.k, round(ma.mean_accuracy, 6) AS mean_accuracy, ma.k = (SELECT k FROM bk) AS best FROM ma")

@@ -1137,3 +1137,14 @@ def _cluster_then_classify(spark, sf):
     f = S.split_random(f, "vec_id", FX.TEST_PCT)
     f1, secs = _mlp_f1(f, "vx", 64 + len(oh))
     return spark.createDataFrame([("clusters+full", f1, secs)], "features string, f1 double, fit_seconds double")
+
+
+KNN_GRID = [1, 3, 5, 7, 9]
+
+
+@q("grid_search_cv_knn")
+def _grid_search_cv_knn(spark, sf):
+    """Exact kNN variant of the grid search: stratified 5-fold CV over k."""
+    e = S.kfold_assign(FX.emb(spark, sf), "vec_id", 5, label_col="y")
+    r = CL.knn_grid_search_cv(e, "vec_id", "vec", "y", "fold", KNN_GRID)
+    return r.select("k", r6(F.col("mean_accuracy")).alias("mean_accuracy"), "best")
