@@ -171,10 +171,7 @@ def knn_grid_search_cv(df: DataFrame, id_col: str, vec: str, label: str, fold_co
         base = df.where(F.col(fold_col) != f).select(F.col(id_col).alias("bid"), F.col(vec).alias("vec"),
                                                      F.col(label).alias("nl"))
         nb = knn_join(qy.select("qid", "vec"), base.select("bid", "vec"), kmax).join(base.select("bid", "nl"), "bid")
-        fan = nb.select("qid", "rank", "nl", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")).where(
-            F.col("rank") <= F.col("k"))
-        votes = fan.groupBy("k", "qid", "nl").agg(F.count(F.lit(1)).alias("n"))
-        pred = votes.groupBy("k", "qid").agg(F.max_by("nl", F.struct("n", (-F.col("nl")).alias("_l"))).alias("pred"))
+        pred = knn_votes_by_k(nb, ks)
         acc = pred.join(qy.select("qid", "truth"), "qid").groupBy("k").agg(
             F.avg((F.col("pred") == F.col("truth")).cast("double")).alias("acc"))
         per_fold.append(acc.withColumn("fold", F.lit(f)))
@@ -184,3 +181,42 @@ def knn_grid_search_cv(df: DataFrame, id_col: str, vec: str, label: str, fold_co
     res = allf.groupBy("k").agg(F.avg("acc").alias("mean_accuracy"))
     best = res.agg(F.min_by("k", F.struct((-F.col("mean_accuracy")).alias("a"), F.col("k"))).alias("bk")).first()["bk"]
     return res.withColumn("best", F.col("k") == F.lit(best))
+
+
+def knn_votes_by_k(nb: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """Majority label among the first ``k`` ranked neighbours for every ``k`` in ``ks``.
+
+    ``nb`` holds ``(qid, rank, nl)`` (neighbour label).  Each neighbour row fans
+    out to the k values it counts for (bounded by ``len(ks)``); ties go to the
+    lowest label.  Output ``(k, qid, pred)``.
+    """
+    fan = nb.select("qid", "rank", "nl", F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k")).where(
+        F.col("rank") <= F.col("k"))
+    votes = fan.groupBy("k", "qid", "nl").agg(F.count(F.lit(1)).alias("n"))
+    return votes.groupBy("k", "qid").agg(F.max_by("nl", F.struct("n", (-F.col("nl")).alias("_l"))).alias("pred"))
+
+
+def knn_complexity_curve(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str,
+                         ks: Sequence[int]) -> DataFrame:
+    """F1 (positive = 1) of the kNN vote on the train and the test rows for every ``k``; base = train rows.
+
+    One exact kNN join per split at ``max(ks)``.  Output ``(k, split, f1)``.
+    """
+    from .neighbors import knn_join
+
+    kmax = max(ks)
+    base = train.select(F.col(id_col).alias("bid"), F.col(vec).alias("vec"), F.col(label).alias("nl"))
+    out = None
+    for split, frame in (("train", train), ("test", test)):
+        qy = frame.select(F.col(id_col).alias("qid"), F.col(vec).alias("vec"), F.col(label).alias("truth"))
+        nb = knn_join(qy.select("qid", "vec"), base.select("bid", "vec"), kmax).join(base.select("bid", "nl"), "bid")
+        pred = knn_votes_by_k(nb, ks).join(qy.select("qid", "truth"), "qid")
+        t, p = F.col("truth") == 1, F.col("pred") == 1
+        f1 = pred.groupBy("k").agg(
+            F.sum((t & p).cast("bigint")).alias("tp"), F.sum((~t & p).cast("bigint")).alias("fp"),
+            F.sum((t & ~p).cast("bigint")).alias("fn")).select(
+            "k", F.lit(split).alias("split"),
+            F.coalesce(F.try_divide((2 * F.col("tp")).cast("double"),
+                                    (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")), F.lit(0.0)).alias("f1"))
+        out = f1 if out is None else out.unionByName(f1)
+    return out

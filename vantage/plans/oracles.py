@@ -519,3 +519,20 @@ SQL["grid_search_cv_knn"] = (
     "ma AS (SELECT k, avg(acc) AS mean_accuracy FROM fa GROUP BY k), "
     "bk AS (SELECT k FROM ma ORDER BY mean_accuracy DESC, k LIMIT 1) "
     "SELECT ma.k, round(ma.mean_accuracy, 6) AS mean_accuracy, ma.k = (SELECT k FROM bk) AS best FROM ma")
+
+SQL["complexity_curve_knn"] = (
+    f"WITH {EMB}, es AS (SELECT *, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {FX.TEST_PCT} "
+    "THEN 'test' ELSE 'train' END AS split FROM emb), "
+    "bb AS (SELECT vec_id AS bid, v, y AS nl FROM es WHERE split = 'train'), "
+    "dd AS (SELECT q.split, q.vec_id AS qid, q.y AS truth, bb.bid, bb.nl, "
+    "sqrt(list_reduce(list_transform(list_zip(q.v, bb.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, r: p + r)) AS d "
+    "FROM es q, bb), "
+    "rk AS (SELECT *, row_number() OVER (PARTITION BY split, qid ORDER BY d, bid) AS rank FROM dd), "
+    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in Q.KNN_CURVE) + "]) AS k), "
+    "vt AS (SELECT ks.k, split, qid, any_value(truth) AS truth, nl, count(*) AS n FROM rk JOIN ks ON rk.rank <= ks.k "
+    "GROUP BY ks.k, split, qid, nl), "
+    "pr AS (SELECT k, split, qid, truth, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY k, split, qid "
+    "ORDER BY n DESC, nl) AS rn FROM vt) WHERE rn = 1), "
+    "cn AS (SELECT k, split, sum((truth = 1 AND pred = 1)::INTEGER) AS tp, sum((truth <> 1 AND pred = 1)::INTEGER) AS fp, "
+    "sum((truth = 1 AND pred <> 1)::INTEGER) AS fn FROM pr GROUP BY k, split) "
+    "SELECT k, split, round(coalesce(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM cn")

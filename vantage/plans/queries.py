@@ -1148,3 +1148,15 @@ def _grid_search_cv_knn(spark, sf):
     e = S.kfold_assign(FX.emb(spark, sf), "vec_id", 5, label_col="y")
     r = CL.knn_grid_search_cv(e, "vec_id", "vec", "y", "fold", KNN_GRID)
     return r.select("k", r6(F.col("mean_accuracy")).alias("mean_accuracy"), "best")
+
+
+KNN_CURVE = sorted({int(v) for v in _np.linspace(1, 250, 25)})   # floor(linspace(1, 250, 25))
+
+
+@q("complexity_curve_knn")
+def _complexity_curve_knn(spark, sf):
+    """Exact kNN variant of the complexity curve: train / test F1 for each k."""
+    e = FX.emb_split(spark, sf)
+    r = CL.knn_complexity_curve(e.where(F.col("split") == "train"), e.where(F.col("split") == "test"),
+                                "vec_id", "vec", "y", KNN_CURVE)
+    return r.select("k", "split", r6(F.col("f1")).alias("f1"))
