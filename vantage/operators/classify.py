@@ -220,3 +220,49 @@ def knn_complexity_curve(train: DataFrame, test: DataFrame, id_col: str, vec: st
                                     (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")), F.lit(0.0)).alias("f1"))
         out = f1 if out is None else out.unionByName(f1)
     return out
+
+
+def knn_learning_curve(data: DataFrame, id_col: str, vec: str, label: str, fractions: Sequence[float],
+                       k: int = 5, folds: int = 3, seed: int = 0) -> DataFrame:
+    """Exact kNN learning curve: train / CV F1 (mean, population std) per training size.
+
+    Folds are assigned on the source rows (stratified); each size is an
+    exact-size hashed bootstrap draw; the CV side scores the source rows of the
+    held-out fold, the train side scores every draw of the training sample.
+    """
+    from .neighbors import knn_join
+    from .sampling import bootstrap_sample, kfold_assign
+
+    src = kfold_assign(data.select(id_col, vec, label), id_col, folds, label_col=label, seed=seed).persist()
+    n = src.count()
+    out = []
+    for frac in fractions:
+        size = max(2, int(n * frac))
+        sample = bootstrap_sample(src, id_col, size=size, seed=seed + 1).persist()
+        for f in range(folds):
+            tr = sample.where(F.col("fold") != f).select(F.col("draw").alias("bid"), F.col(vec).alias("vec"),
+                                                         F.col(label).alias("nl"))
+            # both sides in one join: train draws get even query ids, held-out source rows odd ones
+            qy = tr.select((F.col("bid") * 2).alias("qid"), "vec", F.col("nl").alias("truth"),
+                           F.lit("train").alias("side")).unionByName(
+                src.where(F.col("fold") == f).select((F.col(id_col) * 2 + 1).alias("qid"), F.col(vec).alias("vec"),
+                                                     F.col(label).alias("truth"), F.lit("cv").alias("side")))
+            nb = knn_join(qy.select("qid", "vec"), tr.select("bid", "vec"), k).join(tr.select("bid", "nl"), "bid")
+            pred = knn_votes_by_k(nb, [k]).join(qy.select("qid", "truth", "side"), "qid")
+            t, p = F.col("truth") == 1, F.col("pred") == 1
+            out.append(pred.groupBy("side").agg(
+                F.sum((t & p).cast("bigint")).alias("tp"), F.sum((~t & p).cast("bigint")).alias("fp"),
+                F.sum((t & ~p).cast("bigint")).alias("fn")).select(
+                F.lit(size).alias("train_size"), F.lit(f).alias("fold"), "side",
+                F.coalesce(F.try_divide((2 * F.col("tp")).cast("double"),
+                                        (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")),
+                           F.lit(0.0)).alias("f1")))
+    allf = out[0]
+    for o in out[1:]:
+        allf = allf.unionByName(o)
+    g = allf.groupBy("train_size", "side").agg(F.avg("f1").alias("m"), F.stddev_pop("f1").alias("s"))
+    return g.groupBy("train_size").agg(
+        F.max(F.when(F.col("side") == "train", F.col("m"))).alias("train_f1_mean"),
+        F.max(F.when(F.col("side") == "train", F.col("s"))).alias("train_f1_std"),
+        F.max(F.when(F.col("side") == "cv", F.col("m"))).alias("cv_f1_mean"),
+        F.max(F.when(F.col("side") == "cv", F.col("s"))).alias("cv_f1_std"))

@@ -536,3 +536,35 @@ SQL["complexity_curve_knn"] = (
     "cn AS (SELECT k, split, sum((truth = 1 AND pred = 1)::INTEGER) AS tp, sum((truth <> 1 AND pred = 1)::INTEGER) AS fp, "
     "sum((truth = 1 AND pred <> 1)::INTEGER) AS fn FROM pr GROUP BY k, split) "
     "SELECT k, split, round(coalesce(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM cn")
+
+SQL["learning_curve_knn"] = (
+    f"WITH {EMB}, src AS (SELECT vec_id, v, y, (row_number() OVER (PARTITION BY y ORDER BY "
+    f"{H(chr(39) + '0:' + chr(39) + ' || vec_id')}, vec_id) - 1) % 3 AS fold FROM emb), "
+    "nn AS (SELECT count(*) AS n FROM src), "
+    "pos AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM src), "
+    "sz AS (SELECT greatest(2, floor(n * fr))::BIGINT AS size FROM nn, (VALUES "
+    + ", ".join(f"({fr})" for fr in Q.LC_FRACTIONS) + ") t(fr)), "
+    "dr AS (SELECT size, unnest(range(size)) AS j FROM sz), "
+    f"smp AS (SELECT dr.size, dr.j AS draw, p.vec_id, p.v, p.y, p.fold FROM dr CROSS JOIN nn "
+    f"JOIN pos p ON p.pos = {H(chr(39) + '1:' + chr(39) + ' || dr.j')} % nn.n), "
+    "fl AS (SELECT unnest([0, 1, 2]) AS f), "
+    "trs AS (SELECT smp.size, fl.f, smp.draw AS bid, smp.v, smp.y AS nl FROM smp, fl WHERE smp.fold <> fl.f), "
+    "qs AS (SELECT size, f, 'train' AS side, bid AS qid, v, nl AS truth FROM trs UNION ALL "
+    "SELECT sz.size, fl.f, 'cv' AS side, src.vec_id AS qid, src.v, src.y AS truth FROM sz, fl, src WHERE src.fold = fl.f), "
+    "dd AS (SELECT qs.size, qs.f, qs.side, qs.qid, qs.truth, trs.bid, trs.nl, "
+    "sqrt(list_reduce(list_transform(list_zip(qs.v, trs.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, r: p + r)) AS d "
+    "FROM qs JOIN trs ON qs.size = trs.size AND qs.f = trs.f), "
+    "rk AS (SELECT *, row_number() OVER (PARTITION BY size, f, side, qid ORDER BY d, bid) AS rank FROM dd), "
+    f"vt AS (SELECT size, f, side, qid, any_value(truth) AS truth, nl, count(*) AS n FROM rk WHERE rank <= {FX.KNN_K} "
+    "GROUP BY size, f, side, qid, nl), "
+    "pr AS (SELECT size, f, side, qid, truth, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY size, f, side, qid "
+    "ORDER BY n DESC, nl) AS rn FROM vt) WHERE rn = 1), "
+    "cn AS (SELECT size, f, side, sum((truth = 1 AND pred = 1)::INTEGER) AS tp, sum((truth <> 1 AND pred = 1)::INTEGER) AS fp, "
+    "sum((truth = 1 AND pred <> 1)::INTEGER) AS fn FROM pr GROUP BY size, f, side), "
+    "fs AS (SELECT size, side, coalesce(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM cn), "
+    "ag AS (SELECT size, side, avg(f1) AS m, stddev_pop(f1) AS s FROM fs GROUP BY size, side) "
+    "SELECT size::INTEGER AS train_size, "
+    "round(max(CASE WHEN side = 'train' THEN m END), 6) AS train_f1_mean, "
+    "round(max(CASE WHEN side = 'train' THEN s END), 6) AS train_f1_std, "
+    "round(max(CASE WHEN side = 'cv' THEN m END), 6) AS cv_f1_mean, "
+    "round(max(CASE WHEN side = 'cv' THEN s END), 6) AS cv_f1_std FROM ag GROUP BY size")

@@ -1160,3 +1160,14 @@ def _complexity_curve_knn(spark, sf):
     r = CL.knn_complexity_curve(e.where(F.col("split") == "train"), e.where(F.col("split") == "test"),
                                 "vec_id", "vec", "y", KNN_CURVE)
     return r.select("k", "split", r6(F.col("f1")).alias("f1"))
+
+
+LC_FRACTIONS = [0.25, 0.5, 1.0]
+
+
+@q("learning_curve_knn")
+def _learning_curve_knn(spark, sf):
+    """Exact kNN variant of the learning curve (k = 5, 3 stratified folds on the source rows)."""
+    r = CL.knn_learning_curve(FX.emb(spark, sf), "vec_id", "vec", "y", LC_FRACTIONS, k=FX.KNN_K, folds=3)
+    return r.select("train_size", *[r6(F.col(c)).alias(c) for c in
+                                    ("train_f1_mean", "train_f1_std", "cv_f1_mean", "cv_f1_std")])
