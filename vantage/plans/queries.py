@@ -8,15 +8,23 @@ from __future__ import annotations
 
 from typing import Callable
 
+import numpy as _np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_unit
+from ..operators import classify as CL
+from ..operators import clustering as CU
 from ..operators import metrics as M
 from ..operators import neighbors as NB
+from ..operators import planning as PL
 from ..operators import prep as P
 from ..operators import profile as PR
+from ..operators import projection as PJ
 from ..operators import sampling as S
+from ..operators import search as SE
+from ..operators import sequences as SQ
+from ..operators.ordering import ordinal
 from ..session import cut_lineage, shared_path, table
 from ..sources import io as IO
 from . import fixtures as FX
@@ -631,10 +639,6 @@ def flagship(spark, sf):
 
 # ---------------------------------------------------------------- 2.11 sequences
 
-from ..operators import sequences as SQ  # noqa: E402
-from ..operators import planning as PL  # noqa: E402
-from ..operators import search as SE  # noqa: E402
-from ..operators.ordering import ordinal  # noqa: E402
 
 RUN_T = 2
 
@@ -824,11 +828,6 @@ def _search_genetic(spark, sf):
 
 # ---------------------------------------------------------------- 2.9 / 2.10 estimators
 
-import numpy as _np  # noqa: E402
-
-from ..operators import classify as CL  # noqa: E402
-from ..operators import clustering as CU  # noqa: E402
-from ..operators import projection as PJ  # noqa: E402
 
 MLP_HIDDEN = 16
 RCA_K = 8
