@@ -48,3 +48,19 @@ def test_knn_matches_brute_force_on_duplicate_heavy_points(spark, pts, k):
         order = sorted((math.dist(v, w), j) for j, w in data)[:k]
         for rank, (_, j) in enumerate(order, start=1):
             assert got[(i, rank)] == j
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 10 ** 6), min_size=1, max_size=250, unique=True), st.integers(1, 400))
+def test_split_ordered_and_bootstrap_sizes(spark, ids, size):
+    from vantage.operators.sampling import bootstrap_sample, split_ordered
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    parts = {r["id"]: r["split"] for r in split_ordered(df, "id").collect()}
+    order = sorted(ids)
+    n = len(order)
+    b1, b2 = int(n * 0.6 + 1e-9), int(n * (0.6 + 0.2) + 1e-9)
+    want = {i: ("train" if p < b1 else "validation" if p < b2 else "test") for p, i in enumerate(order)}
+    assert parts == want
+    draws = bootstrap_sample(df, "id", size=size, seed=3).collect()
+    assert len(draws) == size and sorted(r["draw"] for r in draws) == list(range(size))
+    assert {r["id"] for r in draws} <= set(ids)
