@@ -10,11 +10,14 @@ agree on about ``threshold * coords`` coordinates; pairs with fewer than
 No list of links is ever expanded:
 
 * documents with equal sets are one class before anything is posted;
-* star rounds compare each member of a posting list with one hub only; members
-  already in the hub's component are done;
+* a set whose shingles are to more than the tolerated share its own (no other posted set
+  has them) can link with nobody and leaves the lists; the same bound is held against pairs;
+* star rounds compare each member of a posting list with one hub only, the member with the
+  fewest shingles of its own; members already in the hub's component are done;
 * what is left are lists that hold several components: there every member outside
   the list's largest component meets the other components' members, so each
-  cross-component pair that shares a prefix pair is judged, and none within one.
+  cross-component pair that shares a prefix pair and can reach the threshold is judged,
+  and none within one.
 
 Defined results: null or empty texts have no set and link with nothing; equal
 sets link (also texts shorter than five words, which are one shingle as a
@@ -29,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbuf as T
@@ -170,6 +173,21 @@ def _verified(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, need: int, thr
                  .select("u", "v"), "near-links")
 
 
+def _reach(sets: DataFrame, threshold: int) -> DataFrame:
+    """node, size, common (shingles that some other set of the table has too) and own share of the sets that
+    can still reach the threshold with anyone.
+
+    All partners a set can have are in the table, so a set with too many shingles of its own links with nobody.
+    """
+    lone = sets.select("node", F.explode("members").alias("s")).groupBy("s") \
+        .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1") \
+        .groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sized = sets.select("node", F.size("members").cast("long").alias("size"))
+    return sized.join(lone, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))) \
+        .select("node", "size", (F.col("size") - F.col("own")).alias("common"), (F.col("own") / F.col("size")).alias("own")) \
+        .where(100 * F.col("common") >= threshold * F.col("size"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                     threshold: int = THRESHOLD, coords: int = COORDS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
@@ -190,12 +208,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("node", F.col("t.token").alias("token"))
     posts = stage(posted, "near-posts")
     lists = posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    posts = stage(posts.join(lists.select("token"), "token")
-                  .join(big.select("node", "n_shingles"), "node"), "near-lists")
+    posts = posts.join(lists.select("token"), "token")
     nodes = stage(posts.select("node").distinct(), "near-nodes")
     sigs = stage(big.select("node", "sig").join(nodes, "node"), "near-sigs")
     sets = stage(full_sets(docs, nodes, id_col, text_col, k), "near-sets")
-    close = F.expr(f"100 * least(n_shingles, n_other) >= {threshold} * greatest(n_shingles, n_other)")
+    posts = stage(posts.join(_reach(sets, threshold), "node"), "near-lists")
+    # the two can reach the threshold even if they share all that either shares with anyone
+    common = "least(common, common2)"
+    close = F.expr(f"100 * {common} >= {threshold} * (size + size2 - {common})")
+    mate = [F.col(f"hub.{c}").alias(f"{c}2") for c in ("node", "size", "common")]
 
     links = None
     labels = None
@@ -206,23 +227,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             at = posts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             open_lists = at.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
             at = stage(at.join(open_lists.select("token"), "token"), "near-open")
-        members = at.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "n_shingles")).alias("hub"))
-        main = members.groupBy("token").agg(
-            F.max_by(F.struct(F.col("label").alias("main"), F.col("hub")), F.struct("n", F.col("hub.node"))).alias("m")
-        ).select("token", "m.main", F.col("m.hub.node").alias("hub"), F.col("m.hub.n_shingles").alias("n_other")) \
-            if labels is not None else members.groupBy("token").agg(F.min("hub").alias("m")).select(
-                "token", F.col("m.node").alias("main"), F.col("m.node").alias("hub"), F.col("m.n_shingles").alias("n_other"))
+        # a list's hub is the member with the fewest shingles of its own, of the list's largest component
+        members = at.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("own", "node", "size", "common")).alias("hub"))
+        best = F.max_by(F.struct(F.col("label").alias("main"), "hub"), F.struct("n", -F.col("hub.own"), -F.col("hub.node")))
+        main = members.groupBy("token").agg(best.alias("m")).select("token", "m.main", "m.hub").select("token", "main", *mate)
         outside = at.join(main, "token").where("label <> main")
         if turn < star_rounds:
             # one hub a member: the one it shares most lists with
-            pairs = outside.where(close).groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n")) \
-                .groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")) \
-                .select(F.col("node").alias("u"), F.col("hub").alias("v"))
+            pairs = outside.where(close).groupBy("node", "node2").agg(F.count(F.lit(1)).alias("n")) \
+                .groupBy("node").agg(F.max_by("node2", F.struct("n", "node2")).alias("node2")) \
+                .select(F.col("node").alias("u"), F.col("node2").alias("v"))
         else:
-            other = at.select("token", F.col("node").alias("other"), F.col("label").alias("l2"),
-                              F.col("n_shingles").alias("n_other"))
-            pairs = outside.drop("n_other", "hub", "main").join(other, "token").where(F.col("label") != F.col("l2")).where(close) \
-                .select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
+            others = at.select("token", F.col("node").alias("node2"), F.col("label").alias("label2"),
+                               F.col("size").alias("size2"), F.col("common").alias("common2"))
+            pairs = outside.drop("node2", "size2", "common2", "main").join(others, "token").where(F.col("label") != F.col("label2")) \
+                .where(close).select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v")).distinct()
         found = _verified(pairs, sigs, sets, need, threshold)
         links = found if links is None else links.unionByName(found)
         labels = components(links)

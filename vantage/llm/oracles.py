@@ -25,3 +25,19 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c.c, d.doc_id)
        d.doc_id = coalesce(c.c, d.doc_id) as kept
 from documents d left join n using (doc_id) left join comp c using (doc_id)
 """
+
+SQL["op8_fm_index_dedup"] = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+win as (
+  select doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) as h
+  from (select doc_id, ws, unnest(range(1, len(ws) - 33)) as i from w where len(ws) >= 35)),
+rep as (select doc_id, i from win where h in (select h from win group by h having count(*) > 1)),
+cut as (select distinct doc_id, unnest(range(i, i + 35)) as j from rep),
+word as (select doc_id, unnest(range(1, len(ws) + 1)) as j, unnest(ws) as x from w),
+kept as (
+  select word.doc_id, string_agg(x, ' ' order by word.j) as t, count(*) as n
+  from word left join cut on cut.doc_id = word.doc_id and cut.j = word.j where cut.j is null group by word.doc_id)
+select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(kept.n, 0))::bigint as n_removed,
+       sha256(coalesce(kept.t, '')) as kept_sha256
+from w left join kept using (doc_id)
+"""

@@ -29,3 +29,59 @@ def _quality(spark, sf):
 def _near(spark, sf):
     from .neardup import near_duplicates
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@q("op8_fm_index_dedup")
+def _substring(spark, sf):
+    from .substring import remove_repeats
+    return remove_repeats(table(spark, sf, "documents"), with_text=False)
+
+
+@q("op4_best_fit_packing")
+def _pack(spark, sf):
+    from .packing import pack
+    return pack(table(spark, sf, "documents"))
+
+
+@q("op2_cube_mixing")
+def _mix(spark, sf):
+    from .mixing import mix_sources
+    return mix_sources(table(spark, sf, "documents")).drop("copies", "uid", "k")
+
+
+@q("op6_language_id")
+def _lang(spark, sf):
+    from .langid import identify_language
+    return identify_language(table(spark, sf, "documents"))
+
+
+@q("op1_pii")
+def _pii(spark, sf):
+    from . import pii
+    s = F.col("spans")
+
+    def of(*kinds):
+        return F.filter(s, lambda x: x["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    base = pii.digest(of(*pii.BASE))
+    return pii.find_pii(table(spark, sf, "documents")).select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.digest(s).alias("spans"))
+
+
+@q("op3_hnsw_search")
+def _ann(spark, sf):
+    from .hnsw import nearest
+    return nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@q("op7_html_text")
+def _html(spark, sf):
+    from .html import extract_text
+    return extract_text(table(spark, sf, "pages"))
+
+
+@q("op5_edit_aware_counts")
+def _counts(spark, sf):
+    from .tokencount import edited_counts, revision
+    got = edited_counts(table(spark, sf, "documents"), revision())
+    return got.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
