@@ -1,16 +1,6 @@
-"""Session helpers: size-checked broadcast, scale sizing, shared checkpoint folder."""
+"""Session helpers: scale sizing, shared checkpoint folder."""
 
-from vantage.session import broadcast_if_small, checkpoint_root, shared_path, tune_for_scale
-
-
-def _has_broadcast_hint(df):
-    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_broadcast_only_under_the_row_limit(spark):
-    small = spark.range(10)
-    assert _has_broadcast_hint(broadcast_if_small(small, max_rows=100))
-    assert not _has_broadcast_hint(broadcast_if_small(small, max_rows=5))
+from vantage.session import checkpoint_root, shared_path, tune_for_scale
 
 
 def test_tune_for_scale_sizes_partitions(spark):

@@ -28,6 +28,11 @@ def hash32(*parts) -> Column:
     return F.conv(F.substring(F.md5(_key(*parts)), 1, 8), 16, 10).cast("bigint")
 
 
+def hash60(*parts) -> Column:
+    """Unsigned 60-bit hash (15 hex digits): for draws of positions in tables of any size."""
+    return F.conv(F.substring(F.md5(_key(*parts)), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_unit(*parts) -> Column:
     """Uniform draw in [0, 1)."""
     return hash32(*parts) / F.lit(TWO32)

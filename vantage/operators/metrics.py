@@ -12,8 +12,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -24,9 +22,14 @@ def _div0(a: Column, b: Column) -> Column:
 
 
 def binary_counts(df: DataFrame, y, yhat, positive=1) -> DataFrame:
-    """One row ``tp, fp, tn, fn, n`` (positive class = ``positive``)."""
-    yt, yp = _c(y) == positive, _c(yhat) == positive
-    return df.agg(
+    """One row ``tp, fp, tn, fn, n`` (positive class = ``positive``).
+
+    A row without a truth is not scored; a row without a prediction is a miss
+    (``fn`` or ``fp``), so the four cells always add up to ``n``.
+    """
+    yt = _c(y) == positive
+    yp = F.coalesce(_c(yhat) == positive, ~yt)
+    return df.where(_c(y).isNotNull()).agg(
         F.sum((yt & yp).cast("bigint")).alias("tp"), F.sum((~yt & yp).cast("bigint")).alias("fp"),
         F.sum((~yt & ~yp).cast("bigint")).alias("tn"), F.sum((yt & ~yp).cast("bigint")).alias("fn"),
         F.count(F.lit(1)).alias("n"),
@@ -101,17 +104,21 @@ def cluster_mode_vote(df: DataFrame, cluster: str, y: str, id_col: str, out: str
     votes = df.groupBy(cluster, y).agg(F.count(F.lit(1)).alias("_n"), F.min(id_col).alias("_first"))
     win = votes.groupBy(cluster).agg(
         F.max_by(F.col(y), F.struct(F.col("_n"), (-F.col("_first")).alias("_f"))).alias(out))
-    # one row per cluster: broadcast after a size check (a hot cluster then never meets a shuffle)
-    return df.join(broadcast_if_small(win), cluster, "left")
+    # one row per cluster: the planner broadcasts it where its measured size allows, else splits a hot cluster
+    win = win.withColumnRenamed(cluster, "_k")
+    return df.join(win, F.col(cluster).eqNullSafe(F.col("_k")), "left").drop("_k")
 
 
 def homogeneity(df: DataFrame, cluster: str, y: str) -> DataFrame:
-    """``1 - H(C|K) / H(C)`` from the contingency table (1.0 when ``H(C) = 0``)."""
+    """``1 - H(C|K) / H(C)`` from the contingency table (1.0 when ``H(C) = 0``).
+
+    A null cluster or label is a level of its own (window totals group nulls together).
+    """
     cont = df.groupBy(cluster, y).agg(F.count(F.lit(1)).cast("double").alias("n_ck"))
-    nk = cont.groupBy(cluster).agg(F.sum("n_ck").alias("n_k"))
-    nc = cont.groupBy(y).agg(F.sum("n_ck").alias("n_c"))
+    cont = cont.withColumn("n_k", F.sum("n_ck").over(Window.partitionBy(cluster))) \
+        .withColumn("n_c", F.sum("n_ck").over(Window.partitionBy(y)))
     # sum_k n_ck = n_c, so N*H(C) = sum_ck -n_ck log n_c + N log N: one pass over the table
-    t = cont.join(nk, cluster).join(nc, y).agg(
+    t = cont.agg(
         F.sum(-F.col("n_ck") * F.log(F.col("n_ck") / F.col("n_k"))).alias("a"),
         F.sum(-F.col("n_ck") * F.log(F.col("n_c"))).alias("b"),
         F.sum("n_ck").alias("N"))
@@ -125,17 +132,18 @@ def entropy_gain(df: DataFrame, label: str, features: Sequence[str]) -> DataFram
     """Information gain (nats) of splitting ``label`` on each categorical feature.
 
     Features are unpivoted with ``stack``-like ``inline`` (fan-out bounded by the
-    feature count), then one aggregation over (feature, value, label).
+    feature count), then one aggregation over (feature, value, label).  Nulls are
+    a level of their own.
     """
     long = df.select(F.col(label).cast("string").alias("_y"), F.inline(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("_v")) for f in features])))
     cnt = long.groupBy("feature", "_v", "_y").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    nv = cnt.groupBy("feature", "_v").agg(F.sum("n").alias("n_v"))
-    ny = cnt.groupBy("feature", "_y").agg(F.sum("n").alias("n_y"))
-    cond = cnt.join(nv, ["feature", "_v"]).groupBy("feature").agg(
-        F.sum(-F.col("n") * F.log(F.col("n") / F.col("n_v"))).alias("hc"), F.sum("n").alias("N"))
-    base = ny.groupBy("feature").agg(F.sum(-F.col("n_y") * F.log(F.col("n_y"))).alias("b"), F.sum("n_y").alias("N2"))
-    res = cond.join(base, "feature")
+    cnt = cnt.withColumn("n_v", F.sum("n").over(Window.partitionBy("feature", "_v"))) \
+        .withColumn("n_y", F.sum("n").over(Window.partitionBy("feature", "_y")))
+    # sum over values of n = n_y, so sum -n log n_y = sum over labels of -n_y log n_y
+    res = cnt.groupBy("feature").agg(
+        F.sum(-F.col("n") * F.log(F.col("n") / F.col("n_v"))).alias("hc"), F.sum("n").alias("N"),
+        F.sum(-F.col("n") * F.log(F.col("n_y"))).alias("b"))
     h_y = F.log(F.col("N")) + F.col("b") / F.col("N")
     return res.select("feature", (h_y - F.col("hc") / F.col("N")).alias("gain"))
 
@@ -160,8 +168,17 @@ def run_average(df: DataFrame, keys: Sequence[str], run: str, fitness: str, seco
         F.count(F.lit(1)).alias("runs"))
 
 
-def run_average_wide(avg_df: DataFrame, key: str, algo: str, algos: Sequence[str]) -> DataFrame:
-    """One wide row per ``key`` holding every algorithm's mean fitness and seconds."""
+def run_average_wide(avg_df: DataFrame, key: str, algo: str, algos: Sequence[str] | None = None,
+                     max_algos: int = 1000) -> DataFrame:
+    """One wide row per ``key`` holding every algorithm's mean fitness and seconds.
+
+    The algorithms are those of the table unless given; more than ``max_algos`` columns is an error.
+    """
+    if algos is None:
+        found = avg_df.select(algo).where(F.col(algo).isNotNull()).distinct().limit(max_algos + 1).collect()
+        if len(found) > max_algos:
+            raise ValueError(f"more than {max_algos} algorithms in {algo}")
+        algos = sorted(r[0] for r in found)
     return avg_df.groupBy(key).pivot(algo, list(algos)).agg(
         F.first("mean_fitness").alias("fitness"), F.first("mean_seconds").alias("seconds"))
 
@@ -190,10 +207,11 @@ def kurtosis_abs_mean(df: DataFrame, cols: Sequence[Column]) -> DataFrame:
     """Bias-corrected excess kurtosis of each column (pandas ``kurt``), then the mean of |k|.
 
     Spark's ``kurtosis`` is the population form g2; the sample form is
-    ``(n-1)/((n-2)(n-3)) * ((n+1) g2 + 6)``.  All columns in one pass.
+    ``(n-1)/((n-2)(n-3)) * ((n+1) g2 + 6)``.  All columns in one pass.  Fewer than
+    four rows have no sample kurtosis: the result is null.
     """
     n = F.count(F.lit(1)).cast("double")
-    ks = [((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)) for c in cols]
+    ks = [F.when(n > 3, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)) for c in cols]
     row = df.agg(F.array(*ks).alias("k"))
     return row.select(
         F.aggregate(F.transform("k", lambda v: F.abs(v)), F.lit(0.0), lambda a, v: a + v) / F.size("k")

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut_lineage
+from ..session import cut_lineage
 
 _LOW33 = (1 << 33) - 1
 
@@ -55,13 +55,15 @@ def ordinal(
     )
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    if not group_cols:
-        # one row per task: size bounded by the partition count
-        stats = F.broadcast(stats)
-    else:
-        # at most (tasks + groups) rows: broadcast after a size check, else shuffle join
-        stats = broadcast_if_small(cut_lineage(stats))
-    res = tagged.join(stats, ["_pid", *group_cols])
+    # a null group is a group like any other: null-safe join (column names apart from the rows')
+    stats = stats.select(F.col("_pid").alias("_spid"), "_first", "_off",
+                         *[F.col(g).alias(f"_sg{i}") for i, g in enumerate(group_cols)])
+    on = F.col("_pid") == F.col("_spid")
+    for i, g in enumerate(group_cols):
+        on = on & F.col(g).eqNullSafe(F.col(f"_sg{i}"))
+    # without groups: one row per task, so its size is bounded by the partition count; with groups
+    # the planner broadcasts it only where its measured size is under the threshold
+    res = tagged.join(stats if group_cols else F.broadcast(stats), on)
     return res.select(*cols, (F.col("_off") + F.col("_loc") - F.col("_first")).alias(out))
 
 

@@ -37,9 +37,12 @@ def map_label(df: DataFrame, col: str, mapping: Mapping, out: str | None = None)
     return df.withColumn(out or col, expr)
 
 
-def levels(df: DataFrame, col: str) -> list:
-    """Observed levels of a categorical column (model-sized: one row per level)."""
-    return sorted(r[0] for r in df.select(col).distinct().where(F.col(col).isNotNull()).collect())
+def levels(df: DataFrame, col: str, max_levels: int = 10_000) -> list:
+    """Observed levels of a categorical column; more than ``max_levels`` is an error, not a cut."""
+    found = df.select(col).distinct().where(F.col(col).isNotNull()).limit(max_levels + 1).collect()
+    if len(found) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels: not a categorical column")
+    return sorted(r[0] for r in found)
 
 
 def one_hot(
@@ -48,14 +51,14 @@ def one_hot(
     """0/1 column per observed level (no level dropped), named ``<col>_<level>``.
 
     Level discovery is one ``distinct`` per column; pass ``level_map`` to reuse a
-    fitted encoding on new data (a row with an unseen level gets all zeros).
+    fitted encoding on new data (a row with an unseen level or a null gets all zeros).
     """
     out = df
     for c in cols:
         lv = list(level_map[c]) if level_map and c in level_map else levels(df, c)
         out = out.select(
             *out.columns,
-            *[(F.col(c) == F.lit(v)).cast("int").alias(f"{c}_{v}") for v in lv],
+            *[F.col(c).eqNullSafe(F.lit(v)).cast("int").alias(f"{c}_{v}") for v in lv],
         )
         if drop:
             out = out.drop(c)

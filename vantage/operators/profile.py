@@ -56,14 +56,15 @@ def profile_describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     if cats:
         # all categorical columns in one pass: unpivot to (column, level), count, then summarise per column
         long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_v"))
-                                             for c in cats]))).where(F.col("_v").isNotNull())
+                                             for c in cats])))
+        # the null level stays in the count table, so that an all-null column keeps its row
         counts = long.groupBy("column", "_v").agg(F.count(F.lit(1)).alias("n"))
         parts.append(counts.groupBy("column").agg(
-            F.sum("n").cast("bigint").alias("count"),
-            F.count(F.lit(1)).cast("bigint").alias("unique"),
+            F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("count"),
+            F.count("_v").cast("bigint").alias("unique"),
             # most frequent level, smallest level on ties
-            F.min_by("_v", F.struct((-F.col("n")).alias("a"), F.col("_v").alias("b"))).alias("top"),
-            F.max("n").cast("bigint").alias("freq"),
+            F.min_by("_v", F.when(F.col("_v").isNotNull(), F.struct((-F.col("n")).alias("a"), F.col("_v").alias("b")))).alias("top"),
+            F.max(F.when(F.col("_v").isNotNull(), F.col("n"))).cast("bigint").alias("freq"),
             *[F.lit(None).cast("double").alias(k) for k in ("mean", "std", "min", "q25", "q50", "q75", "max")],
         ))
     out = parts[0]

@@ -12,7 +12,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash32, hash_bucket
+from ..functions.hashing import hash32, hash60, hash_bucket
 from .ordering import ordinal
 
 
@@ -51,7 +51,7 @@ def split_ordered(
 def bootstrap_sample(df: DataFrame, id_col: str, size: int | None = None, seed: int = 0) -> DataFrame:
     """Exactly ``size`` draws with replacement (default: as many as rows).
 
-    Draw ``j`` picks position ``hash32(seed:j) % n``; rows are numbered with the
+    Draw ``j`` picks position ``hash60(seed:j) % n``; rows are numbered with the
     skew-safe ``ordinal`` on ``id_col`` and joined to the draw table on that
     position.  Output keeps every source column plus ``draw``.
     """
@@ -61,7 +61,7 @@ def bootstrap_sample(df: DataFrame, id_col: str, size: int | None = None, seed:
     if n == 0 or size == 0:
         return df.withColumn("draw", F.lit(None).cast("bigint")).limit(0)
     draws = spark.range(size).select(
-        F.col("id").alias("draw"), F.pmod(hash32(F.lit(str(seed)), F.col("id")), F.lit(n)).alias("_pos"))
+        F.col("id").alias("draw"), F.pmod(hash60(F.lit(str(seed)), F.col("id")), F.lit(n)).alias("_pos"))
     pos = ordinal(df, [id_col], out="_pos")
     return draws.join(pos, "_pos").drop("_pos")
 

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from .ordering import ordinal
 
 
@@ -46,10 +45,10 @@ def route_length(df: DataFrame, route: str, order_cols: Sequence[str], x: str, y
     """Total Euclidean length of each closed route (last stop back to the first)."""
     a = ordinal(df, order_cols, [route], out="_pos").select(route, "_pos", F.col(x).alias("_x"), F.col(y).alias("_y"))
     n = a.groupBy(route).agg(F.count(F.lit(1)).alias("n"))
-    # one row per route; a route holding a third of the stops must not meet a shuffle join
-    a = a.join(broadcast_if_small(n), route)
-    nxt = a.select(route, F.col("_pos").alias("_npos"), F.col("_x").alias("_nx"), F.col("_y").alias("_ny"))
-    legs = a.withColumn("_npos", F.pmod(F.col("_pos") + 1, F.col("n"))).join(nxt, [route, "_npos"])
+    # one row per route: broadcast where its measured size allows; a null route is a route like any other
+    a = a.join(n.withColumnRenamed(route, "_r"), F.col(route).eqNullSafe(F.col("_r"))).drop("_r")
+    nxt = a.select(F.col(route).alias("_r"), F.col("_pos").alias("_p"), F.col("_x").alias("_nx"), F.col("_y").alias("_ny"))
+    legs = a.join(nxt, (F.pmod(F.col("_pos") + 1, F.col("n")) == F.col("_p")) & F.col(route).eqNullSafe(F.col("_r")))
     return legs.groupBy(route).agg(F.first("n").alias("n"),
                                    F.sum(F.hypot(F.col("_nx") - F.col("_x"), F.col("_ny") - F.col("_y"))).alias("length"))
 
@@ -65,10 +64,11 @@ def pairwise_mutual_information(df: DataFrame, cols: Sequence[str]) -> DataFrame
         F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
         F.col(a).cast("string").alias("va"), F.col(b).cast("string").alias("vb")) for a, b in pairs])))
     j = long.groupBy("col_a", "col_b", "va", "vb").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    ma = j.groupBy("col_a", "col_b", "va").agg(F.sum("n").alias("na"))
-    mb = j.groupBy("col_a", "col_b", "vb").agg(F.sum("n").alias("nb"))
-    tot = j.groupBy("col_a", "col_b").agg(F.sum("n").alias("nn"))
-    t = j.join(ma, ["col_a", "col_b", "va"]).join(mb, ["col_a", "col_b", "vb"]).join(tot, ["col_a", "col_b"])
+    pair = ["col_a", "col_b"]
+    # window totals: a null level is a level like any other
+    t = j.withColumn("na", F.sum("n").over(Window.partitionBy(*pair, "va"))) \
+        .withColumn("nb", F.sum("n").over(Window.partitionBy(*pair, "vb"))) \
+        .withColumn("nn", F.sum("n").over(Window.partitionBy(*pair)))
     return t.groupBy("col_a", "col_b").agg(
         F.sum(F.col("n") / F.col("nn") * F.log(F.col("n") * F.col("nn") / (F.col("na") * F.col("nb")))).alias("mi"))
 

@@ -38,8 +38,9 @@ def build_session(cpus: int | str = "*", app: str = "vantage", shuffle_partition
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when nothing is configured (local tests) a folder under the
-    system temp directory is created and registered.
+    Only when nothing is configured and the session is local (tests) a folder
+    under the system temp directory is created and registered; on a cluster an
+    unset folder is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -47,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     conf = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="vantage-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -68,20 +71,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its size; otherwise leave the join to a shuffle.
-
-    Meant for aggregated lookup tables (one row per task, group or cluster) whose
-    size depends on the data; one cheap count decides.
-    """
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the input files (Hadoop FileSystem, works for any cluster file system)."""
     jvm = spark.sparkContext._jvm
