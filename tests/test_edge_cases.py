@@ -58,7 +58,7 @@ def test_knn_exact_vs_brute_force_with_duplicates(spark):
     pts += [[5.0, 5.0, 5.0]] * 60  # a third of the rows on one point
     b = spark.createDataFrame([(i, p) for i, p in enumerate(pts)], "bid long, vec array<double>")
     q = b.select(F.col("bid").alias("qid"), "vec")
-    got = {(r["qid"], r["bid"]) for r in NB.knn_join(q, b, 4, cell_size=8).collect()}
+    got = {(r["qid"], r["bid"]) for r in NB.knn_join(q, b, 4, least_chunk=8, q_block=3).collect()}
     want = set()
     for i, p in enumerate(pts):
         d = sorted((math.dist(p, x), j) for j, x in enumerate(pts))[:4]
@@ -103,33 +103,41 @@ def test_one_stop_route_has_zero_length(spark):
     assert SQ.route_length(df, "r", ["o"], "x", "y").first()["length"] == 0.0
 
 
-def _cells(spark, lines):
-    return PL.grid_to_cells(spark.createDataFrame(list(enumerate(lines)), "row long, line string"))
+def _random_log(spark, n=400, states=7, seed=3):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.randrange(5), f"s{rnd.randrange(states)}", rnd.randrange(3), float(rnd.randrange(10))) for i in range(n)]
+    df = spark.createDataFrame(rows, "t long, u long, s string, a int, r double")
+    return PL.next_in_group(df, "u", ["t"], "s", "s2")
 
 
-def test_unreachable_goal(spark):
-    cells = _cells(spark, ["X1G", "111", "000"])
-    t = PL.transition_table(cells, 3)
-    reach = {r["s"] for r in PL.reachable_states(t, 0 + 2 * 3).collect()}
-    assert reach == {6}
+def test_text_to_cells(spark):
+    df = spark.createDataFrame([(2, "ab"), (1, "c"), (3, None), (4, "")], "k long, line string")
+    got = {(r["x"], r["y"], r["kind"]) for r in PL.text_to_cells(df, ["k"], "line").collect()}
+    assert got == {(0, 3, "c"), (0, 2, "a"), (1, 2, "b")}
 
 
-def test_last_goal_wins_and_rewards(spark):
-    cells = {(r["x"], r["y"]): r for r in _cells(spark, ["XG0", "0S0", "G0L"]).collect()}
-    assert cells[(0, 0)]["is_goal"] and not cells[(1, 2)]["is_goal"]
-    assert cells[(1, 1)]["reward"] == 1.0 and cells[(2, 0)]["reward"] == -50.0 and cells[(1, 2)]["reward"] == -5.0
+def test_next_in_group_keeps_null_groups(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, 1, "c"), (4, 1, "d")], "t long, u long, v string")
+    got = {(r["t"], r["n"]) for r in PL.next_in_group(df, "u", ["t"], "v", "n").collect()}
+    assert got == {(1, "b"), (2, None), (3, "d"), (4, None)}
+
+
+def test_estimated_transitions_are_distributions(spark):
+    t = PL.estimate_transitions(_random_log(spark), "s", "a", "r", "s2", terminal=F.col("s") == "s0")
+    sums = t.groupBy("s", "a").agg(F.sum("p").alias("p")).collect()
+    assert sums and all(abs(r["p"] - 1) < 1e-12 and r["s"] != "s0" for r in sums)
+
+
+def test_reachability_is_directed(spark):
+    t = spark.createDataFrame([("a", 0, "b", 1.0, 0.0), ("b", 0, "c", 1.0, 0.0), ("d", 0, "a", 1.0, 0.0), ("c", 0, "e", 0.0, 0.0)],
+                              "s string, a int, s2 string, p double, r double")
+    assert {r["s"] for r in PL.reachable_states(t, "a").collect()} == {"a", "b", "c"}
 
 
 def test_value_iteration_contracts(spark):
-    cells = _cells(spark, ["X000", "0101", "000S", "100G"])
-    t = PL.transition_table(cells, 4)
-    st = PL.states_of(cells, 4)
-    v1 = PL.value_iteration(t, st, max_iter=1, theta=0.0)
-    v2 = PL.value_iteration(t, st, max_iter=2, theta=0.0)
-    v3 = PL.value_iteration(t, st, max_iter=3, theta=0.0)
-    a = {r["s"]: r["v"] for r in v1.collect()}
-    b = {r["s"]: r["v"] for r in v2.collect()}
-    c = {r["s"]: r["v"] for r in v3.collect()}
+    t = PL.estimate_transitions(_random_log(spark), "s", "a", "r", "s2")
+    st = PL.states_of(t)
+    a, b, c = ({r["s"]: r["v"] for r in PL.value_iteration(t, st, max_iter=k, theta=0.0).collect()} for k in (1, 2, 3))
     d12 = max(abs(a[s] - b[s]) for s in a)
     d23 = max(abs(b[s] - c[s]) for s in a)
     assert d23 <= PL.GAMMA * d12 + 1e-9
@@ -159,13 +167,55 @@ def test_connected_components_match_union_find(spark):
     assert got == want
 
 
-def test_symmetric_reachability_matches_bfs(spark):
-    for lines in (["X1G", "111", "000"], ["X0S0", "0110", "0M0G", "L000"], ["X00", "0G0", "000"]):
-        cells = _cells(spark, lines)
-        n = len(lines)
-        t = PL.transition_table(cells, n)
-        goal = cells.where("is_goal").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
-        start = (n - 1) * n
-        a = {r["s"] for r in PL.reachable_states(t, start).collect()}
-        b = {r["s"] for r in PL.reachable_states_symmetric(t, start, goal).collect()}
-        assert a == b
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else i % 2, float(i)) for i in range(20)], "id long, g int, v double")
+    from vantage.operators.sampling import kfold_assign
+    assert kfold_assign(df, "id", 4, label_col="g").count() == 20
+    assert sorted(r["p"] for r in ordinal(df, ["id"], ["g"], out="p").where("g is null").collect()) == list(range(13))
+    runs = SQ.longest_run(df.withColumn("b", (F.col("v") > 4).cast("int")), "g", ["id"], "b").collect()
+    assert {r["g"] for r in runs} == {None, 0, 1}
+    route = {r["g"]: r["n"] for r in SQ.route_length(df, "g", ["id"], "v", "v").collect()}
+    assert sum(route.values()) == 20 and None in route
+
+
+def test_information_scores_with_nulls(spark):
+    df = spark.createDataFrame([(None, 0), (None, 0), ("a", 1), ("a", None), ("b", None), ("b", 1)], "k string, y int")
+    h = M.homogeneity(df, "k", "y").first()[0]
+    assert 0 <= h <= 1
+    assert all(r["gain"] >= -1e-12 for r in M.entropy_gain(df, "y", ["k"]).collect())
+    assert all(r["mi"] >= -1e-12 for r in SQ.pairwise_mutual_information(df, ["k", "y"]).collect())
+    same = spark.createDataFrame([(None, None), ("a", 1)], "k string, y int")
+    assert abs(M.homogeneity(same, "k", "y").first()[0] - 1) < 1e-12
+
+
+def test_zero_divisions_have_a_result(spark):
+    same = spark.createDataFrame([(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0])], "k int, vec array<double>")
+    assert NB.silhouette_sq(same, "k", "vec").first()[0] == 0.0
+    three = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "x double")
+    assert M.kurtosis_abs_mean(three, [F.col("x")]).first()[0] is None
+
+
+def test_one_hot_of_null_is_zero_and_levels_are_bounded(spark):
+    df = spark.createDataFrame([("a",), (None,)], "c string")
+    assert sorted(tuple(r) for r in P.one_hot(df, ["c"]).collect()) == [(0,), (1,)]
+    import pytest
+    with pytest.raises(ValueError):
+        P.levels(spark.range(50), "id", max_levels=10)
+
+
+def test_missing_predictions_are_misses(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (0, None), (None, 1)], "y int, p int")
+    r = M.binary_counts(df, "y", "p").first()
+    assert (r["tp"], r["fp"], r["tn"], r["fn"], r["n"]) == (1, 1, 0, 1, 3)
+
+
+def test_describe_keeps_an_all_null_column(spark):
+    from vantage.operators.profile import profile_describe
+    df = spark.createDataFrame([(None, "x", 1), (None, "x", 2)], "a string, b string, c int")
+    got = {r["column"]: r for r in profile_describe(df).collect()}
+    assert got["a"]["count"] == 0 and got["a"]["unique"] == 0 and got["a"]["top"] is None and got["b"]["freq"] == 2
+
+
+def test_wide_averages_take_all_algorithms(spark):
+    df = spark.createDataFrame([("p", 1, 2.0, 3.0), ("q", 1, 4.0, 5.0)], "algo string, budget int, mean_fitness double, mean_seconds double")
+    assert M.run_average_wide(df, "budget", "algo").columns == ["budget", "p_fitness", "p_seconds", "q_fitness", "q_seconds"]

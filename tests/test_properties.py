@@ -43,7 +43,7 @@ def test_knn_matches_brute_force_on_duplicate_heavy_points(spark, pts, k):
     data = [(i, [float(a), float(b)]) for i, (a, b) in enumerate(pts)]
     base = spark.createDataFrame(data, "bid long, vec array<double>")
     q = base.selectExpr("bid as qid", "vec")
-    got = {(r["qid"], r["rank"]): r["bid"] for r in NB.knn_join(q, base, k, cell_size=4).collect()}
+    got = {(r["qid"], r["rank"]): r["bid"] for r in NB.knn_join(q, base, k, least_chunk=4, q_block=2).collect()}
     for i, v in data:
         order = sorted((math.dist(v, w), j) for j, w in data)[:k]
         for rank, (_, j) in enumerate(order, start=1):

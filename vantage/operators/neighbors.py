@@ -1,12 +1,11 @@
 """Nearest neighbours, distances to reference sets, and pair statistics without all pairs.
 
-``knn_join`` is exact but never forms the query x base cross product: base
-rows are grouped into cells around hash-chosen pivots, each query derives an
-upper bound for its k-th distance from the nearest cells, and only cells
-whose triangle-inequality lower bound beats that bound are joined (equi-join
-on the cell id).  Rows equidistant to several pivots are spread over them by
-a row hash, so a third of the table sitting on one point does not land in
-one cell.
+``knn_join`` is exact, for a stated query set: the base table is cut into
+chunks and the query set into blocks, each (chunk, block) is one task group that
+returns its local top k, and the chunks' lists are merged per query.  In many
+dimensions no exact bound prunes, so the work is queries x base; what is bounded
+is a task's memory, and a value held by many rows is spread by the hash of the row.
+For approximate search over a large query set use a graph index instead.
 
 Pair statistics over *all* pairs (silhouette, distance correlation) use the
 squared-Euclidean identity ``|x-y|^2 = |x|^2 + |y|^2 - 2 x.y``, which turns
@@ -22,144 +21,75 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash32
 from ..functions.vectors import dist, dot, lit_matrix, lit_vector, norm_sq
-from pyspark import StorageLevel
-
 from .linalg import gram
 
 
-def _pivots(base: DataFrame, id_col: str, vec: str, n_pivots: int) -> list[list[float]]:
-    rows = (base.select(vec, hash32(F.lit("pivot"), F.col(id_col)).alias("_h"), F.col(id_col).alias("_id"))
-            .orderBy("_h", "_id").limit(n_pivots).collect())
-    return [list(map(float, r[vec])) for r in rows]
+PAIRS_AT_ONCE = 1 << 21   # distances a task holds at a time
 
 
-def _pivot_udfs(piv_b):
-    """Arrow-batched numpy kernels for the pivot stage (rows x pivots distances).
+def block_topk(q: np.ndarray, qid: np.ndarray, b: np.ndarray, bid: np.ndarray, k: int):
+    """Exact local top k of every query row: (query index, base id, distance).
 
-    Distances use ``|x|^2 + |p|^2 - 2 x.p`` (one BLAS product per batch) and are
-    returned as lower / upper bounds that cover the rounding error of that
-    identity, so every pruning decision built on them is conservative.
+    One matrix product gives squared distances up to rounding; all rows that could be among the k
+    nearest within that error are measured exactly.
     """
-
-    def bounds(v: pd.Series):
-        piv = piv_b.value
-        pp = (piv * piv).sum(1)
-        x = np.stack(v.to_numpy()).astype(float)
+    bb = (b * b).sum(1)
+    out: list[list[np.ndarray]] = [[], [], []]
+    step = max(1, PAIRS_AT_ONCE // len(b))
+    for lo in range(0, len(q), step):
+        x = q[lo:lo + step]
         xx = (x * x).sum(1)
-        d2 = xx[:, None] + pp[None, :] - 2.0 * (x @ piv.T)
-        err = 1e-12 * (xx[:, None] + pp[None, :]) * x.shape[1] + 1e-300
-        return np.sqrt(np.maximum(d2 - err, 0.0)), np.sqrt(np.maximum(d2 + err, 0.0))
-
-    @F.pandas_udf("struct<cell:int,dp:double>")
-    def assign(bid: pd.Series, v: pd.Series) -> pd.DataFrame:
-        lo, hi = bounds(v)
-        near = lo <= hi.min(axis=1, keepdims=True)
-        # spread rows tied between several pivots (duplicates) by a row/pivot hash
-        h = (bid.to_numpy().astype(np.uint64)[:, None] * np.uint64(2654435761)
-             + np.arange(lo.shape[1], dtype=np.uint64)[None, :] * np.uint64(40503)) % np.uint64(4294967291)
-        h = np.where(near, h, np.uint64(2 ** 63))
-        cell = h.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "dp": hi[np.arange(len(cell)), cell]})
-
-    return bounds, assign
+        d2 = xx[:, None] + bb[None, :] - 2.0 * (x @ b.T)
+        kk = min(k, len(b))
+        err = 1e-12 * x.shape[1] * (xx + bb.max(initial=0.0)) + 1e-300
+        limit = np.partition(d2, kk - 1, axis=1)[:, kk - 1] + 2 * err
+        rows, cols = np.nonzero(d2 <= limit[:, None])
+        dist_ = np.empty(len(rows))
+        piece = max(1, PAIRS_AT_ONCE // max(1, x.shape[1]))
+        for i in range(0, len(rows), piece):
+            diff = x[rows[i:i + piece]] - b[cols[i:i + piece]]
+            dist_[i:i + piece] = np.sqrt((diff * diff).sum(1))
+        order = np.lexsort((bid[cols], dist_, rows))
+        rows, cols, dist_ = rows[order], cols[order], dist_[order]
+        keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < kk
+        out[0].append(qid[lo + rows[keep]])
+        out[1].append(bid[cols[keep]])
+        out[2].append(dist_[keep])
+    return [np.concatenate(v) for v in out]
 
 
 def knn_join(
     queries: DataFrame, base: DataFrame, k: int, q_id: str = "qid", b_id: str = "bid",
-    vec: str = "vec", cell_size: int = 32, max_pivots: int = 4096, q_block: int = 4096,
+    vec: str = "vec", q_block: int = 4096, b_chunk: int = 65_536, least_chunk: int = 128,
 ) -> DataFrame:
-    """Exact k nearest base rows (Euclidean) for every query row.
+    """Exact k nearest base rows (Euclidean) for every row of a stated query set.
 
     Output ``(q_id, b_id, distance, rank)`` with ``rank`` 1..k ordered by
     ``(distance, b_id)``.  Inputs carry an ``array<double>`` column ``vec``.
-    Pivot-based partitioning with triangle-inequality pruning (in the spirit
-    of Lu et al., VLDB 2012): pivot distances (rows x pivots) run as
-    vectorised numpy in Arrow batches with conservative error bounds; the final
-    ranking uses exact distances, computed per (cell, query chunk) block as a
-    vectorised kernel that emits only each query's local top k.
+    A task holds at most about ``q_block`` queries and ``b_chunk`` base rows; small base tables are
+    cut into chunks of ``least_chunk`` rows or more until every core has one.
     """
-    n_base = base.count()
-    if n_base == 0:
-        spark = queries.sparkSession
+    spark = queries.sparkSession
+    n_base, n_query = base.count(), queries.count()
+    if n_base == 0 or n_query == 0:
         return spark.createDataFrame([], f"{q_id} long, {b_id} long, distance double, rank int")
-    p = max(1, min(max_pivots, math.ceil(n_base / cell_size)))
-    piv = np.array(_pivots(base, b_id, vec, p), dtype=float)
-    p = piv.shape[0]
-    piv_b = base.sparkSession.sparkContext.broadcast(piv)   # <= max_pivots x d doubles
-    bounds, assign = _pivot_udfs(piv_b)
-
-    b = base.select(F.col(b_id).cast("long").alias("_bid"), F.col(vec).alias("_bv"))
-    b = b.withColumn("_a", assign("_bid", "_bv")).select("_bid", "_bv", F.col("_a.cell").alias("cell"),
-                                                         F.col("_a.dp").alias("_dp"))
-    # the assignment is a deterministic function of the row, so a persisted copy is
-    # enough: a lost block is recomputed to the same cells (no checkpoint write of
-    # the whole base table)
-    b = b.persist(StorageLevel.MEMORY_AND_DISK)
-    radius = np.zeros(p)
-    count = np.zeros(p, dtype=np.int64)
-    for r in b.groupBy("cell").agg(F.max("_dp").alias("r"), F.count(F.lit(1)).alias("cnt")).collect():
-        radius[r["cell"]], count[r["cell"]] = float(r["r"]), int(r["cnt"])
-    kk = int(k)
-
-    @F.pandas_udf("struct<ub:double,cells:array<int>>")
-    def candidates(v: pd.Series) -> pd.DataFrame:
-        lo, hi = bounds(v)
-        order = np.argsort(hi, axis=1, kind="stable")
-        rows = np.arange(len(hi))[:, None]
-        cum = np.cumsum(count[order], axis=1)
-        reach = np.maximum.accumulate(hi[rows, order] + radius[order], axis=1)
-        enough = cum >= kk
-        has = enough.any(axis=1)
-        first = np.where(has, enough.argmax(axis=1), p - 1)
-        ub = np.where(has, reach[np.arange(len(hi)), first], np.inf)
-        ub = ub * (1 + 1e-12) + 1e-12
-        ok = (lo - radius[None, :] <= ub[:, None]) & (count[None, :] > 0)
-        return pd.DataFrame({"ub": ub, "cells": [np.nonzero(r)[0].astype("int32") for r in ok]})
-
-    q = queries.select(F.col(q_id).cast("long").alias("_qid"), F.col(vec).alias("_qv"))
-    q = q.withColumn("_c", candidates("_qv")).select("_qid", "_qv", F.col("_c.ub").alias("_ub"),
-                                                      F.explode("_c.cells").alias("cell"))
-    q = q.persist(StorageLevel.MEMORY_AND_DISK)   # deterministic, as above
-    # split a cell wanted by many queries into chunks of <= q_block queries; only
-    # that cell's base rows are repeated, once per chunk
-    per_cell = {r["cell"]: int(r["n"]) for r in q.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chunks = np.ones(p, dtype=np.int64)
-    for c, m in per_cell.items():
-        chunks[c] = max(1, math.ceil(m / q_block))
-    CH = F.expr("array(" + ",".join(f"{int(v)}L" for v in chunks) + ")")
-    q = q.withColumn("_s", F.pmod(F.xxhash64("_qid"), F.element_at(CH, F.col("cell") + 1)))
-    bb = b.select("cell", "_bid", "_bv", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                             F.element_at(CH, F.col("cell") + 1) - 1)).alias("_s"))
-
-    def block_topk(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+    chunks = max(math.ceil(n_base / b_chunk), min(spark.sparkContext.defaultParallelism, math.ceil(n_base / least_chunk)))
+    blocks = math.ceil(n_query / q_block)
+    b = base.select(F.col(b_id).cast("long").alias("_bid"), F.col(vec).alias("_bv")).select(
+        "*", F.pmod(F.xxhash64("_bid"), F.lit(chunks)).alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
+    q = queries.select(F.col(q_id).cast("long").alias("_qid"), F.col(vec).alias("_qv")).select(
+        "*", F.pmod(F.xxhash64("_qid"), F.lit(blocks)).cast("int").alias("_b"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("_c"))
+
+    def local(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(bp) == 0:
             return pd.DataFrame({"_qid": [], "_bid": [], "distance": []})
-        bx = np.stack(bp["_bv"].to_numpy()).astype(float)
-        bid = bp["_bid"].to_numpy()
-        qids, bids, dist_out = [], [], []
-        qv = np.stack(qp["_qv"].to_numpy()).astype(float)
-        ubs = qp["_ub"].to_numpy()
-        qid = qp["_qid"].to_numpy()
-        step = max(1, 2 ** 22 // max(1, bx.shape[0] * bx.shape[1]))
-        for lo in range(0, len(qv), step):
-            blk = qv[lo:lo + step]
-            d = np.sqrt(((blk[:, None, :] - bx[None, :, :]) ** 2).sum(-1))
-            kk_ = min(kk, d.shape[1])
-            # local top-k by (distance, bid): sort keys within each query row
-            order = np.lexsort((np.broadcast_to(bid, d.shape), d), axis=1)[:, :kk_]
-            rows = np.arange(d.shape[0])[:, None]
-            dd = d[rows, order]
-            keep = dd <= ubs[lo:lo + step, None]
-            qids.append(np.repeat(qid[lo:lo + step], kk_)[keep.ravel()])
-            bids.append(bid[order].ravel()[keep.ravel()])
-            dist_out.append(dd.ravel()[keep.ravel()])
-        return pd.DataFrame({"_qid": np.concatenate(qids), "_bid": np.concatenate(bids),
-                             "distance": np.concatenate(dist_out)})
+        got = block_topk(np.stack(qp["_qv"].to_numpy()).astype(float), qp["_qid"].to_numpy(),
+                         np.stack(bp["_bv"].to_numpy()).astype(float), bp["_bid"].to_numpy(), k)
+        return pd.DataFrame(dict(zip(("_qid", "_bid", "distance"), got, strict=True)))
 
-    cand = q.groupBy("cell", "_s").cogroup(bb.groupBy("cell", "_s")).applyInPandas(
-        block_topk, "_qid long, _bid long, distance double")
+    cand = q.groupBy("_c", "_b").cogroup(b.groupBy("_c", "_b")).applyInPandas(local, "_qid long, _bid long, distance double")
     w = Window.partitionBy("_qid").orderBy("distance", "_bid")
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(F.col("_qid").alias(q_id), F.col("_bid").alias(b_id), "distance", "rank"))
@@ -213,9 +143,10 @@ def silhouette_sq(df: DataFrame, cluster: str, vec: str) -> DataFrame:
     rows = df.select(F.col(cluster).alias("_k"), per.alias("_p"))
     own = F.filter("_p", lambda e: e["c"] == F.col("_k"))[0]
     others = F.filter("_p", lambda e: e["c"] != F.col("_k"))
-    a = own["tot"] / (own["n"] - 1)
+    a = F.try_divide(own["tot"], own["n"] - 1)
     b = F.array_min(F.transform(others, lambda e: e["tot"] / e["n"]))
-    s = F.when(own["n"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    # clusters of identical points: 0/0 scores 0
+    s = F.when(own["n"] <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
     return rows.agg(F.avg(s).alias("silhouette"))
 
 

@@ -1,103 +1,70 @@
-"""Grid-world planning as table jobs: cells, transitions, value / policy iteration.
+"""Planning as table jobs: transitions estimated from a log, value / policy iteration, reachability.
 
 States and transitions are DataFrames; each sweep is one join of the static
 transition table with the current value table plus two aggregations, so the
 work per sweep grows with the number of transitions and runs on executors.
-Value tables are checkpointed every few sweeps to keep lineage short.
+The transition table is an aggregate of the log: its size is bounded by the
+distinct (state, action, next state) triples, whatever the log holds.
+Value tables are checkpointed every sweep to keep lineage short.
 """
 
 from __future__ import annotations
 
-import math
+from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from ..session import BROADCAST_MAX_ROWS, cut_lineage
+from ..session import cut_lineage
+from .ordering import ordinal
 
-# fixed values of the studied grid problems
-SUCCESS_PROB = 0.8            # intended move succeeds
-DEFAULT_REWARD = -5.0         # empty cell
-GOAL_REWARD = 100.0
-HAZARD_REWARD = {"S": 1.0, "M": 2.5, "L": -50.0}
+# fixed values of the studied planning problems
 GAMMA = 0.25
 THETA = 0.001
 ITERATIONS = {"value_iteration": 20, "policy_iteration": 2, "q_learning": 50}   # default 100
-# cell alphabet: X start, 0 empty, 1 wall, G goal, S/M/L hazards
-ACTIONS = [(0, 0, 1), (1, 0, -1), (2, 1, 0), (3, -1, 0)]   # (action, dx, dy): north, south, east, west
 
 
-def grid_to_cells(lines: DataFrame, row_col: str = "row", line_col: str = "line") -> DataFrame:
-    """Map rows ``(row, line)`` -> cells ``(x, y, kind, reward, is_goal)`` with ``x = j, y = n-1-i``.
-
-    The goal is the last ``G`` in scan order (row-major); other ``G`` cells are
-    ordinary cells, as in the studied code.
-    """
+def text_to_cells(lines: DataFrame, order_cols: Sequence[str], line_col: str) -> DataFrame:
+    """Rows of text -> one row per character ``(x, y, kind)``: ``x`` counts from the left, ``y`` from the last line."""
     n = lines.count()
-    chars = lines.select(row_col, F.posexplode(F.split(F.col(line_col), "")).alias("j", "ch"))
-    chars = chars.where(F.col("ch") != "")
-    cells = chars.select(F.col("j").alias("x"), (F.lit(n - 1) - F.col(row_col)).cast("int").alias("y"),
-                         F.col("ch").alias("kind"), F.col(row_col).alias("_i"))
-    goal = cells.where(F.col("kind") == "G").agg(F.max(F.struct("_i", "x")).alias("_g"))
-    g = goal.first()["_g"]
-    is_goal = (F.col("_i") == F.lit(g["_i"])) & (F.col("x") == F.lit(g["x"])) if g is not None else F.lit(False)
-    reward = F.when(is_goal, F.lit(GOAL_REWARD))
-    for k, v in HAZARD_REWARD.items():
-        reward = reward.when(F.col("kind") == k, F.lit(v))
-    reward = reward.otherwise(F.lit(DEFAULT_REWARD))
-    return cells.select("x", "y", "kind", reward.alias("reward"), is_goal.alias("is_goal"))
-
-
-def transition_table(cells: DataFrame, n: int) -> DataFrame:
-    """``(s, a, s2, p, r)`` for every non-wall, non-goal state and the four moves.
-
-    The intended move succeeds with 0.8; the remaining 0.2 is split equally over
-    the three other directions.  Moving into a wall or off the grid stays put.
-    ``r`` is the reward of the cell entered (``s2``).  State id = ``x + y * n``.
+    rows = ordinal(lines.select(*order_cols, F.coalesce(F.col(line_col), F.lit("")).alias("_line")), order_cols, out="_i")
+    chars = F.filter(F.split("_line", ""), lambda c: c != "")
+    return rows.select((F.lit(n - 1) - F.col("_i")).alias("y"), F.posexplode(chars).alias("x", "kind")).select("x", "y", "kind")
+
+
+def next_in_group(df: DataFrame, group: str, order_cols: Sequence[str], value: str, out: str) -> DataFrame:
+    """``df`` with ``out`` = ``value`` of the group's next row (null for its last); a long group is many tasks."""
+    pos = ordinal(df, order_cols, [group], out="_pos")
+    nxt = pos.select(F.col(group).alias("_g"), (F.col("_pos") - 1).alias("_p"), F.col(value).alias(out))
+    return pos.join(nxt, (F.col("_pos") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")), "left").drop("_pos", "_p", "_g")
+
+
+def estimate_transitions(log: DataFrame, s: str, a: str, r: str, s2: str, terminal: Column | None = None) -> DataFrame:
+    """``(s, a, s2, p, r)`` from logged steps: relative frequencies, and the mean reward of each triple.
+
+    Steps without a next state, and steps out of states where ``terminal`` holds, are not transitions.
     """
-    other = (1.0 - SUCCESS_PROB) / 3
-    combos = [(a, dx, dy, SUCCESS_PROB if a == d else other) for a, _, _ in ACTIONS for d, dx, dy in ACTIONS]
-    open_cells = cells.where(F.col("kind") != "1")
-    src = open_cells.where(~F.col("is_goal")).select("x", "y", F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(p).alias("p"))
-        for a, dx, dy, p in combos])))
-    tgt = open_cells.select(F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("reward").alias("tr"))
-    mv = src.withColumn("tx", F.col("x") + F.col("dx")).withColumn("ty", F.col("y") + F.col("dy"))
-    mv = mv.join(tgt, ["tx", "ty"], "left")
-    own = open_cells.select("x", "y", F.col("reward").alias("own_r"))
-    mv = mv.join(own, ["x", "y"])
-    ok = F.col("tr").isNotNull()
-    s2x = F.when(ok, F.col("tx")).otherwise(F.col("x"))
-    s2y = F.when(ok, F.col("ty")).otherwise(F.col("y"))
-    rr = F.when(ok, F.col("tr")).otherwise(F.col("own_r"))
-    t = mv.select((F.col("x") + F.col("y") * n).cast("long").alias("s"), "a", (s2x + s2y * n).cast("long").alias("s2"),
-                  "p", rr.alias("r"))
-    return t.groupBy("s", "a", "s2").agg(F.sum("p").alias("p"), F.first("r").alias("r"))
-
-
-def states_of(cells: DataFrame, n: int) -> DataFrame:
-    return cells.where(F.col("kind") != "1").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
-
-
-def _small(states: DataFrame) -> bool:
-    """Value tables have one row per state: broadcast them when the state count is under the limit."""
-    return states.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-
-
-def _values_side(v: DataFrame, bcast: bool) -> DataFrame:
-    side = v.select(F.col("s").alias("s2"), F.col("v").alias("_v2"))
-    return F.broadcast(side) if bcast else side
-
-
-def _q_values(trans: DataFrame, v: DataFrame, gamma: float, bcast: bool = False) -> DataFrame:
-    j = trans.join(_values_side(v, bcast), "s2", "left")
-    return j.groupBy("s", "a").agg(F.sum(F.col("p") * (F.col("r") + gamma * F.coalesce(F.col("_v2"), F.lit(0.0))))
-                                   .alias("q"))
+    steps = log.where(F.col(s2).isNotNull())
+    if terminal is not None:
+        steps = steps.where(~F.coalesce(terminal, F.lit(False)))
+    t = steps.groupBy(F.col(s).alias("s"), F.col(a).alias("a"), F.col(s2).alias("s2")).agg(
+        F.count(F.lit(1)).alias("_n"), F.avg(r).alias("r"))
+    return t.withColumn("p", F.col("_n") / F.sum("_n").over(Window.partitionBy("s", "a"))).select("s", "a", "s2", "p", "r")
+
 
+def states_of(trans: DataFrame) -> DataFrame:
+    return trans.select("s").unionByName(trans.select(F.col("s2").alias("s"))).distinct()
 
-def _bellman(trans: DataFrame, states: DataFrame, v: DataFrame, gamma: float, bcast: bool = False) -> DataFrame:
-    best = _q_values(trans, v, gamma, bcast).groupBy("s").agg(F.max("q").alias("v"))
-    return states.join(best, "s", "left").select("s", F.coalesce(F.col("v"), F.lit(0.0)).alias("v"))
+
+def _values_side(v: DataFrame) -> DataFrame:
+    return v.select(F.col("s").alias("s2"), F.col("v").alias("_v2"))
+
+
+def _q_values(trans: DataFrame, v: DataFrame, gamma: float) -> DataFrame:
+    j = trans.join(_values_side(v), "s2", "left")
+    return j.groupBy("s", "a").agg(F.sum(F.col("p") * (F.col("r") + gamma * F.coalesce(F.col("_v2"), F.lit(0.0))))
+                                   .alias("q"))
 
 
 def value_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, theta: float = THETA,
@@ -110,12 +77,11 @@ def value_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, t
     """
     trans = cut_lineage(trans)
     states = cut_lineage(states)
-    bcast = _small(states)
     v = cut_lineage(states.select("s", F.lit(0.0).alias("v")))
     k = 0
     for k in range(1, max_iter + 1):
         # the previous value rides along, so the convergence check is a scan, not a second join
-        best = _q_values(trans, v, gamma, bcast).groupBy("s").agg(F.max("q").alias("_nv"))
+        best = _q_values(trans, v, gamma).groupBy("s").agg(F.max("q").alias("_nv"))
         nv = cut_lineage(v.join(best, "s", "left").select(
             "s", F.coalesce(F.col("_nv"), F.lit(0.0)).alias("v"), F.col("v").alias("_old")))
         delta = nv.agg(F.max(F.abs(F.col("v") - F.col("_old")))).first()[0] or 0.0
@@ -125,14 +91,13 @@ def value_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, t
     return v.withColumn("sweeps", F.lit(k))
 
 
-def greedy_policy(trans: DataFrame, v: DataFrame, gamma: float = GAMMA, digits: int = 9,
-                  bcast: bool = False) -> DataFrame:
+def greedy_policy(trans: DataFrame, v: DataFrame, gamma: float = GAMMA, digits: int = 9) -> DataFrame:
     """Argmax action per state from one-step look-ahead Q values; ties -> lowest action.
 
     Q is rounded to ``digits`` before the argmax so that sums that differ only
     in floating-point order do not flip a tie.
     """
-    q = _q_values(trans, v, gamma, bcast)
+    q = _q_values(trans, v, gamma)
     return q.groupBy("s").agg(F.max_by(F.struct("a", "q"), F.struct(F.round("q", digits).alias("_q"),
                                                                       (-F.col("a")).alias("_a"))).alias("_b")).select(
         "s", F.col("_b.a").alias("a"), F.col("_b.q").alias("q"))
@@ -146,30 +111,28 @@ def policy_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA,
     """
     trans = cut_lineage(trans)
     states = cut_lineage(states)
-    bcast = _small(states)
     v = cut_lineage(states.select("s", F.lit(0.0).alias("v")))
     for _ in range(rounds):
-        pol = cut_lineage(greedy_policy(trans, v, gamma, bcast=bcast).select("s", "a"))
+        pol = cut_lineage(greedy_policy(trans, v, gamma).select("s", "a"))
         tp = cut_lineage(trans.join(pol, ["s", "a"]))
         for _ in range(eval_sweeps):
-            j = tp.join(_values_side(v, bcast), "s2", "left")
+            j = tp.join(_values_side(v), "s2", "left")
             ev = j.groupBy("s").agg(F.sum(F.col("p") * (F.col("r") + gamma * F.coalesce(F.col("_v2"), F.lit(0.0))))
                                     .alias("v"))
             v = cut_lineage(states.join(ev, "s", "left").select("s", F.coalesce(F.col("v"), F.lit(0.0)).alias("v")))
-    final = greedy_policy(trans, v, gamma, bcast=bcast).select("s", "a")
+    final = greedy_policy(trans, v, gamma).select("s", "a")
     return v.join(final, "s", "left")
 
 
-def reachable_states(trans: DataFrame, start: int, max_steps: int | None = None) -> DataFrame:
-    """States reachable from ``start`` along transitions with ``p > 0`` (frontier BFS).
+def reachable_states(trans: DataFrame, start, max_steps: int | None = None) -> DataFrame:
+    """States reachable from ``start`` along transitions with ``p > 0`` (frontier BFS, directed).
 
     Each step joins only the new frontier with the edge table and anti-joins the
     visited set; both are checkpointed every step so the plan stays flat.
     """
-    spark = trans.sparkSession
-    edges = cut_lineage(trans.where(F.col("p") > 0).select(F.col("s").cast("long").alias("s"),
-                                                           F.col("s2").cast("long").alias("s2")).distinct())
-    visited = cut_lineage(spark.createDataFrame([(int(start),)], "s long"))
+    edges = cut_lineage(trans.where(F.col("p") > 0).select("s", "s2").distinct())
+    kind = edges.schema["s"].dataType
+    visited = cut_lineage(trans.sparkSession.range(1).select(F.lit(start).cast(kind).alias("s")))
     frontier = visited
     step = 0
     while True:
@@ -194,6 +157,14 @@ def batch_q_learning(log: DataFrame, s: str, a: str, r: str, s2: str, gamma: flo
     """
     agg = log.groupBy(F.col(s).alias("s"), F.col(a).alias("a"), F.col(s2).alias("s2")).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(r).alias("rs"))
+    return fitted_q(agg, gamma, q0, lr, sweeps)
+
+
+def fitted_q(agg: DataFrame, gamma: float = GAMMA, q0: float = 0.3, lr: float = 0.1, sweeps: int = 10) -> DataFrame:
+    """Fitted-Q sweeps over a table ``(s, a, s2, n, rs)`` of weights and reward sums.
+
+    The table is compact, so the sweeps are one plan; it is cut only every few sweeps.
+    """
     agg = cut_lineage(agg)
     q = agg.select("s", "a").distinct().withColumn("q", F.lit(float(q0)))
     for k in range(1, sweeps + 1):
@@ -201,7 +172,8 @@ def batch_q_learning(log: DataFrame, s: str, a: str, r: str, s2: str, gamma: flo
         tgt = agg.join(vmax, "s2", "left").groupBy("s", "a").agg(
             ((F.sum("rs") + gamma * F.sum(F.col("n") * F.coalesce(F.col("_m"), F.lit(0.0)))) / F.sum("n")).alias("_t"))
         q = q.join(tgt, ["s", "a"]).select("s", "a", ((1 - lr) * F.col("q") + lr * F.col("_t")).alias("q"))
-        q = cut_lineage(q)
+        if k % 5 == 0 or k == sweeps:
+            q = cut_lineage(q)
     return q
 
 
@@ -209,6 +181,8 @@ def batch_q_learning(log: DataFrame, s: str, a: str, r: str, s2: str, gamma: flo
 PLANNERS = {
     "value_iteration": lambda trans, states, budget, **kw: value_iteration(trans, states, max_iter=budget, **kw),
     "policy_iteration": lambda trans, states, budget, **kw: policy_iteration(trans, states, rounds=budget, **kw),
+    "q_learning": lambda trans, states, budget, **kw: fitted_q(
+        trans.select("s", "a", "s2", F.col("p").alias("n"), (F.col("p") * F.col("r")).alias("rs")), sweeps=budget, **kw),
 }
 
 
@@ -217,10 +191,6 @@ def run_planner(name: str, trans: DataFrame, states: DataFrame, budget: int | No
     return PLANNERS[name](trans, states, budget if budget is not None else ITERATIONS.get(name, 100), **kw)
 
 
-def side_for(n_items: int) -> int:
-    return max(1, math.isqrt(max(n_items - 1, 0)) + 1) if n_items > 1 else 1
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """Component label (smallest node id) of every node of an undirected graph ``(u, v)``.
 
@@ -255,26 +225,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         if prev is not None and tuple(sig) == prev:
             break
         prev = tuple(sig)
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     label = e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("label"))
     return nodes.join(label.withColumnRenamed("u", "n"), "n", "left").select(
         F.col("n").alias("node"), F.coalesce(F.col("label"), F.col("n")).alias("label"))
-
-
-def reachable_states_symmetric(trans: DataFrame, start: int, terminals: DataFrame) -> DataFrame:
-    """Reachability for transition graphs whose moves are reversible except out of terminal states.
-
-    Paths cannot pass through a terminal state, so the non-terminal states
-    reachable from ``start`` form its connected component in the graph without
-    terminals; a terminal is reachable when it is entered from that component.
-    """
-    spark = trans.sparkSession
-    term = terminals.select(F.col("s").cast("long").alias("t"))
-    ed = trans.where((F.col("p") > 0) & (F.col("s") != F.col("s2"))).select(
-        F.col("s").cast("long").alias("u"), F.col("s2").cast("long").alias("v")).distinct()
-    inner = ed.join(term, ed.v == term.t, "left_anti")
-    start_df = spark.createDataFrame([(int(start), int(start))], "u long, v long")
-    cc = connected_components(inner.unionByName(start_df))
-    lab = cc.where(F.col("node") == int(start)).select("label")
-    comp = cc.join(lab, "label").select(F.col("node").alias("s"))
-    entered = ed.join(comp.withColumnRenamed("s", "u"), "u").join(term, ed.v == term.t).select(F.col("t").alias("s"))
-    return comp.unionByName(entered).distinct()

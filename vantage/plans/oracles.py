@@ -18,6 +18,11 @@ def H(expr: str) -> str:
     return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT"
 
 
+def H60(expr: str) -> str:
+    """md5 draw: first 15 hex digits."""
+    return f"('0x' || substr(md5({expr}), 1, 15))::BIGINT"
+
+
 def D(v: float) -> str:
     return f"{float(v)!r}::DOUBLE"
 
@@ -118,7 +123,7 @@ SQL["split_ordered"] = ("WITH p AS (SELECT event_id, row_number() OVER (ORDER BY
 SQL["bootstrap_sample"] = ("WITH p AS (SELECT event_id, value, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events), "
                            "n AS (SELECT count(*) AS n FROM events), "
                            "d AS (SELECT row_number() OVER () - 1 AS draw FROM events) "
-                           f"SELECT d.draw, p.event_id, p.value FROM d, n, p WHERE p.pos = {H(chr(39) + '7:' + chr(39) + ' || d.draw')} % n.n")
+                           f"SELECT d.draw, p.event_id, p.value FROM d, n, p WHERE p.pos = {H60(chr(39) + '7:' + chr(39) + ' || d.draw')} % n.n")
 SQL["kfold_assign"] = (f"SELECT event_id, event_type, ((row_number() OVER (PARTITION BY event_type ORDER BY "
                        f"{H(chr(39) + '0:' + chr(39) + ' || event_id')}, event_id) - 1) % 10)::INTEGER AS fold FROM events")
 _PG = Q.S.param_grid(Q.PARAM_GRID)
@@ -234,7 +239,7 @@ SQL["run_average"] = (f"WITH {_RUNS} SELECT algo, budget, round(mean_fitness, 6)
 SQL["run_average_wide"] = (f"WITH {_RUNS} SELECT budget, "
                            + ", ".join(f"round(max(CASE WHEN algo = '{a}' THEN mean_fitness END), 6) AS {a}_fitness, "
                                        f"round(max(CASE WHEN algo = '{a}' THEN mean_seconds END), 6) AS {a}_seconds"
-                                       for a in Q.ALGOS) + " FROM ra GROUP BY budget")
+                                       for a in ("click", "error", "purchase", "signup", "view")) + " FROM ra GROUP BY budget")
 _EPI = ("ep AS (SELECT user_id, sum(value) AS reward, count(*) AS steps, "
         "((epoch_us(max(ts)) - epoch_us(min(ts))) // 1000)::BIGINT AS ms FROM events GROUP BY user_id)")
 SQL["episode_summary"] = f"WITH {_EPI} SELECT user_id, round(reward, 6) AS reward, steps, ms FROM ep"
@@ -329,31 +334,19 @@ SQL["pairwise_mutual_information"] = (
 # ---------------------------------------------------------------- planning
 from ..operators import planning as _PL  # noqa: E402
 
-_HZ = " ".join(f"WHEN kind = '{k}' THEN {D(v)}" for k, v in _PL.HAZARD_REWARD.items())
-_CELLS = (
-    "sr AS (SELECT s_nationkey AS nk, row_number() OVER (ORDER BY s_suppkey) - 1 AS r FROM supplier), "
-    "gm AS (SELECT ceil(sqrt(count(*)))::BIGINT AS n FROM supplier), "
-    "ar AS (SELECT unnest(range(n * n)) AS r, n FROM gm), "
-    "ck AS (SELECT ar.r, ar.n, CASE WHEN ar.r = 0 THEN 'X' WHEN sr.nk IS NULL THEN '0' WHEN sr.nk <= 3 THEN '1' "
-    "WHEN sr.nk = 4 THEN 'S' WHEN sr.nk = 5 THEN 'M' WHEN sr.nk = 6 THEN 'L' WHEN sr.nk = 7 THEN 'G' ELSE '0' END AS kind "
-    "FROM ar LEFT JOIN sr USING (r)), "
-    "lg AS (SELECT max(r) AS gr FROM ck WHERE kind = 'G'), "
-    "cells AS (SELECT (r % n)::INTEGER AS x, (n - 1 - r // n)::INTEGER AS y, kind, "
-    f"CASE WHEN r = (SELECT gr FROM lg) THEN {D(_PL.GOAL_REWARD)} {_HZ} ELSE {D(_PL.DEFAULT_REWARD)} END AS reward, "
-    "coalesce(r = (SELECT gr FROM lg), false) AS is_goal, n FROM ck)")
-SQL["grid_to_cells"] = f"WITH {_CELLS} SELECT x, y, kind, reward, is_goal FROM cells"
-_OTHER = (1.0 - _PL.SUCCESS_PROB) / 3
-_COMBOS = ", ".join(f"({a}, {dx}, {dy}, {D(_PL.SUCCESS_PROB if a == d else _OTHER)})"
-                    for a, _, _ in _PL.ACTIONS for d, dx, dy in _PL.ACTIONS)
+SQL["grid_to_cells"] = (
+    "WITH l AS (SELECT coalesce(p_name, '') AS t, count(*) OVER () - row_number() OVER (ORDER BY p_partkey) AS y FROM part) "
+    "SELECT (i - 1)::INTEGER AS x, y, substr(t, i::INTEGER, 1) AS kind "
+    "FROM (SELECT t, y, unnest(range(1, length(t) + 1)) AS i FROM l)")
 _TRANS = (
-    f"{_CELLS}, oc AS (SELECT * FROM cells WHERE kind <> '1'), "
-    f"mv(a, dx, dy, p) AS (VALUES {_COMBOS}), "
-    "tr0 AS (SELECT o.x, o.y, o.n, o.reward AS own_r, mv.a, mv.p, t.x AS tx, t.y AS ty, t.reward AS tr "
-    "FROM oc o CROSS JOIN mv LEFT JOIN oc t ON t.x = o.x + mv.dx AND t.y = o.y + mv.dy WHERE NOT o.is_goal), "
-    "tt AS (SELECT x + y * n AS s, a, CASE WHEN tr IS NULL THEN x + y * n ELSE tx + ty * n END AS s2, sum(p) AS p, "
-    "first(CASE WHEN tr IS NULL THEN own_r ELSE tr END) AS r FROM tr0 GROUP BY ALL), "
-    "st AS (SELECT x + y * n AS s FROM oc)")
-SQL["transition_table"] = f"WITH {_TRANS} SELECT s, a, s2, round(p, 6) AS p, r FROM tt"
+    "lg AS (SELECT event_type, event_type || ':' || floor(least(value, 199.0) / 25)::BIGINT AS s, user_id % 4 AS a, value, "
+    "lead(event_type || ':' || floor(least(value, 199.0) / 25)::BIGINT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s2 "
+    "FROM events), "
+    "cn AS (SELECT s, a, s2, count(*)::DOUBLE AS n, avg(value) AS r FROM lg WHERE s2 IS NOT NULL AND event_type <> 'purchase' "
+    "GROUP BY ALL), "
+    "tt AS (SELECT s, a, s2, n / sum(n) OVER (PARTITION BY s, a) AS p, r FROM cn), "
+    "st AS (SELECT s FROM tt UNION SELECT s2 FROM tt)")
+SQL["transition_table"] = f"WITH {_TRANS} SELECT s, a, s2, round(p, 6) AS p, round(r, 6) AS r FROM tt"
 
 
 def _vsweep(prev: str) -> str:
@@ -403,14 +396,12 @@ def _policy_sql() -> str:
 
 SQL["policy_iteration"] = _policy_sql()
 SQL["reachable_states"] = (f"WITH RECURSIVE {_TRANS}, ed AS (SELECT DISTINCT s, s2 FROM tt WHERE p > 0), "
-                           "rc(s) AS (SELECT (n - 1) * n FROM gm UNION SELECT ed.s2 FROM rc JOIN ed ON ed.s = rc.s) "
+                           "rc(s) AS (SELECT min(s) FROM st UNION SELECT ed.s2 FROM rc JOIN ed ON ed.s = rc.s) "
                            "SELECT s FROM rc")
 
 
-def _q_sql() -> str:
-    parts = ["lg AS (SELECT event_type AS s, user_id % 4 AS a, value AS r, "
-             "lead(event_type) OVER (ORDER BY ts, event_id) AS s2 FROM events)",
-             "ag AS (SELECT s, a, s2, count(*)::DOUBLE AS n, sum(r) AS rs FROM lg GROUP BY ALL)",
+def _fitted_q_sql(first: list[str], n: str, rs: str, table: str) -> str:
+    parts = [*first, f"ag AS (SELECT s, a, s2, {n} AS n, {rs} AS rs FROM {table} GROUP BY ALL)",
              "q0 AS (SELECT DISTINCT s, a, 0.3::DOUBLE AS q FROM ag)"]
     for k in range(1, Q.Q_SWEEPS + 1):
         parts.append(
@@ -420,7 +411,10 @@ def _q_sql() -> str:
     return "WITH " + ", ".join(parts) + f" SELECT s, a, round(q, 6) AS q FROM q{Q.Q_SWEEPS}"
 
 
-SQL["batch_q_learning"] = _q_sql()
+SQL["batch_q_learning"] = _fitted_q_sql(
+    ["lg AS (SELECT event_type AS s, user_id % 4 AS a, value AS r, lead(event_type) OVER (ORDER BY ts, event_id) AS s2 FROM events)"],
+    "count(*)::DOUBLE", "sum(r)", "lg")
+SQL["udf_planner_factory"] = _fitted_q_sql([_TRANS], "sum(p)", "sum(p * r)", "tt")
 
 # ---------------------------------------------------------------- search
 _CANDS = (f"{EMB}, w AS (SELECT c.c, j.j, ({H(chr(39) + 'cand:0:' + chr(39) + ' || c.c || chr(58) || j.j')}::DOUBLE "
@@ -546,7 +540,7 @@ SQL["learning_curve_knn"] = (
     + ", ".join(f"({fr})" for fr in Q.LC_FRACTIONS) + ") t(fr)), "
     "dr AS (SELECT size, unnest(range(size)) AS j FROM sz), "
     f"smp AS (SELECT dr.size, dr.j AS draw, p.vec_id, p.v, p.y, p.fold FROM dr CROSS JOIN nn "
-    f"JOIN pos p ON p.pos = {H(chr(39) + '1:' + chr(39) + ' || dr.j')} % nn.n), "
+    f"JOIN pos p ON p.pos = {H60(chr(39) + '1:' + chr(39) + ' || dr.j')} % nn.n), "
     "fl AS (SELECT unnest([0, 1, 2]) AS f), "
     "trs AS (SELECT smp.size, fl.f, smp.draw AS bid, smp.v, smp.y AS nl FROM smp, fl WHERE smp.fold <> fl.f), "
     "qs AS (SELECT size, f, 'train' AS side, bid AS qid, v, nl AS truth FROM trs UNION ALL "

@@ -60,10 +60,11 @@ def _scan_csv(spark, sf):
 def _scan_csv_positional(spark, sf):
     e = table(spark, sf, "embeddings")
     path = shared_path(spark, "emb-positional")
-    flat = e.select(*[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(64)], "label")
+    d = _width(e, "embedding")
+    flat = e.select(*[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(d)], "label")
     IO.sink_csv(flat, path, header=False)
-    df = IO.scan_csv_positional(spark, path, 64)
-    return df.select(*[r6(F.col(f"f{i}")).alias(f"f{i}") for i in range(64)], "label")
+    df = IO.scan_csv_positional(spark, path, d)
+    return df.select(*[r6(F.col(f"f{i}")).alias(f"f{i}") for i in range(d)], "label")
 
 
 @q("sink_csv")
@@ -336,7 +337,7 @@ def _zip_truth_pred(spark, sf):
 
 def _centroids(spark, sf):
     e = FX.emb(spark, sf)
-    rows = e.groupBy("label").agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(64)]).alias("c")).collect()
+    rows = e.groupBy("label").agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(_width(e, "vec"))]).alias("c")).collect()
     return [list(r["c"]) for r in sorted(rows, key=lambda r: r["label"])]
 
 
@@ -472,12 +473,9 @@ def _run_average(spark, sf):
                     r6(F.col("mean_seconds")).alias("mean_seconds"), "runs")
 
 
-ALGOS = ["click", "error", "purchase", "signup", "view"]
-
-
 @q("run_average_wide")
 def _run_average_wide(spark, sf):
-    w = M.run_average_wide(_run_avg(spark, sf), "budget", "algo", ALGOS)
+    w = M.run_average_wide(_run_avg(spark, sf), "budget", "algo")
     return w.select("budget", *[r6(F.col(c)).alias(c) for c in w.columns if c != "budget"])
 
 
@@ -507,7 +505,7 @@ def _column_min_max(spark, sf):
 @q("kurtosis_abs_mean")
 def _kurtosis_abs_mean(spark, sf):
     e = FX.emb(spark, sf)
-    k = M.kurtosis_abs_mean(e, [F.col("vec")[i] for i in range(64)])
+    k = M.kurtosis_abs_mean(e, [F.col("vec")[i] for i in range(_width(e, "vec"))])
     return k.select(r6(F.col("kurtosis_abs_mean")).alias("kurtosis_abs_mean"))
 
 
@@ -530,7 +528,7 @@ def _dim_table(spark, sf):
     e = FX.emb(spark, sf)
     row = e.agg(F.array(*[F.struct(F.lit(i).alias("dim"), F.var_samp(F.col("vec")[i]).alias("var"),
                                    F.abs(F.corr(F.col("vec")[i], F.col("y").cast("double"))).alias("ac"))
-                          for i in range(64)]).alias("d"))
+                          for i in range(_width(e, "vec"))]).alias("d"))
     t = row.select(F.inline("d"))
     w = Window.partitionBy()
     return t.select("dim", (F.col("var") / F.sum("var").over(w)).alias("ratio"),
@@ -692,50 +690,34 @@ def _chow_liu_tree(spark, sf):
 
 # ---------------------------------------------------------------- 2.11 planning
 
-def grid_lines(spark, sf):
-    """Square map text derived from ``supplier``: one cell per supplier in key order.
-
-    Cell 0 is the start; nation 0-3 wall, 4/5/6 hazards S/M/L, 7 goal, else
-    empty; cells past the last supplier are empty.
-    """
-    sup = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    N = sup.count()
-    n = PL.side_for(N)
-    ranked = ordinal(sup, ["s_suppkey"], out="r")
-    nk = F.col("s_nationkey")
-    ch = (F.when(F.col("r") == 0, "X").when(nk.isNull(), "0").when(nk <= 3, "1").when(nk == 4, "S")
-          .when(nk == 5, "M").when(nk == 6, "L").when(nk == 7, "G").otherwise("0"))
-    cells = spark.range(n * n).withColumnRenamed("id", "r").join(ranked, "r", "left").select(
-        (F.col("r") / n).cast("long").alias("row"), (F.col("r") % n).alias("j"), ch.alias("ch"))
-    lines = cells.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("j", "ch"))).alias("_c"))
-    lines = lines.select("row", F.concat_ws("", F.transform("_c", lambda e: e["ch"])).alias("line"))
-    return cut_lineage(lines), n
-
-
-def _grid(spark, sf):
-    lines, n = grid_lines(spark, sf)
-    return cut_lineage(PL.grid_to_cells(lines)), n
-
-
 @q("grid_to_cells")
 def _grid_to_cells(spark, sf):
-    return _grid(spark, sf)[0]
+    return PL.text_to_cells(table(spark, sf, "part").select("p_partkey", "p_name"), ["p_partkey"], "p_name")
+
+
+def _event_log(spark, sf):
+    """Steps of the event stream of each user: state = event type and value band, action = user class."""
+    ev = FX.events(spark, sf).select("event_id", "ts", "event_type", "user_id", "value")
+    s = F.concat_ws(":", "event_type", F.floor(F.least(F.col("value"), F.lit(199.0)) / 25).cast("string"))
+    log = ev.withColumn("s", s).withColumn("a", F.pmod(F.col("user_id"), F.lit(4)))
+    return PL.next_in_group(log, "user_id", ["ts", "event_id"], "s", "s2")
 
 
 def _trans(spark, sf):
-    cells, n = _grid(spark, sf)
-    return PL.transition_table(cells, n), PL.states_of(cells, n), n
+    """Transitions estimated from the log; a purchase ends an episode."""
+    log = _event_log(spark, sf)
+    t = cut_lineage(PL.estimate_transitions(log, "s", "a", "value", "s2", terminal=F.col("event_type") == "purchase"))
+    return t, PL.states_of(t)
 
 
 @q("transition_table")
 def _transition_table(spark, sf):
-    t, _, _ = _trans(spark, sf)
-    return t.select("s", "a", "s2", r6(F.col("p")).alias("p"), "r")
+    t, _ = _trans(spark, sf)
+    return t.select("s", "a", "s2", r6(F.col("p")).alias("p"), r6(F.col("r")).alias("r"))
 
 
 def _vi(spark, sf):
-    t, st, n = _trans(spark, sf)
-    t = cut_lineage(t)   # built once, shared by the sweeps and the greedy read-out
+    t, st = _trans(spark, sf)
     return t, PL.value_iteration(t, st, PL.GAMMA, PL.THETA, PL.ITERATIONS["value_iteration"])
 
 
@@ -754,19 +736,23 @@ def _greedy_policy(spark, sf):
 
 @q("policy_iteration")
 def _policy_iteration(spark, sf):
-    t, st, n = _trans(spark, sf)
+    t, st = _trans(spark, sf)
     p = PL.policy_iteration(t, st, PL.GAMMA, rounds=PL.ITERATIONS["policy_iteration"],
                             eval_sweeps=PL.ITERATIONS["value_iteration"])
     return p.select("s", r6(F.col("v")).alias("v"), "a")
 
 
+@q("udf_planner_factory")
+def _planner_factory(spark, sf):
+    """The fitted-Q strategy looked up by name, over the estimated transitions."""
+    t, st = _trans(spark, sf)
+    return PL.run_planner("q_learning", t, st, Q_SWEEPS).select("s", "a", r6(F.col("q")).alias("q"))
+
+
 @q("reachable_states")
 def _reachable_states(spark, sf):
-    # grid moves are reversible except out of the (absorbing) goal: component labelling, O(log^2 n) rounds
-    cells, n = _grid(spark, sf)
-    t = PL.transition_table(cells, n)
-    goal = cells.where("is_goal").select((F.col("x") + F.col("y") * n).cast("long").alias("s"))
-    return PL.reachable_states_symmetric(t, (n - 1) * n, goal)
+    t, st = _trans(spark, sf)
+    return PL.reachable_states(t, st.agg(F.min("s")).first()[0])
 
 
 Q_SWEEPS = 10
@@ -786,44 +772,50 @@ def _batch_q_learning(spark, sf):
 # ---------------------------------------------------------------- 2.11 search
 
 N_CANDIDATES = 16
-SEARCH_GENERATIONS = 5
+SEARCH_GENERATIONS = 10
 
 
-def _cands():
-    return SE.hashed_candidates(N_CANDIDATES, 64, seed=0, scale=0.2)
+def _cands(e):
+    return SE.hashed_candidates(N_CANDIDATES, _width(e, "vec"), seed=0, scale=0.2)
 
 
 @q("population_score")
 def _population_score(spark, sf):
-    s = SE.population_score(FX.emb(spark, sf), "vec", "y", _cands())
+    e = FX.emb(spark, sf)
+    s = SE.population_score(e, "vec", "y", _cands(e))
     return s.select("candidate", r6(F.col("sse")).alias("sse"), r6(F.col("accuracy")).alias("accuracy"))
 
 
 @q("search_tuning_report")
 def _search_tuning_report(spark, sf):
     e = FX.emb_split(spark, sf)
-    parts = [SE.population_score(e.where(F.col("split") == sp), "vec", "y", _cands()).withColumn("split", F.lit(sp))
+    parts = [SE.population_score(e.where(F.col("split") == sp), "vec", "y", _cands(e)).withColumn("split", F.lit(sp))
              for sp in ("train", "test")]
     u = parts[0].unionByName(parts[1])
     return u.select("candidate", "split", r6(F.col("sse")).alias("sse"), r6(F.col("accuracy")).alias("accuracy"))
 
 
+def _searched(search, spark, sf):
+    e = FX.emb(spark, sf).persist()
+    try:
+        return search(e, "vec", "y", _width(e, "vec"), SEARCH_GENERATIONS)
+    finally:
+        e.unpersist()
+
+
 @q("search_hill_climb")
 def _search_hill_climb(spark, sf):
-    e = FX.emb(spark, sf).persist()
-    return SE.search_hill_climb(e, "vec", "y", 64, SEARCH_GENERATIONS)
+    return _searched(SE.search_hill_climb, spark, sf)
 
 
 @q("search_anneal")
 def _search_anneal(spark, sf):
-    e = FX.emb(spark, sf).persist()
-    return SE.search_anneal(e, "vec", "y", 64, SEARCH_GENERATIONS)
+    return _searched(SE.search_anneal, spark, sf)
 
 
 @q("search_genetic")
 def _search_genetic(spark, sf):
-    e = FX.emb(spark, sf).persist()
-    return SE.search_genetic(e, "vec", "y", 64, SEARCH_GENERATIONS)
+    return _searched(SE.search_genetic, spark, sf)
 
 
 # ---------------------------------------------------------------- 2.9 / 2.10 estimators
@@ -835,6 +827,12 @@ ICA_M = 8
 GMM_REG = 1e-6
 
 
+def _width(df, col) -> int:
+    """Vector width, read from the table (0 rows: 0)."""
+    row = df.select(col).first()
+    return len(row[0]) if row else 0
+
+
 def _ml_split(spark, sf):
     e = FX.emb_split(spark, sf)
     tr = CL.ml_frame(e.where(F.col("split") == "train"), "vec", "y", ["vec_id"]).persist()
@@ -842,26 +840,27 @@ def _ml_split(spark, sf):
     return tr, te
 
 
-def _predict(est):
+def _predict(make):
+    """``make(d, n)``: estimator for ``d`` features and ``n`` training rows, both read from the table."""
     def fn(spark, sf):
         tr, te = _ml_split(spark, sf)
-        _, pred, _ = CL.fit_predict(est() if callable(est) else est, tr, te, ["vec_id"])
+        _, pred, _ = CL.fit_predict(make(_width(tr, "features"), tr.count()), tr, te, ["vec_id"])
         return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
     return fn
 
 
-REGISTRY["clf_mlp"] = _predict(lambda: CL.mlp([64, MLP_HIDDEN, 2], max_iter=100))
-REGISTRY["clf_mlp_2layer"] = _predict(lambda: CL.mlp([64, MLP_HIDDEN, 8, 2], max_iter=100))
-REGISTRY["clf_svm_linear"] = _predict(lambda: CL.linear_svc(c=1.0, n=400))
-REGISTRY["clf_svm_poly"] = _predict(lambda: CL.poly_svc(degree=2, k=8, c=1.0, n=400))
-REGISTRY["clf_tree"] = _predict(lambda: CL.tree(max_depth=5, min_leaf=2))
-REGISTRY["clf_gbt"] = _predict(lambda: CL.gbt(n_estimators=10, max_depth=3))
+REGISTRY["clf_mlp"] = _predict(lambda d, n: CL.mlp([d, MLP_HIDDEN, 2], max_iter=100))
+REGISTRY["clf_mlp_2layer"] = _predict(lambda d, n: CL.mlp([d, MLP_HIDDEN, 8, 2], max_iter=100))
+REGISTRY["clf_svm_linear"] = _predict(lambda d, n: CL.linear_svc(c=1.0, n=n))
+REGISTRY["clf_svm_poly"] = _predict(lambda d, n: CL.poly_svc(degree=2, c=1.0, n=n))
+REGISTRY["clf_tree"] = _predict(lambda d, n: CL.tree(max_depth=5, min_leaf=2))
+REGISTRY["clf_gbt"] = _predict(lambda d, n: CL.gbt(n_estimators=10, max_depth=3))
 
 
 @q("mlp_loss_curve")
 def _mlp_loss_curve(spark, sf):
     tr, _ = _ml_split(spark, sf)
-    model = CL.mlp([64, MLP_HIDDEN, 2], max_iter=50).fit(tr)
+    model = CL.mlp([_width(tr, "features"), MLP_HIDDEN, 2], max_iter=50).fit(tr)
     hist = model.summary().objectiveHistory
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
 
@@ -871,19 +870,20 @@ def _kernel_svm(mapper):
         e = mapper(FX.emb_split(spark, sf))
         tr = CL.ml_frame(e.where(F.col("split") == "train"), "kf", "y", ["vec_id"])
         te = CL.ml_frame(e.where(F.col("split") == "test"), "kf", "y", ["vec_id"])
-        _, pred, _ = CL.fit_predict(CL.linear_svc(c=1.0, n=400), tr, te, ["vec_id"])
+        _, pred, _ = CL.fit_predict(CL.linear_svc(c=1.0, n=tr.count()), tr, te, ["vec_id"])
         return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
     return fn
 
 
-REGISTRY["clf_svm_rbf"] = _kernel_svm(lambda e: CL.rff_map(e, "vec", 64, 128, gamma=1.0, out="kf"))
+REGISTRY["clf_svm_rbf"] = _kernel_svm(lambda e: CL.rff_map(e, "vec", _width(e, "vec"), 128, gamma=1.0, out="kf"))
 REGISTRY["clf_svm_sigmoid"] = _kernel_svm(lambda e: CL.sigmoid_map(e, "vec", "vec_id", 32, gamma=0.1, out="kf"))
 
 
 @q("clf_random_forest")
 def _clf_random_forest(spark, sf):
     tr, te = _ml_split(spark, sf)
-    model = CL.random_forest(n_trees=500, min_leaf=1).fit(tr)
+    # leaves of at least one per cent of the rows, as in the studied forests
+    model = CL.random_forest(n_trees=500, min_leaf=max(1, tr.count() // 100)).fit(tr)
     imp = model.featureImportances.toArray()
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
 
@@ -911,10 +911,10 @@ def _learning_curve(spark, sf):
 def _label_params(spark, sf):
     """Per-label diagonal Gaussians (weights, means, population variances + reg), model-sized."""
     e = FX.emb(spark, sf)
-    n = e.count()
+    n, d = e.count(), _width(e, "vec")
     rows = e.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
-                                  F.array(*[F.avg(F.col("vec")[i]) for i in range(64)]).alias("mu"),
-                                  F.array(*[F.var_pop(F.col("vec")[i]) for i in range(64)]).alias("var")).collect()
+                                  F.array(*[F.avg(F.col("vec")[i]) for i in range(d)]).alias("mu"),
+                                  F.array(*[F.var_pop(F.col("vec")[i]) for i in range(d)]).alias("var")).collect()
     rows = sorted(rows, key=lambda r: r["label"])
     return ([r["label"] for r in rows], _np.array([r["n"] / n for r in rows]), _np.array([r["mu"] for r in rows]),
             _np.array([r["var"] for r in rows]) + GMM_REG, n)
@@ -1026,8 +1026,9 @@ def _pca_fit(spark, sf):
 
 
 def _rca(spark, sf):
-    R = PJ.sparse_projection_matrix(64, RCA_K, seed=0)
-    return PJ.project(FX.emb(spark, sf), "vec", R, out="proj")
+    e = FX.emb(spark, sf)
+    R = PJ.sparse_projection_matrix(_width(e, "vec"), RCA_K, seed=0)
+    return PJ.project(e, "vec", R, out="proj")
 
 
 @q("rca_project")
@@ -1039,7 +1040,8 @@ def _rca_project(spark, sf):
 
 @q("rca_gaussian")
 def _rca_gaussian(spark, sf):
-    p = PJ.project(FX.emb(spark, sf), "vec", PJ.gaussian_projection_matrix(64, RCA_K, seed=0), out="proj")
+    e = FX.emb(spark, sf)
+    p = PJ.project(e, "vec", PJ.gaussian_projection_matrix(_width(e, "vec"), RCA_K, seed=0), out="proj")
     return p.select("vec_id", F.posexplode("proj").alias("component", "value")).select(
         "vec_id", "component", r6(F.col("value")).alias("value"))
 
@@ -1072,7 +1074,7 @@ def _projections(spark, sf, e):
     return {
         "pca": PJ.pca_project(e, "vec", pca, 8, "p"),
         "ica": PJ.project(e, "vec", ica["unmixing"], ica["mean"], "p"),
-        "rca": PJ.project(e, "vec", PJ.sparse_projection_matrix(64, RCA_K, seed=0), out="p"),
+        "rca": PJ.project(e, "vec", PJ.sparse_projection_matrix(_width(e, "vec"), RCA_K, seed=0), out="p"),
         "rfc": e.withColumn("p", F.array(*[F.col("vec")[i] for i in sel])),
     }
 
@@ -1100,7 +1102,7 @@ def _mlp_f1(p, vec, d):
 @q("project_then_classify")
 def _project_then_classify(spark, sf):
     e = S.split_random(FX.emb(spark, sf), "vec_id", FX.TEST_PCT).persist()
-    rows = [("full", *_mlp_f1(e, "vec", 64))]
+    rows = [("full", *_mlp_f1(e, "vec", _width(e, "vec")))]
     for name, p in _projections(spark, sf, e).items():
         d = len(p.select("p").first()[0])
         rows.append((name, *_mlp_f1(p, "p", d)))
@@ -1134,7 +1136,7 @@ def _cluster_then_classify(spark, sf):
     oh = [c for c in f.columns if c.startswith("km_") or c.startswith("em_")]
     f = f.withColumn("vx", F.concat("vec", F.array(*[F.col(c).cast("double") for c in oh])))
     f = S.split_random(f, "vec_id", FX.TEST_PCT)
-    f1, secs = _mlp_f1(f, "vx", 64 + len(oh))
+    f1, secs = _mlp_f1(f, "vx", _width(f, "vx"))
     return spark.createDataFrame([("clusters+full", f1, secs)], "features string, f1 double, fit_seconds double")
 
 
