@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import argmin_dist, lit_matrix, sq_dist
+from ..functions.vectors import lit_matrix
 from .linalg import reduce_partials, stack_vectors
 
 
@@ -37,11 +37,231 @@ def kmeans_fit(df: DataFrame, vec: str, k: int, n_init: int = 10, seed: int = 10
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="_features", predictionCol="cluster").fit(data)
         return i, m, m.summary.trainingCost
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as ex:
-        fits = list(ex.map(fit, range(n_init)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as ex:
+            fits = list(ex.map(fit, range(n_init)))
+    finally:
+        data.unpersist()
     return min(fits, key=lambda t: (t[2], t[0]))[1]
 
 
+INIT_ROWS = 4096   # rows (lowest hash first) that initial centres are drawn from
+
+
+def _spread_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ choice of ``k`` rows (rows repeat where there are fewer distinct ones)."""
+    chosen = [int(rng.integers(len(x)))]
+    d2 = ((x - x[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k:
+        total = d2.sum()
+        i = int(rng.choice(len(x), p=d2 / total)) if total > 0 else int(rng.integers(len(x)))
+        chosen.append(i)
+        d2 = np.minimum(d2, ((x - x[i]) ** 2).sum(1))
+    return x[chosen].copy()
+
+
+def _nearest(x: np.ndarray, xx: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    d2 = xx[:, None] - 2.0 * (x @ c.T) + (c * c).sum(1)[None, :]
+    lab = d2.argmin(1)
+    return lab, np.maximum(d2[np.arange(len(x)), lab], 0.0)
+
+
+def _by_cluster(lab: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
+    """Sums of the rows of ``v`` per cluster (one product with the membership matrix)."""
+    hot = np.zeros((len(lab), k))
+    hot[np.arange(len(lab)), lab] = 1.0
+    return hot.T @ v
+
+
+def kmeans_batch(df: DataFrame, vec: str, id_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 100,
+                 max_iter: int = 300, tol: float = 1e-4) -> dict[int, dict]:
+    """Best of ``n_init`` k-means runs for every k: ``{k: centres, cost, iterations}``.
+
+    All runs of all k advance together: one scan per Lloyd step folds every task's rows into the
+    counts and sums of all runs that still move, so the number of scans is that of the slowest run.
+    """
+    src = df.select(F.col(vec).alias("_v")).persist()
+    try:
+        head = df.select(vec, F.xxhash64(F.col(id_col).cast("string")).alias("_h"), F.col(id_col).alias("_i")) \
+            .orderBy("_h", "_i").limit(INIT_ROWS).collect()
+        x0 = np.array([r[vec] for r in head], float)
+        if not len(x0):
+            return {}
+        still = tol * float(x0.var(axis=0).mean())
+        runs = [{"k": k, "run": r, "c": _spread_centres(x0, k, np.random.default_rng([seed, k, r])), "iterations": 0}
+                for k in ks for r in range(n_init)]
+        d = x0.shape[1]
+        live = list(runs)
+        for step in range(max_iter + 1):
+            cs = [m["c"] for m in live]
+
+            def fold(pdf, cs=cs):
+                x = stack_vectors(pdf["_v"])
+                xx = (x * x).sum(1)
+                out = []
+                for c in cs:
+                    lab, d2 = _nearest(x, xx, c)
+                    out += [_by_cluster(lab, np.hstack([np.ones((len(x), 1)), x]), len(c)).ravel(), [d2.sum()]]
+                return np.concatenate(out)
+
+            tot = reduce_partials(src, fold, sum(len(c) * (d + 1) + 1 for c in cs))
+            at, moving = 0, []
+            for m in live:
+                k = m["k"]
+                part = tot[at:at + k * (d + 1)].reshape(k, d + 1)
+                m["cost"] = float(tot[at + k * (d + 1)])
+                at += k * (d + 1) + 1
+                new = np.where(part[:, :1] > 0, part[:, 1:] / np.maximum(part[:, :1], 1.0), m["c"])
+                if ((new - m["c"]) ** 2).sum() > still and step < max_iter:
+                    m["c"], m["iterations"] = new, step + 1
+                    moving.append(m)
+            live = moving
+            if not live:
+                break
+        return {k: min((m for m in runs if m["k"] == k), key=lambda m: (m["cost"], m["run"])) for k in ks}
+    finally:
+        src.unpersist()
+
+
+def gmm_batch(df: DataFrame, vec: str, starts: dict[int, np.ndarray], max_iter: int = 100, tol: float = 1e-3,
+              reg: float = 1e-6) -> dict[int, dict]:
+    """Diagonal mixtures for every k of ``starts`` (initial centres): EM with one scan per step for all of them."""
+    src = df.select(F.col(vec).alias("_v")).persist()
+    try:
+        ks = list(starts)
+        d = len(next(iter(starts.values()))[0])
+        cs = [np.asarray(starts[k], float) for k in ks]
+
+        def hard(pdf):
+            x = stack_vectors(pdf["_v"])
+            xx = (x * x).sum(1)
+            v = np.hstack([np.ones((len(x), 1)), x, x * x])
+            return np.concatenate([_by_cluster(_nearest(x, xx, c)[0], v, len(c)).ravel() for c in cs] + [[len(x)]])
+
+        tot = reduce_partials(src, hard, sum(len(c) for c in cs) * (1 + 2 * d) + 1)
+        n, at, fits = int(round(tot[-1])), 0, {}
+        for k in ks:
+            part = tot[at:at + k * (1 + 2 * d)].reshape(k, 1 + 2 * d)
+            at += k * (1 + 2 * d)
+            w, mu, var = gmm_m_step(np.maximum(part[:, 0], 1e-10), part[:, 1:1 + d], part[:, 1 + d:], n, reg)
+            fits[k] = {"weights": w, "means": mu, "vars": var, "loglik": -np.inf, "iterations": 0, "n": n, "live": True}
+        for step in range(1, max_iter + 2):
+            live = [k for k in ks if fits[k]["live"]]
+            params = [(fits[k]["weights"], fits[k]["means"], fits[k]["vars"]) for k in live]
+
+            def soft(pdf, params=params):
+                x = stack_vectors(pdf["_v"])
+                out = []
+                for w, mu, var in params:
+                    ld = _log_dens(x, w, mu, var)
+                    m = ld.max(axis=1, keepdims=True)
+                    lse = m[:, 0] + np.log(np.exp(ld - m).sum(axis=1))
+                    r = np.exp(ld - lse[:, None])
+                    out += [r.sum(0), (r.T @ x).ravel(), (r.T @ (x * x)).ravel(), [lse.sum()]]
+                return np.concatenate(out)
+
+            tot, at = reduce_partials(src, soft, sum(k * (1 + 2 * d) + 1 for k in live)), 0
+            for k in live:
+                nk = tot[at:at + k]
+                sk = tot[at + k:at + k + k * d].reshape(k, d)
+                qk = tot[at + k + k * d:at + k + 2 * k * d].reshape(k, d)
+                ll = float(tot[at + k + 2 * k * d])
+                at += k * (1 + 2 * d) + 1
+                f = fits[k]
+                settled = abs(ll - f["loglik"]) / max(n, 1) < tol or step > max_iter
+                f["loglik"] = ll
+                if settled:  # the likelihood just read is that of the parameters kept
+                    f["live"] = False
+                else:
+                    f["weights"], f["means"], f["vars"] = gmm_m_step(nk, sk, qk, n, reg)
+                    f["iterations"] = step
+            if not any(f["live"] for f in fits.values()):
+                break
+        return fits
+    finally:
+        src.unpersist()
+
+
+def clustering_scores(df: DataFrame, vec: str, label: str, y: str, models: dict, assign) -> dict:
+    """``{name: homogeneity, f1, silhouette}`` of many clusterings in two scans.
+
+    ``assign(model, x)`` labels the rows of a numpy batch; ``models[name]["k"]`` is its number of clusters.
+    The first scan folds the table of (cluster, label, y) counts and the moments of every cluster, the
+    second the silhouettes (squared distances).  Majority votes tie to the smaller ``y``.
+    """
+    levels = sorted(r[0] for r in df.select(label).distinct().collect())   # label levels: model-sized
+    src = df.select(F.col(vec).alias("_v"), F.col(label).alias("_l"), F.col(y).cast("int").alias("_y")).persist()
+    try:
+        d = len(src.first()["_v"])
+        names = list(models)
+        m_levels = len(levels)
+
+        def counts(pdf):
+            x = stack_vectors(pdf["_v"])
+            lab = np.searchsorted(levels, pdf["_l"].to_numpy())
+            yy = pdf["_y"].to_numpy()
+            v = np.hstack([np.ones((len(x), 1)), x, (x * x).sum(1)[:, None]])
+            out = []
+            for name in names:
+                k = models[name]["k"]
+                c = assign(models[name], x)
+                out += [np.bincount((c * m_levels + lab) * 2 + yy, minlength=k * m_levels * 2), _by_cluster(c, v, k).ravel()]
+            return np.concatenate(out).astype(float)
+
+        tot, at, res = reduce_partials(src, counts, sum(models[m]["k"] * (2 * m_levels + d + 2) for m in names)), 0, {}
+        moments = {}
+        for name in names:
+            k = models[name]["k"]
+            table = tot[at:at + k * m_levels * 2].reshape(k, m_levels, 2)
+            at += k * m_levels * 2
+            moments[name] = tot[at:at + k * (d + 2)].reshape(k, d + 2)
+            at += k * (d + 2)
+            n = table.sum()
+            ck, nk, nc = table.sum(2), table.sum((1, 2)), table.sum((0, 2))
+            some = ck > 0
+            h_ck = -(ck[some] * np.log((ck / np.maximum(nk[:, None], 1))[some])).sum() / n
+            h_c = -(nc[nc > 0] * np.log(nc[nc > 0] / n)).sum() / n
+            by_y = table.sum(1)
+            one = by_y[:, 1] > by_y[:, 0]   # clusters that vote 1
+            tp, fp, fn = by_y[one, 1].sum(), by_y[one, 0].sum(), by_y[~one, 1].sum()
+            res[name] = {"homogeneity": 1.0 if h_c <= 1e-15 else float(1 - h_ck / h_c),
+                         "f1": float(2 * tp / (2 * tp + fp + fn)) if tp + fp + fn else 0.0}
+
+        def silhouettes(pdf):
+            x = stack_vectors(pdf["_v"])
+            xx = (x * x).sum(1)
+            rows = np.arange(len(x))
+            out = []
+            for name in names:
+                mo = moments[name]
+                nk = mo[:, 0]
+                c = assign(models[name], x)
+                tot_ = xx[:, None] * nk[None, :] - 2.0 * (x @ mo[:, 1:-1].T) + mo[None, :, -1]
+                a = tot_[rows, c] / np.maximum(nk[c] - 1, 1)
+                mean = np.where(nk[None, :] > 0, tot_ / np.maximum(nk, 1)[None, :], np.inf)
+                mean[rows, c] = np.inf
+                b = mean.min(1)
+                top = np.maximum(a, b)
+                ok = (nk[c] > 1) & np.isfinite(b) & (top > 0)
+                out.append(np.where(ok, (b - a) / np.where(ok, top, 1.0), 0.0).sum())
+            return np.array([*out, len(x)])
+
+        tot = reduce_partials(src, silhouettes, len(names) + 1)
+        for i, name in enumerate(names):
+            res[name]["silhouette"] = float(tot[i] / max(tot[-1], 1))
+        return res
+    finally:
+        src.unpersist()
+
+
+def assign_centres(model: dict, x: np.ndarray) -> np.ndarray:
+    return _nearest(x, (x * x).sum(1), model["c"])[0]
+
+
+def assign_mixture(model: dict, x: np.ndarray) -> np.ndarray:
+    return _log_dens(x, model["weights"], model["means"], model["vars"]).argmax(1)
+
+
 def kmeans_assign(model, df: DataFrame, vec: str) -> DataFrame:
     return model.transform(df.withColumn("_features", array_to_vector(F.col(vec)))).drop("_features")
 
@@ -49,15 +269,22 @@ def kmeans_assign(model, df: DataFrame, vec: str) -> DataFrame:
 def kmeans_step(df: DataFrame, vec: str, centres: Sequence[Sequence[float]]) -> DataFrame:
     """One Lloyd step: assign to the nearest centre (ties -> lowest index), average per cluster.
 
-    Output ``(cluster, n, dim, value)`` long form plus the assignment cost.
+    One scan of per-task partial sums.  Output ``(cluster, n, cost, dim, value)`` in long form,
+    empty clusters left out.
     """
-    C = lit_matrix(centres)
-    d = len(centres[0])
-    a = df.select(F.col(vec).alias("_v"), argmin_dist(C, vec).alias("cluster"))
-    a = a.withColumn("_cost", sq_dist("_v", F.element_at(C, F.col("cluster") + 1)))
-    g = a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("_cost").alias("cost"),
-                                 F.array(*[F.avg(F.col("_v")[i]) for i in range(d)]).alias("_m"))
-    return g.select("cluster", "n", "cost", F.posexplode("_m").alias("dim", "value"))
+    c = np.asarray(centres, float)
+    k, d = c.shape
+
+    def fold(pdf):
+        x = stack_vectors(pdf["_v"])
+        d2 = np.stack([((x - row) ** 2).sum(1) for row in c], axis=1)
+        lab = d2.argmin(1)
+        v = np.hstack([np.ones((len(x), 1)), d2[np.arange(len(x)), lab][:, None], x])
+        return _by_cluster(lab, v, k).ravel()
+
+    part = reduce_partials(df.select(F.col(vec).alias("_v")), fold, k * (d + 2)).reshape(k, d + 2)
+    rows = [(i, int(round(p[0])), float(p[1]), j, float(p[2 + j] / p[0])) for i, p in enumerate(part) if p[0] > 0 for j in range(d)]
+    return df.sparkSession.createDataFrame(rows, "cluster int, n long, cost double, dim int, value double")
 
 
 # ---- diagonal Gaussian mixture ---------------------------------------------------
@@ -108,28 +335,8 @@ def gmm_diag_fit(df: DataFrame, vec: str, k: int, seed: int = 100, max_iter: int
     Returns ``dict(weights, means, vars, loglik, iterations, n)``; convergence
     when the mean log-likelihood gain per row drops below ``tol``.
     """
-    data = df.select(vec).persist()
-    km = kmeans_fit(data, vec, k, n_init=1, seed=seed)
-    lab = kmeans_assign(km, data, vec)
-    d = len(km.clusterCenters()[0])
-    # initial responsibilities = hard k-means labels
-    resp = lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
-                                      F.array(*[F.sum(F.col(vec)[i]) for i in range(d)]).alias("s"),
-                                      F.array(*[F.sum(F.col(vec)[i] * F.col(vec)[i]) for i in range(d)]).alias("q")).collect()
-    nk, sk, qk = np.zeros(k), np.zeros((k, d)), np.zeros((k, d))
-    for r in resp:
-        nk[r["cluster"]], sk[r["cluster"]], qk[r["cluster"]] = r["n"], r["s"], r["q"]
-    n = int(nk.sum())
-    w, mu, var = gmm_m_step(np.maximum(nk, 1e-10), sk, qk, n, reg)
-    prev, it, ll = -np.inf, 0, -np.inf
-    for it in range(1, max_iter + 1):
-        nk, sk, qk, ll, n = gmm_stats(data, vec, w, mu, var)
-        w, mu, var = gmm_m_step(nk, sk, qk, n, reg)
-        if abs(ll - prev) / max(n, 1) < tol:
-            break
-        prev = ll
-    _, _, _, ll, n = gmm_stats(data, vec, w, mu, var)
-    return {"weights": w, "means": mu, "vars": var, "loglik": ll, "iterations": it, "n": n}
+    km = kmeans_fit(df.select(vec), vec, k, n_init=1, seed=seed)
+    return gmm_batch(df, vec, {k: np.array(km.clusterCenters())}, max_iter, tol, reg)[k]
 
 
 def gmm_predict(df: DataFrame, vec: str, params: dict, out: str = "cluster") -> DataFrame:

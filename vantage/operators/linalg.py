@@ -8,10 +8,14 @@ numpy), Spark sums the partials by entry, and only the ``d x d`` result
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BLOCK, SALTS = 2048, 64
+
+
 def gram(df: DataFrame, vec: Column | str, with_intercept: bool = True) -> np.ndarray:
     """``Z^T Z`` for ``z = [1, v]`` (or ``v``); entry (0,0) is the row count."""
     v = F.col(vec) if isinstance(vec, str) else vec
@@ -19,19 +23,17 @@ def gram(df: DataFrame, vec: Column | str, with_intercept: bool = True) -> np.nd
     icpt = bool(with_intercept)
 
     def partial(batches):
-        import numpy as _np
-        import pandas as _pd
         acc = None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            z = _np.stack(pdf["_v"].to_numpy())
+            z = np.stack(pdf["_v"].to_numpy())
             if icpt:
-                z = _np.hstack([_np.ones((z.shape[0], 1)), z])
+                z = np.hstack([np.ones((z.shape[0], 1)), z])
             g = z.T @ z
             acc = g if acc is None else acc + g
         if acc is not None:
-            yield _pd.DataFrame({"pos": _np.arange(acc.size, dtype=_np.int64), "val": acc.ravel()})
+            yield pd.DataFrame({"pos": np.arange(acc.size, dtype=np.int64), "val": acc.ravel()})
 
     parts = src.mapInPandas(partial, "pos long, val double")
     sums = parts.groupBy("pos").agg(F.sum("val").alias("val")).collect()
@@ -80,22 +82,40 @@ def reduce_partials(df: DataFrame, fn, length: int) -> np.ndarray:
     sufficient statistics, ICA fixed-point moments).
     """
 
-    def partial(batches):
-        import numpy as _np
-        import pandas as _pd
-        acc = _np.zeros(length)
-        seen = False
+    def folded(batches):
+        acc = None
         for pdf in batches:
             if len(pdf):
-                acc += _np.asarray(fn(pdf), dtype=float)
-                seen = True
-        if seen:
-            yield _pd.DataFrame({"pos": _np.arange(length, dtype=_np.int64), "val": acc})
+                part = np.asarray(fn(pdf), dtype=float)
+                acc = part if acc is None else acc + part
+        return acc
 
-    parts = df.mapInPandas(partial, "pos long, val double")
     out = np.zeros(length)
-    for r in parts.groupBy("pos").agg(F.sum("val").alias("val")).collect():
-        out[r["pos"]] = r["val"]
+    if length <= BLOCK:
+        def partial(batches):
+            acc = folded(batches)
+            if acc is not None:
+                yield pd.DataFrame({"pos": np.arange(length, dtype=np.int64), "val": acc})
+
+        for r in df.mapInPandas(partial, "pos long, val double").groupBy("pos").agg(F.sum("val").alias("val")).collect():
+            out[r["pos"]] = r["val"]
+        return out
+
+    # long vectors travel as blocks and are summed in two levels, so no task gathers all tasks' partials
+    def blocks(batches):
+        acc = folded(batches)
+        if acc is not None:
+            starts = range(0, length, BLOCK)
+            yield pd.DataFrame({"block": np.arange(len(starts), dtype=np.int32), "val": [acc[i:i + BLOCK] for i in starts]})
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "val": [np.sum(np.stack(pdf["val"].to_numpy()), axis=0)]})
+
+    shape = "block int, val array<double>"
+    parts = df.mapInPandas(blocks, shape).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    parts = parts.groupBy("block", "salt").applyInPandas(total, shape).groupBy("block").applyInPandas(total, shape)
+    for r in parts.collect():
+        out[r["block"] * BLOCK:r["block"] * BLOCK + len(r["val"])] = r["val"]
     return out
 
 

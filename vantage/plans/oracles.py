@@ -281,17 +281,19 @@ SQL["best_params"] = (
     "FROM f, g GROUP BY ALL), ms AS (SELECT grid_idx, threshold, avg(acc) AS mean_score FROM pf GROUP BY ALL) "
     "SELECT grid_idx, threshold, round(mean_score, 6) AS mean_score FROM ms ORDER BY mean_score DESC, grid_idx LIMIT 1")
 SQL["elbow_curve"] = (
-    "WITH mm AS (SELECT min(n_chars) AS mn, (max(n_chars) - min(n_chars))::DOUBLE AS span FROM documents), "
-    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in Q.ELBOW_K) + "]) AS k), "
-    "fb AS (SELECT k, lang, least(floor(k * (n_chars - mn) / CASE WHEN span = 0 THEN 1.0 ELSE span END), k - 1) AS bin "
-    "FROM documents, mm, ks), "
-    "cont AS (SELECT k, bin, lang, count(*)::DOUBLE AS n FROM fb GROUP BY ALL), "
-    "nk AS (SELECT k, bin, sum(n) AS nk FROM cont GROUP BY ALL), nc AS (SELECT k, lang, sum(n) AS nc FROM cont GROUP BY ALL), "
+    f"WITH {EMB}, sd AS (SELECT v AS c, row_number() OVER (ORDER BY {H(chr(39) + 'elbow:' + chr(39) + ' || vec_id')}, vec_id) AS i "
+    "FROM emb QUALIFY i <= 48), "
+    "ds AS (SELECT vec_id, label, i, round(sqrt(list_reduce(list_transform(list_zip(v, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])), "
+    "lambda p, r: p + r)), 9) AS d FROM emb, sd), "
+    "ks AS (SELECT unnest(range(2, 49, 2)) AS k), "
+    "nr AS (SELECT k, vec_id, label, arg_min(i, (d, i)) AS c FROM ds, ks WHERE i <= k GROUP BY k, vec_id, label), "
+    "cont AS (SELECT k, c, label, count(*)::DOUBLE AS n FROM nr GROUP BY ALL), "
+    "nk AS (SELECT k, c, sum(n) AS nk FROM cont GROUP BY ALL), nc AS (SELECT k, label, sum(n) AS nc FROM cont GROUP BY ALL), "
     "tt AS (SELECT k, sum(n) AS nn FROM cont GROUP BY ALL), "
-    "hck AS (SELECT k, sum(-n / nn * ln(n / nk)) AS h FROM cont JOIN nk USING (k, bin) JOIN tt USING (k) GROUP BY k), "
+    "hck AS (SELECT k, sum(-n / nn * ln(n / nk)) AS h FROM cont JOIN nk USING (k, c) JOIN tt USING (k) GROUP BY k), "
     "hc AS (SELECT k, sum(-nc / nn * ln(nc / nn)) AS h FROM nc JOIN tt USING (k) GROUP BY k), "
     "hh AS (SELECT k, 1 - hck.h / hc.h AS h FROM hck JOIN hc USING (k)) "
-    "SELECT k, round(h, 6) AS homogeneity, round(h - lag(h) OVER (ORDER BY k), 6) AS delta FROM hh")
+    "SELECT k::INTEGER AS k, round(h, 6) AS homogeneity, round(h - lag(h) OVER (ORDER BY k), 6) AS delta FROM hh")
 
 # ---------------------------------------------------------------- sorts / top-k / unions
 SQL["sort_desc"] = ("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem "

@@ -6,13 +6,15 @@ full; fixture choices are listed in the README.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Callable
 
 import numpy as _np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_unit
+from ..functions.hashing import hash32, hash_unit
+from ..functions.vectors import argmin_dist, dist
 from ..operators import classify as CL
 from ..operators import clustering as CU
 from ..operators import metrics as M
@@ -571,21 +573,23 @@ def _best_params(spark, sf):
     return best.select("b.grid_idx", "b.threshold", r6(F.col("b.mean_score")).alias("mean_score"))
 
 
-ELBOW_K = list(range(2, 21, 2))
+CLUSTER_K = list(range(2, 49, 2))
 
 
 @q("elbow_curve")
 def _elbow_curve(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang")
-    mm = d.agg(F.min("n_chars").alias("mn"), F.max("n_chars").alias("mx")).first()
-    span = float(mm["mx"] - mm["mn"]) or 1.0
-    fan = d.select("lang", "n_chars", F.explode(F.array(*[F.lit(k) for k in ELBOW_K])).alias("k"))
-    fan = fan.withColumn("bin", F.least(F.floor(F.col("k") * (F.col("n_chars") - F.lit(mm["mn"])) / F.lit(span)),
-                                         F.col("k") - 1))
-    cont = fan.groupBy("k", "bin", "lang").agg(F.count(F.lit(1)).cast("double").alias("n_ck"))
-    nk = cont.groupBy("k", "bin").agg(F.sum("n_ck").alias("n_k"))
-    nc = cont.groupBy("k", "lang").agg(F.sum("n_ck").alias("n_c"))
-    t = cont.join(nk, ["k", "bin"]).join(nc, ["k", "lang"]).groupBy("k").agg(
+    """Homogeneity and its first difference per k: rows go to the nearest of the first k hash-chosen rows."""
+    e = FX.emb(spark, sf)
+    seeds = [list(r["vec"]) for r in e.select("vec", hash32(F.lit("elbow"), F.col("vec_id")).alias("h"), "vec_id")
+             .orderBy("h", "vec_id").limit(max(CLUSTER_K)).collect()]
+    d = F.transform(_lit(_np.array(seeds)), lambda c: F.round(dist(c, F.col("vec")), 9))
+    near = F.transform(F.array(*[F.lit(k) for k in CLUSTER_K]), lambda k: F.struct(
+        k.alias("k"), F.array_position(F.slice("d", F.lit(1), k), F.array_min(F.slice("d", F.lit(1), k))).alias("c")))
+    fan = e.select("label", d.alias("d")).select("label", F.inline(near))
+    cont = fan.groupBy("k", "c", "label").agg(F.count(F.lit(1)).cast("double").alias("n_ck"))
+    cont = cont.withColumn("n_k", F.sum("n_ck").over(Window.partitionBy("k", "c"))) \
+        .withColumn("n_c", F.sum("n_ck").over(Window.partitionBy("k", "label")))
+    t = cont.groupBy("k").agg(
         F.sum(-F.col("n_ck") * F.log(F.col("n_ck") / F.col("n_k"))).alias("a"),
         F.sum(-F.col("n_ck") * F.log(F.col("n_c"))).alias("b"), F.sum("n_ck").alias("N"))
     hc = (F.col("b") + F.col("N") * F.log(F.col("N"))) / F.col("N")
@@ -840,6 +844,16 @@ def _ml_split(spark, sf):
     return tr, te
 
 
+@contextmanager
+def _released(*frames):
+    """Persisted frames, given back at the end."""
+    try:
+        yield
+    finally:
+        for f in frames:
+            f.unpersist()
+
+
 def _predict(make):
     """``make(d, n)``: estimator for ``d`` features and ``n`` training rows, both read from the table."""
     def fn(spark, sf):
@@ -859,9 +873,10 @@ REGISTRY["clf_gbt"] = _predict(lambda d, n: CL.gbt(n_estimators=10, max_depth=3)
 
 @q("mlp_loss_curve")
 def _mlp_loss_curve(spark, sf):
-    tr, _ = _ml_split(spark, sf)
-    model = CL.mlp([_width(tr, "features"), MLP_HIDDEN, 2], max_iter=50).fit(tr)
-    hist = model.summary().objectiveHistory
+    tr, te = _ml_split(spark, sf)
+    with _released(tr, te):
+        model = CL.mlp([_width(tr, "features"), MLP_HIDDEN, 2], max_iter=50).fit(tr)
+        hist = model.summary().objectiveHistory
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
 
 
@@ -882,16 +897,21 @@ REGISTRY["clf_svm_sigmoid"] = _kernel_svm(lambda e: CL.sigmoid_map(e, "vec", "ve
 @q("clf_random_forest")
 def _clf_random_forest(spark, sf):
     tr, te = _ml_split(spark, sf)
-    # leaves of at least one per cent of the rows, as in the studied forests
-    model = CL.random_forest(n_trees=500, min_leaf=max(1, tr.count() // 100)).fit(tr)
-    imp = model.featureImportances.toArray()
+    with _released(tr, te):
+        # leaves of at least one per cent of the rows, as in the studied forests
+        model = CL.random_forest(n_trees=500, min_leaf=max(1, tr.count() // 100)).fit(tr)
+        imp = model.featureImportances.toArray()
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
 
 
+TREE_DEPTHS = [1, 2, 3, 4, 5, 6, 8, 10, 12, 15, 20, 25, 30]
+
+
 @q("complexity_curve")
 def _complexity_curve(spark, sf):
     tr, te = _ml_split(spark, sf)
-    return CL.complexity_curve(lambda d: CL.tree(max_depth=d), [2, 4, 8], tr, te, "max_depth")
+    with _released(tr, te):
+        return CL.complexity_curve(lambda d: CL.tree(max_depth=d), TREE_DEPTHS, tr, te, "max_depth")
 
 
 @q("grid_search_cv")
@@ -963,54 +983,60 @@ def _sink_model_table(spark, sf):
     return t.select("component", "dim", r6(F.col("value")).alias("value"))
 
 
-def _cluster_scores(df, cluster_col):
-    """homogeneity (vs label), mode-vote F1 (vs y), squared silhouette for one clustering."""
-    h = M.homogeneity(df, cluster_col, "label").first()["homogeneity"]
-    voted = M.cluster_mode_vote(df, cluster_col, "y", "vec_id")
-    f1 = M.metric_report(voted, "y", "yhat").first()["f1"]
-    sil = NB.silhouette_sq(df, cluster_col, "vec").first()["silhouette"]
-    return float(h), float(f1), float(sil)
-
-
 @q("kmeans_sweep")
 def _kmeans_sweep(spark, sf):
-    e = FX.emb(spark, sf).persist()
-    rows = []
-    for k in [2, 4, 8, 16]:
-        m = CU.kmeans_fit(e, "vec", k, n_init=2)
-        a = CU.kmeans_assign(m, e, "vec").persist()
-        rows.append((k, float(m.summary.trainingCost), *_cluster_scores(a, "cluster")))
-    return spark.createDataFrame(rows, "k int, cost double, homogeneity double, f1 double, silhouette double")
+    e = FX.emb(spark, sf)
+    fits = CU.kmeans_batch(e, "vec", "vec_id", CLUSTER_K, n_init=10)
+    scores = CU.clustering_scores(e, "vec", "label", "y", fits, CU.assign_centres)
+    rows = [(k, float(m["cost"]), int(m["iterations"]), scores[k]["homogeneity"], scores[k]["f1"], scores[k]["silhouette"])
+            for k, m in fits.items()]
+    return spark.createDataFrame(rows, "k int, cost double, iterations int, homogeneity double, f1 double, silhouette double")
 
 
 @q("gmm_diag_fit")
 def _gmm_diag_fit(spark, sf):
-    p = CU.gmm_diag_fit(FX.emb(spark, sf), "vec", 4, max_iter=30)
+    p = CU.gmm_diag_fit(FX.emb(spark, sf), "vec", 4)
     rows = [(c, float(p["weights"][c]), j, float(p["means"][c, j]), float(p["vars"][c, j]))
             for c in range(4) for j in range(p["means"].shape[1])]
     return spark.createDataFrame(rows, "component int, weight double, dim int, mean double, var double")
 
 
+MIXTURE_K = list(range(2, 98, 5))
+
+
+def _mixtures(e, ks):
+    starts = {k: m["c"] for k, m in CU.kmeans_batch(e, "vec", "vec_id", ks, n_init=1).items()}
+    return {k: p | {"k": k} for k, p in CU.gmm_batch(e, "vec", starts).items()}
+
+
 @q("gmm_sweep")
 def _gmm_sweep(spark, sf):
-    e = FX.emb(spark, sf).persist()
+    e = FX.emb(spark, sf)
+    fits = _mixtures(e, MIXTURE_K)
+    scores = CU.clustering_scores(e, "vec", "label", "y", fits, CU.assign_mixture)
     rows = []
-    for k in [2, 4, 8]:
-        p = CU.gmm_diag_fit(e, "vec", k, max_iter=20)
+    for k, p in fits.items():
         aic, bic = CU.aic_bic(p["loglik"], k, p["means"].shape[1], p["n"])
-        a = CU.gmm_predict(e, "vec", p).persist()
-        rows.append((k, p["loglik"], aic, bic, p["iterations"], *_cluster_scores(a, "cluster")))
+        rows.append((k, p["loglik"], aic, bic, p["iterations"], scores[k]["homogeneity"], scores[k]["f1"], scores[k]["silhouette"]))
     return spark.createDataFrame(rows, "k int, loglik double, aic double, bic double, iterations int, "
                                        "homogeneity double, f1 double, silhouette double")
 
 
 @q("cluster_eval")
 def _cluster_eval(spark, sf):
-    e = FX.emb(spark, sf).persist()
-    m = CU.kmeans_fit(e, "vec", 10, n_init=3)
-    a = CU.kmeans_assign(m, e, "vec")
-    voted = M.cluster_mode_vote(a, "cluster", "y", "vec_id")
-    return M.metric_report(voted, "y", "yhat", extra={"cost": float(m.summary.trainingCost)})
+    """Mode-vote metrics of a k-means and of a mixture clustering, with iterations, cost and likelihood bound."""
+    e = FX.emb(spark, sf)
+    km = CU.kmeans_batch(e, "vec", "vec_id", [10], n_init=10)[10]
+    em = _mixtures(e, [10])[10]
+    parts = []
+    for name, df, extra in (
+            ("kmeans", e.withColumn("cluster", argmin_dist(_lit(km["c"]), "vec")),
+             {"iterations": int(km["iterations"]), "cost": float(km["cost"]), "loglik": None}),
+            ("em", CU.gmm_predict(e, "vec", em), {"iterations": int(em["iterations"]), "cost": None, "loglik": float(em["loglik"])})):
+        r = M.metric_report(M.cluster_mode_vote(df, "cluster", "y", "vec_id"), "y", "yhat").select(F.lit(name).alias("clusterer"), "*")
+        parts.append(r.withColumn("iterations", F.lit(extra["iterations"])).withColumn("cost", F.lit(extra["cost"]).cast("double"))
+                     .withColumn("loglik", F.lit(extra["loglik"]).cast("double")))
+    return parts[0].unionByName(parts[1])
 
 
 @q("covariance_matrix")
@@ -1052,13 +1078,24 @@ def _distance_correlation(spark, sf):
     return d.select(r6(F.col("distance_correlation")).alias("distance_correlation"))
 
 
+def _dims(d):
+    """Sizes of a projection sweep: 2, 5, 8, ... below d - 1, and d."""
+    return [*range(2, d - 1, 3), d]
+
+
 @q("ica_fit")
 def _ica_fit(spark, sf):
+    """Kurtosis curve of the independent components over their number."""
+    e = FX.emb(spark, sf)
+    return PJ.kurtosis_curve(e, "vec", PJ.ica_sweep(e, "vec", _dims(_width(e, "vec")), max_iter=100))
+
+
+@q("rca_sweep")
+def _rca_sweep(spark, sf):
+    """Distance correlation of sparse random projections: dims x 5 seeds, mean and sample deviation."""
     e = FX.emb(spark, sf)
-    fit = PJ.ica_fit(e, "vec", ICA_M, max_iter=100)
-    p = PJ.project(e, "vec", fit["unmixing"], fit["mean"], "ic")
-    k = M.kurtosis_abs_mean(p, [F.col("ic")[i] for i in range(ICA_M)])
-    return k.withColumn("iterations", F.lit(fit["iterations"]))
+    r = M.restart_mean_std(PJ.rca_sweep(e, "vec", _dims(_width(e, "vec")), range(5)), ["dim"], "r")
+    return r.select("dim", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std"))
 
 
 @q("rf_feature_select")
@@ -1068,28 +1105,36 @@ def _rf_feature_select(spark, sf):
 
 
 def _projections(spark, sf, e):
+    d = _width(e, "vec")
     pca = PJ.pca_fit(e, "vec")
-    ica = PJ.ica_fit(e, "vec", ICA_M, max_iter=50)
-    sel = [r["feature"] for r in PJ.rf_feature_select(e, "vec", "y", num_trees=30).where("selected").collect()]
+    ica = PJ.ica_fit(e, "vec", ICA_M, max_iter=200)
+    sel = [r["feature"] for r in PJ.rf_feature_select(e, "vec", "y", num_trees=100).where("selected").collect()]
     return {
         "pca": PJ.pca_project(e, "vec", pca, 8, "p"),
         "ica": PJ.project(e, "vec", ica["unmixing"], ica["mean"], "p"),
-        "rca": PJ.project(e, "vec", PJ.sparse_projection_matrix(_width(e, "vec"), RCA_K, seed=0), out="p"),
+        "rca": PJ.project(e, "vec", PJ.sparse_projection_matrix(d, RCA_K, seed=0), out="p"),
         "rfc": e.withColumn("p", F.array(*[F.col("vec")[i] for i in sel])),
     }
 
 
+PROJECTED_KMEANS, PROJECTED_EM = [9, 25], [24, 41]   # the cluster numbers the studied runs settled on
+
+
 @q("project_then_cluster")
 def _project_then_cluster(spark, sf):
-    e = FX.emb(spark, sf).persist()
+    e = FX.emb(spark, sf)
     rows = []
     for name, p in _projections(spark, sf, e).items():
-        p = p.persist()
-        km = CU.kmeans_assign(CU.kmeans_fit(p, "p", 10, n_init=1), p, "p")
-        rows.append((name, "kmeans", float(M.homogeneity(km, "cluster", "label").first()["homogeneity"])))
-        gm = CU.gmm_predict(p, "p", CU.gmm_diag_fit(p, "p", 4, max_iter=15))
-        rows.append((name, "em", float(M.homogeneity(gm, "cluster", "label").first()["homogeneity"])))
-    return spark.createDataFrame(rows, "projection string, clusterer string, homogeneity double")
+        p = p.select("vec_id", "label", "y", F.col("p").alias("vec")).persist()
+        try:
+            km = CU.kmeans_batch(p, "vec", "vec_id", PROJECTED_KMEANS, n_init=10)
+            em = _mixtures(p, PROJECTED_EM)
+            for kind, fits, assign in (("kmeans", km, CU.assign_centres), ("em", em, CU.assign_mixture)):
+                for k, s in CU.clustering_scores(p, "vec", "label", "y", fits, assign).items():
+                    rows.append((name, kind, k, s["homogeneity"], s["f1"], s["silhouette"]))
+        finally:
+            p.unpersist()
+    return spark.createDataFrame(rows, "projection string, clusterer string, k int, homogeneity double, f1 double, silhouette double")
 
 
 def _mlp_f1(p, vec, d):
@@ -1102,17 +1147,16 @@ def _mlp_f1(p, vec, d):
 @q("project_then_classify")
 def _project_then_classify(spark, sf):
     e = S.split_random(FX.emb(spark, sf), "vec_id", FX.TEST_PCT).persist()
-    rows = [("full", *_mlp_f1(e, "vec", _width(e, "vec")))]
-    for name, p in _projections(spark, sf, e).items():
-        d = len(p.select("p").first()[0])
-        rows.append((name, *_mlp_f1(p, "p", d)))
+    with _released(e):
+        rows = [("full", *_mlp_f1(e, "vec", _width(e, "vec")))]
+        for name, p in _projections(spark, sf, e).items():
+            rows.append((name, *_mlp_f1(p, "p", _width(p, "p"))))
     return spark.createDataFrame(rows, "projection string, f1 double, fit_seconds double")
 
 
 def _cluster_features(spark, sf):
     labels, w, mu, var, n = _label_params(spark, sf)
     e = FX.emb(spark, sf)
-    from ..functions.vectors import argmin_dist
     e = e.withColumn("km", argmin_dist(_lit(mu), "vec"))
     e = CU.gmm_predict(e, "vec", {"weights": w, "means": mu, "vars": var}, out="em")
     lv = list(range(len(labels)))
@@ -1132,12 +1176,19 @@ def _add_cluster_features(spark, sf):
 
 @q("cluster_then_classify")
 def _cluster_then_classify(spark, sf):
-    f = _cluster_features(spark, sf)
+    """MLP on cluster features joined to the full table and to each projection."""
+    f = S.split_random(_cluster_features(spark, sf), "vec_id", FX.TEST_PCT)
     oh = [c for c in f.columns if c.startswith("km_") or c.startswith("em_")]
-    f = f.withColumn("vx", F.concat("vec", F.array(*[F.col(c).cast("double") for c in oh])))
-    f = S.split_random(f, "vec_id", FX.TEST_PCT)
-    f1, secs = _mlp_f1(f, "vx", _width(f, "vx"))
-    return spark.createDataFrame([("clusters+full", f1, secs)], "features string, f1 double, fit_seconds double")
+    hot = F.array(*[F.col(c).cast("double") for c in oh])
+    frames = {"full": f.withColumn("p", F.col("vec")), **_projections(spark, sf, f)}
+    rows = []
+    for name, p in frames.items():
+        p = p.withColumn("vx", F.concat("p", hot)).persist()
+        try:
+            rows.append((f"clusters+{name}", *_mlp_f1(p, "vx", _width(p, "vx"))))
+        finally:
+            p.unpersist()
+    return spark.createDataFrame(rows, "features string, f1 double, fit_seconds double")
 
 
 KNN_GRID = [1, 3, 5, 7, 9]
