@@ -68,6 +68,22 @@ def test_crowded_lists_need_the_exact_rest(spark):
             w[j] = f"q{random.randrange(40)}"
         rows.append((i, " ".join(w)))
     check(spark, rows, star_rounds=1)
+    check(spark, rows, star_rounds=1, small_list=10**6)
+    check(spark, rows, star_rounds=1, small_list=0)
+
+
+def test_chains_in_crowded_lists(spark):
+    """Links among members that are all too far from the hub, and sizes that differ."""
+    random.seed(10)
+    base = [f"b{i}" for i in range(50)]
+    rows = []
+    for i in range(70):
+        w = list(base)
+        for j in random.sample([3, 11, 19, 27, 35, 43], random.choice([0, 1, 2, 3])):
+            w[j] = f"q{j}x{random.randrange(2)}"
+        rows.append((i, " ".join(w[random.choice([0, 0, 1, 2]):50 - random.choice([0, 0, 1, 3])])))
+    for rounds in (1, 2):
+        check(spark, rows, star_rounds=rounds, small_list=0)
 
 
 def test_edges(spark):

@@ -14,10 +14,10 @@ No list of links is ever expanded:
   has them) can link with nobody and leaves the lists; the same bound is held against pairs;
 * star rounds compare each member of a posting list with one hub only, the member with the
   fewest shingles of its own; members already in the hub's component are done;
-* what is left are lists that hold several components: there every member outside
-  the list's largest component meets the other components' members, so each
-  cross-component pair that shares a prefix pair and can reach the threshold is judged,
-  and none within one.
+* what is left are lists that hold several components: members outside a list's largest
+  component look for partners, in small lists one by one, in crowded ones through the
+  shingles in which they differ from the hub (see ``_crowded_pairs``); every cross-component
+  pair that shares a prefix pair and can reach the threshold is judged, and none within one.
 
 Defined results: null or empty texts have no set and link with nothing; equal
 sets link (also texts shorter than five words, which are one shingle as a
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import textbuf as T
 from .common import documents_view, stage
 
-SHINGLE, THRESHOLD, COORDS, STAR_ROUNDS = 5, 85, 64, 2
+SHINGLE, THRESHOLD, COORDS, STAR_ROUNDS, SMALL_LIST = 5, 85, 64, 2, 8
 
 
 def agreements_needed(threshold: int, coords: int) -> int:
@@ -188,8 +188,66 @@ def _reach(sets: DataFrame, threshold: int) -> DataFrame:
         .where(100 * F.col("common") >= threshold * F.col("size"))
 
 
+def _list_sizes(at: DataFrame) -> DataFrame:
+    return at.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _small_list_pairs(outside: DataFrame, at: DataFrame, close, small_list: int) -> DataFrame:
+    """Cross-component pairs of the lists of at most ``small_list`` members, as they are."""
+    few = _list_sizes(at).where(F.col("n") <= small_list).select("token")
+    others = at.select("token", F.col("node").alias("node2"), F.col("label").alias("label2"),
+                       F.col("size").alias("size2"), F.col("common").alias("common2"))
+    return outside.drop("node2", "size2", "common2", "main").join(few, "token").join(others, "token") \
+        .where(F.col("label") != F.col("label2")).where(close) \
+        .select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"))
+
+
+def _crowded_pairs(crowded: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Candidate pairs of crowded lists by what sets differ in from their list's hub.
+
+    With D = the shingles in which a set differs from the hub's, two sets differ in |Da| + |Db| - 2 |Da & Db|
+    shingles, and they link if that is at most c (na + nb), c = (1 - t) / (1 + t).  With S = |D| - c n:
+
+    * if Sa + Sb <= 0 they link for certain, and then both link with the member of the smallest S, which links
+      with the hub: that one pair stands for all of these;
+    * otherwise Da and Db must share (Sa + Sb) / 2 shingles at least, so they meet in the rarest
+      |D| - (S + least S of a possible partner) / 2 + 1 of them: only those are posted, and only members outside
+      the hub's component look for partners.
+    """
+    t = threshold
+    group = stage(crowded.select(F.col("node2").alias("hub"), "node", "label", "main", "size").distinct(), "near-crowded")
+    hubs = sets.select(F.col("node").alias("hub"), F.col("members").alias("of_hub"))
+    delta = F.concat(F.array_except("members", "of_hub"), F.array_except("of_hub", "members"))
+    d = group.join(sets, "node").join(hubs, "hub").select("hub", "node", "label", "main", "size", delta.alias("delta"))
+    d = stage(d.withColumn("s", (100 + t) * F.size("delta").cast("long") - (100 - t) * F.col("size")), "near-deltas")
+    outer = F.col("label") != F.col("main")
+    least = d.groupBy("hub").agg(F.min("s").alias("s_min"), F.min_by("node", F.struct("s", "node")).alias("m"),
+                                 F.min(F.when(outer, F.col("s"))).alias("s_out"))
+    own = d.join(least, "hub")
+    certain = own.where(outer & (F.col("s") + F.col("s_min") <= 0)).select("node", F.col("m").alias("other"))
+    certain = certain.unionByName(least.select(F.col("m").alias("node"), F.col("hub").alias("other")))
+    shared = d.select("hub", F.explode("delta").alias("e")).groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    posted = own.select("hub", "node", "label", outer.alias("outer"), F.size("delta").alias("n"), "s", "s_min", "s_out", F.explode("delta").alias("e")) \
+        .join(shared, ["hub", "e"]).groupBy("hub", "node", "label", "outer", "n", "s", "s_min", "s_out") \
+        .agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("t"))
+
+    def prefix(rows: DataFrame, partner: str) -> DataFrame:
+        must = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col(partner)) / F.lit(2 * (100 + t)))).cast("int")
+        take = F.greatest(F.lit(0), F.col("n") - must + 1 - (F.col("n") - F.size("t")))
+        return rows.select("hub", "node", "label", "outer", F.explode(F.slice("t", F.lit(1), take)).alias("x")) \
+            .select("hub", F.col("x.e").alias("e"), "node", "label", "outer")
+
+    posted = stage(posted, "near-posted")
+    seek = prefix(posted.where("outer"), "s_min").drop("outer")
+    find = prefix(posted, "s_out").select("hub", "e", F.col("node").alias("node2"), F.col("label").alias("label2"))
+    pairs = seek.join(find, ["hub", "e"]).where(F.col("label") != F.col("label2")).select("node", F.col("node2").alias("other"))
+    return pairs.unionByName(certain).where("node <> other") \
+        .select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-                    threshold: int = THRESHOLD, coords: int = COORDS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+                    threshold: int = THRESHOLD, coords: int = COORDS, star_rounds: int = STAR_ROUNDS,
+                    small_list: int = SMALL_LIST) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
     need = agreements_needed(threshold, coords)
     prefix = coords - need + 1
@@ -238,10 +296,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .groupBy("node").agg(F.max_by("node2", F.struct("n", "node2")).alias("node2")) \
                 .select(F.col("node").alias("u"), F.col("node2").alias("v"))
         else:
-            others = at.select("token", F.col("node").alias("node2"), F.col("label").alias("label2"),
-                               F.col("size").alias("size2"), F.col("common").alias("common2"))
-            pairs = outside.drop("node2", "size2", "common2", "main").join(others, "token").where(F.col("label") != F.col("label2")) \
-                .where(close).select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v")).distinct()
+            pairs = _small_list_pairs(outside, at, close, small_list)
+            crowded = at.join(main, "token").join(_list_sizes(at).where(F.col("n") > small_list).select("token"), "token")
+            pairs = pairs.unionByName(_crowded_pairs(crowded, sets, threshold)).distinct()
         found = _verified(pairs, sigs, sets, need, threshold)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
