@@ -219,3 +219,16 @@ def test_describe_keeps_an_all_null_column(spark):
 def test_wide_averages_take_all_algorithms(spark):
     df = spark.createDataFrame([("p", 1, 2.0, 3.0), ("q", 1, 4.0, 5.0)], "algo string, budget int, mean_fitness double, mean_seconds double")
     assert M.run_average_wide(df, "budget", "algo").columns == ["budget", "p_fitness", "p_seconds", "q_fitness", "q_seconds"]
+
+
+def test_bracketed_quantiles_are_exact_with_ties_and_narrow_brackets(spark):
+    import numpy as np
+    from vantage.operators.ordering import exact_quantiles_multi
+    rng = np.random.default_rng(0)
+    n = 4000
+    data = {"a": rng.normal(size=n), "b": np.where(rng.random(n) < 0.4, 5.0, rng.integers(0, 50, n).astype(float)), "c": np.full(n, 2.5)}
+    df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()], strict=True)), "a double, b double, c double").repartition(4)
+    for gather in (10_000, 3):
+        got = {(r["column"], r["p"]): r["value"] for r in exact_quantiles_multi(df, ["a", "b", "c"], [0.0, 0.3, 0.5, 1.0], gather=gather).collect()}
+        assert len(got) == 12
+        assert all(abs(v - np.quantile(data[c], p)) < 1e-9 for (c, p), v in got.items())

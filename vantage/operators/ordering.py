@@ -67,69 +67,88 @@ def ordinal(
     return res.select(*cols, (F.col("_off") + F.col("_loc") - F.col("_first")).alias(out))
 
 
+GATHER, ACCURACY = 10_000, 1000
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) of one column.
+    """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) of one column: rows ``(p, value)``."""
+    got = exact_quantiles_multi(df, [col], probs)
+    want = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
+    return want.join(got.select("p", "value"), "p", "left")
 
-    One range-partitioned sort instead of Spark's ``percentile`` aggregate, which
-    buffers every distinct value of the column in a single task.  A row hash is a
-    secondary sort key so a value held by a third of the rows still spreads
-    over many tasks.  Returns one row ``(p, value)`` per probability.
-    """
-    spark = df.sparkSession
-    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    vals = vals.withColumn("_salt", F.xxhash64("_v", F.spark_partition_id(), F.monotonically_increasing_id()))
-    # the salt is nondeterministic: the checkpoint inside ``ordinal`` pins it
-    n = vals.count()
-    if n == 0:
-        return spark.createDataFrame([(float(p), None) for p in probs], "p double, value double")
-    want = {}
-    for p in probs:
-        pos = (n - 1) * float(p)
-        lo = int(pos // 1)
-        hi = min(lo + 1, n - 1)
-        want[float(p)] = (lo, hi, pos - lo)
-    idx = sorted({i for lo, hi, _ in want.values() for i in (lo, hi)})
-    picked = ordinal(vals, ["_v", "_salt"], out="_i").where(F.col("_i").isin(idx))
-    aggs = []
-    for p, (lo, hi, frac) in want.items():
-        v_lo = F.max(F.when(F.col("_i") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_i") == hi, F.col("_v")))
-        aggs.append(F.struct(F.lit(p).alias("p"), (v_lo + (v_hi - v_lo) * F.lit(frac)).alias("value")))
-    return picked.agg(F.array(*aggs).alias("_q")).select(F.inline("_q"))
-
-
-def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of several columns with one grouped sort: rows ``(column, p, value)``.
-
-    Columns are unpivoted to ``(column, value)`` and numbered per column by
-    ``ordinal``; counts per column (one row each) fix the wanted positions.
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float], gather: int = GATHER) -> DataFrame:
+    """Exact quantiles of several columns without a sort: rows ``(column, p, value)``.
+
+    Approximate quantiles (deterministic rank error) bracket each wanted position; a scan counts the
+    rows below, at and between the two ends of every bracket, which proves the bracket or widens it.  A
+    bracket with more than ``gather`` rows strictly inside is narrowed by the approximate quantiles of
+    those rows, the others' few rows are gathered.  Ends are counted apart, so a value held by many
+    rows is never gathered.  Each round shrinks a bracket some hundredfold, whatever the table size.
     """
     spark = df.sparkSession
-    # integer column codes keep the sorted / checkpointed rows narrow
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
-                                         for i, c in enumerate(cols)]))).where(F.col("_v").isNotNull())
-    long = long.withColumn("_salt", F.xxhash64("_v", F.spark_partition_id(), F.monotonically_increasing_id()))
-    counts = {cols[r["_c"]]: r["n"] for r in long.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    code = {c: i for i, c in enumerate(cols)}
-    want = []
-    for c in cols:
-        n = counts.get(c, 0)
-        for p in probs:
-            if n == 0:
-                continue
+    base = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    eps = 2.0 / ACCURACY
+
+    def near(v, ranks):
+        return F.percentile_approx(v, F.array(*[F.lit(min(max(r, 0.0), 1.0)) for r in ranks]), F.lit(ACCURACY))
+
+    ranks = [r for p in probs for r in (p - eps, p + eps)]
+    one = base.agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"c{i}").alias(f"n{i}"), F.min(f"c{i}").alias(f"mn{i}"), F.max(f"c{i}").alias(f"mx{i}"),
+        near(F.col(f"c{i}"), ranks).alias(f"q{i}"))]).first()
+    todo, done = [], {}
+    for i in range(len(cols)):
+        n = one[f"n{i}"]
+        for j, p in enumerate(probs if n else ()):
             pos = (n - 1) * float(p)
             lo = int(pos // 1)
-            want.append((c, float(p), lo, min(lo + 1, n - 1), pos - lo))
-    if not want:
-        return spark.createDataFrame([], "column string, p double, value double")
-    pos = ordinal(long, ["_v", "_salt"], ["_c"], out="_i")
-    keys = F.array(*[F.struct(F.lit(code[c]).alias("c"), F.lit(i).cast("long").alias("i"))
-                     for c in counts for i in sorted({x for w in want if w[0] == c for x in (w[2], w[3])})])
-    picked = pos.where(F.array_contains(keys, F.struct(F.col("_c").alias("c"), F.col("_i").alias("i"))))
-    aggs = []
-    for c, p, lo, hi, frac in want:
-        v_lo = F.max(F.when((F.col("_c") == code[c]) & (F.col("_i") == lo), F.col("_v")))
-        v_hi = F.max(F.when((F.col("_c") == code[c]) & (F.col("_i") == hi), F.col("_v")))
-        aggs.append(F.struct(F.lit(c).alias("column"), F.lit(p).alias("p"),
-                             (v_lo + (v_hi - v_lo) * F.lit(frac)).alias("value")))
-    return picked.agg(F.array(*aggs).alias("_q")).select(F.inline("_q"))
+            todo.append({"c": i, "p": float(p), "want": (lo, min(lo + 1, n - 1)), "frac": pos - lo, "ends": (one[f"mn{i}"], one[f"mx{i}"]),
+                         "lo": one[f"q{i}"][2 * j], "hi": one[f"q{i}"][2 * j + 1]})
+
+    def scan(make):
+        """One scan with the aggregates of every open target; their values per target."""
+        aggs = [(k, m) for k, t in enumerate(todo) for m in make(t)]
+        row = base.agg(*[x.alias(f"a{j}") for j, (_, x) in enumerate(aggs)]).first()
+        out = [[] for _ in todo]
+        for j, (k, _) in enumerate(aggs):
+            out[k].append(row[j])
+        return out
+
+    def hits(cond):
+        return F.coalesce(F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long"), F.lit(0))
+
+    while todo:
+        counted = scan(lambda t: [hits(F.col(f"c{t['c']}") < t["lo"]), hits(F.col(f"c{t['c']}") == t["lo"]),
+                                  hits((F.col(f"c{t['c']}") > t["lo"]) & (F.col(f"c{t['c']}") < t["hi"])),
+                                  hits(F.col(f"c{t['c']}") == t["hi"]) if t["hi"] != t["lo"] else F.lit(0).cast("long")])
+        for t, (below, at_lo, inside, at_hi) in zip(todo, counted, strict=True):
+            t["inside"] = (below + at_lo, inside)
+            a, b = t["want"]
+            t["ok"] = below <= a and b < below + at_lo + inside + at_hi
+            if not t["ok"]:
+                t["lo"], t["hi"] = (t["ends"][0] if below > a else t["lo"]), (t["ends"][1] if b >= below + at_lo + inside + at_hi else t["hi"])
+        wide = [t for t in todo if t["ok"] and t["inside"][1] > gather]
+        few = [t for t in todo if t["ok"] and t["inside"][1] <= gather]
+        missed, todo = [t for t in todo if not t["ok"]], few
+        if few:
+            inner = scan(lambda t: [F.sort_array(F.collect_list(F.when((F.col(f"c{t['c']}") > t["lo"]) & (F.col(f"c{t['c']}") < t["hi"]), F.col(f"c{t['c']}"))))])
+            for t, (vals,) in zip(few, inner, strict=True):
+                start = t["inside"][0]
+                x, y = (t["lo"] if w < start else vals[w - start] if w < start + len(vals) else t["hi"] for w in t["want"])
+                done[t["c"], t["p"]] = x + (y - x) * t["frac"]
+        todo = wide
+        if wide:
+            def ranks_in(t):
+                start, m = t["inside"]
+                a, b = ((w - start + 0.5) / m for w in t["want"])
+                return [a - eps, b + eps]
+            got = scan(lambda t: [near(F.when((F.col(f"c{t['c']}") > t["lo"]) & (F.col(f"c{t['c']}") < t["hi"]), F.col(f"c{t['c']}")), ranks_in(t))])
+            for t, (q,) in zip(wide, got, strict=True):
+                a, b = t["want"]
+                start, m = t["inside"]
+                # a position on or before the low end keeps that end, likewise the high end
+                t["lo"], t["hi"] = (q[0] if a >= start else t["lo"]), (q[1] if b < start + m else t["hi"])
+        todo = wide + missed
+    rows = [(cols[c], p, float(v)) for (c, p), v in done.items()]
+    return spark.createDataFrame(rows, "column string, p double, value double")
