@@ -564,3 +564,25 @@ SQL["learning_curve_knn"] = (
     "round(max(CASE WHEN side = 'train' THEN s END), 6) AS train_f1_std, "
     "round(max(CASE WHEN side = 'cv' THEN m END), 6) AS cv_f1_mean, "
     "round(max(CASE WHEN side = 'cv' THEN s END), 6) AS cv_f1_std FROM ag GROUP BY size")
+
+# ---------------------------------------------------------------- kernels of fitted models
+_Q = chr(39)
+SQL["rbf_features"] = (
+    f"WITH {EMB}, w AS (SELECT i, j, sqrt(2.0::DOUBLE) * sqrt(-2.0 * ln(1.0 - {H(f'{_Q}rff:0:{_Q} || i || chr(58) || j || {_Q}:1{_Q}')}::DOUBLE / 4294967296.0)) "
+    f"* cos(2 * pi() * ({H(f'{_Q}rff:0:{_Q} || i || chr(58) || j || {_Q}:2{_Q}')}::DOUBLE / 4294967296.0)) AS w FROM range(32) a(i), range(64) b(j)), "
+    f"b AS (SELECT i, 2 * pi() * ({H(f'{_Q}rff:0:{_Q} || i || {_Q}:b{_Q}')}::DOUBLE / 4294967296.0) AS b FROM range(32) a(i)), "
+    "z AS (SELECT emb.vec_id, w.i, sum(emb.v[w.j + 1] * w.w) AS z FROM emb, w GROUP BY ALL) "
+    "SELECT vec_id, z.i::INTEGER AS component, round(sqrt(2.0 / 32) * cos(z + b.b), 6) AS value FROM z JOIN b USING (i)")
+SQL["sigmoid_features"] = (
+    f"WITH {EMB}, lm AS (SELECT v AS l, row_number() OVER (ORDER BY {H(f'{_Q}lm0:{_Q} || vec_id')}, vec_id) - 1 AS i FROM emb QUALIFY i < 32) "
+    "SELECT vec_id, i::INTEGER AS component, round(tanh(0.1::DOUBLE * list_reduce(list_transform(list_zip(v, l), lambda t: t[1] * t[2]), "
+    "lambda p, r: p + r)), 6) AS value FROM emb, lm")
+SQL["pca_trace"] = (
+    f"WITH {EMB}, u AS (SELECT i, v[i] AS x FROM emb, range(1, 65) r(i)), s AS (SELECT i, var_samp(x) AS s FROM u GROUP BY i) "
+    "SELECT count(*) AS components, round(1.0::DOUBLE, 6) AS ratio, round(sum(s), 6) AS variance FROM s")
+# three columns: the maximum spanning tree leaves out the weakest pair
+_MI = SQL["pairwise_mutual_information"].replace("round(sum(n / nn * ln(n * nn / (na * nb))), 6) AS mi", "sum(n / nn * ln(n * nn / (na * nb))) AS mi")
+SQL["chow_liu_tree"] = f"SELECT col_a, col_b, round(mi, 6) AS mi FROM ({_MI}) ORDER BY mi DESC, col_a, col_b LIMIT 2"
+SQL["udf_objective"] = (
+    f"WITH {_CANDS}, ps AS (SELECT c, y, 1 / (1 + exp(-p)) AS p FROM pr) SELECT c::INTEGER AS candidate, round(sum(abs(p - y)), 6) AS error, "
+    "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM ps GROUP BY c")

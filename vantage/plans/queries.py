@@ -689,7 +689,8 @@ def _pmi(spark, sf):
 
 @q("chow_liu_tree")
 def _chow_liu_tree(spark, sf):
-    return SQ.chow_liu_tree(SQ.pairwise_mutual_information(table(spark, sf, "lineitem"), MI_COLS))
+    t = SQ.chow_liu_tree(SQ.pairwise_mutual_information(table(spark, sf, "lineitem"), MI_COLS))
+    return t.select("col_a", "col_b", r6(F.col("mi")).alias("mi"))
 
 
 # ---------------------------------------------------------------- 2.11 planning
@@ -790,6 +791,14 @@ def _population_score(spark, sf):
     return s.select("candidate", r6(F.col("sse")).alias("sse"), r6(F.col("accuracy")).alias("accuracy"))
 
 
+@q("udf_objective")
+def _objective(spark, sf):
+    """Absolute error of logistic scores, both passed in as callables."""
+    e = FX.emb(spark, sf)
+    s = SE.population_score(e, "vec", "y", _cands(e), objective=lambda p, y: F.abs(p - y), link=lambda z: 1 / (1 + F.exp(-z)))
+    return s.select("candidate", r6(F.col("sse")).alias("error"), r6(F.col("accuracy")).alias("accuracy"))
+
+
 @q("search_tuning_report")
 def _search_tuning_report(spark, sf):
     e = FX.emb_split(spark, sf)
@@ -894,6 +903,19 @@ REGISTRY["clf_svm_rbf"] = _kernel_svm(lambda e: CL.rff_map(e, "vec", _width(e, "
 REGISTRY["clf_svm_sigmoid"] = _kernel_svm(lambda e: CL.sigmoid_map(e, "vec", "vec_id", 32, gamma=0.1, out="kf"))
 
 
+def _features(mapper):
+    def fn(spark, sf):
+        e = mapper(FX.emb(spark, sf))
+        return e.select("vec_id", F.posexplode("kf").alias("component", "value")).select(
+            "vec_id", "component", r6(F.col("value")).alias("value"))
+    return fn
+
+
+# the kernel maps by themselves, which SQL can repeat
+REGISTRY["rbf_features"] = _features(lambda e: CL.rff_map(e, "vec", _width(e, "vec"), 32, gamma=1.0, out="kf"))
+REGISTRY["sigmoid_features"] = _features(lambda e: CL.sigmoid_map(e, "vec", "vec_id", 32, gamma=0.1, out="kf"))
+
+
 @q("clf_random_forest")
 def _clf_random_forest(spark, sf):
     tr, te = _ml_split(spark, sf)
@@ -1051,6 +1073,13 @@ def _pca_fit(spark, sf):
     return PJ.pca_table(spark, PJ.pca_fit(FX.emb(spark, sf), "vec"))
 
 
+@q("pca_trace")
+def _pca_trace(spark, sf):
+    """Totals of the fitted components: their number, the sum of ratios and of variances (the covariance's trace)."""
+    t = PJ.pca_table(spark, PJ.pca_fit(FX.emb(spark, sf), "vec"))
+    return t.agg(F.count(F.lit(1)).alias("components"), r6(F.sum("ratio")).alias("ratio"), r6(F.sum("variance")).alias("variance"))
+
+
 def _rca(spark, sf):
     e = FX.emb(spark, sf)
     R = PJ.sparse_projection_matrix(_width(e, "vec"), RCA_K, seed=0)

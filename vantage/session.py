@@ -14,6 +14,9 @@ TABLES = (
 ).split()
 
 
+_shared: list[str] = []
+
+
 def build_session(cpus: int | str = "*", app: str = "vantage", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the provided session."""
     spark = (
@@ -56,9 +59,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
+    """A fresh, unique folder below the shared checkpoint root; :func:`drop_shared` removes them all."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/vantage/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/vantage/{name}-{uuid.uuid4().hex}"
+    _shared.append(path)
+    return path
+
+
+def drop_shared(spark: SparkSession) -> int:
+    """Delete the shared folders this process has made (call it when their results are no longer read)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _shared:
+        path = jvm.org.apache.hadoop.fs.Path(_shared.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
