@@ -76,3 +76,17 @@ def test_kurtosis_curve_matches_pandas(spark, sf):
         assert abs(pd.DataFrame(y).kurt(axis=0).abs().mean() - r["kurtosis_abs_mean"]) < 1e-6
         assert np.allclose(np.cov(y.T), np.eye(r["dim"]), atol=1e-6)
     assert e.where(F.col("vec").isNull()).count() == 0
+
+
+def test_network_search_scores_and_improves(spark, sf):
+    from vantage.operators import search as SE
+    e, x = _data(spark, sf)
+    y = np.array([r["y"] for r in e.orderBy("vec_id").collect()], float)
+    pop = np.random.default_rng(1).normal(size=(3, SE.network_size(64, 4)))
+    sse, acc = SE.network_scores(e, "vec", "y", pop, 4)
+    for i in range(3):
+        p = SE.network_forward(x, pop[i], 4)
+        assert abs(((p - y) ** 2).sum() - sse[i]) < 1e-8 and abs((np.abs(p - y) < 0.5).mean() - acc[i]) < 1e-12
+    r = SE.search_report(e, e, "vec", "y", 64, 4, [1, 6], [(10.0, 0.9)], [(8, 4, 2)]).where("split = 'train'").collect()
+    by = {(x["algo"], x["budget"]): x["sse"] for x in r}
+    assert len(by) == 6 and all(by[a, 6] <= by[a, 1] for a in ("hill_climb", "anneal", "genetic"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import py_hash_unit
 from ..functions.vectors import dot, lit_matrix
+from .linalg import reduce_partials, stack_vectors
 
 
 def hashed_candidates(n: int, d: int, seed: int = 0, scale: float = 0.2) -> list[list[float]]:
@@ -123,3 +124,122 @@ def search_genetic(df: DataFrame, vec: str, y: str, d: int, generations: int = 1
         hist.append((g, float(sse[i])))
     return df.sparkSession.createDataFrame(hist, "generation int, sse double")
 
+
+
+# ---- one-hidden-layer networks: all optimisers in one scan per generation ----------------
+
+def network_size(d: int, hidden: int) -> int:
+    """Weights of a d-hidden-1 network with biases."""
+    return hidden * (d + 1) + hidden + 1
+
+
+def network_forward(x: np.ndarray, w: np.ndarray, hidden: int) -> np.ndarray:
+    """Outputs of a batch for one flat weight vector: sigmoid hidden layer and output."""
+    d = x.shape[1]
+    first = w[:hidden * (d + 1)].reshape(hidden, d + 1)
+    last = w[hidden * (d + 1):]
+    h = 1 / (1 + np.exp(-np.clip(x @ first[:, :d].T + first[:, d], -40, 40)))
+    return 1 / (1 + np.exp(-np.clip(h @ last[:-1] + last[-1], -40, 40)))
+
+
+def network_scores(df: DataFrame, vec: str, y: str, pop: np.ndarray, hidden: int, threshold: float = 0.5):
+    """Squared error and accuracy of every network of ``pop`` on the whole table: one scan of partial sums."""
+    n = len(pop)
+
+    def fold(pdf):
+        x, t = stack_vectors(pdf["_v"]), pdf["_y"].to_numpy(dtype=float)
+        out = np.empty((n, 2))
+        for i in range(n):
+            e = np.abs(network_forward(x, pop[i], hidden) - t)
+            out[i] = (e * e).sum(), (e < threshold).sum()
+        return np.concatenate([out.ravel(), [len(x)]])
+
+    tot = reduce_partials(df.select(F.col(vec).alias("_v"), F.col(y).cast("double").alias("_y")), fold, 2 * n + 1)
+    part = tot[:-1].reshape(n, 2)
+    return part[:, 0], part[:, 1] / max(tot[-1], 1.0)
+
+
+def _climb(rng, size, neighbours, step):
+    """Coroutine: yields populations, receives their errors; sends back the best vector so far."""
+    best, best_sse = rng.normal(0, 0.5, size), np.inf
+    pop = np.vstack([best, best + rng.normal(0, step, (neighbours - 1, size))])
+    while True:
+        sse = yield pop, best
+        i = int(np.argmin(sse))
+        if sse[i] < best_sse:
+            best, best_sse = pop[i], sse[i]
+        pop = best + rng.normal(0, step, (neighbours, size))
+
+
+def _anneal(rng, size, chains, step, temp, cooling):
+    cur, cur_sse = None, None
+    best, best_sse = np.zeros(size), np.inf
+    pop = rng.normal(0, 0.5, (chains, size))
+    while True:
+        sse = yield pop, best
+        if cur is None:
+            cur, cur_sse = pop.copy(), sse.copy()
+        else:
+            take = (sse < cur_sse) | (rng.random(chains) < np.exp(np.minimum(0.0, (cur_sse - sse) / max(temp, 1e-300))))
+            cur[take], cur_sse[take] = pop[take], sse[take]
+            temp *= cooling
+        i = int(np.argmin(cur_sse))
+        if cur_sse[i] < best_sse:
+            best, best_sse = cur[i].copy(), cur_sse[i]
+        pop = cur + rng.normal(0, step, cur.shape)
+
+
+def _evolve(rng, size, population, mate, mutate, step):
+    pop = rng.normal(0, 0.5, (population, size))
+    all_, all_sse = None, None
+    best = pop[0]
+    while True:
+        sse = yield pop, best
+        if all_ is None:
+            all_, all_sse = pop.copy(), sse.copy()
+        else:  # the new ones take the places of the worst
+            order = np.argsort(all_sse, kind="stable")
+            all_, all_sse = all_[order], all_sse[order]
+            all_[-len(pop):], all_sse[-len(pop):] = pop, sse
+        best = all_[int(np.argmin(all_sse))].copy()
+        good = all_[np.argsort(all_sse, kind="stable")[:max(2, population // 2)]]
+        a, b = good[rng.integers(0, len(good), mate)], good[rng.integers(0, len(good), mate)]
+        pop = np.where(rng.random((mate, size)) < 0.5, a, b)
+        for _ in range(mutate):
+            pop[rng.integers(0, mate)] += rng.normal(0, step, size)
+
+
+def search_report(train: DataFrame, test: DataFrame, vec: str, y: str, d: int, hidden: int, budgets: Sequence[int],
+                  anneal: Sequence[tuple], genetic: Sequence[tuple], neighbours: int = 8, step: float = 0.1,
+                  seed: int = 0) -> DataFrame:
+    """``(algo, config, budget, split, sse, accuracy, seconds)`` of hill climbing, annealing and genetic search.
+
+    All optimisers and settings propose their candidates for a generation together and one scan of the
+    training rows scores them; at each budget one more scan scores the best networks on either split.  A
+    budget is a number of generations; every optimiser runs on from the last budget.
+    """
+    import time
+
+    size = network_size(d, hidden)
+    runs = [("hill_climb", "", _climb(np.random.default_rng([seed, 0]), size, neighbours, step))]
+    runs += [("anneal", f"T={t:g};cooling={c:g}", _anneal(np.random.default_rng([seed, 1, i]), size, neighbours, step, t, c))
+             for i, (t, c) in enumerate(anneal)]
+    runs += [("genetic", f"population={p};mate={m};mutate={u}", _evolve(np.random.default_rng([seed, 2, i]), size, p, m, u, step))
+             for i, (p, m, u) in enumerate(genetic)]
+    asked = [next(g) for _, _, g in runs]
+    rows, t0 = [], time.time()
+    for generation in range(1, max(budgets) + 1):
+        pops = [a[0] for a in asked]
+        sse, _ = network_scores(train, vec, y, np.vstack(pops), hidden)
+        at = 0
+        for i, (_, _, g) in enumerate(runs):
+            asked[i] = g.send(sse[at:at + len(pops[i])])
+            at += len(pops[i])
+        if generation in budgets:
+            best = np.vstack([a[1] for a in asked])
+            spent = time.time() - t0
+            for split, frame in (("train", train), ("test", test)):
+                e, acc = network_scores(frame, vec, y, best, hidden)
+                rows += [(algo, config, generation, split, float(e[i]), float(acc[i]), spent) for i, (algo, config, _) in enumerate(runs)]
+    return train.sparkSession.createDataFrame(
+        rows, "algo string, config string, budget int, split string, sse double, accuracy double, seconds double")

@@ -808,6 +808,22 @@ def _search_tuning_report(spark, sf):
     return u.select("candidate", "split", r6(F.col("sse")).alias("sse"), r6(F.col("accuracy")).alias("accuracy"))
 
 
+HIDDEN = 50
+SEARCH_BUDGETS = [10, 25, 50]   # generations; the studied budgets go on to 100, 500, 1000, 2500, 5000
+# fixed values: (temperature, cooling) pairs and (population, mate, mutate) triples of the tuning runs
+ANNEAL_GRID = [(1e1, 0.05), (1e2, 0.2), (1e3, 0.35), (1e4, 0.5), (1e5, 0.65), (1e6, 0.8), (1e7, 0.95)]
+GENETIC_GRID = [(10, 5, 2), (25, 10, 5), (50, 30, 10), (75, 40, 15), (100, 50, 20), (125, 60, 25)]
+
+
+@q("search_report")
+def _search_report(spark, sf):
+    """Accuracy of a d-50-1 network by optimiser, setting, budget and split."""
+    e = FX.emb_split(spark, sf).persist()
+    with _released(e):
+        return SE.search_report(e.where(F.col("split") == "train"), e.where(F.col("split") == "test"), "vec", "y", _width(e, "vec"),
+                                HIDDEN, SEARCH_BUDGETS, ANNEAL_GRID, GENETIC_GRID)
+
+
 def _searched(search, spark, sf):
     e = FX.emb(spark, sf).persist()
     try:
