@@ -18,7 +18,7 @@ import numpy as np
 from . import textbuf as T
 
 VOCABULARY = "byte_bpe_50k.json"
-REMEMBER = 2_000_000
+REMEMBER = 400_000
 CLASSED = 0x530  # code points below are classed; settled long ago in Unicode
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 4
 CONTRACTED = ("s", "t", "m", "d", "re", "ve", "ll")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_INV = pow(_BASE, -1, 1 << 64)
