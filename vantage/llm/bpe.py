@@ -163,6 +163,10 @@ class Encoder:
         slot = self.slots(text, cps, start, end)  # may replace the count table
         return self.count[slot]
 
+    def counts_few(self, text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Number of tokens of a handful of pre-tokens, encoded as they come (the table is for whole texts)."""
+        return np.array([len(self.single(text[a:b])) for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
+
     def encode(self, c: T.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a chunk in one array, and the document offsets in it."""
         text, cps, offsets = code_points(c)

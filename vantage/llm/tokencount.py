@@ -164,7 +164,7 @@ class Counted:
             keep = start[start < upto]
             stops = np.append(keep[1:], upto) if len(keep) else keep
             text = new[begin:upto]
-            tokens = self.enc.counts(text, _cps(text), keep - begin, stops - begin)
+            tokens = self.enc.counts_few(text, keep - begin, stops - begin)
             j = int(np.searchsorted(borders, upto - shift)) if len(common) else len(borders)
             return stops - keep, tokens, upto, j
 
