@@ -12,25 +12,34 @@ from pyspark.sql import functions as F
 
 from vantage.llm.common import stage
 from vantage.llm.mixing import mixed_documents
-from vantage.llm.neardup import near_duplicates
+from vantage.llm.neardup import THRESHOLD, near_duplicates
 from vantage.llm.packing import pack
 from vantage.llm.pii import redact
 from vantage.llm.quality import quality_filter
 from vantage.session import table
 
+#: Documents whose sets of five-word shingles are this alike (per cent) are near copies for the pipeline;
+#: the query of the near-duplicate operator has its own, higher threshold.
+NEAR = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the isolation forest reject go."""
     return quality_filter(docs, table(spark, sf_dir, "labels"))
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group of near-duplicates stays (of rows with one id, one row); rows without an id stay."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, threshold=threshold).where("kept and doc_id is not null").select("doc_id").distinct()
     known = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
     return known.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The stage that runs: near_dedup from the pipeline's similarity on."""
+    return near_dedup(spark, docs, sf_dir, NEAR)
+
+
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; the length column follows."""
     out = redact(docs)
@@ -47,7 +56,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pii", pii), ("mix", mix), ("packing", packing)]
+STAGES = [("quality", quality), ("near_dedup", near_copies), ("pii", pii), ("mix", mix), ("packing", packing)]
 
 #: SQL can express neither the forest, nor the classifier, nor the cube method: the stages are tested
 #: against brute-force versions of their rules in tests/llm.
