@@ -32,6 +32,41 @@ def test_layout(source):
     assert page_text(source)[0] == CASES[source]
 
 
+WHOLE = {
+    "<table><td>a<td>b</table>": "a  b",
+    "<table><tbody><td>a<tr><td>b</table>": "a\nb",
+    "<table>stray<tr>more<td>a</table>z": "straymore\n\na\n\nz",
+    "<table><form><tr><td>a</form><td>b</table>": "a  b",
+    "<table><center>c</center><tr><div>d</div><td>a</table>": "c\nd\n\na",
+    "<table hidden>out<tr><td>in</table>": "out",
+    "<table><tr><td>a<table><tr><td>b</table>c</table>d": "a b c\n\nd",
+    "<table><template><tr><td>no</template><tr><td>a</table>": "a",
+    "<head><title>no</title><meta x><p>yes": "yes",
+    "<head><style>no</style>\n yes": "yes",
+    "<head><noscript><img alt=no></noscript><link x></head>yes": "yes",
+    "<pre><code>a\n  <b>b</b>\n\tc</code></pre>": "a\n  b\n\tc",
+    "<pre>a<br>  b<div>c</div>d</pre>": "a\n  b\nc\nd",
+    "<xmp>a <b>\n  c</xmp>": "a <b>\n  c",
+    "<i>" * 200 + "<span hidden>no</span>yes": "yes",
+    "<div hidden>" + "<div>" * 200 + "no" + "</div>" * 200 + "no</div>yes": "yes",
+    "<i>" * 125 + "<table><tr><td>a<td>b</table>c": "a\nb\nc",
+    "<i>" * 200 + "<table>s<td>a</table>c": "s\na\nc",
+}
+
+
+@pytest.mark.parametrize("source", list(WHOLE))
+def test_no_visible_text_is_lost(source):
+    assert page_text(source)[0] == WHOLE[source]
+
+
+def test_deep_markup_stays_linear():
+    t = time.time()
+    for s in ("<p><button>" + "<div>" * 50_000 + "x", "<table>" + "<b>x" * 50_000, "<table><tr><td>" * 20_000 + "x", "<ul><li>" * 30_000 + "x",
+              "<div>" * 50_000 + "x</div>" * 50_000):
+        assert "x" in page_text(s)[0] or "<button>" in s
+    assert time.time() - t < 30
+
+
 def test_hostile_markup_stays_linear():
     t = time.time()
     for s in ("<div>" * 50_000 + "x", "<p>" * 50_000, "<a " * 50_000, '<a b="' * 30_000, "<" * 100_000, "&" * 100_000, "<li>" * 50_000):

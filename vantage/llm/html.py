@@ -1,13 +1,14 @@
 """HTML extraction by layout: a small tree builder with implied tags, visibility rules, and block layout.
 
 A page's markup is cut into tokens, a stack of open elements applies the implied-end rules (a
-new ``p`` ends an open ``p``, ``li`` an ``li``, cells and rows each other, ...), invisible subtrees
-(scripts, styles, ``hidden``, ``display:none``, ``aria-hidden``) are skipped, and what is left is
+new ``p`` ends an open ``p``, ``li`` an ``li``, cells and rows each other, a cell opens a row, what is no part of
+a table goes before it, ...), invisible subtrees (scripts, styles, ``hidden``, ``display:none``,
+``aria-hidden``) are skipped at any depth, and what is left is
 laid out: one blank line between paragraphs-like blocks, one line break between line blocks, list
 items with bullets or numbers and an indent by depth, tables as aligned columns, ``pre`` as written.
 
 Pages are independent rows: one scan, no shuffle; per-page work is linear in the markup and
-the depth of the stack is bounded by ``MAX_DEPTH`` (deeper elements are laid out as inline text).
+the depth of the tree is bounded by ``MAX_DEPTH`` (deeper elements are laid out as lines of text).
 
 Defined results: null or empty html gives empty text and no blocks; broken markup never
 fails; repeated rows are rendered each; extra columns are ignored.
@@ -15,6 +16,7 @@ fails; repeated rows are rendered each; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 
@@ -29,7 +31,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes plaintext".split())
 HIDDEN = set("head script style template noscript noembed noframes iframe title svg math canvas audio video object "
              "select datalist option textarea input button dialog map".split())
-SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr form fieldset article section".split())
+SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr form fieldset article section xmp plaintext".split())
 BLOCKS = SPACED | set("div li dt dd tr td th thead tbody tfoot caption header footer nav main aside address figcaption "
                       "body html center details summary legend menu hgroup search".split())
 # an opening tag ends these open elements, unless one of the fences is met first
@@ -44,11 +46,17 @@ ENDS = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}),
-    "body": ({"head"}, set()),
 }
 ENDS_P = BLOCKS - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "body", "html", "legend", "summary"}
 P_FENCE = {"td", "th", "table", "caption", "button", "object", "body", "html"}
 
+# head ends at the first tag that is none of these
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
+SECTIONS, CELLS = {"thead", "tbody", "tfoot"}, {"td", "th", "caption"}
+IN_TABLE = SECTIONS | CELLS | {"tr"}
+TABLE_PARTS = SECTIONS | {"table", "tr"}  # anything but parts of the table in these goes before the table
+FOREIGN = {"template", "svg", "math"}  # no table goes on inside
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -57,10 +65,10 @@ NONE_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids")
+    __slots__ = ("tag", "attrs", "kids", "flat")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.kids = tag, attrs or {}, []
+        self.tag, self.attrs, self.kids, self.flat = tag, attrs or {}, [], False
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -78,37 +86,90 @@ def visible(tag: str, attrs: dict[str, str]) -> bool:
 def parse(source: str) -> Node:
     """Tree of the visible elements; text nodes are strings."""
     root = Node("html")
-    stack, mute, pos = [root], 0, 0  # mute: depth of the stack at which an invisible subtree began
+    stack, shown = [root], [True]  # open elements, and which of them are visible
+    places: dict[str, list[int]] = {}  # where in the stack a tag is open
 
-    def text(s: str) -> None:
-        if s and not mute:
-            stack[-1].kids.append(entities.unescape(s))
+    def last(tag: str) -> int:
+        at = places.get(tag)
+        return at[-1] if at else 0
+
+    def last_of(tags: set[str]) -> int:
+        return max(last(t) for t in tags) if tags else 0
 
     def close(depth: int) -> None:
-        nonlocal mute
-        del stack[depth:]
-        if mute and depth <= mute:
-            mute = 0
+        while len(stack) > depth:
+            node = stack.pop()
+            places[node.tag].pop()
+            if shown.pop() and node.flat and node.tag in BLOCKS:
+                node.kids.append(Node("br"))
+
+    def open_table() -> int:
+        t = last("table")
+        return t if t > last_of(FOREIGN) else 0
+
+    def insert(kid: Node | str, t: int) -> None:
+        """Into the open element, or before the table at ``t``."""
+        kids = stack[t - 1 if t else -1].kids
+        if t and kids and kids[-1] is stack[t]:
+            kids.insert(len(kids) - 1, kid)
+        else:
+            kids.append(kid)
+
+    def text(s: str) -> None:
+        if not s:
+            return
+        solid = s.strip(" \t\n\f\r")
+        if solid and stack[-1].tag == "head":
+            close(len(stack) - 1)
+        t = open_table() if stack[-1].tag in TABLE_PARTS else 0
+        if shown[t - 1 if t else -1] and (solid or not t):
+            insert(entities.unescape(s), t)
+
+    def push(tag: str, attrs: dict[str, str]) -> Node | None:
+        """Adds an element and opens it if it has content; None if it is invisible."""
+        t = open_table() if stack[-1].tag in TABLE_PARTS and tag not in IN_TABLE | IN_HEAD else 0
+        up = t - 1 if t else len(stack) - 1
+        on = shown[up] and visible(tag, attrs)
+        node = Node(tag, attrs)
+        leaf = tag in VOID or tag in RAW
+        # a table as a whole is above the bound or below it
+        node.flat = not leaf and (stack[up].flat or len(stack) >= MAX_DEPTH - (4 if tag == "table" else 0))
+        if node.flat:  # its content goes to the element it is in
+            node.kids = stack[up].kids
+            if on and tag in BLOCKS:
+                node.kids.append(Node("br"))
+        elif on:
+            insert(node, t)
+        if not leaf:
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(node)
+            shown.append(on)
+        return node if on else None
+
+    def settle(tag: str, t: int) -> None:
+        """Closes what a part of the table at ``t`` ends, and opens the row that a cell implies."""
+        part = t + 1 if len(stack) > t + 1 and stack[t + 1].tag in SECTIONS else t
+        if tag in SECTIONS or tag == "caption":
+            close(t + 1)
+        elif tag == "tr":
+            close(part + 1)
+        elif len(stack) > part + 1 and stack[part + 1].tag == "tr":
+            close(part + 2)
+        else:
+            close(part + 1)
+            push("tr", {})
 
     def imply(tag: str) -> None:
         if tag in ENDS:
             ends, fence = ENDS[tag]
-            at = len(stack)
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in fence:
-                    break
-                if stack[i].tag in ends:
-                    at = i
-            if at < len(stack):
-                close(at)
-        if tag in ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in P_FENCE:
-                    break
-
+            stop = last_of(fence)
+            inner = [at[i] for at in (places.get(e, ()) for e in ends) if (i := bisect.bisect_right(at, stop)) < len(at)]
+            if inner:
+                close(min(inner))
+        if tag in ENDS_P and last("p") > last_of(P_FENCE):
+            close(last("p"))
+
+    pos = 0
     while True:
         m = TOKEN.search(source, pos)
         if not m:
@@ -122,31 +183,33 @@ def parse(source: str) -> Node:
                 text(m[0][9:-3])
             continue
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if stack[i].tag == "table" and tag not in ("table", "body", "html"):
-                    break  # a table's content does not close what is open outside
+            at = last(tag)
+            # a table's content does not close what is open outside, nor does a template's
+            if at and (at > last("table") or tag in ("table", "body", "html")) and (at > last("template") or tag == "template"):
+                close(at)
             continue
-        if tag == "html" or tag == "body" and any(n.tag == tag for n in stack):
+        if tag == "html" or tag == "body" and last("body") or tag == "head" and (last("head") or last("body")):
             continue
-        imply(tag)
-        attrs = attributes(m[3]) if m[3] and m[3].strip(" /") else {}
-        node = Node(tag, attrs)
-        seen = not mute and visible(tag, attrs)
-        if seen:
-            stack[-1].kids.append(node)
-        if tag in VOID:
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            close(len(stack) - 1)
+        t = open_table()
+        if t and tag in ("col", "colgroup"):
+            close(t + 1)
             continue
+        if t and tag == "form" and stack[-1].tag in TABLE_PARTS:
+            continue  # holds nothing there
+        if t and tag in IN_TABLE:
+            settle(tag, t)
+        else:
+            if t and tag == "table" and t > last_of(CELLS):
+                close(t)
+            imply(tag)
+        node = push(tag, attributes(m[3]) if m[3] and m[3].strip(" /") else {})
         if tag in RAW:  # everything up to the matching end is text of the element
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, pos)
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, pos) if tag != "plaintext" else None
+            if node:
+                node.kids.append(source[pos:end.start() if end else len(source)])
             pos = end.end() if end else len(source)
-            continue
-        if len(stack) < MAX_DEPTH:
-            if not seen and not mute:
-                mute = len(stack)
-            stack.append(node)
 
 
 class Layout:
@@ -188,6 +251,29 @@ def plain(node: Node) -> str:
     return BLANK.sub(" ", "".join(inner.parts)).strip()
 
 
+def written(node: Node) -> str:
+    """Text of an element as it stands, blanks and line breaks included; block elements start and end lines."""
+    out: list[str] = []
+    for kid in node.kids:
+        if isinstance(kid, str):
+            out.append(kid)
+        elif kid.tag == "br":
+            out.append("\n")
+        elif kid.tag == "img":
+            out.append(kid.attrs.get("alt", ""))
+        elif kid.tag == "hr":
+            out.append("\n---\n")
+        elif kid.tag == "table":
+            inner = Layout()
+            render_table(kid, inner)
+            out += ["\n", "".join(inner.parts), "\n"]
+        elif kid.tag in BLOCKS:
+            out += ["\n" if out and not out[-1].endswith("\n") else "", written(kid), "\n"]
+        else:
+            out.append(written(kid))
+    return "".join(out)
+
+
 def rows_of(table: Node) -> tuple[list[str], list[list[str]]]:
     captions, rows = [], []
     for kid in table.kids:
@@ -243,8 +329,8 @@ def render(node: Node, out: Layout, depth: int, ordered: list[int] | None = None
             out.need(lines)
         if tag == "table":
             render_table(kid, out)
-        elif tag == "pre":
-            body = "".join(k if isinstance(k, str) else plain(k) for k in kid.kids).strip("\n")
+        elif tag in ("pre", "xmp", "plaintext"):
+            body = written(kid).strip("\n")
             if body.strip():
                 out.put(body)
         elif tag == "hr":
