@@ -85,3 +85,16 @@ def _counts(spark, sf):
     from .tokencount import edited_counts, revision
     got = edited_counts(table(spark, sf, "documents"), revision())
     return got.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+
+
+@q("op13_periodic_runs")
+def _runs(spark, sf):
+    from .repetition import periodic_runs, planted
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    got = periodic_runs(docs.withColumn("text", planted(F.col("doc_id"), F.col("text"))))
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws("", r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))))
+    return got.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), (-top["less"]).alias("length"),
+        top["period"].alias("period"), F.floor(-top["less"] * 1000 / top["period"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
