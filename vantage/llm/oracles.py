@@ -41,3 +41,26 @@ select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(kept.n, 0))::bi
        sha256(coalesce(kept.t, '')) as kept_sha256
 from w left join kept using (doc_id)
 """
+
+SQL["op11_decontamination"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+win as (
+  select distinct item_id, least(10, len(ws)) as m, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') as s
+  from (select item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as i from b where len(ws) > 0)),
+gram as (
+  select doc_id, m, i, array_to_string(ws[i:i + m - 1], ' ') as s
+  from (select doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) as i from d, (select distinct m from win) where len(ws) >= m)),
+hit as (select gram.doc_id, gram.m, gram.i, win.item_id from gram join win using (m, s)),
+cover as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + m)) as j from hit) group by doc_id),
+named as (
+  select doc_id, count(*) as n, string_agg(x, ',' order by x) as t
+  from (select distinct doc_id, item_id::varchar as x from hit) group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(cover.n, 0)::bigint as n_hit, coalesce(named.n, 0)::bigint as n_items,
+       sha256(coalesce(named.t, '')) as items_sha256, cover.n is not null as contaminated
+from d left join cover using (doc_id) left join named using (doc_id)
+"""

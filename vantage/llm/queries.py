@@ -98,3 +98,26 @@ def _runs(spark, sf):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), (-top["less"]).alias("length"),
         top["period"].alias("period"), F.floor(-top["less"] * 1000 / top["period"]).alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+@q("op11_decontamination")
+def _clean(spark, sf):
+    from .decontaminate import decontaminate
+    got = decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), with_text=False)
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@q("op12_conversation_repair")
+def _talks(spark, sf):
+    from .conversation import damaged, digests, repair_conversations
+    talks = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    done = repair_conversations(damaged(talks))
+    out = talks.select("conv_id").distinct()
+    for more in (done.report, digests(done.rows)):
+        more = more.withColumnRenamed("conv_id", "_id")
+        out = out.join(more, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
