@@ -12,20 +12,19 @@ import time
 from typing import Callable, Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash32, py_hash_unit
+from ..functions.hashing import hash32
 from ..functions.vectors import dot, lit_matrix, lit_vector
 from . import metrics as M
+from .machines import fourier_normals
 
 
 def ml_frame(df: DataFrame, vec: str, label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -58,21 +57,11 @@ def linear_svc(c: float = 1.0, n: int = 1, max_iter: int = 100):
     return LinearSVC(regParam=1.0 / (c * max(n, 1)), maxIter=max_iter)
 
 
-def poly_svc(degree: int = 2, c: float = 1.0, n: int = 1):
-    """Explicit polynomial expansion of all features, linear SVM (keep the degree small: it grows as d^degree)."""
-    return Pipeline(stages=[PolynomialExpansion(degree=degree, inputCol="features", outputCol="_poly"),
-                            LinearSVC(featuresCol="_poly", regParam=1.0 / (c * max(n, 1)), maxIter=100)])
-
-
 def rff_map(df: DataFrame, vec: str, d: int, n_features: int = 128, gamma: float = 1.0, seed: int = 0,
             out: str = "rff") -> DataFrame:
     """Random Fourier features ``sqrt(2/D) cos(W x + b)``, ``W ~ N(0, 2 gamma)``, ``b ~ U(0, 2 pi)``."""
-    def normal(i: int, j: int) -> float:  # hashed Box-Muller draw, which SQL can repeat
-        u1, u2 = 1.0 - py_hash_unit("rff", seed, i, j, 1), py_hash_unit("rff", seed, i, j, 2)
-        return math.sqrt(-2.0 * math.log(u1)) * math.cos(2 * math.pi * u2)
-
-    W = math.sqrt(2 * gamma) * np.array([[normal(i, j) for j in range(d)] for i in range(n_features)]).reshape(n_features, d)
-    b = np.array([2 * math.pi * py_hash_unit("rff", seed, i, "b") for i in range(n_features)])
+    W, b = fourier_normals(d, n_features, seed)
+    W = math.sqrt(2 * gamma) * W
     Wl, bl = lit_matrix(W.tolist()), lit_vector(b.tolist())
     scale = math.sqrt(2.0 / n_features)
     return df.withColumn(out, F.transform(Wl, lambda w, i: F.lit(scale) * F.cos(dot(w, vec) + F.element_at(bl, i + 1))))

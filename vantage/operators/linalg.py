@@ -7,8 +7,11 @@ numpy), Spark sums the partials by entry, and only the ``d x d`` result
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,5 +122,41 @@ def reduce_partials(df: DataFrame, fn, length: int) -> np.ndarray:
     return out
 
 
+LONG_BLOCK = 32_768
+
+
+def reduce_long(df: DataFrame, fn, length: int) -> np.ndarray:
+    """As :func:`reduce_partials` for vectors of millions of entries (many models' gradients and curvatures).
+
+    Partials travel as binary blocks and are summed in two levels with the square root of the task count as
+    salt, so a task gathers at most that many blocks of 256 KB.
+    """
+    salts = max(1, math.isqrt(df.rdd.getNumPartitions()))
+    shape = "block int, val binary"
+
+    def partial(batches):
+        acc = None
+        for pdf in batches:
+            if len(pdf):
+                part = np.asarray(fn(pdf), dtype=float)
+                acc = part if acc is None else acc + part
+        if acc is not None:
+            starts = range(0, length, LONG_BLOCK)
+            yield pd.DataFrame({"block": np.arange(len(starts), dtype=np.int32), "val": [acc[i:i + LONG_BLOCK].tobytes() for i in starts]})
+
+    def total(tab: pa.Table) -> pa.Table:
+        acc = sum(np.frombuffer(v) for v in tab.column("val").to_pylist())
+        return pa.table({"block": tab.column("block").slice(0, 1), "val": pa.array([acc.tobytes()], pa.binary())})
+
+    parts = df.mapInPandas(partial, shape)
+    if salts > 1:
+        parts = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts))).groupBy("block", "salt").applyInArrow(total, shape)
+    out = np.zeros(length)
+    for r in parts.groupBy("block").applyInArrow(total, shape).collect():
+        got = np.frombuffer(r["val"])
+        out[r["block"] * LONG_BLOCK:r["block"] * LONG_BLOCK + len(got)] = got
+    return out
+
+
 def stack_vectors(series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(float)

@@ -7,6 +7,8 @@ silhouette, distance correlation).
 
 from __future__ import annotations
 
+import math
+
 from . import queries as Q
 from . import fixtures as FX
 
@@ -586,3 +588,69 @@ SQL["chow_liu_tree"] = f"SELECT col_a, col_b, round(mi, 6) AS mi FROM ({_MI}) OR
 SQL["udf_objective"] = (
     f"WITH {_CANDS}, ps AS (SELECT c, y, 1 / (1 + exp(-p)) AS p FROM pr) SELECT c::INTEGER AS candidate, round(sum(abs(p - y)), 6) AS error, "
     "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM ps GROUP BY c")
+
+
+# ---------------------------------------------------------------- tree levels, hashed draws
+
+
+def _tree_levels(folds: int, depth: int, min_leaf: int, bins: int) -> str:
+    """One tree a fold by plain SQL: histograms, gains and the best split of every node, level by level."""
+    def entropy(a, b):
+        return f"(CASE WHEN {a} > 0 THEN -{a} / ({a} + {b}) * log2({a} / ({a} + {b})) ELSE 0 END + " \
+               f"CASE WHEN {b} > 0 THEN -{b} / ({a} + {b}) * log2({b} / ({a} + {b})) ELSE 0 END)"
+    h = H("'0:' || vec_id")
+    quantiles = ", ".join(f"{i}.0 / {bins}" for i in range(1, bins))
+    ctes = [EMB,
+            f"folded AS (SELECT *, (row_number() OVER (PARTITION BY y ORDER BY {h}, vec_id) - 1) % {folds} AS own FROM emb)",
+            "x AS (SELECT vec_id, generate_subscripts(v, 1) - 1 AS f, unnest(v) AS x FROM folded)",
+            f"borders AS (SELECT f, list_distinct(quantile_disc(x, [{quantiles}])) AS q FROM x GROUP BY f)",
+            "cell AS MATERIALIZED (SELECT vec_id, f, len(list_filter(q, lambda e: e < x)) AS bin FROM x JOIN borders USING (f))",
+            f"r0 AS (SELECT k, vec_id, y, own <> k AS tr, '' AS path FROM folded, (SELECT unnest(range({folds})) AS k))"]
+    for d in range(depth):
+        ctes += [
+            f"h{d} AS (SELECT k, path, f, bin, count(*) FILTER (y = 0)::DOUBLE AS c0, count(*) FILTER (y = 1)::DOUBLE AS c1 "
+            f"FROM r{d} JOIN cell USING (vec_id) WHERE tr GROUP BY ALL)",
+            f"l{d} AS (SELECT k, path, f, bin, sum(c0) OVER w AS a0, sum(c1) OVER w AS a1, sum(c0) OVER t AS t0, sum(c1) OVER t AS t1 FROM h{d} "
+            f"WINDOW w AS (PARTITION BY k, path, f ORDER BY bin), t AS (PARTITION BY k, path, f))",
+            f"g{d} AS (SELECT *, round({entropy('t0', 't1')} - ((a0 + a1) * {entropy('a0', 'a1')} + (t0 + t1 - a0 - a1) * "
+            f"{entropy('(t0 - a0)', '(t1 - a1)')}) / (t0 + t1), 9) AS gain FROM l{d} "
+            f"WHERE a0 + a1 >= {min_leaf} AND t0 + t1 - a0 - a1 >= {min_leaf})",
+            f"s{d} AS (SELECT k, path, f, bin AS cut, gain FROM g{d} WHERE gain > 0 "
+            f"QUALIFY row_number() OVER (PARTITION BY k, path ORDER BY gain DESC, f, bin) = 1)",
+            f"r{d + 1} AS (SELECT r.k, vec_id, y, tr, path || CASE WHEN bin <= cut THEN 'L' ELSE 'R' END AS path "
+            f"FROM r{d} r JOIN s{d} s USING (k, path) JOIN cell USING (vec_id, f))"]
+    nodes = " UNION ALL ".join(
+        f"SELECT r.k, r.path, y, tr, {'s.f, s.cut, s.gain' if d < depth else 'NULL AS f, NULL AS cut, NULL::DOUBLE AS gain'} FROM r{d} r"
+        + (f" LEFT JOIN s{d} s USING (k, path)" if d < depth else "") for d in range(depth + 1))
+    return ("WITH " + ", ".join(ctes) + f" SELECT k::INTEGER AS fold, path, count(*) FILTER (tr AND y = 0)::BIGINT AS n0, "
+            "count(*) FILTER (tr AND y = 1)::BIGINT AS n1, count(*) FILTER (NOT tr AND y = 0)::BIGINT AS held0, "
+            "count(*) FILTER (NOT tr AND y = 1)::BIGINT AS held1, any_value(f)::INTEGER AS feature, any_value(cut)::INTEGER AS cut, "
+            f"round(any_value(gain), 6) AS gain FROM ({nodes}) GROUP BY k, path")
+
+
+SQL["tree_levels"] = _tree_levels(folds=5, depth=3, min_leaf=5, bins=32)
+
+
+def _poisson(mean: float, index: int) -> str:
+    """Number of Poisson distribution steps at or below the row's hashed draw."""
+    term = total = math.exp(-mean)
+    steps, k = [], 0
+    while total < 1 - 2.0 ** -33 and term > 0:
+        steps.append(total)
+        k += 1
+        term *= mean / k
+        total += term
+    u = f"({H(f"'boot0:{index}:' || event_id")} / 4294967296.0)"
+    return f"len(list_filter([{', '.join(D(s) for s in steps)}], lambda c: c <= {u}))::INTEGER AS w{index}"
+
+
+SQL["poisson_draws"] = "SELECT event_id, " + ", ".join(_poisson(m, i) for i, m in enumerate((0.05, 0.5, 1.0))) + " FROM events"
+
+SQL["poly_features"] = (
+    f"WITH {EMB}, t AS (SELECT k, i, ({H("'cell:0:' || k || ':' || i")} % 32)::INTEGER AS cell, 1 - 2 * ({H("'sign:0:' || k || ':' || i")} % 2) AS sign "
+    "FROM range(3) a(k), range(64) b(i)), "
+    "s AS (SELECT vec_id, k, cell, sum(v[i + 1] * sign) AS s FROM emb, t GROUP BY ALL), "
+    "two AS (SELECT a.vec_id, (a.cell + b.cell) % 32 AS cell, sum(a.s * b.s) AS s FROM s a JOIN s b USING (vec_id) WHERE a.k = 0 AND b.k = 1 GROUP BY ALL), "
+    "three AS (SELECT a.vec_id, (a.cell + b.cell) % 32 AS cell, sum(a.s * b.s) AS s FROM two a JOIN s b USING (vec_id) WHERE b.k = 2 GROUP BY ALL) "
+    "SELECT c.vec_id, c.i::INTEGER AS component, round(coalesce(s, 0), 9) + 0.0 AS value FROM (SELECT vec_id, i FROM emb, range(32) r(i)) c "
+    "LEFT JOIN three ON three.vec_id = c.vec_id AND three.cell = c.i")

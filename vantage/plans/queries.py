@@ -17,6 +17,7 @@ from ..functions.hashing import hash32, hash_unit
 from ..functions.vectors import argmin_dist, dist
 from ..operators import classify as CL
 from ..operators import clustering as CU
+from ..operators import machines as MA
 from ..operators import metrics as M
 from ..operators import neighbors as NB
 from ..operators import planning as PL
@@ -26,6 +27,7 @@ from ..operators import projection as PJ
 from ..operators import sampling as S
 from ..operators import search as SE
 from ..operators import sequences as SQ
+from ..operators import trees as TR
 from ..operators.ordering import ordinal
 from ..session import cut_lineage, shared_path, table
 from ..sources import io as IO
@@ -891,7 +893,6 @@ def _predict(make):
 REGISTRY["clf_mlp"] = _predict(lambda d, n: CL.mlp([d, MLP_HIDDEN, 2], max_iter=100))
 REGISTRY["clf_mlp_2layer"] = _predict(lambda d, n: CL.mlp([d, MLP_HIDDEN, 8, 2], max_iter=100))
 REGISTRY["clf_svm_linear"] = _predict(lambda d, n: CL.linear_svc(c=1.0, n=n))
-REGISTRY["clf_svm_poly"] = _predict(lambda d, n: CL.poly_svc(degree=2, c=1.0, n=n))
 REGISTRY["clf_tree"] = _predict(lambda d, n: CL.tree(max_depth=5, min_leaf=2))
 REGISTRY["clf_gbt"] = _predict(lambda d, n: CL.gbt(n_estimators=10, max_depth=3))
 
@@ -927,6 +928,51 @@ def _features(mapper):
     return fn
 
 
+POLY_DEGREES = range(2, 9)                                            # the studied degrees
+SVM_CS, SVM_GAMMAS = [1e-4, 1e-3, 1e-2, 10.0, 1.0], [1.0, 10.0, 100.0]   # the studied grid
+
+
+@q("clf_svm_poly")
+def _clf_svm_poly(spark, sf):
+    """Predictions of polynomial machines of degree 2..8, trained together."""
+    e = FX.emb_split(spark, sf)
+    gamma = MA.scale_gamma(e, "vec")
+    maps = {f"d{p}": MA.poly_map(p, gamma=gamma) for p in POLY_DEGREES}
+    tr, te = (e.where(F.col("split") == side) for side in ("train", "test"))
+    machines = {k: MA.Machine(k, 1.0) for k in maps}
+    MA.fit_machines(tr, "vec", "y", maps, list(machines.values()))
+    got = MA.predictions(te, "vec", maps, machines, ["vec_id", "y"])
+    return got.select("vec_id", "y", F.inline(F.array(*[F.struct(F.lit(p).alias("degree"), F.col(f"d{p}").alias("prediction")) for p in POLY_DEGREES])))
+
+
+@q("complexity_curve_svm")
+def _complexity_curve_svm(spark, sf):
+    """Linear, polynomial 2..8, radial and sigmoid machines (C = 1, gamma by the table's spread): F1 on both splits."""
+    e = FX.emb_split(spark, sf)
+    d, gamma = _width(e, "vec"), MA.scale_gamma(e, "vec")
+    marks = e.where(F.col("split") == "train").select("vec", hash32(F.lit("lm0"), F.col("vec_id")).alias("h"), "vec_id") \
+        .orderBy("h", "vec_id").limit(32).collect()
+    maps = {"linear": MA.linear_map(), **{f"poly{p}": MA.poly_map(p, gamma=gamma) for p in POLY_DEGREES},
+            "rbf": MA.rbf_map(d, gamma), "sigmoid": MA.sigmoid_map(_np.array([r["vec"] for r in marks], float).reshape(-1, d), gamma)}
+    return MA.kernel_curve(e, "vec", "y", "split", maps)[1]
+
+
+@q("svm_grid_search")
+def _svm_grid_search(spark, sf):
+    """C x gamma of the radial machine, 10 stratified folds: 150 machines in shared scans."""
+    e = FX.emb_split(spark, sf).where(F.col("split") == "train")
+    data = S.kfold_assign(e, "vec_id", 10, label_col="y")
+    return MA.rbf_grid_search(data, "vec", "y", "fold", 10, SVM_CS, SVM_GAMMAS)
+
+
+@q("poly_features")
+def _poly_features(spark, sf):
+    """Tensor sketch of degree 3, which SQL can repeat as circular convolutions."""
+    e = MA.tensor_sketch_map(FX.emb(spark, sf), "vec", 3, cells=32, out="kf")
+    return e.select("vec_id", F.posexplode("kf").alias("component", "value")).select(
+        "vec_id", "component", (F.round("value", 9) + F.lit(0.0)).alias("value"))
+
+
 # the kernel maps by themselves, which SQL can repeat
 REGISTRY["rbf_features"] = _features(lambda e: CL.rff_map(e, "vec", _width(e, "vec"), 32, gamma=1.0, out="kf"))
 REGISTRY["sigmoid_features"] = _features(lambda e: CL.sigmoid_map(e, "vec", "vec_id", 32, gamma=0.1, out="kf"))
@@ -942,28 +988,50 @@ def _clf_random_forest(spark, sf):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
 
 
-TREE_DEPTHS = [1, 2, 3, 4, 5, 6, 8, 10, 12, 15, 20, 25, 30]
+CURVE_FRACTIONS = [float(v) for v in _np.linspace(0.05, 1.0, 20)]   # the studied training sizes
+CURVE_FOLDS, TREE_DEPTH = 10, 30
+
+
+def _folded(spark, sf, folds):
+    """Embeddings with stratified folds."""
+    return S.kfold_assign(FX.emb(spark, sf), "vec_id", folds, label_col="y")
 
 
 @q("complexity_curve")
 def _complexity_curve(spark, sf):
-    tr, te = _ml_split(spark, sf)
-    with _released(tr, te):
-        return CL.complexity_curve(lambda d: CL.tree(max_depth=d), TREE_DEPTHS, tr, te, "max_depth")
+    """Tree depth 1..30, F1 and accuracy on both splits."""
+    return TR.tree_complexity_curve(FX.emb_split(spark, sf), "vec", "y", "split", TREE_DEPTH)
 
 
 @q("grid_search_cv")
 def _grid_search_cv(spark, sf):
-    e = FX.emb(spark, sf)
-    data = S.kfold_assign(CL.ml_frame(e, "vec", "y", ["vec_id"]), "vec_id", 5, label_col="label")
-    return CL.grid_search_cv(CL.tree(), {"maxDepth": [2, 4], "minInstancesPerNode": [1, 5]}, data.persist(), 5)
+    """Tree depth 1..19 x 20 leaf sizes from 0.5 to 5 per cent of the training rows, 10 stratified folds."""
+    e = FX.emb_split(spark, sf).where(F.col("split") == "train")
+    n = e.count()
+    leaves = [max(1, int(v)) for v in _np.linspace(round(0.005 * n), round(0.05 * n), 20).round()]
+    data = S.kfold_assign(e, "vec_id", CURVE_FOLDS, label_col="y")
+    return TR.tree_grid_search(data, "vec", "y", "fold", CURVE_FOLDS, range(1, 20), leaves)
 
 
 @q("learning_curve")
 def _learning_curve(spark, sf):
-    e = FX.emb(spark, sf)
-    data = CL.ml_frame(e, "vec", "y", ["vec_id"])
-    return CL.learning_curve(lambda: CL.tree(max_depth=5), data, "vec_id", [0.25, 0.5, 1.0], k=3)
+    """20 training sizes x 10 folds, with fit and score seconds."""
+    return TR.tree_learning_curve(_folded(spark, sf, CURVE_FOLDS), "vec_id", "vec", "y", "fold", CURVE_FOLDS, CURVE_FRACTIONS, max_depth=5)
+
+
+@q("tree_levels")
+def _tree_levels(spark, sf):
+    """Nodes of one tree a fold, three levels deep: the kernel of the tree studies, which SQL can repeat."""
+    t = TR.tree_levels(_folded(spark, sf, 5), "vec", "y", "fold", 5, max_depth=3, min_leaf=5)
+    return t.withColumn("gain", r6(F.col("gain")))
+
+
+@q("poisson_draws")
+def _poisson_draws(spark, sf):
+    """Draw counts of the hashed bootstrap at three sizes."""
+    e = table(spark, sf, "events")
+    return e.select("event_id", *[TR.poisson_weight(f, F.lit("boot0"), F.lit(i), F.col("event_id")).alias(f"w{i}")
+                                  for i, f in enumerate((0.05, 0.5, 1.0))])
 
 
 def _label_params(spark, sf):
