@@ -31,3 +31,16 @@ def test_edges(spark):
     assert L.identify_language(empty_frame(spark)).count() == 0
     nothing = L.identify_language(edge_frame(spark).selectExpr("doc_id", "text", "cast(null as string) as lang"))
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
+
+
+def test_rows_that_share_an_id_or_a_text_keep_their_language(spark):
+    """3,000 German rows with one id (distinct or equal texts) next to English ones: German stays learnable."""
+    german = ["der hund und die katze sind nicht in dem haus", "wir haben das wetter heute schön gefunden"]
+    english = "the dog and the cat are not in the house while we think about weather"
+    for distinct in (True, False):
+        for shared in (1, 3, 4):
+            rows = [(shared, f"{german[i % 2]} {i if distinct else ''}", "de") for i in range(3000)]
+            rows += [(i, f"{english} {i}", "en") for i in range(100, 700)]
+            docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+            got = {r["lang_pred"] for r in L.identify_language(docs).where(f"doc_id = {shared}").select("lang_pred").distinct().collect()}
+            assert got == {"de"}

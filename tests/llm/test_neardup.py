@@ -103,3 +103,13 @@ def test_components_follow_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, n) if i % 100 != 99] + [(7, 3), (3, 7), (5, 5)]
     got = {r["node"]: r["label"] for r in N.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got[i] == i // 100 * 100 for i in got) and len(got) == n
+
+
+def test_one_of_each_group_judges_id_and_text(spark):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(40)) for p in "abc")
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, a + " tail", "y"), (3, c, "z"), (None, c, "n"), (None, c + " more words here to differ a lot " * 9, "n"),
+            (4, None, "e"), (4, None, "e"), (4, "", "e"), (5, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, uid string").repartition(3)
+    got = sorted(map(str, (tuple(r) for r in N.one_of_each_group(docs).collect())))
+    assert got == sorted(map(str, [(1, a, "x"), (1, b, "x"), (3, c, "z"), rows[6], (4, None, "e"), (4, "", "e"), (5, "", "e")]))
+    assert N.one_of_each_group(empty_frame(spark)).count() == 0

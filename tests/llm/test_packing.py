@@ -12,9 +12,7 @@ from vantage.llm import textbuf as T
 
 
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_encoder_matches_the_tokenizer():
@@ -29,6 +27,23 @@ def test_encoder_matches_the_tokenizer():
     assert got == want
 
 
+SCRIPTS = ["latin’s “quotes” — dash… it's", "русский текст, 12", "Ελληνικά, 7", "עברית טקסט", "نص عربي ١٢٣", "हिन्दी पाठ १२", "中文字符，很长。第１", "日本語のテキスト。", "한국어 텍스트",
+           "ไทยข้อความ", "emoji 😀👩‍👩‍👧 ok 🤷🏽", "math ∑∫ x² ½ Ⅷ", "\u2028\u3000wide\u00a0space\u0085", "new \u1c89\ua7cb\U000105c0\U00016d70 ones", "private \ue000 \ufffe"]
+
+
+def test_every_script_and_added_tokens():
+    rng = random.Random(6)
+    texts = SCRIPTS + ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>'s", "<|endoftext", "|> <|endoftext|>\n", " <|endoftext|> "]
+    texts += [" ".join(rng.sample(texts, 4)) for _ in range(60)] + ["".join(chr(rng.choice([rng.randrange(0x20, 0xD800), rng.randrange(0xE000, 0x110000)]))
+                                                                            for _ in range(50)) for _ in range(200)]
+    want = [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
+    enc, got = bpe.encoder(), []
+    for c in T.chunks(pa.array(texts), limit=2000):
+        ids, off = enc.encode(c)
+        got += [ids[off[d]:off[d + 1]].tolist() for d in range(c.n)]
+    assert got == want
+
+
 def brute_pieces(rows, capacity=2048):
     t, out = tokenizer(), []
     for r in rows:

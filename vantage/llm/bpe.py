@@ -1,10 +1,10 @@
 """Byte-level BPE over Arrow chunks: pre-tokens by numpy, each distinct pre-token encoded once.
 
 Pre-token borders depend on character classes only (letters, numbers, white
-space, the rest, contractions), so they are found for a whole chunk at once.
-A worker remembers the ids of the pre-tokens it has met (up to ``REMEMBER``, then
-it starts afresh).  Documents with characters outside the classed range are
-encoded by the tokenizer as a whole.
+space, the rest, contractions), so they are found for a whole chunk at once, in any script.
+Classes are Unicode's; a code point that this Python's Unicode tables do not hold yet is put to the tokenizer once.
+An added token of the file (``<|endoftext|>``) that stands in a text is one pre-token, as the tokenizer's
+default has it.  A worker remembers the ids of the pre-tokens it has met (up to ``REMEMBER``, then it starts afresh).
 """
 
 from __future__ import annotations
@@ -19,27 +19,23 @@ from . import textbuf as T
 
 VOCABULARY = "byte_bpe_50k.json"
 REMEMBER = 400_000
-CLASSED = 0x530  # code points below are classed; settled long ago in Unicode
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 4
 CONTRACTED = ("s", "t", "m", "d", "re", "ve", "ll")
 
+_classes: list[np.ndarray] = []
 
-def _classes() -> np.ndarray:
-    out = np.full(CLASSED + 1, OTHER, np.uint8)
-    for cp in range(CLASSED):
-        cat = unicodedata.category(chr(cp))
-        if cat[0] == "L":
-            out[cp] = LETTER
-        elif cat[0] == "N":
-            out[cp] = NUMBER
-        elif cat == "Cn" or cat == "Cc":
-            out[cp] = UNKNOWN
-    out[[0x20, 0xA0, *range(0x09, 0x0E)]] = SPACE
-    out[CLASSED] = UNKNOWN
-    return out
 
-
-CLASS = _classes()
+def classes() -> np.ndarray:
+    """Class of every code point (filled on first use)."""
+    if not _classes:
+        kind = {"L": LETTER, "N": NUMBER}
+        out = np.full(0x110000, OTHER, np.uint8)
+        for cp in range(0x110000):
+            ch = chr(cp)
+            cat = unicodedata.category(ch)
+            out[cp] = UNKNOWN if cat == "Cn" else SPACE if ch.isspace() and not 0x1C <= cp <= 0x1F else kind.get(cat[0], OTHER)
+        _classes.append(out)
+    return _classes[0]
 
 
 def code_points(c: T.Chunk) -> tuple[str, np.ndarray, np.ndarray]:
@@ -51,17 +47,16 @@ def code_points(c: T.Chunk) -> tuple[str, np.ndarray, np.ndarray]:
     return text, cps, lead[c.offsets]
 
 
-def pretoken_starts(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First code point of every pre-token, and which documents hold unclassed characters."""
+def pretoken_starts(cps: np.ndarray, offsets: np.ndarray, whole: list[tuple[int, int]] = ()) -> np.ndarray:
+    """First code point of every pre-token; the spans of ``whole`` are pre-tokens as they are."""
     n = len(cps)
     if not n:
-        return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, bool)
-    k = CLASS[np.minimum(cps, CLASSED)]
-    bad = np.zeros(n + 1, np.int64)
-    np.cumsum(k == UNKNOWN, out=bad[1:])
-    odd = bad[offsets[1:]] > bad[offsets[:-1]]
-    edge = np.zeros(n + 1, bool)  # document borders
+        return np.zeros(0, np.int64)
+    k = classes()[cps]
+    edge = np.zeros(n + 1, bool)  # borders of documents and of added tokens
     edge[offsets] = True
+    for a, b in whole:
+        edge[[a, b]] = True
     cut = edge[:n].copy()
     cut[1:] |= k[1:] != k[:-1]
     space = k == SPACE
@@ -77,7 +72,8 @@ def pretoken_starts(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     quote = np.flatnonzero((cps[:-1] == 0x27) & cut[:n - 1] & (k[1:] == LETTER) & ~edge[1:n]) if n > 1 else np.zeros(0, np.int64)
     if len(quote):
         pad = np.concatenate([cps, np.zeros(2, cps.dtype)])
-        limit = offsets[np.searchsorted(offsets, quote, side="right")]
+        edges = np.flatnonzero(edge)
+        limit = edges[np.searchsorted(edges, quote, side="right")]
         size = np.zeros(len(quote), np.int64)
         for end in CONTRACTED:
             ok = (size == 0) & (quote + 1 + len(end) <= limit)
@@ -89,27 +85,28 @@ def pretoken_starts(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
         stop = quote + 1 + size
         inside = stop < n
         cut[stop[inside]] = True
-    return np.flatnonzero(cut), odd
+    for a, b in whole:
+        cut[a + 1:b] = False
+    return np.flatnonzero(cut)
 
 
-def _single_pieces(path: str):
-    """Ids of one pre-token.  Where the file's merges are in id order they are ranks, and a plain rank
-    merger (a tenth of the time) gives the same ids; otherwise the tokenizer itself is asked."""
+def _single_pieces(path: str, ask):
+    """Ids of one pre-token, and the added tokens by text.  Where the file's merges are in id order they are
+    ranks, and a plain rank merger (a tenth of the time) gives the same ids; otherwise the tokenizer is asked."""
     import tiktoken
-    from tokenizers import Tokenizer
     with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    vocab, merges = model["vocab"], model["merges"]
+        file = json.load(f)
+    vocab, merges = file["model"]["vocab"], file["model"]["merges"]
+    added = {t["content"]: t["id"] for t in file.get("added_tokens", ())}
     ids = [vocab[m.replace(" ", "", 1) if isinstance(m, str) else "".join(m)] for m in merges]
     if any(a >= b for a, b in zip(ids, ids[1:], strict=False)):
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        return lambda x: t.encode(x, add_special_tokens=False).ids
+        return lambda x: ask().encode(x, add_special_tokens=False).ids, added
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes the format writes as themselves
     byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
     made = set(ids) | {vocab[ch] for ch in byte}
     ranks = {bytes(byte[ch] for ch in tok): i for tok, i in vocab.items() if i in made}
-    return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    merge = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return lambda x: [added[x]] if x in added else merge(x), added
 
 
 class Encoder:
@@ -118,13 +115,41 @@ class Encoder:
     def __init__(self, vocabulary: str = VOCABULARY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
-        path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.single = _single_pieces(path)
+        self.path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
+        self._tokenizer = None
+        self.single, self.added = _single_pieces(self.path, self.tokenizer)
+        self.reach = max([1, *map(len, self.added)])  # code points that can decide about a border
         self.forget()
 
+    def tokenizer(self):
+        """The file's tokenizer, loaded when it is asked for the first time."""
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
+    def borders(self, text: str, cps: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """First code point of every pre-token of the documents between ``offsets``."""
+        table = classes()
+        for cp in np.unique(cps[table[cps] == UNKNOWN]).tolist():
+            table[cp] = self._asked(cp)
+        whole = []
+        for token in self.added:  # leftmost first, none across two documents
+            at = text.find(token)
+            while at >= 0:
+                inside = offsets[np.searchsorted(offsets, at, side="right")] >= at + len(token)
+                if inside:
+                    whole.append((at, at + len(token)))
+                at = text.find(token, at + (len(token) if inside else 1))
+        return pretoken_starts(cps, offsets, whole)
+
+    def _asked(self, cp: int) -> int:
+        """Class of a code point by which of a letter, a number and a mark it joins."""
+        for k, before in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")):
+            if len(self.tokenizer().pre_tokenizer.pre_tokenize_str(before + chr(cp))) == 1:
+                return k
+        return SPACE
+
     def forget(self) -> None:
         self.hash = np.zeros(0, np.uint64)
         self.slot = np.zeros(0, np.int64)
@@ -133,7 +158,7 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tokenizer().encode(text, add_special_tokens=False).ids, np.uint32)
 
     def slots(self, text: str, cps: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Slot (index into count and at) of every pre-token."""
@@ -170,21 +195,14 @@ class Encoder:
     def encode(self, c: T.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a chunk in one array, and the document offsets in it."""
         text, cps, offsets = code_points(c)
-        start, odd = pretoken_starts(cps, offsets)
+        start = self.borders(text, cps, offsets)
         first = np.searchsorted(start, offsets)
         slot = self.slots(text, cps, start, np.append(start[1:], len(cps)) if len(start) else start)
         size = self.count[slot]
         total = np.zeros(len(slot) + 1, np.int64)
         np.cumsum(size, out=total[1:])
         ids = self.ids[np.repeat(self.at[slot] - total[:-1], size) + np.arange(total[-1])]
-        off = total[first]
-        if odd.any():
-            parts = [ids[off[d]:off[d + 1]] for d in range(c.n)]
-            for d in np.flatnonzero(odd):
-                parts[d] = self.whole(c.buf[c.offsets[d]:c.offsets[d + 1]].tobytes().decode("utf-8"))
-            ids = np.concatenate(parts)
-            np.cumsum([len(x) for x in parts], out=off[1:])
-        return ids, off
+        return ids, total[first]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -21,8 +21,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` (Spark's default is 64 MB): a task holds a batch on both sides of the
+    pipe, some of it twice, and long texts would fill that default."""
+    if int(spark.conf.get(_BATCH, "67108864b").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def documents_view(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """``doc_id, text`` (null text: empty) plus named columns; all other columns are left behind."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        *[F.col(c) for c in more])
 

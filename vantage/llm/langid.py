@@ -138,7 +138,8 @@ def predict(model: dict, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.array([[f == g for g in model["family"]] for f in model["fams"]])[best]
     pick = np.where(inside, votes + conf * 0.5, -1.0).argmax(axis=1)
     rows = np.arange(len(counts))
-    return pick, np.clip(p[rows, best] * conf[rows, pick], 0.0, 1.0)
+    # six digits: what the summation order of a batch decides is cut off, so that reruns agree
+    return pick, np.round(np.clip(p[rows, best] * conf[rows, pick], 0.0, 1.0), 6)
 
 
 def held_out_fold(id_col: Column) -> Column:
@@ -153,8 +154,9 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                        held_out_fold(F.col(id_col)).alias("held_out"))
     learn = view.where(~F.col("held_out") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
                        & F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
-    per = stage(learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-counts")
-    thin = learn.join(per, "lang").where(unit("doc_id", "lang") < 2.0 * per_lang / F.col("n"))
+    # texts are drawn, not rows: copies count once, and a shared id cannot take a language away
+    per = stage(learn.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-counts")
+    thin = learn.join(per, "lang").where(unit("lang", "text") < 2.0 * per_lang / F.col("n"))
 
     def count(batches):
         for b in batches:
@@ -166,7 +168,7 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                          pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "h", "x"])
 
     first = Window.partitionBy("lang").orderBy("h")
-    sample = thin.select("text", "lang", F.xxhash64("doc_id", "text").alias("h")) \
+    sample = thin.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")) \
         .withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).drop("k") \
         .mapInArrow(count, "lang string, h long, x binary").orderBy("lang", "h").collect()
     model = None

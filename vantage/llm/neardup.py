@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import textbuf as T
 from .common import documents_view, stage
 
-SHINGLE, THRESHOLD, COORDS, STAR_ROUNDS, SMALL_LIST = 5, 85, 64, 2, 8
+SHINGLE, THRESHOLD, COORDS, STAR_ROUNDS, SMALL_LIST, SALTS = 5, 85, 64, 2, 8, 8
 
 
 def agreements_needed(threshold: int, coords: int) -> int:
@@ -202,45 +202,62 @@ def _small_list_pairs(outside: DataFrame, at: DataFrame, close, small_list: int)
         .select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"))
 
 
-def _crowded_pairs(crowded: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Candidate pairs of crowded lists by what sets differ in from their list's hub.
+def _crowded_pairs(crowded: DataFrame, sets: DataFrame, threshold: int, salts: int = SALTS) -> DataFrame:
+    """Candidate pairs of crowded lists by what sets differ in from one set of their lists' largest component.
 
-    With D = the shingles in which a set differs from the hub's, two sets differ in |Da| + |Db| - 2 |Da & Db|
-    shingles, and they link if that is at most c (na + nb), c = (1 - t) / (1 + t).  With S = |D| - c n:
+    All crowded lists with one largest component are one group, and its *hub* stands for the component, so a
+    set is compared once per component and not once per list.  With D = the shingles in which a set differs from
+    the hub's, two sets differ in |Da| + |Db| - 2 |Da & Db| shingles, and they link if that is at most
+    c (na + nb), c = (1 - t) / (1 + t).  With S = |D| - c n:
 
-    * if Sa + Sb <= 0 they link for certain, and then both link with the member of the smallest S, which links
-      with the hub: that one pair stands for all of these;
+    * if Sa + Sb <= 0 they link for certain, and then both link with the member of the smallest S: that one pair
+      stands for all of these;
     * otherwise Da and Db must share (Sa + Sb) / 2 shingles at least, so they meet in the rarest
-      |D| - (S + least S of a possible partner) / 2 + 1 of them: only those are posted, and only members outside
-      the hub's component look for partners.
+      |D| - (S + least S of a possible partner) / 2 + 1 of them: only those are posted, only members outside
+      the main component look for partners, and of its own members only shingles that these post are kept.
     """
     t = threshold
-    group = stage(crowded.select(F.col("node2").alias("hub"), "node", "label", "main", "size").distinct(), "near-crowded")
-    hubs = sets.select(F.col("node").alias("hub"), F.col("members").alias("of_hub"))
+    group = stage(crowded.groupBy("main", "node", "label", "size").agg(F.min("node2").alias("hub")), "near-crowded")
+    # one of the lists' hubs (members with the fewest shingles of their own) for the whole component
+    one = group.groupBy("main").agg(F.min("hub").alias("hub"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    hubs = sets.select(F.col("node").alias("hub"), F.col("members").alias("of_hub")).join(one, "hub").select("main", "of_hub", every)
+    salted = group.select("main", "node", "label", "size", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int").alias("salt"))
     delta = F.concat(F.array_except("members", "of_hub"), F.array_except("of_hub", "members"))
-    d = group.join(sets, "node").join(hubs, "hub").select("hub", "node", "label", "main", "size", delta.alias("delta"))
-    d = stage(d.withColumn("s", (100 + t) * F.size("delta").cast("long") - (100 - t) * F.col("size")), "near-deltas")
+    d = salted.join(sets, "node").join(hubs, ["main", "salt"]).select("main", "node", "label", "size", delta.alias("delta"))
     outer = F.col("label") != F.col("main")
-    least = d.groupBy("hub").agg(F.min("s").alias("s_min"), F.min_by("node", F.struct("s", "node")).alias("m"),
-                                 F.min(F.when(outer, F.col("s"))).alias("s_out"))
-    own = d.join(least, "hub")
-    certain = own.where(outer & (F.col("s") + F.col("s_min") <= 0)).select("node", F.col("m").alias("other"))
-    certain = certain.unionByName(least.select(F.col("m").alias("node"), F.col("hub").alias("other")))
-    shared = d.select("hub", F.explode("delta").alias("e")).groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    posted = own.select("hub", "node", "label", outer.alias("outer"), F.size("delta").alias("n"), "s", "s_min", "s_out", F.explode("delta").alias("e")) \
-        .join(shared, ["hub", "e"]).groupBy("hub", "node", "label", "outer", "n", "s", "s_min", "s_out") \
-        .agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("t"))
+    d = stage(d.withColumn("s", (100 + t) * F.size("delta").cast("long") - (100 - t) * F.col("size")).withColumn("outer", outer), "near-deltas")
+    least = stage(d.groupBy("main").agg(F.min("s").alias("s_min"), F.min_by("node", F.struct("s", "node")).alias("m"),
+                                        F.min(F.when(F.col("outer"), F.col("s"))).alias("s_out")), "near-least")
+    own = d.select("main", "node", "label", "outer", F.size("delta").alias("n"), "s",
+                   F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int").alias("salt")).join(least.select("*", every), ["main", "salt"])
+    certain = own.where(F.col("outer") & (F.col("s") + F.col("s_min") <= 0)).select("node", F.col("m").alias("other"))
+    # the hub itself has S < 0, so the member of the smallest S links with the component
+    certain = certain.unionByName(least.select(F.col("m").alias("node"), "main").join(one.select("main", F.col("hub").alias("other")), "main").select("node", "other"))
+
+    def spread(rows: DataFrame) -> DataFrame:
+        return rows.select("main", "node", "outer", F.explode("delta").alias("e"))
+
+    seekers = stage(spread(d.where("outer")), "near-outer")
+    posts = seekers.groupBy("main", "e").agg(F.count(F.lit(1)).alias("df_out"))
+    inner = stage(spread(d.where("not outer")).join(posts.select("main", "e"), ["main", "e"], "left_semi"), "near-inner")
+    held = inner.groupBy("main", "e").agg(F.count(F.lit(1)).alias("df_in"))
+    shared = posts.join(held, ["main", "e"], "left").withColumn("df", F.col("df_out") + F.coalesce("df_in", F.lit(0))) \
+        .where("df > 1").select("main", "e", "df", every)
+    listed = seekers.unionByName(inner).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")) \
+        .join(shared, ["main", "e", "salt"]).groupBy("main", "node").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("t"))
+    posted = stage(own.join(listed, ["main", "node"]).select("main", "node", "label", "outer", "n", "s", "s_min", "s_out", "t"), "near-posted")
 
     def prefix(rows: DataFrame, partner: str) -> DataFrame:
+        # shingles that nobody else has come first in the order and meet nobody
         must = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col(partner)) / F.lit(2 * (100 + t)))).cast("int")
-        take = F.greatest(F.lit(0), F.col("n") - must + 1 - (F.col("n") - F.size("t")))
-        return rows.select("hub", "node", "label", "outer", F.explode(F.slice("t", F.lit(1), take)).alias("x")) \
-            .select("hub", F.col("x.e").alias("e"), "node", "label", "outer")
-
-    posted = stage(posted, "near-posted")
-    seek = prefix(posted.where("outer"), "s_min").drop("outer")
-    find = prefix(posted, "s_out").select("hub", "e", F.col("node").alias("node2"), F.col("label").alias("label2"))
-    pairs = seek.join(find, ["hub", "e"]).where(F.col("label") != F.col("label2")).select("node", F.col("node2").alias("other"))
+        take = F.greatest(F.lit(0), F.size("t") - must + 1)
+        return rows.select("main", "node", "label", F.explode(F.slice("t", F.lit(1), take)).alias("x")) \
+            .select("main", F.col("x.e").alias("e"), "node", "label")
+
+    seek = prefix(posted.where("outer"), "s_min")
+    find = prefix(posted, "s_out").select("main", "e", F.col("node").alias("node2"), F.col("label").alias("label2"))
+    pairs = seek.join(find, ["main", "e"]).where(F.col("label") != F.col("label2")).select("node", F.col("node2").alias("other"))
     return pairs.unionByName(certain).where("node <> other") \
         .select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v"))
 
@@ -309,3 +326,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("doc_id", "n_shingles", "component_id")
     alone = own.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, with one row of each group of near-duplicates: the one of the smallest id.
+
+    A row is judged by its id and text: rows that share an id but not the text are documents of their own, equal
+    rows are one.  Rows without an id are documents like others and come after those with one.
+    """
+    seed = 0
+    while True:
+        uid = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+        ids = stage(docs.select(uid.alias("uid"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th")), "near-ids")
+        known = ids.groupBy("uid").agg(F.min(F.struct("id", "th")).alias("a"), F.max(F.struct("id", "th")).alias("b"),
+                                       F.count(F.lit(1)).alias("n"))
+        known = stage(known.select("uid", F.col("a.id").alias("id"), (F.col("a") != F.col("b")).alias("clash"), "n"), "near-rows")
+        if known.where("clash").isEmpty():
+            break
+        seed += 1  # two documents with one hash: draw anew
+    judged = near_duplicates(docs.select(uid.alias("uid"), F.col(text_col).alias("text")), "uid", "text", threshold=threshold)
+    group = judged.select(F.col("doc_id").alias("uid"), "component_id").distinct().join(known, "uid")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid"), F.col("n").alias("n")))
+    kept = stage(group.groupBy("component_id").agg(first.alias("f")).select(F.col("f.uid").alias("_uid"), F.col("f.n").alias("_n")), "near-kept")
+    rows = docs.withColumn("_uid", uid).join(kept, "_uid")
+    single, many = rows.where("_n = 1"), rows.where("_n > 1")
+    return single.select(*docs.columns).unionByName(many.dropDuplicates(["_uid"]).select(*docs.columns))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbuf as T
-from .bpe import CLASSED, CLASS, UNKNOWN, VOCABULARY, Encoder, code_points, encoder, pretoken_starts
+from .bpe import VOCABULARY, Encoder, code_points, encoder
 from .common import documents_view, unit
 
 LEAF = 64  # pre-tokens a block holds about
@@ -84,7 +84,6 @@ class Counted:
 
     def __init__(self, enc: Encoder, text: str, length: np.ndarray | None = None, tokens: np.ndarray | None = None):
         self.enc, self.text, self.reencoded = enc, text, 0
-        self.odd = bool((CLASS[np.minimum(_cps(text), CLASSED)] == UNKNOWN).any())
         if length is None:
             length, tokens = self._scan(text)
         self.tree = SumTree(length, tokens)
@@ -92,30 +91,23 @@ class Counted:
     def _scan(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and token counts of the pre-tokens of a text."""
         cps = _cps(text)
-        start, _ = pretoken_starts(cps, np.array([0, len(cps)]))
+        start = self.enc.borders(text, cps, np.array([0, len(cps)]))
         end = np.append(start[1:], len(cps)) if len(start) else start
         return end - start, self.enc.counts(text, cps, start, end)
 
     @property
     def tokens(self) -> int:
-        return len(self.enc.whole(self.text)) if self.odd else self.tree.total
+        return self.tree.total
 
     def edit(self, position: int, delete: int, insert: str) -> None:
         n = len(self.text)
         position = min(max(position, 0), n)
         stop = min(position + max(delete, 0), n)
         new = self.text[:position] + insert + self.text[stop:]
-        odd = bool((CLASS[np.minimum(_cps(insert), CLASSED)] == UNKNOWN).any())
-        if self.odd or odd:  # unclassed characters: the tokenizer counts the whole text
-            self.text, self.reencoded = new, self.reencoded + len(new)
-            cps = _cps(new)
-            self.odd = bool((CLASS[np.minimum(cps, CLASSED)] == UNKNOWN).any())
-            if not self.odd:
-                self.tree = SumTree(*self._scan(new))
-            return
         tree = self.tree
-        # one pre-token of context on the left: a pre-token looks one character ahead
-        first, at = tree.block_at(max(position - 1, 0))
+        # context on the left: a pre-token looks one character ahead, an added token reaches as far as it is long
+        near = max(position - self.enc.reach, 0)
+        first, at = tree.block_at(near)
         if first > 0:
             first -= 1
             at -= int(tree.blocks[first][0].sum())
@@ -126,7 +118,7 @@ class Counted:
             borders = at + np.cumsum(length) - length  # old borders
             end = at + int(length.sum())
             # scan from the last border before the edit's context to the end of the blocks taken
-            i = max(int(np.searchsorted(borders, max(position - 1, 0), side="right")) - 2, 0) if len(borders) else 0
+            i = max(int(np.searchsorted(borders, near, side="right")) - 2, 0) if len(borders) else 0
             begin = int(borders[i]) if len(borders) else at
             got_len, got_tok, upto, j = self._rescan(new, begin, end, shift, borders, stop, last == len(tree.blocks) - 1)
             if upto >= 0:
@@ -146,9 +138,9 @@ class Counted:
         reach = 64
         while True:
             limit = min(max(stop + shift, begin) + reach, end + shift)
-            part = new[begin:limit + 2] if limit < len(new) else new[begin:]
+            part = new[begin:limit + 1 + self.enc.reach] if limit < len(new) else new[begin:]
             cps = _cps(part)
-            start, _ = pretoken_starts(cps, np.array([0, len(cps)]))
+            start = self.enc.borders(part, cps, np.array([0, len(cps)]))
             start = start + begin
             safe = start[start < limit] if limit < len(new) else np.append(start, len(new))
             common = safe[np.isin(safe, old + shift) & (safe > begin)]
@@ -188,7 +180,7 @@ def edited_counts(docs: DataFrame, edits: Column, id_col: str = "doc_id", text_c
             lists = b.column("_edits").to_pylist()
             for c in T.chunks(b.column("text")):
                 text, cps, offsets = code_points(c)
-                start, _ = pretoken_starts(cps, offsets)
+                start = enc.borders(text, cps, offsets)
                 end = np.append(start[1:], len(cps)) if len(start) else start
                 count = enc.counts(text, cps, start, end)
                 first = np.searchsorted(start, offsets)
