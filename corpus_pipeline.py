@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vantage.llm.common import stage
 from vantage.llm.mixing import mixed_documents
-from vantage.llm.neardup import THRESHOLD, near_duplicates
+from vantage.llm.neardup import THRESHOLD, one_of_each_group
 from vantage.llm.packing import pack
 from vantage.llm.pii import redact
 from vantage.llm.quality import quality_filter
@@ -29,10 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: int = THRESHOLD) -> DataFrame:
-    """One document of each group of near-duplicates stays (of rows with one id, one row); rows without an id stay."""
-    kept = near_duplicates(docs, threshold=threshold).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return known.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates stays; rows are judged by id and text."""
+    return one_of_each_group(docs, threshold=threshold)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
