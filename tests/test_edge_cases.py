@@ -106,8 +106,7 @@ def test_one_stop_route_has_zero_length(spark):
 def _random_log(spark, n=400, states=7, seed=3):
     rnd = random.Random(seed)
     rows = [(i, rnd.randrange(5), f"s{rnd.randrange(states)}", rnd.randrange(3), float(rnd.randrange(10))) for i in range(n)]
-    df = spark.createDataFrame(rows, "t long, u long, s string, a int, r double")
-    return PL.next_in_group(df, "u", ["t"], "s", "s2")
+    return spark.createDataFrame(rows, "t long, u long, s string, a int, r double")
 
 
 def test_text_to_cells(spark):
@@ -123,7 +122,7 @@ def test_next_in_group_keeps_null_groups(spark):
 
 
 def test_estimated_transitions_are_distributions(spark):
-    t = PL.estimate_transitions(_random_log(spark), "s", "a", "r", "s2", terminal=F.col("s") == "s0")
+    t = PL.estimate_transitions(_random_log(spark), "u", ["t"], "s", "a", "r", terminal=F.col("s") == "s0")
     sums = t.groupBy("s", "a").agg(F.sum("p").alias("p")).collect()
     assert sums and all(abs(r["p"] - 1) < 1e-12 and r["s"] != "s0" for r in sums)
 
@@ -135,7 +134,7 @@ def test_reachability_is_directed(spark):
 
 
 def test_value_iteration_contracts(spark):
-    t = PL.estimate_transitions(_random_log(spark), "s", "a", "r", "s2")
+    t = PL.estimate_transitions(_random_log(spark), "u", ["t"], "s", "a", "r")
     st = PL.states_of(t)
     a, b, c = ({r["s"]: r["v"] for r in PL.value_iteration(t, st, max_iter=k, theta=0.0).collect()} for k in (1, 2, 3))
     d12 = max(abs(a[s] - b[s]) for s in a)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import cut_lineage
+from .carry import step_counts
 from .ordering import ordinal
 
 # fixed values of the studied planning problems
@@ -40,17 +41,20 @@ def next_in_group(df: DataFrame, group: str, order_cols: Sequence[str], value: s
     return pos.join(nxt, (F.col("_pos") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")), "left").drop("_pos", "_p", "_g")
 
 
-def estimate_transitions(log: DataFrame, s: str, a: str, r: str, s2: str, terminal: Column | None = None) -> DataFrame:
-    """``(s, a, s2, p, r)`` from logged steps: relative frequencies, and the mean reward of each triple.
+def estimate_transitions(log: DataFrame, group: str, order_cols: Sequence[str], s: str, a: str, r: str,
+                         terminal: Column | None = None) -> DataFrame:
+    """``(s, a, s2, p, r)`` from the logged steps of every group: relative frequencies, and the mean reward of each triple.
 
-    Steps without a next state, and steps out of states where ``terminal`` holds, are not transitions.
+    A group's last step, and steps out of states where ``terminal`` (over ``s``) holds, are not transitions.
     """
-    steps = log.where(F.col(s2).isNotNull())
+    return transitions_of(step_counts(log, group, order_cols, s, a, r), terminal)
+
+
+def transitions_of(counts: DataFrame, terminal: Column | None = None) -> DataFrame:
+    steps = counts.where(F.col("s2").isNotNull())
     if terminal is not None:
         steps = steps.where(~F.coalesce(terminal, F.lit(False)))
-    t = steps.groupBy(F.col(s).alias("s"), F.col(a).alias("a"), F.col(s2).alias("s2")).agg(
-        F.count(F.lit(1)).alias("_n"), F.avg(r).alias("r"))
-    return t.withColumn("p", F.col("_n") / F.sum("_n").over(Window.partitionBy("s", "a"))).select("s", "a", "s2", "p", "r")
+    return steps.select("s", "a", "s2", (F.col("n") / F.sum("n").over(Window.partitionBy("s", "a"))).alias("p"), (F.col("rs") / F.col("n")).alias("r"))
 
 
 def states_of(trans: DataFrame) -> DataFrame:
@@ -105,15 +109,19 @@ def greedy_policy(trans: DataFrame, v: DataFrame, gamma: float = GAMMA, digits:
 
 def policy_iteration(trans: DataFrame, states: DataFrame, gamma: float = GAMMA, rounds: int = 2,
                      eval_sweeps: int = 20) -> DataFrame:
-    """Rounds of (greedy improvement, ``eval_sweeps`` policy-evaluation sweeps), from V = 0.
+    """Rounds of (greedy improvement, ``eval_sweeps`` policy-evaluation sweeps), from V = 0, until the policy holds
+    or ``rounds`` are done.
 
     Returns ``(s, v, a)`` with the final policy's action.
     """
     trans = cut_lineage(trans)
     states = cut_lineage(states)
     v = cut_lineage(states.select("s", F.lit(0.0).alias("v")))
+    pol = None
     for _ in range(rounds):
-        pol = cut_lineage(greedy_policy(trans, v, gamma).select("s", "a"))
+        old, pol = pol, cut_lineage(greedy_policy(trans, v, gamma).select("s", "a"))
+        if old is not None and pol.join(old.withColumnRenamed("a", "_a"), "s").where("a <> _a").isEmpty():
+            break  # the values are those of this policy already
         tp = cut_lineage(trans.join(pol, ["s", "a"]))
         for _ in range(eval_sweeps):
             j = tp.join(_values_side(v), "s2", "left")
@@ -146,34 +154,29 @@ def reachable_states(trans: DataFrame, start, max_steps: int | None = None) -> D
     return visited
 
 
-def batch_q_learning(log: DataFrame, s: str, a: str, r: str, s2: str, gamma: float = GAMMA,
+def batch_q_learning(log: DataFrame, order_cols: Sequence[str], s: str, a: str, r: str, gamma: float = GAMMA,
                      q0: float = 0.3, lr: float = 0.1, sweeps: int = 10) -> DataFrame:
-    """Fitted-Q sweeps over logged ``(s, a, r, s')`` rows.
+    """Fitted-Q sweeps over a log of steps in ``order_cols`` order.
 
-    The log is pre-aggregated once to ``(s, a, s') -> (count, reward sum)`` (one
-    shuffle with map-side combine, whatever the log size); each sweep then
-    updates ``Q <- (1-lr) Q + lr * mean(r + gamma * max_a' Q(s', a'))`` on that
-    compact table.  ``s'`` NULL marks the end of the log (no bootstrap term).
+    One pass over the log gives ``(s, a, s') -> (count, reward sum)``, whatever the log size; each sweep then
+    updates ``Q <- (1-lr) Q + lr * mean(r + gamma * max_a' Q(s', a'))`` on that compact table.  The log's last step
+    has no ``s'`` (no bootstrap term).
     """
-    agg = log.groupBy(F.col(s).alias("s"), F.col(a).alias("a"), F.col(s2).alias("s2")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum(r).alias("rs"))
-    return fitted_q(agg, gamma, q0, lr, sweeps)
+    return fitted_q(step_counts(log, None, order_cols, s, a, r), gamma, q0, lr, sweeps)
 
 
 def fitted_q(agg: DataFrame, gamma: float = GAMMA, q0: float = 0.3, lr: float = 0.1, sweeps: int = 10) -> DataFrame:
     """Fitted-Q sweeps over a table ``(s, a, s2, n, rs)`` of weights and reward sums.
 
-    The table is compact, so the sweeps are one plan; it is cut only every few sweeps.
+    A sweep reads Q twice (its maxima and its old values), so Q is cut every sweep: the plan stays one sweep deep.
     """
     agg = cut_lineage(agg)
     q = agg.select("s", "a").distinct().withColumn("q", F.lit(float(q0)))
-    for k in range(1, sweeps + 1):
+    for _ in range(sweeps):
         vmax = q.groupBy("s").agg(F.max("q").alias("_m")).withColumnRenamed("s", "s2")
         tgt = agg.join(vmax, "s2", "left").groupBy("s", "a").agg(
             ((F.sum("rs") + gamma * F.sum(F.col("n") * F.coalesce(F.col("_m"), F.lit(0.0)))) / F.sum("n")).alias("_t"))
-        q = q.join(tgt, ["s", "a"]).select("s", "a", ((1 - lr) * F.col("q") + lr * F.col("_t")).alias("q"))
-        if k % 5 == 0 or k == sweeps:
-            q = cut_lineage(q)
+        q = cut_lineage(q.join(tgt, ["s", "a"]).select("s", "a", ((1 - lr) * F.col("q") + lr * F.col("_t")).alias("q")))
     return q
 
 

@@ -1,8 +1,7 @@
 """Ordered-sequence statistics: runs, edge runs, closed routes, mutual information.
 
-Positions come from the skew-safe ``ordinal`` (a long sequence is spread over
-many tasks); neighbours are found by an equi-join on ``(seq, pos + 1)``, never
-by a window over a whole sequence.
+Ordered statistics are folds over range partitions with carried borders (``carry``): a long sequence is spread over
+many tasks, rows are neither numbered nor joined with themselves.
 """
 
 from __future__ import annotations
@@ -12,45 +11,23 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import ordinal
+from . import carry
 
 
 def longest_run(df: DataFrame, seq: str, order_cols: Sequence[str], value: str) -> DataFrame:
-    """Longest run of equal consecutive values, per ``(seq, value)`` (gaps and islands)."""
-    a = ordinal(df, order_cols, [seq], out="_pos")
-    b = ordinal(a, ["_pos"], [seq, value], out="_vpos")
-    isl = b.groupBy(seq, value, (F.col("_pos") - F.col("_vpos")).alias("_island")).agg(
-        F.count(F.lit(1)).alias("_len"))
-    return isl.groupBy(seq, value).agg(F.max("_len").alias("longest"))
+    """Longest run of equal consecutive values, per ``(seq, value)``."""
+    return carry.run_records(df, seq, order_cols, value).groupBy(seq, value).agg(F.max("longest").alias("longest"))
 
 
 def edge_runs(df: DataFrame, seq: str, order_cols: Sequence[str], bit: str, t: int) -> DataFrame:
-    """Leading ones, trailing zeros, and the both-above-``t`` bonus (four-peaks fitness).
-
-    One ordinal plus one aggregation with conditional min/max per sequence.
-    """
-    a = ordinal(df, order_cols, [seq], out="_pos")
-    g = a.groupBy(seq).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(F.col(bit) == 0, F.col("_pos"))).alias("_first0"),
-        F.max(F.when(F.col(bit) == 1, F.col("_pos"))).alias("_last1"))
-    head = F.coalesce(F.col("_first0"), F.col("n"))
-    tail = F.when(F.col("_last1").isNull(), F.col("n")).otherwise(F.col("n") - 1 - F.col("_last1"))
-    out = g.select(seq, "n", head.alias("head"), tail.alias("tail"))
+    """Leading ones, trailing zeros, and the both-above-``t`` bonus (four-peaks fitness)."""
     bonus = F.when((F.col("head") > t) & (F.col("tail") > t), F.col("n")).otherwise(F.lit(0))
-    return out.withColumn("fitness", F.greatest("head", "tail") + bonus)
+    return carry.edge_counts(df, seq, order_cols, bit).withColumn("fitness", F.greatest("head", "tail") + bonus)
 
 
 def route_length(df: DataFrame, route: str, order_cols: Sequence[str], x: str, y: str) -> DataFrame:
     """Total Euclidean length of each closed route (last stop back to the first)."""
-    a = ordinal(df, order_cols, [route], out="_pos").select(route, "_pos", F.col(x).alias("_x"), F.col(y).alias("_y"))
-    n = a.groupBy(route).agg(F.count(F.lit(1)).alias("n"))
-    # one row per route: broadcast where its measured size allows; a null route is a route like any other
-    a = a.join(n.withColumnRenamed(route, "_r"), F.col(route).eqNullSafe(F.col("_r"))).drop("_r")
-    nxt = a.select(F.col(route).alias("_r"), F.col("_pos").alias("_p"), F.col("_x").alias("_nx"), F.col("_y").alias("_ny"))
-    legs = a.join(nxt, (F.pmod(F.col("_pos") + 1, F.col("n")) == F.col("_p")) & F.col(route).eqNullSafe(F.col("_r")))
-    return legs.groupBy(route).agg(F.first("n").alias("n"),
-                                   F.sum(F.hypot(F.col("_nx") - F.col("_x"), F.col("_ny") - F.col("_y"))).alias("length"))
+    return carry.path_lengths(df, route, order_cols, x, y)
 
 
 def pairwise_mutual_information(df: DataFrame, cols: Sequence[str]) -> DataFrame:

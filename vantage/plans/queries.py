@@ -28,7 +28,6 @@ from ..operators import sampling as S
 from ..operators import search as SE
 from ..operators import sequences as SQ
 from ..operators import trees as TR
-from ..operators.ordering import ordinal
 from ..session import cut_lineage, shared_path, table
 from ..sources import io as IO
 from . import fixtures as FX
@@ -706,14 +705,13 @@ def _event_log(spark, sf):
     """Steps of the event stream of each user: state = event type and value band, action = user class."""
     ev = FX.events(spark, sf).select("event_id", "ts", "event_type", "user_id", "value")
     s = F.concat_ws(":", "event_type", F.floor(F.least(F.col("value"), F.lit(199.0)) / 25).cast("string"))
-    log = ev.withColumn("s", s).withColumn("a", F.pmod(F.col("user_id"), F.lit(4)))
-    return PL.next_in_group(log, "user_id", ["ts", "event_id"], "s", "s2")
+    return ev.withColumn("s", s).withColumn("a", F.pmod(F.col("user_id"), F.lit(4)))
 
 
 def _trans(spark, sf):
     """Transitions estimated from the log; a purchase ends an episode."""
-    log = _event_log(spark, sf)
-    t = cut_lineage(PL.estimate_transitions(log, "s", "a", "value", "s2", terminal=F.col("event_type") == "purchase"))
+    t = cut_lineage(PL.estimate_transitions(_event_log(spark, sf), "user_id", ["ts", "event_id"], "s", "a", "value",
+                                            terminal=F.col("s").startswith("purchase:")))
     return t, PL.states_of(t)
 
 
@@ -768,11 +766,8 @@ Q_SWEEPS = 10
 @q("batch_q_learning")
 def _batch_q_learning(spark, sf):
     ev = FX.events(spark, sf).select("event_id", "ts", "event_type", "user_id", "value")
-    pos = ordinal(ev, ["ts", "event_id"], out="pos")
-    nxt = pos.select((F.col("pos") - 1).alias("pos"), F.col("event_type").alias("s2"))
-    log = pos.join(nxt, "pos", "left").select(F.col("event_type").alias("s"),
-                                                F.pmod(F.col("user_id"), F.lit(4)).alias("a"), "value", "s2")
-    qv = PL.batch_q_learning(log, "s", "a", "value", "s2", PL.GAMMA, 0.3, 0.1, Q_SWEEPS)
+    log = ev.select("ts", "event_id", F.col("event_type").alias("s"), F.pmod(F.col("user_id"), F.lit(4)).alias("a"), "value")
+    qv = PL.batch_q_learning(log, ["ts", "event_id"], "s", "a", "value", PL.GAMMA, 0.3, 0.1, Q_SWEEPS)
     return qv.select("s", "a", r6(F.col("q")).alias("q"))
 
 
