@@ -654,3 +654,76 @@ SQL["poly_features"] = (
     "three AS (SELECT a.vec_id, (a.cell + b.cell) % 32 AS cell, sum(a.s * b.s) AS s FROM two a JOIN s b USING (vec_id) WHERE b.k = 2 GROUP BY ALL) "
     "SELECT c.vec_id, c.i::INTEGER AS component, round(coalesce(s, 0), 9) + 0.0 AS value FROM (SELECT vec_id, i FROM emb, range(32) r(i)) c "
     "LEFT JOIN three ON three.vec_id = c.vec_id AND three.cell = c.i")
+
+
+# ---------------------------------------------------------------- search: generations unrolled
+
+_MOMENTS = (f"{EMB}, gm AS MATERIALIZED (SELECT list(r ORDER BY i) AS g FROM (SELECT i, list(x ORDER BY j) AS r FROM (SELECT i, j, sum(v[i] * v[j]) AS x "
+            "FROM emb, range(1, 65) a(i), range(1, 65) b(j) GROUP BY i, j) GROUP BY i)), "
+            "bm AS (SELECT list(x ORDER BY i) AS b FROM (SELECT i, sum(v[i] * y) AS x FROM emb, range(1, 65) a(i) GROUP BY i)), "
+            "mo AS MATERIALIZED (SELECT g, b, (SELECT sum(y * y) FROM emb)::DOUBLE AS yy FROM gm, bm)")
+
+
+def _u(key: str) -> str:
+    """Hashed draw in [0, 1) of a ':'-joined key (SQL text with || for the variable parts)."""
+    return f"({H(key)} / 4294967296.0::DOUBLE)"
+
+
+def _sse(w: str) -> str:
+    return f"round(yy - 2 * list_dot_product(b, {w}) + list_sum(list_transform(range(1, 65), lambda i: {w}[i] * list_dot_product(g[i], {w}))), 9)"
+
+
+def _best_rows(generations: int, temperature: str = "") -> str:
+    past = " UNION ALL ".join(f"SELECT {g} AS generation, w, sse FROM best{g}" for g in range(1, generations + 1))
+    return (f" SELECT generation::INTEGER AS generation, round(any_value(sse), 6) AS sse{temperature}, "
+            f"round(avg((abs(list_dot_product(v, w) - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM ({past}), emb GROUP BY generation")
+
+
+def _climbed(generations: int, neighbours: int, step: float) -> str:
+    out = f"WITH {_MOMENTS}, best0 AS MATERIALIZED (SELECT list_transform(range(64), lambda j: 0.0::DOUBLE) AS w, yy AS sse FROM mo)"
+    for g in range(1, generations + 1):
+        u = _u(f"'climb:0:{g}:' || n || ':' || j")
+        out += (f", try{g} AS MATERIALIZED (SELECT n, list_transform(range(64), lambda j: w[j + 1] + ({u} - 0.5) * {D(step)}) AS w FROM best{g - 1}, range({neighbours}) t(n)), "
+                f"best{g} AS MATERIALIZED (SELECT w, sse FROM (SELECT n, w, {_sse('w')} AS sse FROM try{g}, mo UNION ALL SELECT -1, w, sse FROM best{g - 1}) "
+                "ORDER BY sse, n LIMIT 1)")
+    return out + _best_rows(generations)
+
+
+def _annealed(generations: int, chains: int, temp: float, cooling: float, step: float) -> str:
+    out = f"WITH {_MOMENTS}, c0 AS MATERIALIZED (SELECT c, list_transform(range(64), lambda j: 0.0::DOUBLE) AS w, yy AS sse FROM mo, range({chains}) t(c))"
+    heat, t = [], temp
+    for g in range(1, generations + 1):
+        u = _u(f"'anneal:0:{g}:' || c || ':' || j")
+        a = _u(f"'accept:0:{g}:' || c")
+        out += (f", try{g} AS MATERIALIZED (SELECT c, w, sse, list_transform(range(64), lambda j: w[j + 1] + ({u} - 0.5) * {D(step)}) AS w2 FROM c{g - 1}), "
+                f"s{g} AS MATERIALIZED (SELECT *, {_sse('w2')} AS sse2 FROM try{g}, mo), "
+                f"t{g} AS MATERIALIZED (SELECT c, w, w2, sse, sse2, sse2 < sse OR {a} < exp(least(0.0, (sse - sse2) / {D(t)})) AS take FROM s{g}), "
+                f"c{g} AS MATERIALIZED (SELECT c, CASE WHEN take THEN w2 ELSE w END AS w, CASE WHEN take THEN sse2 ELSE sse END AS sse FROM t{g}), "
+                f"best{g} AS MATERIALIZED (SELECT w, sse FROM c{g} ORDER BY sse, c LIMIT 1)")
+        t *= cooling
+        heat.append(D(t))
+    return out + _best_rows(generations, f", [{', '.join(heat)}][generation] AS temperature")
+
+
+def _evolved(generations: int, population: int, mate: int, mutate: int, step: float) -> str:
+    half = max(2, population // 2)
+    first = _u("'first:0:' || c || ':' || j")
+    out = (f"WITH {_MOMENTS}, p0 AS MATERIALIZED (SELECT c, w, {_sse('w')} AS sse FROM (SELECT c, list_transform(range(64), lambda j: ({first} - 0.5) * {D(step)}) AS w "
+           f"FROM range({population}) t(c)), mo), r0 AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY sse, c) - 1 AS k FROM p0)")
+    for g in range(1, generations + 1):
+        who = {x: f"floor({_u(f"'{x}:0:{g}:' || n")} * {half})" for x in ("mother", "father")}
+        kid = (f"SELECT n, list_transform(range(64), lambda j: CASE WHEN {_u(f"'gene:0:{g}:' || n || ':' || j")} < 0.5 THEN a.w[j + 1] ELSE b.w[j + 1] END) AS w "
+               f"FROM range({mate}) t(n) JOIN r{g - 1} a ON a.k = {who['mother']} JOIN r{g - 1} b ON b.k = {who['father']}")
+        for u in range(mutate):
+            child, place = (f"floor({_u(f"'{x}:0:{g}:{u}'")} * {size})" for x, size in (("child", mate), ("place", 64)))
+            kid = (f"SELECT n, CASE WHEN n = {child} THEN list_transform(range(64), lambda j: w[j + 1] + CASE WHEN j = {place} "
+                   f"THEN ({_u(f"'mutate:0:{g}:{u}'")} - 0.5) * {D(step)} ELSE 0 END) ELSE w END AS w FROM ({kid})")
+        out += (f", kid{g} AS MATERIALIZED ({kid}), p{g} AS MATERIALIZED (SELECT k AS c, w, sse FROM r{g - 1} WHERE k < {population - mate} UNION ALL "
+                f"SELECT n + {population - mate} AS c, w, {_sse('w')} AS sse FROM kid{g}, mo), "
+                f"r{g} AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY sse, c) - 1 AS k FROM p{g}), best{g} AS MATERIALIZED (SELECT w, sse FROM r{g} WHERE k = 0)")
+    return out + _best_rows(generations)
+
+
+SQL["search_hill_climb"] = _climbed(10, 16, 0.1)
+SQL["search_anneal"] = _annealed(10, 16, 1e3, 0.4, 0.1)
+SQL["search_genetic"] = _evolved(10, 24, 8, 2, 0.1)

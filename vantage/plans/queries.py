@@ -21,6 +21,7 @@ from ..operators import machines as MA
 from ..operators import metrics as M
 from ..operators import neighbors as NB
 from ..operators import planning as PL
+from ..operators import populations as PO
 from ..operators import prep as P
 from ..operators import profile as PR
 from ..operators import projection as PJ
@@ -822,26 +823,24 @@ def _search_report(spark, sf):
 
 
 def _searched(search, spark, sf):
-    e = FX.emb(spark, sf).persist()
-    try:
-        return search(e, "vec", "y", _width(e, "vec"), SEARCH_GENERATIONS)
-    finally:
-        e.unpersist()
+    e = FX.emb(spark, sf)
+    got = search(e, "vec", "y", _width(e, "vec"), SEARCH_GENERATIONS)
+    return got.withColumn("sse", r6(F.col("sse"))).withColumn("accuracy", r6(F.col("accuracy")))
 
 
 @q("search_hill_climb")
 def _search_hill_climb(spark, sf):
-    return _searched(SE.search_hill_climb, spark, sf)
+    return _searched(PO.hill_climb, spark, sf)
 
 
 @q("search_anneal")
 def _search_anneal(spark, sf):
-    return _searched(SE.search_anneal, spark, sf)
+    return _searched(PO.anneal, spark, sf)
 
 
 @q("search_genetic")
 def _search_genetic(spark, sf):
-    return _searched(SE.search_genetic, spark, sf)
+    return _searched(PO.evolve, spark, sf)
 
 
 # ---------------------------------------------------------------- 2.9 / 2.10 estimators
