@@ -13,6 +13,7 @@ import math
 from typing import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -45,21 +46,85 @@ def kmeans_fit(df: DataFrame, vec: str, k: int, n_init: int = 10, seed: int = 10
     return min(fits, key=lambda t: (t[2], t[0]))[1]
 
 
-INIT_ROWS = 4096   # rows (lowest hash first) that initial centres are drawn from
+SEED_ROUNDS, OVERSAMPLE = 5, 2
 
 
-def _spread_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ choice of ``k`` rows (rows repeat where there are fewer distinct ones)."""
-    chosen = [int(rng.integers(len(x)))]
+def _spread_centres(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ choice of ``k`` of the weighted rows (rows repeat where there are fewer distinct ones)."""
+    chosen = [int(rng.choice(len(x), p=weight / weight.sum()))]
     d2 = ((x - x[chosen[0]]) ** 2).sum(1)
     while len(chosen) < k:
-        total = d2.sum()
-        i = int(rng.choice(len(x), p=d2 / total)) if total > 0 else int(rng.integers(len(x)))
+        mass = d2 * weight
+        total = mass.sum()
+        i = int(rng.choice(len(x), p=mass / total)) if total > 0 else int(rng.integers(len(x)))
         chosen.append(i)
         d2 = np.minimum(d2, ((x - x[i]) ** 2).sum(1))
     return x[chosen].copy()
 
 
+def _draw(h: np.ndarray, *key: int) -> np.ndarray:
+    """Uniform draws in [0, 1) fixed by row hashes and a key."""
+    z = h.astype(np.uint64)
+    for k in key:
+        z = (z ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        z ^= z >> np.uint64(29)
+    return (z >> np.uint64(11)).astype(float) / float(1 << 53)
+
+
+def _seed_sets(src: DataFrame, runs: int, k: int, seed: int, rounds: int = SEED_ROUNDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per run, oversampled candidate centres and how many rows each is nearest to (k-means||, over the whole table).
+
+    In every round a row becomes a candidate with a probability in proportion to its squared distance to the
+    candidates so far, about ``2 k`` rows a round; all runs, and all k up to the largest, share the rounds' scans.
+    """
+    def lowest(batches):
+        for pdf in batches:
+            if len(pdf):
+                h = pdf["_h"].to_numpy()
+                for r in range(runs):
+                    u = _draw(h, seed, r)
+                    yield pd.DataFrame({"run": [r], "u": [u.min()], "v": [pdf["_v"].iloc[int(u.argmin())]]})
+
+    first = src.mapInPandas(lowest, "run int, u double, v array<double>").groupBy("run").agg(F.min_by("v", F.struct("u", "v")).alias("v")).collect()
+    sets = {r["run"]: np.array([r["v"]], float) for r in first}
+    if not sets:
+        return []
+    for t in range(rounds):
+        def cost(pdf, sets=dict(sets)):
+            x = stack_vectors(pdf["_v"])
+            xx = (x * x).sum(1)
+            return np.array([_nearest(x, xx, sets[r])[1].sum() for r in range(runs)])
+
+        phi = reduce_partials(src, cost, runs)
+
+        def sample(batches, sets=dict(sets), t=t):
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                x, h = stack_vectors(pdf["_v"]), pdf["_h"].to_numpy()
+                xx = (x * x).sum(1)
+                for r in range(runs):
+                    if phi[r] > 0:
+                        at = np.flatnonzero(_draw(h, seed, r, t + 1) < OVERSAMPLE * k * _nearest(x, xx, sets[r])[1] / phi[r])
+                        if len(at):
+                            yield pd.DataFrame({"run": r, "h": h[at], "v": list(x[at])})
+
+        for r in sorted(src.mapInPandas(sample, "run int, h long, v array<double>").collect(), key=lambda r: (r["run"], r["h"], r["v"])):
+            sets[r["run"]] = np.vstack([sets[r["run"]], r["v"]])
+
+    def held(pdf):
+        x = stack_vectors(pdf["_v"])
+        xx = (x * x).sum(1)
+        return np.concatenate([np.bincount(_nearest(x, xx, sets[r])[0], minlength=len(sets[r])) for r in range(runs)])
+
+    tot = reduce_partials(src, held, sum(len(sets[r]) for r in range(runs)))
+    out, at = [], 0
+    for r in range(runs):
+        out.append((sets[r], np.maximum(tot[at:at + len(sets[r])], 1e-9)))
+        at += len(sets[r])
+    return out
+
+
 def _nearest(x: np.ndarray, xx: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     d2 = xx[:, None] - 2.0 * (x @ c.T) + (c * c).sum(1)[None, :]
     lab = d2.argmin(1)
@@ -80,15 +145,21 @@ def kmeans_batch(df: DataFrame, vec: str, id_col: str, ks: Sequence[int], n_init
     All runs of all k advance together: one scan per Lloyd step folds every task's rows into the
     counts and sums of all runs that still move, so the number of scans is that of the slowest run.
     """
-    src = df.select(F.col(vec).alias("_v")).persist()
+    src = df.select(F.col(vec).cast("array<double>").alias("_v"), F.xxhash64(F.col(id_col).cast("string")).alias("_h")).where("_v is not null").persist()
     try:
-        head = df.select(vec, F.xxhash64(F.col(id_col).cast("string")).alias("_h"), F.col(id_col).alias("_i")) \
-            .orderBy("_h", "_i").limit(INIT_ROWS).collect()
-        x0 = np.array([r[vec] for r in head], float)
-        if not len(x0):
+        sets = _seed_sets(src, n_init, max(ks, default=1), seed)
+        if not sets:
             return {}
-        still = tol * float(x0.var(axis=0).mean())
-        runs = [{"k": k, "run": r, "c": _spread_centres(x0, k, np.random.default_rng([seed, k, r])), "iterations": 0}
+        x0 = sets[0][0]
+
+        def sums(pdf):
+            x = stack_vectors(pdf["_v"])
+            return np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
+
+        spread = reduce_partials(src, sums, 1 + 2 * x0.shape[1])
+        mean, square = spread[1:1 + x0.shape[1]] / spread[0], spread[1 + x0.shape[1]:] / spread[0]
+        still = tol * float(np.maximum(square - mean * mean, 0.0).mean())
+        runs = [{"k": k, "run": r, "c": _spread_centres(*sets[r], k, np.random.default_rng([seed, k, r])), "iterations": 0}
                 for k in ks for r in range(n_init)]
         d = x0.shape[1]
         live = list(runs)

@@ -189,6 +189,11 @@ def episode_summary(df: DataFrame, episode: str, reward: str, ts: str) -> DataFr
         F.expr(f"timestampdiff(MICROSECOND, min({ts}), max({ts})) div 1000").alias("ms"))
 
 
+def episode_reduce(df: DataFrame, episode: str, reward: str, reducers: dict) -> DataFrame:
+    """One column per reducer (``Column -> Column`` aggregates, passed in by the caller) of every episode's rewards."""
+    return df.groupBy(episode).agg(*[make(F.col(reward)).alias(name) for name, make in reducers.items()])
+
+
 def episode_totals(summary: DataFrame) -> DataFrame:
     return summary.agg(
         F.avg("reward").alias("mean_reward"),

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,17 +32,49 @@ def route_length(df: DataFrame, route: str, order_cols: Sequence[str], x: str, y
     return carry.path_lengths(df, route, order_cols, x, y)
 
 
-def pairwise_mutual_information(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mutual information (nats) of every column pair ``a < b`` of discrete columns.
+BITMAP_PAIRS = 64   # level pairs of two columns up to which bitmaps are cheaper than one pass over the rows
+
+
+def joint_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``col_a, col_b, va, vb, n`` of every column pair ``a < b``, without copying rows.
 
-    Each row fans out to one record per pair (bounded by the column count), and a
-    single aggregation counts joint values; marginals come from the joint table.
+    A batch packs one bitmap per level of a column; a pair's joint counts are the bits that two bitmaps share
+    (columns of many levels are counted by their combined codes).  Partial counts are summed by Spark.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    long = df.select(F.inline(F.array(*[F.struct(
-        F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-        F.col(a).cast("string").alias("va"), F.col(b).cast("string").alias("vb")) for a, b in pairs])))
-    j = long.groupBy("col_a", "col_b", "va", "vb").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    names = list(cols)
+    src = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            codes, levels, maps = [], [], []
+            for i in range(len(names)):
+                d = b.column(i).dictionary_encode(null_encoding="encode")
+                code = d.indices.to_numpy(zero_copy_only=False)
+                codes.append(code)
+                levels.append(d.dictionary)
+                maps.append(np.stack([np.packbits(code == v) for v in range(len(d.dictionary))]) if len(d.dictionary) <= BITMAP_PAIRS else None)
+            for i, j in pairs:
+                m, n = len(levels[i]), len(levels[j])
+                if m * n <= BITMAP_PAIRS:
+                    both = np.bitwise_count(maps[i][:, None, :] & maps[j][None, :, :]).sum(axis=2, dtype=np.int64).ravel()
+                    at = np.flatnonzero(both)
+                    count = both[at]
+                else:
+                    at, count = np.unique(codes[i].astype(np.int64) * n + codes[j], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[i]] * len(at)), pa.array([names[j]] * len(at)), levels[i].take(pa.array(at // n)),
+                     levels[j].take(pa.array(at % n)), pa.array(count.astype(np.int64))], names=["col_a", "col_b", "va", "vb", "n"])
+
+    parts = src.mapInArrow(run, "col_a string, col_b string, va string, vb string, n long")
+    return parts.groupBy("col_a", "col_b", "va", "vb").agg(F.sum("n").cast("double").alias("n"))
+
+
+def pairwise_mutual_information(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Mutual information (nats) of every column pair ``a < b`` of discrete columns; marginals come from the joint counts."""
+    j = joint_counts(df, cols)
     pair = ["col_a", "col_b"]
     # window totals: a null level is a level like any other
     t = j.withColumn("na", F.sum("n").over(Window.partitionBy(*pair, "va"))) \

@@ -7,13 +7,27 @@ silhouette, distance correlation).
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from . import queries as Q
-from . import fixtures as FX
-
 SQL: dict[str, str] = {}
 
+# settings of the queries, written out here so that the twins do not read them from the code under test
+DOC_THRESHOLD, TEST_PCT, KNN_K = 1500, 20, 5
+LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+Q_MAX, DISC_MAX = [10, 20, 30, 40, 50], [0.02, 0.05, 0.08]
+TEMPS, COOLINGS = [1.0, 5.0, 10.0, 50.0, 100.0, 500.0, 1000.0], [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4]
+CROSS_PARAMS = [1, 2, 4, 8]
+THRESHOLDS = [500, 1000, 1500, 2000, 4000, 8000]
+RUN_T = 2
+MI_COLS = ["l_returnflag", "l_linestatus", "l_linenumber"]
+GAMMA, THETA, VALUE_SWEEPS, POLICY_ROUNDS, Q_SWEEPS = 0.25, 0.001, 20, 2, 10
+N_CANDIDATES, RCA_K = 16, 8
+KNN_GRID = [1, 3, 5, 7, 9]
+LC_FRACTIONS = [0.25, 0.5, 1.0]
+EVENT_ITERATIONS = {"view": 20, "click": 2, "purchase": 50}
+KNN_CURVE = [1, 11, 21, 32, 42, 52, 63, 73, 84, 94, 104, 115, 125, 135, 146, 156, 167, 177, 187, 198, 208, 218, 229, 239, 250]
+
 
 def H(expr: str) -> str:
     """md5 draw: first 8 hex digits as an unsigned integer."""
@@ -32,8 +46,7 @@ def D(v: float) -> str:
 EMB = ("emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, "
        "CASE WHEN label < 5 THEN 1 ELSE 0 END AS y FROM embeddings)")
 TP = (f"tp AS (SELECT l.doc_id, d.lang, d.source, d.n_chars, l.quality AS y, "
-      f"(d.n_chars > {FX.DOC_THRESHOLD})::INTEGER AS yhat, l.toxic FROM labels l JOIN documents d USING (doc_id))")
-LINE_NUM = Q.LINE_NUM
+      f"(d.n_chars > {DOC_THRESHOLD})::INTEGER AS yhat, l.toxic FROM labels l JOIN documents d USING (doc_id))")
 
 # ---------------------------------------------------------------- sources / sinks
 SQL["scan_csv"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
@@ -113,11 +126,11 @@ SQL["csv_line"] = ("SELECT concat_ws(',', l_orderkey, l_linenumber, l_returnflag
 SQL["parse_fields"] = ("SELECT l_orderkey, l_linenumber, l_returnflag, "
                        "CAST(printf('%.2f', round_even(l_extendedprice, 2)) AS DOUBLE) AS price FROM lineitem")
 SQL["lookup_default"] = ("SELECT event_id, CASE event_type "
-                         + " ".join(f"WHEN '{k}' THEN {v}" for k, v in FX.EVENT_ITERATIONS.items())
+                         + " ".join(f"WHEN '{k}' THEN {v}" for k, v in EVENT_ITERATIONS.items())
                          + " ELSE 100 END AS iterations FROM events")
 
 # ---------------------------------------------------------------- sampling / parameter tables
-SQL["split_random"] = (f"SELECT event_id, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || event_id')} % 100 < {FX.TEST_PCT} "
+SQL["split_random"] = (f"SELECT event_id, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || event_id')} % 100 < {TEST_PCT} "
                        f"THEN 'test' ELSE 'train' END AS split FROM events")
 SQL["split_ordered"] = ("WITH p AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, "
                         "count(*) OVER () AS n FROM events) SELECT event_id, CASE WHEN pos < floor(n * 0.6) THEN 'train' "
@@ -128,12 +141,12 @@ SQL["bootstrap_sample"] = ("WITH p AS (SELECT event_id, value, row_number() OVER
                            f"SELECT d.draw, p.event_id, p.value FROM d, n, p WHERE p.pos = {H60(chr(39) + '7:' + chr(39) + ' || d.draw')} % n.n")
 SQL["kfold_assign"] = (f"SELECT event_id, event_type, ((row_number() OVER (PARTITION BY event_type ORDER BY "
                        f"{H(chr(39) + '0:' + chr(39) + ' || event_id')}, event_id) - 1) % 10)::INTEGER AS fold FROM events")
-_PG = Q.S.param_grid(Q.PARAM_GRID)
+_PG = [{"q_max": a, "disc_max": b} for a, b in itertools.product(Q_MAX, DISC_MAX)]
 SQL["param_grid"] = ("WITH g(grid_idx, q_max, disc_max) AS (VALUES "
                      + ", ".join(f"({i}, {g['q_max']}, {D(g['disc_max'])})" for i, g in enumerate(_PG))
                      + ") SELECT grid_idx, q_max, disc_max, (SELECT count(*) FROM lineitem "
                        "WHERE l_quantity <= g.q_max AND l_discount <= g.disc_max)::BIGINT AS n_rows FROM g")
-_PZ = Q.S.param_zip(Q.ZIP_GRID)
+_PZ = [{"temp": a, "cooling": b} for a, b in zip(TEMPS, COOLINGS, strict=True)]
 SQL["param_zip"] = ("WITH g(grid_idx, temp, cooling, tc) AS (VALUES "
                     + ", ".join(f"({i}, {D(g['temp'])}, {D(g['cooling'])}, {D(g['temp'] * g['cooling'])})"
                                 for i, g in enumerate(_PZ))
@@ -144,7 +157,7 @@ _RESTART = ("rs AS (SELECT day(ts)::INTEGER AS budget, s.seed, "
             "FROM events, (SELECT range::INTEGER AS seed FROM range(5)) s GROUP BY ALL)")
 SQL["restart_grid"] = f"WITH {_RESTART} SELECT budget, seed, round(score, 6) AS score FROM rs"
 SQL["cross_params"] = ("SELECT event_type AS experiment, p.param, count(*) FILTER (WHERE value > p.param * 10)::BIGINT AS n "
-                       "FROM events, (VALUES " + ", ".join(f"({p})" for p in Q.CROSS_PARAMS) + ") p(param) GROUP BY ALL")
+                       "FROM events, (VALUES " + ", ".join(f"({p})" for p in CROSS_PARAMS) + ") p(param) GROUP BY ALL")
 
 # ---------------------------------------------------------------- joins
 SQL["bind_columns"] = ("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality::DOUBLE AS quality, "
@@ -157,14 +170,14 @@ SQL["pairwise_distance"] = (
     "c AS (SELECT label, list(m ORDER BY i) AS cv FROM u GROUP BY label), "
     "cr AS (SELECT cv, (row_number() OVER (ORDER BY label) - 1)::INTEGER AS ref_id FROM c) "
     "SELECT emb.vec_id, cr.ref_id, round(list_distance(emb.v, cr.cv), 6) AS distance FROM emb, cr")
-_KNN = (f"{EMB}, es AS (SELECT *, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {FX.TEST_PCT} "
+_KNN = (f"{EMB}, es AS (SELECT *, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {TEST_PCT} "
         "THEN 'test' ELSE 'train' END AS split FROM emb), "
         "qq AS (SELECT vec_id AS qid, v, label FROM es WHERE split = 'test'), "
         "bb AS (SELECT vec_id AS bid, v, label FROM es WHERE split = 'train'), "
         "dd AS (SELECT qid, bid, bb.label AS blabel, sqrt(list_reduce(list_transform(list_zip(qq.v, bb.v), "
         "lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda a, b: a + b)) AS distance FROM qq, bb), "
         "rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, bid) AS rank FROM dd), "
-        f"nb AS (SELECT * FROM rk WHERE rank <= {FX.KNN_K})")
+        f"nb AS (SELECT * FROM rk WHERE rank <= {KNN_K})")
 SQL["knn_join"] = f"WITH {_KNN} SELECT qid, bid, round(distance, 6) AS distance FROM nb"
 SQL["rank_neighbours"] = f"WITH {_KNN} SELECT qid, bid, rank::INTEGER AS rank FROM nb"
 SQL["clf_knn"] = (f"WITH {_KNN}, vt AS (SELECT qid, blabel AS label, count(*) AS n FROM nb GROUP BY ALL), "
@@ -278,11 +291,11 @@ SQL["cum_importance"] = (f"WITH {_DIMS}, ci AS (SELECT dim, importance, sum(impo
 SQL["best_params"] = (
     f"WITH {TP}, f AS (SELECT doc_id, n_chars, y, (row_number() OVER (PARTITION BY y ORDER BY "
     f"{H(chr(39) + '0:' + chr(39) + ' || doc_id')}, doc_id) - 1) % 5 AS fold FROM tp), "
-    "g(grid_idx, threshold) AS (VALUES " + ", ".join(f"({i}, {t})" for i, t in enumerate(Q.THRESHOLDS)) + "), "
+    "g(grid_idx, threshold) AS (VALUES " + ", ".join(f"({i}, {t})" for i, t in enumerate(THRESHOLDS)) + "), "
     "pf AS (SELECT grid_idx, threshold, fold, avg((((n_chars > threshold)::INTEGER) = y)::INTEGER::DOUBLE) AS acc "
     "FROM f, g GROUP BY ALL), ms AS (SELECT grid_idx, threshold, avg(acc) AS mean_score FROM pf GROUP BY ALL) "
     "SELECT grid_idx, threshold, round(mean_score, 6) AS mean_score FROM ms ORDER BY mean_score DESC, grid_idx LIMIT 1")
-SQL["elbow_curve"] = (
+SQL["elbow_kernel"] = (
     f"WITH {EMB}, sd AS (SELECT v AS c, row_number() OVER (ORDER BY {H(chr(39) + 'elbow:' + chr(39) + ' || vec_id')}, vec_id) AS i "
     "FROM emb QUALIFY i <= 48), "
     "ds AS (SELECT vec_id, label, i, round(sqrt(list_reduce(list_transform(list_zip(v, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])), "
@@ -315,7 +328,7 @@ SQL["edge_runs"] = (f"WITH {_BITS}, g AS (SELECT user_id, count(*) AS n, min(p)
                     "max(p) FILTER (WHERE bit = 1) AS l1 FROM bits GROUP BY user_id), "
                     "h AS (SELECT user_id, n, coalesce(f0, n) AS head, CASE WHEN l1 IS NULL THEN n ELSE n - 1 - l1 END AS tail "
                     "FROM g) SELECT user_id, n, head, tail, greatest(head, tail) + "
-                    f"CASE WHEN head > {Q.RUN_T} AND tail > {Q.RUN_T} THEN n ELSE 0 END AS fitness FROM h")
+                    f"CASE WHEN head > {RUN_T} AND tail > {RUN_T} THEN n ELSE 0 END AS fitness FROM h")
 _ROUTE = ("WITH r AS (SELECT label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, "
           "row_number() OVER (PARTITION BY label ORDER BY {order}) AS p, count(*) OVER (PARTITION BY label) AS n "
           "FROM embeddings), l AS (SELECT a.label, a.n, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS d "
@@ -323,7 +336,7 @@ _ROUTE = ("WITH r AS (SELECT label, embedding[1]::DOUBLE AS x, embedding[2]::DOU
           "SELECT label, n, round(sum(d), 6) AS length FROM l GROUP BY ALL")
 SQL["route_length"] = _ROUTE.format(order="vec_id")
 SQL["sort_encoded_route"] = _ROUTE.format(order="embedding[3]::DOUBLE, vec_id")
-_MI_PAIRS = [(a, b) for i, a in enumerate(Q.MI_COLS) for b in Q.MI_COLS[i + 1:]]
+_MI_PAIRS = [(a, b) for i, a in enumerate(MI_COLS) for b in MI_COLS[i + 1:]]
 SQL["pairwise_mutual_information"] = (
     "WITH lg AS (" + " UNION ALL ".join(
         f"SELECT '{a}' AS col_a, '{b}' AS col_b, {a}::VARCHAR AS va, {b}::VARCHAR AS vb FROM lineitem"
@@ -336,7 +349,6 @@ SQL["pairwise_mutual_information"] = (
     "JOIN ma USING (col_a, col_b, va) JOIN mb USING (col_a, col_b, vb) JOIN tt USING (col_a, col_b) GROUP BY ALL")
 
 # ---------------------------------------------------------------- planning
-from ..operators import planning as _PL  # noqa: E402
 
 SQL["grid_to_cells"] = (
     "WITH l AS (SELECT coalesce(p_name, '') AS t, count(*) OVER () - row_number() OVER (ORDER BY p_partkey) AS y FROM part) "
@@ -355,12 +367,12 @@ SQL["transition_table"] = f"WITH {_TRANS} SELECT s, a, s2, round(p, 6) AS p, rou
 
 def _vsweep(prev: str) -> str:
     return (f"(SELECT st.s, coalesce(m.v, 0.0) AS v FROM st LEFT JOIN (SELECT s, max(q) AS v FROM "
-            f"(SELECT tt.s, tt.a, sum(tt.p * (tt.r + {D(_PL.GAMMA)} * coalesce(vp.v, 0.0))) AS q FROM tt "
+            f"(SELECT tt.s, tt.a, sum(tt.p * (tt.r + {D(GAMMA)} * coalesce(vp.v, 0.0))) AS q FROM tt "
             f"LEFT JOIN {prev} vp ON vp.s = tt.s2 GROUP BY tt.s, tt.a) GROUP BY s) m ON m.s = st.s)")
 
 
 def _qvals(v: str) -> str:
-    return (f"(SELECT tt.s, tt.a, sum(tt.p * (tt.r + {D(_PL.GAMMA)} * coalesce(vp.v, 0.0))) AS q FROM tt "
+    return (f"(SELECT tt.s, tt.a, sum(tt.p * (tt.r + {D(GAMMA)} * coalesce(vp.v, 0.0))) AS q FROM tt "
             f"LEFT JOIN {v} vp ON vp.s = tt.s2 GROUP BY tt.s, tt.a)")
 
 
@@ -369,12 +381,12 @@ def _greedy(v: str) -> str:
             f"FROM {_qvals(v)}) WHERE rn = 1)")
 
 
-_VI_N = _PL.ITERATIONS["value_iteration"]
+_VI_N = VALUE_SWEEPS
 _VI = (f"{_TRANS}, v0 AS (SELECT s, 0.0::DOUBLE AS v FROM st), "
        + ", ".join(f"v{k} AS {_vsweep(f'v{k - 1}')}" for k in range(1, _VI_N + 1)) + ", "
        + "dl AS (" + " UNION ALL ".join(f"SELECT {k} AS k, max(abs(a.v - b.v)) AS delta FROM v{k} a JOIN v{k - 1} b USING (s)"
                                          for k in range(1, _VI_N + 1)) + "), "
-       + f"stp AS (SELECT coalesce(min(k) FILTER (WHERE delta < {D(_PL.THETA)}), {_VI_N})::INTEGER AS k FROM dl), "
+       + f"stp AS (SELECT coalesce(min(k) FILTER (WHERE delta < {D(THETA)}), {_VI_N})::INTEGER AS k FROM dl), "
        + "av AS (" + " UNION ALL ".join(f"SELECT {k} AS k, s, v FROM v{k}" for k in range(1, _VI_N + 1)) + "), "
        + "vf AS (SELECT s, v, stp.k AS sweeps FROM av JOIN stp USING (k))")
 SQL["value_iteration"] = f"WITH {_VI} SELECT s, round(v, 6) AS v, sweeps FROM vf"
@@ -382,7 +394,7 @@ SQL["greedy_policy"] = f"WITH {_VI}, g AS {_greedy('vf')} SELECT s, a, round(q,
 
 
 def _policy_sql() -> str:
-    rounds, sweeps = _PL.ITERATIONS["policy_iteration"], _VI_N
+    rounds, sweeps = POLICY_ROUNDS, _VI_N
     parts = [f"{_TRANS}, w0 AS (SELECT s, 0.0::DOUBLE AS v FROM st)"]
     k = 0
     for r in range(1, rounds + 1):
@@ -392,7 +404,7 @@ def _policy_sql() -> str:
             k += 1
             parts.append(
                 f"w{k} AS (SELECT st.s, coalesce(m.v, 0.0) AS v FROM st LEFT JOIN (SELECT tp.s, "
-                f"sum(tp.p * (tp.r + {D(_PL.GAMMA)} * coalesce(vp.v, 0.0))) AS v FROM tp{r} tp "
+                f"sum(tp.p * (tp.r + {D(GAMMA)} * coalesce(vp.v, 0.0))) AS v FROM tp{r} tp "
                 f"LEFT JOIN w{k - 1} vp ON vp.s = tp.s2 GROUP BY tp.s) m ON m.s = st.s)")
     parts.append(f"fin AS (SELECT s, a FROM {_greedy(f'w{k}')})")
     return "WITH " + ", ".join(parts) + f" SELECT w{k}.s, round(w{k}.v, 6) AS v, fin.a FROM w{k} LEFT JOIN fin USING (s)"
@@ -407,12 +419,12 @@ SQL["reachable_states"] = (f"WITH RECURSIVE {_TRANS}, ed AS (SELECT DISTINCT s,
 def _fitted_q_sql(first: list[str], n: str, rs: str, table: str) -> str:
     parts = [*first, f"ag AS (SELECT s, a, s2, {n} AS n, {rs} AS rs FROM {table} GROUP BY ALL)",
              "q0 AS (SELECT DISTINCT s, a, 0.3::DOUBLE AS q FROM ag)"]
-    for k in range(1, Q.Q_SWEEPS + 1):
+    for k in range(1, Q_SWEEPS + 1):
         parts.append(
             f"q{k} AS (SELECT q.s, q.a, {D(1 - 0.1)} * q.q + {D(0.1)} * t.t AS q FROM q{k - 1} q JOIN "
-            f"(SELECT g.s, g.a, (sum(g.rs) + {D(_PL.GAMMA)} * sum(g.n * coalesce(m.m, 0.0))) / sum(g.n) AS t FROM ag g "
+            f"(SELECT g.s, g.a, (sum(g.rs) + {D(GAMMA)} * sum(g.n * coalesce(m.m, 0.0))) / sum(g.n) AS t FROM ag g "
             f"LEFT JOIN (SELECT s, max(q) AS m FROM q{k - 1} GROUP BY s) m ON m.s = g.s2 GROUP BY g.s, g.a) t USING (s, a))")
-    return "WITH " + ", ".join(parts) + f" SELECT s, a, round(q, 6) AS q FROM q{Q.Q_SWEEPS}"
+    return "WITH " + ", ".join(parts) + f" SELECT s, a, round(q, 6) AS q FROM q{Q_SWEEPS}"
 
 
 SQL["batch_q_learning"] = _fitted_q_sql(
@@ -422,12 +434,12 @@ SQL["udf_planner_factory"] = _fitted_q_sql([_TRANS], "sum(p)", "sum(p * r)", "tt
 
 # ---------------------------------------------------------------- search
 _CANDS = (f"{EMB}, w AS (SELECT c.c, j.j, ({H(chr(39) + 'cand:0:' + chr(39) + ' || c.c || chr(58) || j.j')}::DOUBLE "
-          f"/ 4294967296.0::DOUBLE - 0.5::DOUBLE) * 0.2::DOUBLE AS w FROM range({Q.N_CANDIDATES}) c(c), range(64) j(j)), "
+          f"/ 4294967296.0::DOUBLE - 0.5::DOUBLE) * 0.2::DOUBLE AS w FROM range({N_CANDIDATES}) c(c), range(64) j(j)), "
           "pr AS (SELECT emb.vec_id, w.c, sum(emb.v[w.j + 1] * w.w) AS p, any_value(emb.y) AS y FROM emb, w GROUP BY ALL)")
 SQL["population_score"] = (f"WITH {_CANDS} SELECT c::INTEGER AS candidate, round(sum((p - y) * (p - y)), 6) AS sse, "
                            "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM pr GROUP BY c")
 SQL["search_tuning_report"] = (
-    f"WITH {_CANDS}, sp AS (SELECT vec_id, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {FX.TEST_PCT} "
+    f"WITH {_CANDS}, sp AS (SELECT vec_id, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {TEST_PCT} "
     "THEN 'test' ELSE 'train' END AS split FROM emb) "
     "SELECT c::INTEGER AS candidate, split, round(sum((p - y) * (p - y)), 6) AS sse, "
     "round(avg((abs(p - y) < 0.5)::INTEGER::DOUBLE), 6) AS accuracy FROM pr JOIN sp USING (vec_id) GROUP BY ALL")
@@ -469,7 +481,7 @@ SQL["covariance_matrix"] = (
     "FROM u a JOIN u b USING (vec_id) GROUP BY a.i, b.i")
 _RCA = (f"{EMB}, rm AS (SELECT i, j, CASE WHEN u < 1 / (2 * 8.0) THEN 1.0 WHEN u < 1 / 8.0 THEN -1.0 ELSE 0.0 END AS r "
         f"FROM (SELECT i, j, {H(chr(39) + 'rca:0:' + chr(39) + ' || i || chr(58) || j')}::DOUBLE / 4294967296.0::DOUBLE AS u "
-        f"FROM range(64) a(i), range({Q.RCA_K}) b(j))), "
+        f"FROM range(64) a(i), range({RCA_K}) b(j))), "
         "pj AS (SELECT emb.vec_id, rm.j, sum(emb.v[rm.i + 1] * rm.r) AS value FROM emb, rm GROUP BY emb.vec_id, rm.j)")
 SQL["rca_project"] = f"WITH {_RCA} SELECT vec_id, j::INTEGER AS component, round(value, 6) AS value FROM pj"
 SQL["distance_correlation"] = (
@@ -497,7 +509,7 @@ SQL["rca_gaussian"] = (
     + _U.format(H=H(chr(39) + "grp:0:" + chr(39) + " || i || chr(58) || j || ':1'"))
     + ")) * cos(2.0 * pi() * "
     + _U.format(H=H(chr(39) + "grp:0:" + chr(39) + " || i || chr(58) || j || ':2'"))
-    + f") / sqrt({Q.RCA_K}.0) AS r FROM range(64) a(i), range({Q.RCA_K}) b(j)), "
+    + f") / sqrt({RCA_K}.0) AS r FROM range(64) a(i), range({RCA_K}) b(j)), "
     "pj AS (SELECT emb.vec_id, gm.j, sum(emb.v[gm.i + 1] * gm.r) AS value FROM emb, gm GROUP BY emb.vec_id, gm.j) "
     "SELECT vec_id, j::INTEGER AS component, round(value, 6) AS value FROM pj")
 
@@ -508,7 +520,7 @@ SQL["grid_search_cv_knn"] = (
     "sqrt(list_reduce(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, q: p + q)) AS d "
     "FROM f a JOIN f b ON a.fold <> b.fold), "
     "rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, bid) AS rank FROM dd), "
-    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in Q.KNN_GRID) + "]) AS k), "
+    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in KNN_GRID) + "]) AS k), "
     "vt AS (SELECT ks.k, qid, any_value(truth) AS truth, any_value(fold) AS fold, nl, count(*) AS n "
     "FROM rk JOIN ks ON rk.rank <= ks.k GROUP BY ks.k, qid, nl), "
     "pr AS (SELECT k, qid, truth, fold, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY k, qid "
@@ -519,14 +531,14 @@ SQL["grid_search_cv_knn"] = (
     "SELECT ma.k, round(ma.mean_accuracy, 6) AS mean_accuracy, ma.k = (SELECT k FROM bk) AS best FROM ma")
 
 SQL["complexity_curve_knn"] = (
-    f"WITH {EMB}, es AS (SELECT *, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {FX.TEST_PCT} "
+    f"WITH {EMB}, es AS (SELECT *, CASE WHEN {H(chr(39) + '0:' + chr(39) + ' || vec_id')} % 100 < {TEST_PCT} "
     "THEN 'test' ELSE 'train' END AS split FROM emb), "
     "bb AS (SELECT vec_id AS bid, v, y AS nl FROM es WHERE split = 'train'), "
     "dd AS (SELECT q.split, q.vec_id AS qid, q.y AS truth, bb.bid, bb.nl, "
     "sqrt(list_reduce(list_transform(list_zip(q.v, bb.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, r: p + r)) AS d "
     "FROM es q, bb), "
     "rk AS (SELECT *, row_number() OVER (PARTITION BY split, qid ORDER BY d, bid) AS rank FROM dd), "
-    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in Q.KNN_CURVE) + "]) AS k), "
+    "ks AS (SELECT unnest([" + ", ".join(str(k) for k in KNN_CURVE) + "]) AS k), "
     "vt AS (SELECT ks.k, split, qid, any_value(truth) AS truth, nl, count(*) AS n FROM rk JOIN ks ON rk.rank <= ks.k "
     "GROUP BY ks.k, split, qid, nl), "
     "pr AS (SELECT k, split, qid, truth, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY k, split, qid "
@@ -541,7 +553,7 @@ SQL["learning_curve_knn"] = (
     "nn AS (SELECT count(*) AS n FROM src), "
     "pos AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM src), "
     "sz AS (SELECT greatest(2, floor(n * fr))::BIGINT AS size FROM nn, (VALUES "
-    + ", ".join(f"({fr})" for fr in Q.LC_FRACTIONS) + ") t(fr)), "
+    + ", ".join(f"({fr})" for fr in LC_FRACTIONS) + ") t(fr)), "
     "dr AS (SELECT size, unnest(range(size)) AS j FROM sz), "
     f"smp AS (SELECT dr.size, dr.j AS draw, p.vec_id, p.v, p.y, p.fold FROM dr CROSS JOIN nn "
     f"JOIN pos p ON p.pos = {H60(chr(39) + '1:' + chr(39) + ' || dr.j')} % nn.n), "
@@ -553,7 +565,7 @@ SQL["learning_curve_knn"] = (
     "sqrt(list_reduce(list_transform(list_zip(qs.v, trs.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda p, r: p + r)) AS d "
     "FROM qs JOIN trs ON qs.size = trs.size AND qs.f = trs.f), "
     "rk AS (SELECT *, row_number() OVER (PARTITION BY size, f, side, qid ORDER BY d, bid) AS rank FROM dd), "
-    f"vt AS (SELECT size, f, side, qid, any_value(truth) AS truth, nl, count(*) AS n FROM rk WHERE rank <= {FX.KNN_K} "
+    f"vt AS (SELECT size, f, side, qid, any_value(truth) AS truth, nl, count(*) AS n FROM rk WHERE rank <= {KNN_K} "
     "GROUP BY size, f, side, qid, nl), "
     "pr AS (SELECT size, f, side, qid, truth, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY size, f, side, qid "
     "ORDER BY n DESC, nl) AS rn FROM vt) WHERE rn = 1), "
@@ -727,3 +739,6 @@ def _evolved(generations: int, population: int, mate: int, mutate: int, step: fl
 SQL["search_hill_climb"] = _climbed(10, 16, 0.1)
 SQL["search_anneal"] = _annealed(10, 16, 1e3, 0.4, 0.1)
 SQL["search_genetic"] = _evolved(10, 24, 8, 2, 0.1)
+
+SQL["udf_reducer"] = ("SELECT user_id, round(sum(value), 6) AS total, round(max(value), 6) AS best, round(max(value) - min(value), 6) AS spread "
+                      "FROM events GROUP BY user_id")

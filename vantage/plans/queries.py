@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32, hash_unit
 from ..functions.vectors import argmin_dist, dist
+from ..operators import boosting as BO
 from ..operators import classify as CL
 from ..operators import clustering as CU
 from ..operators import machines as MA
@@ -580,7 +581,19 @@ CLUSTER_K = list(range(2, 49, 2))
 
 @q("elbow_curve")
 def _elbow_curve(spark, sf):
-    """Homogeneity and its first difference per k: rows go to the nearest of the first k hash-chosen rows."""
+    """Homogeneity and its first difference per number of k-means clusters (best of 10 runs each)."""
+    e = FX.emb(spark, sf)
+    fits = CU.kmeans_batch(e, "vec", "vec_id", CLUSTER_K, n_init=10)
+    scores = CU.clustering_scores(e, "vec", "label", "y", fits, CU.assign_centres)
+    ks = sorted(scores)
+    rows = [(k, scores[k]["homogeneity"], scores[k]["homogeneity"] - scores[ks[i - 1]]["homogeneity"] if i else None, float(fits[k]["cost"]))
+            for i, k in enumerate(ks)]
+    return spark.createDataFrame(rows, "k int, homogeneity double, delta double, cost double")
+
+
+@q("elbow_kernel")
+def _elbow_kernel(spark, sf):
+    """The curve's scoring by itself, which SQL can repeat: rows go to the nearest of the first k hash-chosen rows."""
     e = FX.emb(spark, sf)
     seeds = [list(r["vec"]) for r in e.select("vec", hash32(F.lit("elbow"), F.col("vec_id")).alias("h"), "vec_id")
              .orderBy("h", "vec_id").limit(max(CLUSTER_K)).collect()]
@@ -879,8 +892,9 @@ def _predict(make):
     """``make(d, n)``: estimator for ``d`` features and ``n`` training rows, both read from the table."""
     def fn(spark, sf):
         tr, te = _ml_split(spark, sf)
-        _, pred, _ = CL.fit_predict(make(_width(tr, "features"), tr.count()), tr, te, ["vec_id"])
-        return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
+        with _released(tr, te):
+            _, pred, _ = CL.fit_predict(make(_width(tr, "features"), tr.count()), tr, te, ["vec_id"])
+            return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
     return fn
 
 
@@ -977,9 +991,31 @@ def _clf_random_forest(spark, sf):
     tr, te = _ml_split(spark, sf)
     with _released(tr, te):
         # leaves of at least one per cent of the rows, as in the studied forests
-        model = CL.random_forest(n_trees=500, min_leaf=max(1, tr.count() // 100)).fit(tr)
-        imp = model.featureImportances.toArray()
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
+        _, pred, _ = CL.fit_predict(CL.random_forest(n_trees=500, min_leaf=max(1, tr.count() // 100)), tr, te, ["vec_id"])
+        return pred.select("vec_id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("prediction"))
+
+
+@q("udf_estimator_arg")
+def _estimator_arg(spark, sf):
+    """A complexity curve of an estimator that is passed in as a factory."""
+    tr, te = _ml_split(spark, sf)
+    with _released(tr, te):
+        return CL.complexity_curve(lambda d: CL.tree(max_depth=d), [1, 3, 5], tr, te, "max_depth")
+
+
+@q("udf_reducer")
+def _reducer(spark, sf):
+    """Episode rewards under reducers that are passed in as callables."""
+    ev = FX.events(spark, sf).select("user_id", "ts", "value")
+    got = M.episode_reduce(ev, "user_id", "value", {"total": F.sum, "best": F.max, "spread": lambda c: F.max(c) - F.min(c)})
+    return got.select("user_id", *[r6(F.col(c)).alias(c) for c in ("total", "best", "spread")])
+
+
+@q("complexity_curve_gbt")
+def _complexity_curve_gbt(spark, sf):
+    """Boosted trees: F1 on both splits after 40 numbers of rounds up to 250, for three learning rates grown together."""
+    rounds = sorted({int(v) for v in _np.linspace(1, 250, 40)})
+    return BO.boosting_curve(FX.emb_split(spark, sf), "vec", "y", "split", rounds, [float(v) for v in _np.linspace(0.001, 0.1, 3)], min_leaf=25)
 
 
 CURVE_FRACTIONS = [float(v) for v in _np.linspace(0.05, 1.0, 20)]   # the studied training sizes
@@ -1071,8 +1107,9 @@ def _aic_bic(spark, sf):
 @q("kmeans_fit")
 def _kmeans_fit(spark, sf):
     e = FX.emb(spark, sf)
-    m = CU.kmeans_fit(e, "vec", 10, n_init=10)
-    return CU.kmeans_assign(m, e, "vec").select("vec_id", "label", "cluster")
+    m = CU.kmeans_batch(e, "vec", "vec_id", [10], n_init=10)
+    centres = _lit(m[10]["c"]) if m else F.array().cast("array<array<double>>")
+    return e.select("vec_id", "label", argmin_dist(centres, "vec").alias("cluster"))
 
 
 @q("sink_model_table")
@@ -1215,7 +1252,7 @@ def _projections(spark, sf, e):
     d = _width(e, "vec")
     pca = PJ.pca_fit(e, "vec")
     ica = PJ.ica_fit(e, "vec", ICA_M, max_iter=200)
-    sel = [r["feature"] for r in PJ.rf_feature_select(e, "vec", "y", num_trees=100).where("selected").collect()]
+    sel = [r["feature"] for r in PJ.rf_feature_select(e, "vec", "y", num_trees=500).where("selected").collect()]
     return {
         "pca": PJ.pca_project(e, "vec", pca, 8, "p"),
         "ica": PJ.project(e, "vec", ica["unmixing"], ica["mean"], "p"),
