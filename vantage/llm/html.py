@@ -2,16 +2,18 @@
 
 A page's markup is cut into tokens, a stack of open elements applies the implied-end rules (a
 new ``p`` ends an open ``p``, ``li`` an ``li``, cells and rows each other, a cell opens a row, what is no part of
-a table goes before it, ...), invisible subtrees (scripts, styles, ``hidden``, ``display:none``,
-``aria-hidden``) are skipped at any depth, and what is left is
-laid out: one blank line between paragraphs-like blocks, one line break between line blocks, list
-items with bullets or numbers and an indent by depth, tables as aligned columns, ``pre`` as written.
+a table goes before it, ...).  Invisible subtrees (scripts, styles, ``hidden``, ``display:none``, ``aria-hidden``, the
+content of a closed ``details`` or ``dialog``) are skipped, text of ``visibility:hidden`` elements too, but not that
+of visible ones inside them.  What is left is laid out: one blank line between paragraphs-like blocks, one line break
+between line blocks, list items with bullets or numbers and an indent by depth, tables as aligned columns (``colspan``
+and ``rowspan`` keep their places), ``pre`` as written, controls by the text they show (button, text area, value,
+chosen option).
 
-Pages are independent rows: one scan, no shuffle; per-page work is linear in the markup and
-the depth of the tree is bounded by ``MAX_DEPTH`` (deeper elements are laid out as lines of text).
+Pages are independent rows: one scan, no shuffle; per-page work is about linear in the markup, at any depth of
+nesting (an indent grows up to ``MAX_INDENT`` levels).
 
 Defined results: null or empty html gives empty text and no blocks; broken markup never
-fails; repeated rows are rendered each; extra columns are ignored.
+fails; repeated rows are rendered each; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,18 +21,20 @@ from __future__ import annotations
 import bisect
 import html as entities
 import re
+import sys
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 128
+MAX_INDENT, MAX_SPAN = 64, 1000
 
 # fixed values: element groups
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes plaintext".split())
 HIDDEN = set("head script style template noscript noembed noframes iframe title svg math canvas audio video object "
-             "select datalist option textarea input button dialog map".split())
+             "datalist map".split())
+UNSHOWN_INPUT = set("hidden checkbox radio password file range color".split())  # their value is not text on the page
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr form fieldset article section xmp plaintext".split())
 BLOCKS = SPACED | set("div li dt dd tr td th thead tbody tfoot caption header footer nav main aside address figcaption "
                       "body html center details summary legend menu hgroup search".split())
@@ -61,14 +65,16 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 BLANK = re.compile(r"[ \t\n\f\r]+")
-NONE_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+NONE_STYLE = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
+GONE, BLIND, SEEN = 0, 1, 2  # not laid out, laid out without its text, shown
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "flat")
+    __slots__ = ("tag", "attrs", "kids")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.kids, self.flat = tag, attrs or {}, [], False
+        self.tag, self.attrs, self.kids = tag, attrs or {}, []
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -78,15 +84,20 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def visible(tag: str, attrs: dict[str, str]) -> bool:
-    return not (tag in HIDDEN or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
-                or NONE_STYLE.search(attrs.get("style", "")))
+def state(tag: str, attrs: dict[str, str], around: int) -> int:
+    """How an element shows inside one that shows like ``around``."""
+    style = attrs.get("style", "")
+    if around == GONE or tag in HIDDEN or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or NONE_STYLE.search(style) \
+            or tag == "dialog" and "open" not in attrs:
+        return GONE
+    own = VISIBILITY.search(style)
+    return around if own is None else SEEN if own[1].lower() == "visible" else BLIND
 
 
 def parse(source: str) -> Node:
     """Tree of the visible elements; text nodes are strings."""
     root = Node("html")
-    stack, shown = [root], [True]  # open elements, and which of them are visible
+    stack, shown = [root], [SEEN]  # open elements, and how each of them shows
     places: dict[str, list[int]] = {}  # where in the stack a tag is open
 
     def last(tag: str) -> int:
@@ -98,10 +109,8 @@ def parse(source: str) -> Node:
 
     def close(depth: int) -> None:
         while len(stack) > depth:
-            node = stack.pop()
-            places[node.tag].pop()
-            if shown.pop() and node.flat and node.tag in BLOCKS:
-                node.kids.append(Node("br"))
+            places[stack.pop().tag].pop()
+            shown.pop()
 
     def open_table() -> int:
         t = last("table")
@@ -122,29 +131,23 @@ def parse(source: str) -> Node:
         if solid and stack[-1].tag == "head":
             close(len(stack) - 1)
         t = open_table() if stack[-1].tag in TABLE_PARTS else 0
-        if shown[t - 1 if t else -1] and (solid or not t):
+        if shown[t - 1 if t else -1] == SEEN and (solid or not t):
             insert(entities.unescape(s), t)
 
     def push(tag: str, attrs: dict[str, str]) -> Node | None:
         """Adds an element and opens it if it has content; None if it is invisible."""
         t = open_table() if stack[-1].tag in TABLE_PARTS and tag not in IN_TABLE | IN_HEAD else 0
         up = t - 1 if t else len(stack) - 1
-        on = shown[up] and visible(tag, attrs)
+        on = state(tag, attrs, shown[up])
         node = Node(tag, attrs)
         leaf = tag in VOID or tag in RAW
-        # a table as a whole is above the bound or below it
-        node.flat = not leaf and (stack[up].flat or len(stack) >= MAX_DEPTH - (4 if tag == "table" else 0))
-        if node.flat:  # its content goes to the element it is in
-            node.kids = stack[up].kids
-            if on and tag in BLOCKS:
-                node.kids.append(Node("br"))
-        elif on:
+        if on == SEEN or on == BLIND and not leaf:
             insert(node, t)
         if not leaf:
             places.setdefault(tag, []).append(len(stack))
             stack.append(node)
             shown.append(on)
-        return node if on else None
+        return node if on == SEEN else None
 
     def settle(tag: str, t: int) -> None:
         """Closes what a part of the table at ``t`` ends, and opens the row that a cell implies."""
@@ -208,7 +211,8 @@ def parse(source: str) -> Node:
         if tag in RAW:  # everything up to the matching end is text of the element
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, pos) if tag != "plaintext" else None
             if node:
-                node.kids.append(source[pos:end.start() if end else len(source)])
+                body = source[pos:end.start() if end else len(source)]
+                node.kids.append(entities.unescape(body) if tag in ("textarea", "title") else body)
             pos = end.end() if end else len(source)
 
 
@@ -251,16 +255,46 @@ def plain(node: Node) -> str:
     return BLANK.sub(" ", "".join(inner.parts)).strip()
 
 
+def options(node: Node) -> list[Node]:
+    return [x for kid in node.kids if not isinstance(kid, str) for x in ([kid] if kid.tag == "option" else options(kid))]
+
+
+SHOWN = {"img", "input", "select"}
+
+
+def shown_text(node: Node) -> str:
+    """What an image or control shows: the replacing text, the value, or the chosen options (a list box shows all)."""
+    a = node.attrs
+    if node.tag == "img":
+        return a.get("alt", "")
+    if node.tag == "input":
+        kind = a.get("type", "").lower()
+        return "" if kind in UNSHOWN_INPUT else a.get("alt" if kind == "image" else "value", "")
+    every = options(node)
+    size = a.get("size", "")
+    if "multiple" not in a and not (size.isascii() and size.isdigit() and int(size[:9]) > 1):
+        every = [x for x in every if "selected" in x.attrs][-1:] or every[:1]
+    words = [x.attrs.get("label") or plain(x) for x in every]
+    return " ".join([w for w in words if w])
+
+
+def content(node: Node) -> list:
+    """What of an element's content is laid out: of a closed ``details`` its first summary."""
+    if node.tag == "details" and "open" not in node.attrs:
+        return [k for k in node.kids if not isinstance(k, str) and k.tag == "summary"][:1]
+    return node.kids
+
+
 def written(node: Node) -> str:
     """Text of an element as it stands, blanks and line breaks included; block elements start and end lines."""
     out: list[str] = []
-    for kid in node.kids:
+    for kid in content(node):
         if isinstance(kid, str):
             out.append(kid)
         elif kid.tag == "br":
             out.append("\n")
-        elif kid.tag == "img":
-            out.append(kid.attrs.get("alt", ""))
+        elif kid.tag in SHOWN:
+            out.append(shown_text(kid))
         elif kid.tag == "hr":
             out.append("\n---\n")
         elif kid.tag == "table":
@@ -274,25 +308,44 @@ def written(node: Node) -> str:
     return "".join(out)
 
 
+def _span(cell: Node, name: str) -> int:
+    v = cell.attrs.get(name, "")
+    return min(max(int(v[:9]), 1), MAX_SPAN) if v.isascii() and v.isdigit() else 1
+
+
 def rows_of(table: Node) -> tuple[list[str], list[list[str]]]:
+    """Captions and rows of cell texts; spanned places are empty cells, so that columns stay columns."""
     captions, rows = [], []
+    below: dict[int, int] = {}  # column -> rows that a cell above still takes in it
     for kid in table.kids:
         if isinstance(kid, str):
             continue
         if kid.tag == "caption":
             captions.append(plain(kid))
         elif kid.tag == "tr":
-            row = []
+            row: list[str] = []
+            now: dict[int, int] = {}
+
+            def skip():
+                while below.get(len(row), 0):
+                    row.append("")
+
             for cell in kid.kids:
                 if not isinstance(cell, str) and cell.tag in ("td", "th"):
-                    row.append(plain(cell))
-                    span = cell.attrs.get("colspan", "")
-                    row += [""] * (min(int(span), 1000) - 1 if span.isascii() and span.isdigit() and int(span) > 1 else 0)
+                    skip()
+                    down = _span(cell, "rowspan") - 1
+                    for k in range(_span(cell, "colspan")):
+                        if down:
+                            now[len(row)] = down
+                        row.append(plain(cell) if k == 0 else "")
+            skip()
+            below = {c: n - 1 for c, n in below.items() if n > 1} | now
             rows.append(row)
-        elif kid.tag in ("thead", "tbody", "tfoot"):
+        elif kid.tag in SECTIONS:
             more = rows_of(kid)
             captions += more[0]
             rows += more[1]
+            below = {}
     return captions, rows
 
 
@@ -314,8 +367,13 @@ def render_table(node: Node, out: Layout) -> None:
         out.need(1)
 
 
+def _number(raw: str, default: int | None) -> int | None:
+    sign, digits = (-1, raw[1:]) if raw[:1] == "-" else (1, raw)
+    return sign * int(digits) if digits.isascii() and digits.isdigit() and len(digits) < 10 else default
+
+
 def render(node: Node, out: Layout, depth: int, ordered: list[int] | None = None) -> None:
-    for kid in node.kids:
+    for kid in content(node):
         if isinstance(kid, str):
             out.inline(kid)
             continue
@@ -335,18 +393,18 @@ def render(node: Node, out: Layout, depth: int, ordered: list[int] | None = None
                 out.put(body)
         elif tag == "hr":
             out.put("---")
-        elif tag == "img":
-            if kid.attrs.get("alt", "").strip():
-                out.inline(kid.attrs["alt"])
+        elif tag in SHOWN:
+            if (words := shown_text(kid)).strip():
+                out.inline(words)
         elif tag in ("ul", "ol", "menu"):
-            first = kid.attrs.get("start", "")
-            render(kid, out, depth + 1, [int(first) if first.isascii() and first.isdigit() and len(first) < 10 else 1] if tag == "ol" else None)
+            render(kid, out, depth + 1, [_number(kid.attrs.get("start", ""), 1)] if tag == "ol" else None)
         elif tag == "li":
             before = out.prefix
             mark = "- "
             if ordered is not None:
+                ordered[0] = _number(kid.attrs.get("value", ""), ordered[0])
                 mark, ordered[0] = f"{ordered[0]}. ", ordered[0] + 1
-            out.prefix = "  " * max(depth - 1, 0) + mark
+            out.prefix = "  " * min(max(depth - 1, 0), MAX_INDENT) + mark
             had = out.blocks
             render(kid, out, depth)
             out.prefix = before
@@ -361,7 +419,10 @@ def render(node: Node, out: Layout, depth: int, ordered: list[int] | None = None
 def page_text(source: str | None) -> tuple[str, int]:
     """Text of a page and its number of blocks."""
     out = Layout()
-    render(parse(source or ""), out, 0)
+    source = source or ""
+    # layout recurses by plain Python calls, which need no C stack: the limit follows from the markup
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 4 * source.count("<")))
+    render(parse(source), out, 0)
     return "".join(out.parts), out.blocks
 
 
