@@ -1,11 +1,13 @@
 """Personal data by weak supervision, in DataFrame and SQL functions only.
 
 Candidates are spans found by patterns: the four base kinds (kept whatever happens) and
-further kinds that a pattern alone cannot settle.  Four labelers vote on every candidate
-(+1, 0, -1): the strict pattern, a gazetteer, the words before it, and the characters
+further kinds that a pattern alone cannot settle (secrets behind a name, keys by their issuers' formats, names, ids,
+local phones, unchecked cards).  Four labelers vote on every candidate (+1, 0, -1): the strict pattern, a gazetteer
+(domains, calling codes, issuers, given names, values that are no plain words), the words before it, and the characters
 around it.  Expectation-maximisation over the table of vote patterns (at most a few
 thousand rows, whatever the corpus) estimates how reliable each labeler is; a logistic
-span classifier trained on its posteriors decides on the further kinds.
+span classifier trained on its posteriors, which also sees the kind, the length and the mixture of characters, decides on
+the further kinds.
 
 Spans are counted in code points, end exclusive.  Every pattern is written so that a
 match is found in time linear in the text (possessive parts, starts only at the border
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import documents_view, stage
 
 BASE = ("email", "ip", "card", "phone")
-EXTRA = ("secret", "name", "national_id", "phone_local", "card_unchecked")
+EXTRA = ("secret", "key", "name", "national_id", "phone_local", "card_unchecked")
 LABELERS = ("pattern", "gazetteer", "context", "shape")
 
 # fixed values: patterns
@@ -35,7 +37,10 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9_])(?:password|passwd|token|secret|api[_-]key|apikey) ?[:=] ?[\"']?[A-Za-z0-9+/_-]{16,}+",
+    "secret": r"(?i)(?<![a-z0-9])(?:password|passwd|passphrase|pwd|token|secret|api[_-]?key|(?:secret|access|private|auth)[_-]?(?:key|token))"
+              r"[\"']? ?[:=] ?[\"']?[a-z0-9+/_.~!@#$%^&*-]{6,200}+",
+    "key": r"(?<![A-Za-z0-9])(?:A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{36,255}+|sk-[A-Za-z0-9_-]{20,200}+"
+           r"|xox[abpr]-[A-Za-z0-9-]{10,200}+|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,2000}+\.eyJ[A-Za-z0-9_-]{8,4000}+\.[A-Za-z0-9_-]{8,1000}+)",
     "name": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\. [A-Z][a-z]++(?: [A-Z][a-z]++)?",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone_local": r"(?<![0-9(+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
@@ -44,13 +49,17 @@ PATTERNS = {
 TLDS = "com org net edu gov io de fr es it uk nl eu info biz co us ca ch at be pl ru jp cn br au in".split()
 CALLING_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 92".split()
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|36|38|30[0-5]|35|6011|65|64[4-9])"
+GIVEN_NAMES = ("james mary john patricia robert jennifer michael linda william elizabeth david barbara richard susan joseph jessica thomas sarah "
+               "charles karen anna maria peter paul mark laura emma marie jean pierre claire hans klaus petra sabine jose juan carmen "
+               "luis ana giulia marco paolo elena olga ivan chen wei li yuki ahmed fatima").split()
 # fixed values: words that speak for or against a kind when they stand shortly before it
 CUES = {
     "email": "mail e-mail email contact write reach to",
     "ip": "ip address host server from client",
     "card": "card visa mastercard amex credit payment pay",
     "phone": "phone tel telephone call mobile cell fax contact",
-    "secret": "credentials login config key env",
+    "secret": "credentials login config key env user account",
+    "key": "credentials login config key token env export secret authorization bearer",
     "name": "dear from by signed contact patient",
     "national_id": "ssn social security id number",
     "phone_local": "phone tel telephone call mobile cell fax contact",
@@ -150,19 +159,23 @@ def _gazetteer(kind: str, value: Column) -> Column:
         return F.when(_digits(value).rlike(ISSUERS), 1).otherwise(-1)
     if kind == "phone":
         return F.when(_digits(value).rlike("^(?:" + "|".join(CALLING_CODES) + ")"), 1).otherwise(-1)
-    if kind == "secret":
-        tail = F.regexp_extract(value, "([A-Za-z0-9+/_-]+)$", 1)
-        return F.when(tail.rlike("[0-9]") & tail.rlike("[A-Za-z]"), 1).otherwise(-1)
+    if kind == "secret":  # a value that is no plain word or number
+        tail = F.regexp_extract(value, "[:=] ?[\"']?(.*)$", 1)
+        return F.when(tail.rlike("[0-9]") & tail.rlike("[A-Za-z]") | tail.rlike("[A-Za-z0-9][~!@#$%^&*+/][A-Za-z0-9]"), 1).otherwise(-1)
+    if kind == "key":
+        return F.when(value.rlike("[0-9]"), 1).otherwise(-1)
+    if kind == "name":
+        return F.when(F.lower(F.regexp_extract(value, "\\. ([A-Z][a-z]+)", 1)).isin(GIVEN_NAMES), 1).otherwise(0)
     if kind == "national_id":
         return F.when(value.rlike("^(?:000|666|9)"), -1).otherwise(1)
     return F.lit(0)
 
 
-PATTERN_VOTE = {"email": 1, "ip": 1, "card": 1, "phone": 1, "secret": 1, "name": 0, "national_id": 1, "phone_local": 1, "card_unchecked": -1}
+PATTERN_VOTE = {"email": 1, "ip": 1, "card": 1, "phone": 1, "secret": 1, "key": 1, "name": 0, "national_id": 1, "phone_local": 1, "card_unchecked": -1}
 
 
 def _labelled(kind: str, spans: Column) -> Column:
-    """Spans of a kind with the votes of all labelers and a length class."""
+    """Spans of a kind with the votes of all labelers, a length class and the number of character classes in it."""
     cue = "(?i)(?<![A-Za-z])(?:" + "|".join(CUES[kind].split()) + ")(?![A-Za-z])"
     against = "(?i)(?<![A-Za-z])(?:" + "|".join(AGAINST.split()) + ")(?![A-Za-z])"
 
@@ -174,7 +187,8 @@ def _labelled(kind: str, spans: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                         F.lit(PATTERN_VOTE[kind]).alias("pattern"), _gazetteer(kind, s["value"]).alias("gazetteer"),
                         context.alias("context"), shape.alias("shape"),
-                        F.when(n < 12, 0).when(n < 20, 1).otherwise(2).alias("size"))
+                        F.when(n < 12, 0).when(n < 20, 1).otherwise(2).alias("size"),
+                        sum(s["value"].rlike(c).cast("int") for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")).alias("mix"))
     return F.transform(spans, one)
 
 
@@ -240,19 +254,20 @@ def reliabilities(rows: list[dict], rounds: int = 50) -> tuple[list[float], dict
 def fit(found: DataFrame) -> Model | None:
     """Model from a table of candidates (array column ``spans``); None where there is no candidate.
 
-    The table of vote patterns has at most 9 kinds x 3^4 votes x 3 sizes rows.
+    The table of vote patterns has at most 10 kinds x 3^4 votes x 3 sizes x 4 mixtures rows.
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    keys = ["kind", *LABELERS, "size"]
+    keys = ["kind", *LABELERS, "size", "mix"]
     table = found.select(F.explode("spans").alias("s")).select("s.*").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     rows = [r.asDict() for r in table.collect()]
     if not rows:
         return None
     rows.sort(key=lambda r: [str(r[k]) for k in keys])
     post, chance = reliabilities(rows)
-    fields = [("kind", k) for k in (*BASE, *EXTRA)] + [(k, v) for k in LABELERS for v in (-1, 1)] + [("size", v) for v in (0, 2)]
+    fields = [("kind", k) for k in (*BASE, *EXTRA)] + [(k, v) for k in LABELERS for v in (-1, 1)] \
+        + [("size", v) for v in (0, 2)] + [("mix", v) for v in (1, 3, 4)]
     data = []
     for r, p in zip(rows, post, strict=True):
         p = min(max(p, 1e-3), 1 - 1e-3)

@@ -65,7 +65,8 @@ def _pii(spark, sf):
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
     base = pii.digest(of(*pii.BASE))
     return pii.find_pii(table(spark, sf, "documents")).select(
-        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.digest(s).alias("spans"))
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.digest(s).alias("spans"),
+        F.size(s).cast("long").alias("n_spans"))
 
 
 @q("op3_hnsw_search")
