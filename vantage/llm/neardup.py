@@ -16,7 +16,7 @@ No list of links is ever expanded:
   fewest shingles of its own; members already in the hub's component are done;
 * what is left are lists that hold several components: members outside a list's largest
   component look for partners, in small lists one by one, in crowded ones through the
-  shingles in which they differ from the hub (see ``_crowded_pairs``); every cross-component
+  shingles in which they differ from the hub (see ``_crowded_lists``); every cross-component
   pair that shares a prefix pair and can reach the threshold is judged, and none within one.
 
 Defined results: null or empty texts have no set and link with nothing; equal
@@ -202,8 +202,9 @@ def _small_list_pairs(outside: DataFrame, at: DataFrame, close, small_list: int)
         .select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"))
 
 
-def _crowded_pairs(crowded: DataFrame, sets: DataFrame, threshold: int, salts: int = SALTS) -> DataFrame:
-    """Candidate pairs of crowded lists by what sets differ in from one set of their lists' largest component.
+def _crowded_lists(crowded: DataFrame, sets: DataFrame, threshold: int, salts: int = SALTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Crowded lists by what sets differ in from one set of their lists' largest component: certain links (u, v), who
+    seeks partners (main, e, node, label) and who is found (main, e, node2, label2, s2).
 
     All crowded lists with one largest component are one group, and its *hub* stands for the component, so a
     set is compared once per component and not once per list.  With D = the shingles in which a set differs from
@@ -252,14 +253,25 @@ def _crowded_pairs(crowded: DataFrame, sets: DataFrame, threshold: int, salts: i
         # shingles that nobody else has come first in the order and meet nobody
         must = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col(partner)) / F.lit(2 * (100 + t)))).cast("int")
         take = F.greatest(F.lit(0), F.size("t") - must + 1)
-        return rows.select("main", "node", "label", F.explode(F.slice("t", F.lit(1), take)).alias("x")) \
-            .select("main", F.col("x.e").alias("e"), "node", "label")
+        return rows.select("main", "node", "label", "s", F.explode(F.slice("t", F.lit(1), take)).alias("x")) \
+            .select("main", F.col("x.e").alias("e"), "node", "label", "s")
 
-    seek = prefix(posted.where("outer"), "s_min")
-    find = prefix(posted, "s_out").select("main", "e", F.col("node").alias("node2"), F.col("label").alias("label2"))
-    pairs = seek.join(find, ["main", "e"]).where(F.col("label") != F.col("label2")).select("node", F.col("node2").alias("other"))
-    return pairs.unionByName(certain).where("node <> other") \
-        .select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v"))
+    seek = prefix(posted.where("outer"), "s_min").drop("s")
+    find = prefix(posted, "s_out").select("main", "e", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("s").alias("s2"))
+    return _ordered(certain.withColumnRenamed("other", "node2")), seek, find
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.where("node <> node2").select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"))
+
+
+def _met(seek: DataFrame, find: DataFrame) -> DataFrame:
+    return _ordered(seek.join(find, ["main", "e"]).where(F.col("label") != F.col("label2")).select("node", "node2"))
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
+    now = labels.select(F.col("node").alias(node), F.col("label").alias("_now"))
+    return rows.join(now, node, "left").withColumn(label, F.coalesce("_now", label)).drop("_now")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -313,12 +325,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .groupBy("node").agg(F.max_by("node2", F.struct("n", "node2")).alias("node2")) \
                 .select(F.col("node").alias("u"), F.col("node2").alias("v"))
         else:
-            pairs = _small_list_pairs(outside, at, close, small_list)
             crowded = at.join(main, "token").join(_list_sizes(at).where(F.col("n") > small_list).select("token"), "token")
-            pairs = pairs.unionByName(_crowded_pairs(crowded, sets, threshold)).distinct()
+            certain, seek, find = _crowded_lists(crowded, sets, threshold)
+            # first one member of each component a list: a set that links with one of them needs no others
+            nearest = find.groupBy("main", "e", "label2").agg(F.min_by("node2", F.struct("s2", "node2")).alias("node2"))
+            pairs = _small_list_pairs(outside, at, close, small_list).unionByName(certain).unionByName(_met(seek, nearest)).distinct()
         found = _verified(pairs, sigs, sets, need, threshold)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
+    # sets that are still outside their lists' component meet everybody whom they can reach
+    home = labels.select(F.col("node").alias("main"), F.col("label").alias("home"))
+    rest = _relabelled(seek, labels, "node", "label").join(home, "main", "left") \
+        .where(F.col("label") != F.coalesce("home", "main")).drop("home")
+    last = stage(_met(rest, _relabelled(find, labels, "node2", "label2")).distinct(), "near-rest")
+    if not last.isEmpty():
+        labels = components(links.unionByName(_verified(last, sigs, sets, need, threshold)))
     node_of = classes.select("n_shingles", "d1", "d2", "node").join(labels, "node", "left") \
         .select("n_shingles", "d1", "d2", F.coalesce("label", "node").alias("component_id"))
     own = prints.select("doc_id", "n_shingles", "d1", "d2")
@@ -348,6 +369,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     group = judged.select(F.col("doc_id").alias("uid"), "component_id").distinct().join(known, "uid")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid"), F.col("n").alias("n")))
     kept = stage(group.groupBy("component_id").agg(first.alias("f")).select(F.col("f.uid").alias("_uid"), F.col("f.n").alias("_n")), "near-kept")
-    rows = docs.withColumn("_uid", uid).join(kept, "_uid")
+    # the kept ids grow with the corpus: a sort-merge join at every size
+    rows = docs.withColumn("_uid", uid).join(kept.hint("merge"), "_uid")
     single, many = rows.where("_n = 1"), rows.where("_n > 1")
     return single.select(*docs.columns).unionByName(many.dropDuplicates(["_uid"]).select(*docs.columns))
