@@ -29,6 +29,7 @@ from ..operators import projection as PJ
 from ..operators import sampling as S
 from ..operators import search as SE
 from ..operators import sequences as SQ
+from ..operators import slices as SL
 from ..operators import trees as TR
 from ..session import cut_lineage, shared_path, table
 from ..sources import io as IO
@@ -1222,6 +1223,12 @@ def _distance_correlation(spark, sf):
     return d.select(r6(F.col("distance_correlation")).alias("distance_correlation"))
 
 
+@q("distance_correlation_euclid")
+def _distance_correlation_euclid(spark, sf):
+    """The same on plain Euclidean distances, by random slices, with the bound of its error."""
+    return SL.distance_correlation(_rca(spark, sf), "vec", "proj")
+
+
 def _dims(d):
     """Sizes of a projection sweep: 2, 5, 8, ... below d - 1, and d."""
     return [*range(2, d - 1, 3), d]
