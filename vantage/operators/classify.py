@@ -25,6 +25,7 @@ from ..functions.hashing import hash32
 from ..functions.vectors import dot, lit_matrix, lit_vector
 from . import metrics as M
 from .machines import fourier_normals
+from .prep import levels
 
 
 def ml_frame(df: DataFrame, vec: str, label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -157,7 +158,7 @@ def knn_grid_search_cv(df: DataFrame, id_col: str, vec: str, label: str, fold_co
     from .neighbors import knn_join
 
     kmax = max(ks)
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())   # k folds: model-sized
+    folds = levels(df, fold_col)
     per_fold = []
     for f in folds:
         qy = df.where(F.col(fold_col) == f).select(F.col(id_col).alias("qid"), F.col(vec).alias("vec"),

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import lit_matrix
 from .linalg import reduce_partials, stack_vectors
+from .prep import levels as label_levels
 
 
 def kmeans_fit(df: DataFrame, vec: str, k: int, n_init: int = 10, seed: int = 100, max_iter: int = 300,
@@ -260,7 +261,7 @@ def clustering_scores(df: DataFrame, vec: str, label: str, y: str, models: dict,
     The first scan folds the table of (cluster, label, y) counts and the moments of every cluster, the
     second the silhouettes (squared distances).  Majority votes tie to the smaller ``y``.
     """
-    levels = sorted(r[0] for r in df.select(label).distinct().collect())   # label levels: model-sized
+    levels = label_levels(df, label)
     src = df.select(F.col(vec).alias("_v"), F.col(label).alias("_l"), F.col(y).cast("int").alias("_y")).persist()
     try:
         d = len(src.first()["_v"])

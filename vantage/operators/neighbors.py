@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dist, dot, lit_matrix, lit_vector, norm_sq
+from .prep import bounded
 from .linalg import gram
 
 
@@ -115,11 +116,11 @@ def distances_to_reference(df: DataFrame, ref: list[list[float]], id_col: str, v
 
 
 def cluster_stats(df: DataFrame, cluster: str, vec: str) -> dict:
-    """Per cluster: count, vector sum, sum of squared norms (model-sized)."""
+    """Per cluster: count, vector sum, sum of squared norms (an error where clusters are not model-sized)."""
     d = len(df.select(vec).first()[0])
-    rows = df.groupBy(cluster).agg(
+    rows = bounded(df.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"), F.sum(norm_sq(vec)).alias("q"),
-        F.array(*[F.sum(F.col(vec)[i]) for i in range(d)]).alias("s")).collect()
+        F.array(*[F.sum(F.col(vec)[i]) for i in range(d)]).alias("s")), cluster)
     return {r[cluster]: (int(r["n"]), np.array(r["s"], dtype=float), float(r["q"])) for r in rows}
 
 

@@ -37,12 +37,20 @@ def map_label(df: DataFrame, col: str, mapping: Mapping, out: str | None = None)
     return df.withColumn(out or col, expr)
 
 
-def levels(df: DataFrame, col: str, max_levels: int = 10_000) -> list:
+MAX_LEVELS = 10_000
+
+
+def bounded(df: DataFrame, what: str, most: int = MAX_LEVELS) -> list:
+    """Rows of a table that must be model-sized; more than ``most`` is an error, not a cut."""
+    found = df.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{what} has more than {most} levels: not a categorical column")
+    return found
+
+
+def levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list:
     """Observed levels of a categorical column; more than ``max_levels`` is an error, not a cut."""
-    found = df.select(col).distinct().where(F.col(col).isNotNull()).limit(max_levels + 1).collect()
-    if len(found) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels: not a categorical column")
-    return sorted(r[0] for r in found)
+    return sorted(r[0] for r in bounded(df.select(col).distinct().where(F.col(col).isNotNull()), col, max_levels))
 
 
 def one_hot(
