@@ -21,6 +21,7 @@ from ..operators import clustering as CU
 from ..operators import machines as MA
 from ..operators import metrics as M
 from ..operators import neighbors as NB
+from ..operators import networks as NW
 from ..operators import planning as PL
 from ..operators import populations as PO
 from ..operators import prep as P
@@ -1020,7 +1021,7 @@ def _complexity_curve_gbt(spark, sf):
 
 
 CURVE_FRACTIONS = [float(v) for v in _np.linspace(0.05, 1.0, 20)]   # the studied training sizes
-CURVE_FOLDS, TREE_DEPTH = 10, 30
+CURVE_FOLDS, TREE_DEPTH, MLP_STEPS = 10, 30, 60
 
 
 def _folded(spark, sf, folds):
@@ -1065,6 +1066,29 @@ def _poisson_draws(spark, sf):
                                   for i, f in enumerate((0.05, 0.5, 1.0))])
 
 
+@q("mlp_surface")
+def _mlp_surface(spark, sf):
+    """Two hidden layers, 10 x 10 shapes from 1 to 50 units, trained together: F1, accuracy and loss curve of each."""
+    units = [int(v) for v in _np.linspace(1, 50, 10)]
+    got = NW.network_curve(FX.emb_split(spark, sf), "vec", "y", "split", [(a, b) for a in units for b in units], 0.05, MLP_STEPS)
+    return got.select(F.col("hidden")[0].alias("units1"), F.col("hidden")[1].alias("units2"), "split", "f1", "accuracy", "losses")
+
+
+@q("complexity_curve_mlp")
+def _complexity_curve_mlp(spark, sf):
+    """One hidden layer, 30 sizes from 1 to 150 units: F1 and accuracy on both splits."""
+    got = NW.network_curve(FX.emb_split(spark, sf), "vec", "y", "split", [(int(v),) for v in _np.linspace(1, 150, 30)], 0.05, MLP_STEPS)
+    return got.select(F.col("hidden")[0].alias("units"), "split", "f1", "accuracy")
+
+
+@q("mlp_grid_search")
+def _mlp_grid_search(spark, sf):
+    """Hidden units x learning rate, 10 stratified folds: 240 networks in shared scans."""
+    e = FX.emb_split(spark, sf).where(F.col("split") == "train")
+    data = S.kfold_assign(e, "vec_id", 10, label_col="y")
+    return NW.network_grid_search(data, "vec", "y", "fold", 10, [5, 10, 20, 30, 40, 50, 75, 100], [0.01, 0.05, 0.1], MLP_STEPS)
+
+
 def _label_params(spark, sf):
     """Per-label diagonal Gaussians (weights, means, population variances + reg), model-sized."""
     e = FX.emb(spark, sf)
