@@ -109,3 +109,9 @@ def fan_out(df: DataFrame, params: Sequence[Mapping]) -> DataFrame:
 def restart_grid(df: DataFrame, n_seeds: int) -> DataFrame:
     """Each row once per seed ``0..n_seeds-1``."""
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_seeds - 1))).alias("seed"))
+
+
+def restart_scores(df: DataFrame, by: Sequence[str], n_seeds: int, score) -> DataFrame:
+    """``by, seed, score`` without copying rows: ``score(seed)`` is an aggregate, all seeds share one aggregation."""
+    wide = df.groupBy(*by).agg(*[score(F.lit(i)).alias(f"_s{i}") for i in range(n_seeds)])
+    return wide.select(*by, F.inline(F.array(*[F.struct(F.lit(i).alias("seed"), F.col(f"_s{i}").alias("score")) for i in range(n_seeds)])))

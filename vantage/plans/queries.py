@@ -301,9 +301,7 @@ def _param_zip(spark, sf):
 
 def _restart_scores(spark, sf):
     ev = FX.events(spark, sf).select("event_id", "value", F.dayofmonth("ts").alias("budget"))
-    fan = S.restart_grid(ev, 5)
-    return fan.groupBy("budget", "seed").agg(
-        F.avg(F.col("value") * hash_unit(F.col("seed"), F.col("event_id"))).alias("score"))
+    return S.restart_scores(ev, ["budget"], 5, lambda seed: F.avg(F.col("value") * hash_unit(seed, F.col("event_id"))))
 
 
 @q("restart_grid")
