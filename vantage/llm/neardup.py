@@ -327,8 +327,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         else:
             crowded = at.join(main, "token").join(_list_sizes(at).where(F.col("n") > small_list).select("token"), "token")
             certain, seek, find = _crowded_lists(crowded, sets, threshold)
-            # first one member of each component a list: a set that links with one of them needs no others
-            nearest = find.groupBy("main", "e", "label2").agg(F.min_by("node2", F.struct("s2", "node2")).alias("node2"))
+            # first one member a list, the one nearest to the hub: sets that link with it need no others
+            one = F.min_by(F.struct("node2", "label2"), F.struct("s2", "node2")).alias("o")
+            nearest = find.groupBy("main", "e").agg(one).select("main", "e", "o.node2", "o.label2")
             pairs = _small_list_pairs(outside, at, close, small_list).unionByName(certain).unionByName(_met(seek, nearest)).distinct()
         found = _verified(pairs, sigs, sets, need, threshold)
         links = found if links is None else links.unionByName(found)
