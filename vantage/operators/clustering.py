@@ -13,14 +13,14 @@ import math
 from typing import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import lit_matrix
-from .linalg import reduce_partials, stack_vectors
+from .linalg import gathered, pack_rows, reduce_packed, reduce_partials, stack_vectors, unpack
 from .prep import levels as label_levels
 
 
@@ -72,57 +72,60 @@ def _draw(h: np.ndarray, *key: int) -> np.ndarray:
     return (z >> np.uint64(11)).astype(float) / float(1 << 53)
 
 
-def _seed_sets(src: DataFrame, runs: int, k: int, seed: int, rounds: int = SEED_ROUNDS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per run, oversampled candidate centres and how many rows each is nearest to (k-means||, over the whole table).
+HASHES = [("_h", np.int64)]
+
+
+def _seed_sets(src: DataFrame, plans: Sequence[tuple[int, int, int]], seed: int, rounds: int = SEED_ROUNDS) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """Per plan ``(vector, runs, k)`` and run, oversampled candidate centres and how many rows each is nearest to
+    (k-means||, over the whole table).
 
     In every round a row becomes a candidate with a probability in proportion to its squared distance to the
-    candidates so far, about ``2 k`` rows a round; all runs, and all k up to the largest, share the rounds' scans.
+    candidates so far, about ``2 k`` rows a round; all plans, all runs, and all k up to the largest, share the rounds' scans.
     """
+    runs = [(p, view, r, k) for p, (view, n, k) in enumerate(plans) for r in range(n)]
+    views = sorted({view for view, _, _ in plans})
+
     def lowest(batches):
-        for pdf in batches:
-            if len(pdf):
-                h = pdf["_h"].to_numpy()
-                for r in range(runs):
-                    u = _draw(h, seed, r)
-                    yield pd.DataFrame({"run": [r], "u": [u.min()], "v": [pdf["_v"].iloc[int(u.argmin())]]})
-
-    first = src.mapInPandas(lowest, "run int, u double, v array<double>").groupBy("run").agg(F.min_by("v", F.struct("u", "v")).alias("v")).collect()
+        for mats, (h,) in unpack(batches, HASHES):
+            for i, (_, view, r, _) in enumerate(runs):
+                u = _draw(h, seed, r)
+                at = int(u.argmin())
+                yield pa.RecordBatch.from_pydict({"run": pa.array([i], pa.int32()), "u": [u[at]], "v": [mats[view][at].tolist()]})
+
+    first = src.mapInArrow(lowest, "run int, u double, v array<double>").groupBy("run").agg(F.min_by("v", F.struct("u", "v")).alias("v")).collect()
     sets = {r["run"]: np.array([r["v"]], float) for r in first}
     if not sets:
         return []
     for t in range(rounds):
-        def cost(pdf, sets=dict(sets)):
-            x = stack_vectors(pdf["_v"])
-            xx = (x * x).sum(1)
-            return np.array([_nearest(x, xx, sets[r])[1].sum() for r in range(runs)])
+        def cost(mats, nums, sets=dict(sets)):
+            xx = {v: (mats[v] * mats[v]).sum(1) for v in views}
+            return np.array([_nearest(mats[view], xx[view], sets[i])[1].sum() for i, (_, view, _, _) in enumerate(runs)])
 
-        phi = reduce_partials(src, cost, runs)
+        phi = reduce_packed(src, cost, len(runs))
 
         def sample(batches, sets=dict(sets), t=t):
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                x, h = stack_vectors(pdf["_v"]), pdf["_h"].to_numpy()
-                xx = (x * x).sum(1)
-                for r in range(runs):
-                    if phi[r] > 0:
-                        at = np.flatnonzero(_draw(h, seed, r, t + 1) < OVERSAMPLE * k * _nearest(x, xx, sets[r])[1] / phi[r])
+            for mats, (h,) in unpack(batches, HASHES):
+                xx = {v: (mats[v] * mats[v]).sum(1) for v in views}
+                for i, (_, view, r, k) in enumerate(runs):
+                    if phi[i] > 0:
+                        at = np.flatnonzero(_draw(h, seed, r, t + 1) < OVERSAMPLE * k * _nearest(mats[view], xx[view], sets[i])[1] / phi[i])
                         if len(at):
-                            yield pd.DataFrame({"run": r, "h": h[at], "v": list(x[at])})
+                            yield pa.RecordBatch.from_pydict({"run": pa.array([i] * len(at), pa.int32()), "h": h[at], "v": mats[view][at].tolist()})
 
-        for r in sorted(src.mapInPandas(sample, "run int, h long, v array<double>").collect(), key=lambda r: (r["run"], r["h"], r["v"])):
+        for r in sorted(src.mapInArrow(sample, "run int, h long, v array<double>").collect(), key=lambda r: (r["run"], r["h"], r["v"])):
             sets[r["run"]] = np.vstack([sets[r["run"]], r["v"]])
 
-    def held(pdf):
-        x = stack_vectors(pdf["_v"])
-        xx = (x * x).sum(1)
-        return np.concatenate([np.bincount(_nearest(x, xx, sets[r])[0], minlength=len(sets[r])) for r in range(runs)])
-
-    tot = reduce_partials(src, held, sum(len(sets[r]) for r in range(runs)))
-    out, at = [], 0
-    for r in range(runs):
-        out.append((sets[r], np.maximum(tot[at:at + len(sets[r])], 1e-9)))
-        at += len(sets[r])
+    def held(mats, nums):
+        xx = {v: (mats[v] * mats[v]).sum(1) for v in views}
+        return np.concatenate([np.bincount(_nearest(mats[view], xx[view], sets[i])[0], minlength=len(sets[i]))
+                               for i, (_, view, _, _) in enumerate(runs)])
+
+    tot = reduce_packed(src, held, sum(len(sets[i]) for i in range(len(runs))))
+    out: list[list] = [[] for _ in plans]
+    at = 0
+    for i, (p, _, _, _) in enumerate(runs):
+        out[p].append((sets[i], np.maximum(tot[at:at + len(sets[i])], 1e-9)))
+        at += len(sets[i])
     return out
 
 
@@ -141,105 +144,130 @@ def _by_cluster(lab: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
 
 def kmeans_batch(df: DataFrame, vec: str, id_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 100,
                  max_iter: int = 300, tol: float = 1e-4) -> dict[int, dict]:
-    """Best of ``n_init`` k-means runs for every k: ``{k: centres, cost, iterations}``.
+    """Best of ``n_init`` k-means runs for every k: ``{k: centres, cost, iterations}``."""
+    return kmeans_batches(df, id_col, [(vec, ks, n_init)], seed, max_iter, tol)[0]
+
+
+def kmeans_batches(df: DataFrame, id_col: str, jobs: Sequence[tuple[str, Sequence[int], int]], seed: int = 100,
+                   max_iter: int = 300, tol: float = 1e-4) -> list[dict[int, dict]]:
+    """:func:`kmeans_batch` for every job ``(vector column, ks, n_init)`` on the same rows.
 
-    All runs of all k advance together: one scan per Lloyd step folds every task's rows into the
+    All runs of all k and of all jobs advance together: one scan per Lloyd step folds every task's rows into the
     counts and sums of all runs that still move, so the number of scans is that of the slowest run.
     """
-    src = df.select(F.col(vec).cast("array<double>").alias("_v"), F.xxhash64(F.col(id_col).cast("string")).alias("_h")).where("_v is not null").persist()
+    vecs = list(dict.fromkeys(v for v, _, _ in jobs))
+    view = [vecs.index(v) for v, _, _ in jobs]
+    kept = pack_rows(df.select(*vecs, F.xxhash64(F.col(id_col).cast("string")).alias("_h")), vecs, ["_h"]).persist()
     try:
-        sets = _seed_sets(src, n_init, max(ks, default=1), seed)
+        src = gathered(kept)
+        sets = _seed_sets(src, [(view[j], n, max(ks, default=1)) for j, (_, ks, n) in enumerate(jobs)], seed)
         if not sets:
-            return {}
-        x0 = sets[0][0]
-
-        def sums(pdf):
-            x = stack_vectors(pdf["_v"])
-            return np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
-
-        spread = reduce_partials(src, sums, 1 + 2 * x0.shape[1])
-        mean, square = spread[1:1 + x0.shape[1]] / spread[0], spread[1 + x0.shape[1]:] / spread[0]
-        still = tol * float(np.maximum(square - mean * mean, 0.0).mean())
-        runs = [{"k": k, "run": r, "c": _spread_centres(*sets[r], k, np.random.default_rng([seed, k, r])), "iterations": 0}
-                for k in ks for r in range(n_init)]
-        d = x0.shape[1]
+            return [{} for _ in jobs]
+        dims = [0] * len(vecs)
+        for j, s in enumerate(sets):
+            dims[view[j]] = s[0][0].shape[1]
+
+        def sums(mats, nums):
+            return np.concatenate([np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]) for x in mats])
+
+        spread, at, still = reduce_packed(src, sums, sum(1 + 2 * d for d in dims)), 0, []
+        for d in dims:
+            n, mean, square = spread[at], spread[at + 1:at + 1 + d] / spread[at], spread[at + 1 + d:at + 1 + 2 * d] / spread[at]
+            still.append(tol * float(np.maximum(square - mean * mean, 0.0).mean()))
+            at += 1 + 2 * d
+        runs = [{"job": j, "view": view[j], "k": k, "run": r, "c": _spread_centres(*sets[j][r], k, np.random.default_rng([seed, k, r])), "iterations": 0}
+                for j, (_, ks, n_init) in enumerate(jobs) for k in ks for r in range(n_init)]
         live = list(runs)
         for step in range(max_iter + 1):
-            cs = [m["c"] for m in live]
+            cs = [(m["view"], m["c"]) for m in live]
 
-            def fold(pdf, cs=cs):
-                x = stack_vectors(pdf["_v"])
-                xx = (x * x).sum(1)
+            def fold(mats, nums, cs=cs):
+                rows = np.arange(len(mats[0]))
+                ones = [np.hstack([np.ones((len(x), 1)), x]) for x in mats]
+                norms = [(x * x).sum(1) for x in mats]
                 out = []
-                for c in cs:
-                    lab, d2 = _nearest(x, xx, c)
-                    out += [_by_cluster(lab, np.hstack([np.ones((len(x), 1)), x]), len(c)).ravel(), [d2.sum()]]
+                for v, c in cs:   # squared distances but for the row's own norm, in one product
+                    near = ones[v] @ np.vstack([(c * c).sum(1), -2.0 * c.T])
+                    lab = near.argmin(1)
+                    hot = (lab[None, :] == np.arange(len(c))[:, None]).astype(float)
+                    out += [(hot @ ones[v]).ravel(), [np.maximum(norms[v] + near[rows, lab], 0.0).sum()]]
                 return np.concatenate(out)
 
-            tot = reduce_partials(src, fold, sum(len(c) * (d + 1) + 1 for c in cs))
+            tot = reduce_packed(src, fold, sum(len(c) * (dims[v] + 1) + 1 for v, c in cs))
             at, moving = 0, []
             for m in live:
-                k = m["k"]
+                k, d = m["k"], dims[m["view"]]
                 part = tot[at:at + k * (d + 1)].reshape(k, d + 1)
                 m["cost"] = float(tot[at + k * (d + 1)])
                 at += k * (d + 1) + 1
                 new = np.where(part[:, :1] > 0, part[:, 1:] / np.maximum(part[:, :1], 1.0), m["c"])
-                if ((new - m["c"]) ** 2).sum() > still and step < max_iter:
+                if ((new - m["c"]) ** 2).sum() > still[m["view"]] and step < max_iter:
                     m["c"], m["iterations"] = new, step + 1
                     moving.append(m)
             live = moving
             if not live:
                 break
-        return {k: min((m for m in runs if m["k"] == k), key=lambda m: (m["cost"], m["run"])) for k in ks}
+        return [{k: min((m for m in runs if m["job"] == j and m["k"] == k), key=lambda m: (m["cost"], m["run"])) for k in ks}
+                for j, (_, ks, _) in enumerate(jobs)]
     finally:
-        src.unpersist()
+        kept.unpersist()
 
 
 def gmm_batch(df: DataFrame, vec: str, starts: dict[int, np.ndarray], max_iter: int = 100, tol: float = 1e-3,
               reg: float = 1e-6) -> dict[int, dict]:
     """Diagonal mixtures for every k of ``starts`` (initial centres): EM with one scan per step for all of them."""
-    src = df.select(F.col(vec).alias("_v")).persist()
-    try:
-        ks = list(starts)
-        d = len(next(iter(starts.values()))[0])
-        cs = [np.asarray(starts[k], float) for k in ks]
+    return gmm_batches(df, [(vec, starts)], max_iter, tol, reg)[0]
 
-        def hard(pdf):
-            x = stack_vectors(pdf["_v"])
-            xx = (x * x).sum(1)
-            v = np.hstack([np.ones((len(x), 1)), x, x * x])
-            return np.concatenate([_by_cluster(_nearest(x, xx, c)[0], v, len(c)).ravel() for c in cs] + [[len(x)]])
 
-        tot = reduce_partials(src, hard, sum(len(c) for c in cs) * (1 + 2 * d) + 1)
-        n, at, fits = int(round(tot[-1])), 0, {}
-        for k in ks:
+def gmm_batches(df: DataFrame, jobs: Sequence[tuple[str, dict[int, np.ndarray]]], max_iter: int = 100, tol: float = 1e-3,
+                reg: float = 1e-6) -> list[dict[int, dict]]:
+    """:func:`gmm_batch` for every job ``(vector column, starts)`` on the same rows, all in the same scans."""
+    vecs = list(dict.fromkeys(v for v, _ in jobs))
+    kept = pack_rows(df.select(*vecs), vecs).persist()
+    try:
+        src = gathered(kept)
+        asked = [(j, vecs.index(v), k, np.asarray(c, float)) for j, (v, starts) in enumerate(jobs) for k, c in starts.items()]
+
+        def hard(mats, nums):
+            wide = [np.hstack([np.ones((len(x), 1)), x, x * x]) for x in mats]
+            xx = [(x * x).sum(1) for x in mats]
+            return np.concatenate([_by_cluster(_nearest(mats[v], xx[v], c)[0], wide[v], len(c)).ravel() for _, v, _, c in asked] + [[len(mats[0])]])
+
+        tot = reduce_packed(src, hard, sum(len(c) * (1 + 2 * c.shape[1]) for _, _, _, c in asked) + 1)
+        n, at, fits = int(round(tot[-1])), 0, []
+        for j, v, k, c in asked:
+            d = c.shape[1]
             part = tot[at:at + k * (1 + 2 * d)].reshape(k, 1 + 2 * d)
             at += k * (1 + 2 * d)
             w, mu, var = gmm_m_step(np.maximum(part[:, 0], 1e-10), part[:, 1:1 + d], part[:, 1 + d:], n, reg)
-            fits[k] = {"weights": w, "means": mu, "vars": var, "loglik": -np.inf, "iterations": 0, "n": n, "live": True}
+            fits.append({"weights": w, "means": mu, "vars": var, "loglik": -np.inf, "iterations": 0, "n": n, "live": True})
         for step in range(1, max_iter + 2):
-            live = [k for k in ks if fits[k]["live"]]
-            params = [(fits[k]["weights"], fits[k]["means"], fits[k]["vars"]) for k in live]
+            live = [i for i, f in enumerate(fits) if f["live"]]
+            params = [(asked[i][1], fits[i]["weights"], fits[i]["means"], fits[i]["vars"]) for i in live]
 
-            def soft(pdf, params=params):
-                x = stack_vectors(pdf["_v"])
+            def soft(mats, nums, params=params):
+                both = [np.hstack([x, x * x]) for x in mats]
                 out = []
-                for w, mu, var in params:
-                    ld = _log_dens(x, w, mu, var)
+                for v, w, mu, var in params:
+                    ld = _log_dens(mats[v], w, mu, var, both[v])
                     m = ld.max(axis=1, keepdims=True)
-                    lse = m[:, 0] + np.log(np.exp(ld - m).sum(axis=1))
-                    r = np.exp(ld - lse[:, None])
-                    out += [r.sum(0), (r.T @ x).ravel(), (r.T @ (x * x)).ravel(), [lse.sum()]]
+                    r = np.exp(ld - m)
+                    tot = r.sum(axis=1, keepdims=True)
+                    r /= tot
+                    sk = r.T @ both[v]
+                    d = mu.shape[1]
+                    out += [r.sum(0), sk[:, :d].ravel(), sk[:, d:].ravel(), [(m + np.log(tot)).sum()]]
                 return np.concatenate(out)
 
-            tot, at = reduce_partials(src, soft, sum(k * (1 + 2 * d) + 1 for k in live)), 0
-            for k in live:
+            tot, at = reduce_packed(src, soft, sum(len(w) * (1 + 2 * mu.shape[1]) + 1 for _, w, mu, _ in params)), 0
+            for i in live:
+                f = fits[i]
+                k, d = f["means"].shape
                 nk = tot[at:at + k]
                 sk = tot[at + k:at + k + k * d].reshape(k, d)
                 qk = tot[at + k + k * d:at + k + 2 * k * d].reshape(k, d)
                 ll = float(tot[at + k + 2 * k * d])
                 at += k * (1 + 2 * d) + 1
-                f = fits[k]
                 settled = abs(ll - f["loglik"]) / max(n, 1) < tol or step > max_iter
                 f["loglik"] = ll
                 if settled:  # the likelihood just read is that of the parameters kept
@@ -247,11 +275,14 @@ def gmm_batch(df: DataFrame, vec: str, starts: dict[int, np.ndarray], max_iter:
                 else:
                     f["weights"], f["means"], f["vars"] = gmm_m_step(nk, sk, qk, n, reg)
                     f["iterations"] = step
-            if not any(f["live"] for f in fits.values()):
+            if not any(f["live"] for f in fits):
                 break
-        return fits
+        out: list[dict] = [{} for _ in jobs]
+        for (j, _, k, _), f in zip(asked, fits, strict=True):
+            out[j][k] = f
+        return out
     finally:
-        src.unpersist()
+        kept.unpersist()
 
 
 def clustering_scores(df: DataFrame, vec: str, label: str, y: str, models: dict, assign) -> dict:
@@ -364,12 +395,24 @@ def kmeans_step(df: DataFrame, vec: str, centres: Sequence[Sequence[float]]) ->
 LOG2PI = math.log(2 * math.pi)
 
 
-def _log_dens(x: np.ndarray, w, mu, var) -> np.ndarray:
-    """log(w_k N(x | mu_k, diag var_k)) for every row and component -> (n, k)."""
-    out = np.empty((x.shape[0], len(w)))
-    for c in range(len(w)):
-        out[:, c] = (math.log(w[c]) - 0.5 * np.sum(np.log(var[c]) + LOG2PI)
-                     - 0.5 * np.sum((x - mu[c]) ** 2 / var[c], axis=1))
+DENSITY_ERROR = 1e-9
+
+
+def _log_dens(x: np.ndarray, w, mu, var, both: np.ndarray | None = None) -> np.ndarray:
+    """log(w_k N(x | mu_k, diag var_k)) for every row and component -> (n, k).
+
+    One product with ``[x, x^2]`` (``both``) gives all squares; components whose terms are so large that they would cancel
+    (tiny variances far from the origin) are measured term by term.
+    """
+    both = np.hstack([x, x * x]) if both is None else both
+    inv = 1.0 / var
+    const = np.log(w) - 0.5 * np.sum(np.log(var) + LOG2PI, axis=1)
+    out = both @ np.hstack([mu * inv, -0.5 * inv]).T
+    out += const - 0.5 * (mu * mu * inv).sum(axis=1)
+    top = (x * x).max(axis=0) if len(x) else np.zeros(x.shape[1])
+    rough = 2.0 ** -52 * x.shape[1] * (np.maximum(top, mu * mu) * inv).sum(axis=1) > DENSITY_ERROR
+    for c in np.flatnonzero(rough):
+        out[:, c] = const[c] - 0.5 * np.sum((x - mu[c]) ** 2 / var[c], axis=1)
     return out
 
 

@@ -8,10 +8,12 @@ numpy), Spark sums the partials by entry, and only the ``d x d`` result
 from __future__ import annotations
 
 import math
+from typing import Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,5 +160,104 @@ def reduce_long(df: DataFrame, fn, length: int) -> np.ndarray:
     return out
 
 
+# ---- packed rows: what iterative fits scan again and again ------------------------
+
+PACK_ROWS, DIRECT, SPLITS_PER_TASK = 1024, 32 << 20, 64
+
+
+def pack_rows(df: DataFrame, vecs: Sequence[str], numbers: Sequence[str] = ()) -> DataFrame:
+    """Blocks of up to ``PACK_ROWS`` rows as binary columns: the vectors side by side (``x``, doubles) and one column a number.
+
+    Null vectors are left out, null components become NaN.  A scan of blocks skips the conversion of lists, and is cut into
+    about as many tasks as there are cores (up to ``SPLITS_PER_TASK`` partitions each), so the number of partial
+    vectors a step moves does not follow the number of input splits.
+    """
+    kinds = {c: ("long", np.int64) if t in ("bigint", "int") else ("double", np.float64) for c, t in df.select(*numbers).dtypes}
+    src = df.select(*[F.col(v).cast("array<double>").alias(f"_v{i}") for i, v in enumerate(vecs)],
+                    *[F.col(c).cast(kinds[c][0]) for c in numbers])
+    src = src.where(" and ".join(f"_v{i} is not null" for i in range(len(vecs))))
+    views = len(vecs)
+
+    def matrix(col) -> np.ndarray:
+        sizes = np.unique(pc.list_value_length(col).to_numpy(zero_copy_only=False))
+        if len(sizes) != 1:
+            raise ValueError("vectors of different lengths")
+        return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), int(sizes[0]))
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, PACK_ROWS):
+                part = b.slice(lo, PACK_ROWS)
+                mats = [matrix(part.column(i)) for i in range(views)]
+                out = {"n": [part.num_rows], "dims": [[m.shape[1] for m in mats]],
+                       "x": [np.ascontiguousarray(np.hstack(mats), dtype=float).tobytes()]}
+                for i, c in enumerate(numbers):
+                    out[c] = [part.column(views + i).to_numpy(zero_copy_only=False).astype(kinds[c][1]).tobytes()]
+                yield pa.RecordBatch.from_pydict(out, schema=shape)
+
+    shape = pa.schema([("n", pa.int32()), ("dims", pa.list_(pa.int32())), ("x", pa.binary())] + [(c, pa.binary()) for c in numbers])
+    return src.mapInArrow(run, ", ".join(["n int, dims array<int>, x binary", *[f"`{c}` binary" for c in numbers]]))
+
+
+def unpack(batches, numbers: Sequence[tuple[str, type]] = ()):
+    """Per block of :func:`pack_rows`: the vector matrices and the named number columns."""
+    for b in batches:
+        for row in b.to_pylist():
+            cuts = np.cumsum([0, *row["dims"]])
+            x = np.frombuffer(row["x"]).reshape(row["n"], cuts[-1])
+            yield [x[:, a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)], [np.frombuffer(row[c], t) for c, t in numbers]
+
+
+def gathered(packed: DataFrame) -> DataFrame:
+    """``packed`` in about as many tasks as there are cores."""
+    parts = packed.rdd.getNumPartitions()
+    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, -(-parts // SPLITS_PER_TASK))
+    out = packed.coalesce(tasks)
+    out._tasks = min(parts, tasks)   # asked for once, not in every step
+    return out
+
+
+def reduce_packed(src: DataFrame, fn, length: int, numbers: Sequence[tuple[str, type]] = ()) -> np.ndarray:
+    """Sum of ``fn(matrices, numbers) -> float array[length]`` over the blocks of a :func:`gathered` frame.
+
+    One partial vector a task; where all of them together are small (``DIRECT`` bytes) the driver adds them up, else Spark
+    does, by blocks and in two levels.
+    """
+    tasks = src._tasks
+
+    def folded(batches):
+        acc = None
+        for mats, nums in unpack(batches, numbers):
+            part = np.asarray(fn(mats, nums), dtype=float)
+            acc = part if acc is None else acc + part
+        return acc
+
+    shape = "block int, val binary"
+    wide = length if tasks * length * 8 <= DIRECT else LONG_BLOCK
+
+    def partial(batches):
+        acc = folded(batches)
+        if acc is not None:
+            for k, i in enumerate(range(0, length, wide)):
+                yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "val": pa.array([acc[i:i + wide].tobytes()], pa.binary())})
+
+    parts = src.mapInArrow(partial, shape)
+    if wide < length:
+        salts = math.isqrt(tasks) if tasks > SALTS else 1
+        if salts > 1:
+            parts = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts))).groupBy("block", "salt").applyInArrow(_add_blocks, shape)
+        parts = parts.groupBy("block").applyInArrow(_add_blocks, shape)
+    out = np.zeros(length)
+    for r in parts.collect():
+        got = np.frombuffer(r["val"])
+        out[r["block"] * wide:r["block"] * wide + len(got)] += got
+    return out
+
+
+def _add_blocks(tab: pa.Table) -> pa.Table:
+    acc = sum(np.frombuffer(v) for v in tab.column("val").to_pylist())
+    return pa.table({"block": tab.column("block").slice(0, 1), "val": pa.array([acc.tobytes()], pa.binary())})
+
+
 def stack_vectors(series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(float)
