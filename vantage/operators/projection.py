@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import py_hash_unit
 from ..functions.vectors import dot, lit_matrix, lit_vector
-from .linalg import covariance, gram, reduce_partials, stack_vectors
+from .linalg import covariance, gathered, gram, pack_rows, reduce_packed, reduce_partials, stack_vectors
 
 
 def project(df: DataFrame, vec: str, mat, centre=None, out: str = "proj") -> DataFrame:
@@ -70,15 +70,16 @@ def ica_sweep(df: DataFrame, vec: str, dims: Sequence[int], seed: int = 0, max_i
     lam, e = np.linalg.eigh(cov)
     order = np.argsort(lam)[::-1][:max(dims)]
     white = (e[:, order] / np.sqrt(np.maximum(lam[order], 1e-12))).T       # m x d whitening
-    data = project(df.select(vec), vec, white, mu, "_z").select("_z").persist()
+    kept = pack_rows(project(df.select(vec), vec, white, mu, "_z").select("_z"), ["_z"]).persist()
     try:
+        data = gathered(kept)
         fits = {m: {"w": _sym_decorrelate(np.random.default_rng(seed).normal(size=(m, m))), "iterations": 0} for m in dims}
         live = list(dims)
         for it in range(1, max_iter + 1):
             ws = [fits[m]["w"] for m in live]
 
-            def fn(pdf, ws=ws):
-                z = stack_vectors(pdf["_z"])
+            def fn(mats, nums, ws=ws):
+                z = mats[0]
                 out = []
                 for w in ws:
                     zm = z[:, :len(w)]
@@ -86,7 +87,7 @@ def ica_sweep(df: DataFrame, vec: str, dims: Sequence[int], seed: int = 0, max_i
                     out += [(g.T @ zm).ravel(), (1 - g * g).sum(0)]
                 return np.concatenate([*out, [z.shape[0]]])
 
-            tot, at, moving = reduce_partials(data, fn, sum(m * m + m for m in live) + 1), 0, []
+            tot, at, moving = reduce_packed(data, fn, sum(m * m + m for m in live) + 1), 0, []
             cnt = max(tot[-1], 1.0)
             for m in live:
                 gz = tot[at:at + m * m].reshape(m, m) / cnt
@@ -102,7 +103,7 @@ def ica_sweep(df: DataFrame, vec: str, dims: Sequence[int], seed: int = 0, max_i
                 break
         return {m: {"n": n, "mean": mu, "unmixing": f["w"] @ white[:m], "iterations": f["iterations"]} for m, f in fits.items()}
     finally:
-        data.unpersist()
+        kept.unpersist()
 
 
 def kurtosis_curve(df: DataFrame, vec: str, fits: dict[int, dict]) -> DataFrame:

@@ -1164,9 +1164,14 @@ def _gmm_diag_fit(spark, sf):
 MIXTURE_K = list(range(2, 98, 5))
 
 
+def _mixtures_from(e, jobs):
+    """Mixtures of every job ``(vector column, k-means fits by k)``, all in the same scans."""
+    fits = CU.gmm_batches(e, [(vec, {k: m["c"] for k, m in km.items()}) for vec, km in jobs])
+    return [{k: p | {"k": k} for k, p in f.items()} for f in fits]
+
+
 def _mixtures(e, ks):
-    starts = {k: m["c"] for k, m in CU.kmeans_batch(e, "vec", "vec_id", ks, n_init=1).items()}
-    return {k: p | {"k": k} for k, p in CU.gmm_batch(e, "vec", starts).items()}
+    return _mixtures_from(e, [("vec", CU.kmeans_batch(e, "vec", "vec_id", ks, n_init=1))])[0]
 
 
 @q("gmm_sweep")
@@ -1186,8 +1191,8 @@ def _gmm_sweep(spark, sf):
 def _cluster_eval(spark, sf):
     """Mode-vote metrics of a k-means and of a mixture clustering, with iterations, cost and likelihood bound."""
     e = FX.emb(spark, sf)
-    km = CU.kmeans_batch(e, "vec", "vec_id", [10], n_init=10)[10]
-    em = _mixtures(e, [10])[10]
+    km, start = CU.kmeans_batches(e, "vec_id", [("vec", [10], 10), ("vec", [10], 1)])
+    km, em = km[10], _mixtures_from(e, [("vec", start)])[0][10]
     parts = []
     for name, df, extra in (
             ("kmeans", e.withColumn("cluster", argmin_dist(_lit(km["c"]), "vec")),
@@ -1283,10 +1288,10 @@ def _projections(spark, sf, e):
     ica = PJ.ica_fit(e, "vec", ICA_M, max_iter=200)
     sel = [r["feature"] for r in PJ.rf_feature_select(e, "vec", "y", num_trees=500).where("selected").collect()]
     return {
-        "pca": PJ.pca_project(e, "vec", pca, 8, "p"),
-        "ica": PJ.project(e, "vec", ica["unmixing"], ica["mean"], "p"),
-        "rca": PJ.project(e, "vec", PJ.sparse_projection_matrix(d, RCA_K, seed=0), out="p"),
-        "rfc": e.withColumn("p", F.array(*[F.col("vec")[i] for i in sel])),
+        "pca": lambda f, out: PJ.pca_project(f, "vec", pca, 8, out),
+        "ica": lambda f, out: PJ.project(f, "vec", ica["unmixing"], ica["mean"], out),
+        "rca": lambda f, out: PJ.project(f, "vec", PJ.sparse_projection_matrix(d, RCA_K, seed=0), out=out),
+        "rfc": lambda f, out: f.withColumn(out, F.array(*[F.col("vec")[i] for i in sel])),
     }
 
 
@@ -1295,18 +1300,24 @@ PROJECTED_KMEANS, PROJECTED_EM = [9, 25], [24, 41]   # the cluster numbers the s
 
 @q("project_then_cluster")
 def _project_then_cluster(spark, sf):
-    e = FX.emb(spark, sf)
-    rows = []
-    for name, p in _projections(spark, sf, e).items():
-        p = p.select("vec_id", "label", "y", F.col("p").alias("vec")).persist()
-        try:
-            km = CU.kmeans_batch(p, "vec", "vec_id", PROJECTED_KMEANS, n_init=10)
-            em = _mixtures(p, PROJECTED_EM)
-            for kind, fits, assign in (("kmeans", km, CU.assign_centres), ("em", em, CU.assign_mixture)):
-                for k, s in CU.clustering_scores(p, "vec", "label", "y", fits, assign).items():
-                    rows.append((name, kind, k, s["homogeneity"], s["f1"], s["silhouette"]))
-        finally:
-            p.unpersist()
+    """k-means and mixtures on every projection, all projections in the same scans."""
+    e = FX.emb(spark, sf).persist()
+    with _released(e):
+        parts = _projections(spark, sf, e)
+        names = list(parts)
+        wide = e
+        for name in names:
+            wide = parts[name](wide, name)
+        wide = wide.select("vec_id", "label", "y", *names).persist()
+        with _released(wide):
+            got = CU.kmeans_batches(wide, "vec_id", [(n, PROJECTED_KMEANS, 10) for n in names] + [(n, PROJECTED_EM, 1) for n in names])
+            km, start = got[:len(names)], got[len(names):]
+            em = _mixtures_from(wide, list(zip(names, start, strict=True)))
+            rows = []
+            for i, name in enumerate(names):
+                for kind, fits, assign in (("kmeans", km[i], CU.assign_centres), ("em", em[i], CU.assign_mixture)):
+                    for k, s in CU.clustering_scores(wide, name, "label", "y", fits, assign).items():
+                        rows.append((name, kind, k, s["homogeneity"], s["f1"], s["silhouette"]))
     return spark.createDataFrame(rows, "projection string, clusterer string, k int, homogeneity double, f1 double, silhouette double")
 
 
@@ -1322,7 +1333,8 @@ def _project_then_classify(spark, sf):
     e = S.split_random(FX.emb(spark, sf), "vec_id", FX.TEST_PCT).persist()
     with _released(e):
         rows = [("full", *_mlp_f1(e, "vec", _width(e, "vec")))]
-        for name, p in _projections(spark, sf, e).items():
+        for name, add in _projections(spark, sf, e).items():
+            p = add(e, "p")
             rows.append((name, *_mlp_f1(p, "p", _width(p, "p"))))
     return spark.createDataFrame(rows, "projection string, f1 double, fit_seconds double")
 
@@ -1350,17 +1362,15 @@ def _add_cluster_features(spark, sf):
 @q("cluster_then_classify")
 def _cluster_then_classify(spark, sf):
     """MLP on cluster features joined to the full table and to each projection."""
-    f = S.split_random(_cluster_features(spark, sf), "vec_id", FX.TEST_PCT)
+    f = S.split_random(_cluster_features(spark, sf), "vec_id", FX.TEST_PCT).persist()
     oh = [c for c in f.columns if c.startswith("km_") or c.startswith("em_")]
     hot = F.array(*[F.col(c).cast("double") for c in oh])
-    frames = {"full": f.withColumn("p", F.col("vec")), **_projections(spark, sf, f)}
     rows = []
-    for name, p in frames.items():
-        p = p.withColumn("vx", F.concat("p", hot)).persist()
-        try:
+    with _released(f):
+        frames = {"full": f.withColumn("p", F.col("vec")), **{name: add(f, "p") for name, add in _projections(spark, sf, f).items()}}
+        for name, p in frames.items():
+            p = p.select("vec_id", "split", "y", F.concat("p", hot).alias("vx"))
             rows.append((f"clusters+{name}", *_mlp_f1(p, "vx", _width(p, "vx"))))
-        finally:
-            p.unpersist()
     return spark.createDataFrame(rows, "features string, f1 double, fit_seconds double")
 
 
