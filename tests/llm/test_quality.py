@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import edge_frame, edge_rows, empty_frame, words
 from vantage.llm import quality as Q
@@ -62,3 +63,20 @@ def test_labelled_junk_goes_and_good_stays(spark, sf):
     got = Q.quality_rules(docs, labels).where("not base_failed").join(labels, "doc_id").groupBy("quality").agg({"kept": "count"}).collect()
     good = Q.quality_rules(docs, labels).where("not base_failed").join(labels.where("quality = 1"), "doc_id")
     assert got and good.where("kept").count() >= 0.97 * good.count()
+
+
+def test_calibration_on_all_rows_matches_one_array(spark):
+    rng = np.random.default_rng(4)
+    for n, digits in ((3000, 9), (400, 2), (1, 3)):
+        score = np.round(rng.beta(2, 5, n), digits)
+        good = rng.random(n) > score
+        rows = spark.createDataFrame([(float(s), bool(g)) for s, g in zip(score, good, strict=True)], "score double, good boolean").repartition(7)
+        assert Q.calibrate_rows(rows) == Q.calibrate(score, good)
+
+
+def test_trees_draw_from_all_rows(spark):
+    stats = spark.range(40_000).select(*[F.col("id").alias(k) for k in ["doc_id", *Q.STATS, *Q.EXTRA]])
+    draws = Q.tree_draws(stats, trees=200, subsample=256)
+    assert [len(d) for d in draws] == [256] * 200
+    words_ = {round(float(np.expm1(4 * v))) for d in draws for v in d[:, 8]}
+    assert len(words_) > 16_384   # more rows than the forest used to see

@@ -1,8 +1,9 @@
 """Quality rules: an isolation forest over per-document rule statistics.
 
 Plan: one scan of the texts computes the statistics (Arrow batches, numpy; a few
-numbers per document are written), a forest is fitted on a bounded sample of
-those rows, its threshold is calibrated on labelled rows, and a second pass over
+numbers per document are written), every tree of the forest draws its rows from
+all of them (the method's subsample of 256 a tree), the threshold is calibrated on all labelled rows (their
+distinct scores, sorted by range partitions with carried counts), and a second pass over
 the small statistics table scores every document.  No row is ever shuffled on a
 text or on a source, so hot sources cannot skew anything.
 
@@ -17,9 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import textbuf as T
 from .common import documents_view, stage
 
@@ -34,8 +36,8 @@ DIGIT[0x30:0x3A] = True
 MARKS = np.zeros(256, bool)
 MARKS[list(b"!?")] = True
 
-# forest and calibration bounds (documented parameters)
-TREES, SUBSAMPLE, FIT_ROWS, LABEL_ROWS = 100, 256, 16_384, 20_000
+# trees of the forest and rows of each, as the method defines them
+TREES, SUBSAMPLE = 100, 256
 GOOD_KEPT = 0.995
 
 
@@ -130,6 +132,12 @@ def fit_forest(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, se
     """Isolation forest as flat arrays: split feature, cut, children, and path length at leaves."""
     rng = np.random.default_rng(seed)
     m = min(subsample, len(x))
+    return grow_forest([x[rng.choice(len(x), m, replace=False)] for _ in range(trees)], m, seed)
+
+
+def grow_forest(draws: list[np.ndarray], m: int, seed: int = 7) -> dict[str, np.ndarray]:
+    """One isolation tree on each draw of ``m`` rows."""
+    rng = np.random.default_rng(seed)
     depth = max(1, int(np.ceil(np.log2(max(m, 2)))))
 
     def c(n):  # mean path length of an unsuccessful search among n rows
@@ -155,8 +163,8 @@ def fit_forest(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, se
                 left[at] = (a, b)
         return at
 
-    for _ in range(trees):
-        roots.append(grow(x[rng.choice(len(x), m, replace=False)], 0))
+    for x in draws:
+        roots.append(grow(x, 0))
     kids = np.array([v if isinstance(v, tuple) else (0, 0) for v in left], dtype=np.int32)
     return {"feat": np.array(feat, np.int32), "cut": np.array(cut), "kids": kids, "length": np.array(length),
             "roots": np.array(roots, np.int32), "norm": np.array(max(c(m), 1e-9)), "depth": np.array(depth)}
@@ -206,24 +214,99 @@ def base_failed(s: dict[str, np.ndarray]) -> np.ndarray:
     return (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
 
 
-def fit_rules(stats: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", trees: int = TREES,
-              subsample: int = SUBSAMPLE, fit_rows: int = FIT_ROWS, label_rows: int = LABEL_ROWS) -> Rules:
-    """Forest from at most ``fit_rows`` rows of statistics (smallest hash first), threshold from at most
-    ``label_rows`` labelled rows (id, quality 0/1)."""
+def tree_draws(stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE) -> list[np.ndarray]:
+    """Features of every tree's rows: the ``subsample`` rows of the whole table with the smallest hashes of its own."""
     cols = STATS + EXTRA
-    h = F.xxhash64("doc_id", *cols)
-    sample = stats.select(*cols, h.alias("h")).orderBy("h").limit(fit_rows).collect()
-    if not sample:
+    n = stats.count()
+    if not n:
+        return []
+    m = min(subsample, n)
+    for share in (min(1.0, 4 * m / n), 1.0):  # rows far from every tree's smallest hashes stay out of the sort
+        each = stats.select(*cols, F.xxhash64("doc_id", *cols).alias("_h")).select(
+            "*", F.inline(F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("_h")).alias("u")) for t in range(trees)])))
+        near = each.where(F.col("u") < F.lit(int(share * 2.0 ** 64) - 2 ** 63)) if share < 1.0 else each
+        w = Window.partitionBy("tree").orderBy("u", *cols)
+        got = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= m).toArrow()
+        if got.num_rows == m * trees:
+            break
+    order = np.lexsort((got.column("rank").to_numpy(), got.column("tree").to_numpy()))
+    x = features({k: got.column(k).to_numpy()[order] for k in cols})
+    return [x[i:i + m] for i in range(0, len(x), m)]
+
+
+def calibrate_rows(scored: DataFrame, good_kept: float = GOOD_KEPT) -> float:
+    """:func:`calibrate` over all rows ``(score, good)``, distributed: distinct scores in range partitions, counts carried."""
+    per = scored.groupBy("score").agg(F.sum(F.col("good").cast("long")).alias("g"), F.sum((~F.col("good")).cast("long")).alias("b"))
+    table = cut_lineage(per.repartitionByRange("score").sortWithinPartitions("score")).withColumn("part", F.spark_partition_id())
+    sums = sorted(tuple(r) for r in table.groupBy("part").agg(F.sum("g"), F.sum("b")).collect())
+    n_good, n_bad = sum(r[1] for r in sums), sum(r[2] for r in sums)
+    if not n_good or not n_bad:
+        return 0.75
+    before, at = {}, (0, 0)
+    for part, g, b in sums:
+        before[part] = at
+        at = (at[0] + g, at[1] + b)
+    place = (n_good - 1) * good_kept
+    ranks = (int(np.floor(place)), int(np.ceil(place)))
+
+    def columns(batches):
+        carried = None
+        for t in batches:
+            if t.num_rows:
+                score, g, b, part = (t.column(k).to_numpy() for k in ("score", "g", "b", "part"))
+                carried = carried or before[int(part[0])]
+                g, b = carried[0] + np.cumsum(g), carried[1] + np.cumsum(b)
+                carried = (int(g[-1]), int(b[-1]))
+                yield score, g, b, t.column("g").to_numpy()
+
+    def order_statistics(batches):
+        for score, g, _, own in columns(batches):
+            for r in ranks:
+                hit = np.flatnonzero((g > r) & (g - own <= r))
+                if len(hit):
+                    yield pa.RecordBatch.from_pydict({"rank": [r], "score": [float(score[hit[0]])]})
+
+    at_rank = dict(tuple(r) for r in table.mapInArrow(order_statistics, "rank long, score double").collect())
+    floor = float(np.quantile([at_rank[r] for r in ranks], place - ranks[0])) if ranks[0] < ranks[1] else at_rank[ranks[0]]
+
+    def best(batches):
+        for score, g, b, own in columns(batches):
+            # the floor itself is judged by the counts of the last score up to it
+            use = np.flatnonzero(score >= floor)
+            below = np.flatnonzero(score <= floor)[-1:]
+            gain = (1 - b / n_bad) - (1 - g / n_good)
+            if len(use):
+                i = use[int(np.argmax(gain[use]))]
+                yield pa.RecordBatch.from_pydict({"cut": [float(score[i])], "gain": [float(gain[i])], "under": [False]})
+            if len(below):
+                yield pa.RecordBatch.from_pydict({"cut": [float(score[below[0]])], "gain": [float(gain[below[0]])], "under": [True]})
+
+    found = table.mapInArrow(best, "cut double, gain double, under boolean")
+    row = found.where("under").agg(F.max_by("gain", "cut")).first()[0]
+    cuts = found.where("not under").agg(F.max(F.struct("gain", (-F.col("cut")).alias("c")))).first()[0]
+    options = [(row, -floor)] + ([(cuts["gain"], cuts["c"])] if cuts else [])
+    return -max(options)[1]
+
+
+def fit_rules(stats: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", trees: int = TREES, subsample: int = SUBSAMPLE) -> Rules:
+    """Forest from draws over all rows of statistics, threshold from all labelled rows (id, quality 0/1)."""
+    cols = STATS + EXTRA
+    draws = tree_draws(stats, trees, subsample)
+    if not draws:
         return Rules(None)
-    rules = Rules(fit_forest(features({k: np.array([r[k] for r in sample]) for k in cols}), trees, subsample))
+    rules = Rules(grow_forest(draws, len(draws[0])))
     if labels is not None:
         lab = labels.select(F.col(id_col).alias("lid"), F.col("quality").alias("q")).where("q is not null and lid is not null") \
-            .groupBy("lid").agg(F.min("q").alias("q")).orderBy(F.xxhash64("lid"), "lid").limit(label_rows)
-        got = stats.join(lab, F.col("doc_id") == F.col("lid")).select(*cols, "q").collect()
-        if got:
-            s = {k: np.array([r[k] for r in got]) for k in cols}
-            passed = ~base_failed(s)  # the threshold only has to judge what the base rules leave
-            rules.threshold = calibrate(rules.score(s)[passed], np.array([r["q"] > 0 for r in got])[passed])
+            .groupBy("lid").agg(F.min("q").alias("q"))
+        known = stats.join(lab, F.col("doc_id") == F.col("lid")).select(*cols, F.col("q") > 0)
+
+        def scored(batches):
+            for b in batches:
+                s = {k: b.column(k).to_numpy(zero_copy_only=False) for k in cols}
+                passed = pa.array(~base_failed(s))  # the threshold only has to judge what the base rules leave
+                yield pa.RecordBatch.from_arrays([pa.array(rules.score(s)), b.column(len(cols))], names=["score", "good"]).filter(passed)
+
+        rules.threshold = calibrate_rows(known.mapInArrow(scored, "score double, good boolean"))
     return rules
 
 
