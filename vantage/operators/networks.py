@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linalg import reduce_long, stack_vectors
+from .linalg import gathered, pack_rows, reduce_long, reduce_packed, stack_vectors
 from .trees import accuracy_of, f1_of
 
 STEPS, RIDGE = 100, 1e-4
@@ -90,27 +90,28 @@ def loss_and_gradient(x: np.ndarray, y: np.ndarray, w: np.ndarray, hidden: Seque
 def train_networks(df: DataFrame, vec: str, label: str, nets: Sequence[Network], fold_col: str | None = None, steps: int = STEPS,
                    seed: int = 100) -> list[Network]:
     """All networks on the rows outside their fold (labels 0/1); rows with a null vector or label take no part."""
-    src = df.select(F.col(vec).cast("array<double>").alias("_v"), F.col(label).cast("double").alias("_y"),
-                    (F.col(fold_col) if fold_col else F.lit(-2)).cast("int").alias("_f")).where("_v is not null and _y is not null").persist()
+    rows = df.select(vec, F.col(label).cast("double").alias("_y"), (F.col(fold_col) if fold_col else F.lit(-2)).cast("int").alias("_f")).where("_y is not null")
+    kept = pack_rows(rows, [vec], ["_y", "_f"]).persist()
     try:
-        first = src.select("_v").first()
+        first = kept.select("dims").first()
         if first is None:
             return list(nets)
+        src = gathered(kept)
         for n in nets:
-            n.start(len(first["_v"]), seed)
+            n.start(first["dims"][0], seed)
         for t in range(1, steps + 1):
             asked = [(n.w, n.hidden, n.fold) for n in nets]
 
-            def scan(pdf, asked=asked):
-                x, y, fold = stack_vectors(pdf["_v"]), pdf["_y"].to_numpy(), pdf["_f"].to_numpy()
+            def scan(mats, nums, asked=asked):
+                x, (y, fold) = mats[0], nums
+                sides = {held: (x[use], y[use]) for held in {f for _, _, f in asked} for use in [fold != held]}
                 out = []
                 for w, hidden, held in asked:
-                    use = fold != held
-                    loss, grad = loss_and_gradient(x[use], y[use], w, hidden)
-                    out += [[use.sum(), loss], grad]
+                    loss, grad = loss_and_gradient(*sides[held], w, hidden)
+                    out += [[len(sides[held][1]), loss], grad]
                 return np.concatenate(out)
 
-            tot = reduce_long(src, scan, sum(2 + len(n.w) for n in nets))
+            tot = reduce_packed(src, scan, sum(2 + len(n.w) for n in nets), [("_y", np.float64), ("_f", np.int64)])
             at = 0
             for n in nets:
                 rows, loss = max(tot[at], 1.0), tot[at + 1]
@@ -120,7 +121,7 @@ def train_networks(df: DataFrame, vec: str, label: str, nets: Sequence[Network],
                 n.step((grad + RIDGE * n.w) / rows, t)
         return list(nets)
     finally:
-        src.unpersist()
+        kept.unpersist()
 
 
 def network_counts(df: DataFrame, vec: str, label: str, nets: Sequence[Network], group: str, groups: int) -> np.ndarray:
