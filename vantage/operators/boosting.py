@@ -2,7 +2,7 @@
 
 A scan of a level sums gradients and curvatures of the logistic loss by node, feature and bin for every learning
 rate at once; a round of depth ``m`` trees is ``m`` scans.  Every row's margin is that of the trees so far,
-walked again in each scan (the model is a few numbers a tree), so nothing row-sized is kept between scans, and the
+walked again in each scan (the model is a few numbers a tree; trees of one split as one table), so nothing row-sized is kept between scans, and the
 confusion counts of the model so far ride along: one fit gives the whole curve over rounds.
 
 Splits lower the squared error of the gradients, leaf values are Newton steps; of equal gains the lowest feature and border win.
@@ -30,12 +30,31 @@ class Booster:
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def margins(self, x: np.ndarray) -> np.ndarray:
+        if all(len(tree[0]) == 3 for tree in self.trees):
+            return self._stump_margins(x)
         out = np.full(len(x), self.start)
         for tree in self.trees:
             out += self.rate * tree[2][_leaf(tree, x)]
         return out
 
 
+    def _stump_margins(self, x: np.ndarray) -> np.ndarray:
+        """Trees of one split add up to a table by feature and bin, so a scan's work does not follow the rounds."""
+        base, table = self.start, {}
+        for feature, cut, value in self.trees:
+            f = int(feature[0])
+            if f < 0:
+                base += self.rate * value[0]
+                continue
+            row = table.setdefault(f, np.zeros(256))
+            row[:cut[0] + 1] += self.rate * value[1]
+            row[cut[0] + 1:] += self.rate * value[2]
+        out = np.full(len(x), base)
+        for f, row in table.items():
+            out += row[x[:, f]]
+        return out
+
+
 def _leaf(tree, x: np.ndarray) -> np.ndarray:
     """Heap place of the node that each row ends in."""
     feature, cut, _ = tree
