@@ -27,25 +27,50 @@ from .linalg import gram
 
 
 PAIRS_AT_ONCE = 1 << 21   # distances a task holds at a time
+FEW = 4                   # candidates per neighbour above which single precision does not pay
+LISTED = 1 << 21          # neighbours a task returns for one chunk
+
+
+def _kth_bound(d2: np.ndarray, k: int) -> np.ndarray:
+    """At least the k-th smallest of every row: the k-th smallest minimum of groups of columns, where there are many."""
+    wide = min(64, d2.shape[1] // (4 * k))
+    if wide >= 8:
+        g = d2.shape[1] // wide
+        low = d2[:, :g].copy()
+        for i in range(1, wide):
+            np.minimum(low, d2[:, i * g:(i + 1) * g], out=low)
+        d2 = low
+    return np.partition(d2, k - 1, axis=1)[:, k - 1]
+
+
+def _candidates(d2: np.ndarray, bb: np.ndarray, k: int, err: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of all pairs that could be among the k nearest (``d2`` without either norm, right up to ``err``)."""
+    d2 += bb
+    limit = (_kth_bound(d2, k) + 2 * err).astype(d2.dtype)
+    return np.divmod(np.flatnonzero(d2 <= np.nextafter(limit, np.inf, dtype=d2.dtype)[:, None]), d2.shape[1])
 
 
 def block_topk(q: np.ndarray, qid: np.ndarray, b: np.ndarray, bid: np.ndarray, k: int):
     """Exact local top k of every query row: (query index, base id, distance).
 
     One matrix product gives squared distances up to rounding; all rows that could be among the k
-    nearest within that error are measured exactly.
+    nearest within that error are measured exactly.  The product is in single precision where its error leaves few such rows.
     """
     bb = (b * b).sum(1)
+    top = max(bb.max(initial=0.0), (q * q).sum(1).max(initial=0.0))
+    single = bool(top < 1e30)
+    small = (b.T.astype(np.float32), bb.astype(np.float32)) if single else None
     out: list[list[np.ndarray]] = [[], [], []]
     step = max(1, PAIRS_AT_ONCE // len(b))
+    kk = min(k, len(b))
     for lo in range(0, len(q), step):
         x = q[lo:lo + step]
         xx = (x * x).sum(1)
-        d2 = xx[:, None] + bb[None, :] - 2.0 * (x @ b.T)
-        kk = min(k, len(b))
-        err = 1e-12 * x.shape[1] * (xx + bb.max(initial=0.0)) + 1e-300
-        limit = np.partition(d2, kk - 1, axis=1)[:, kk - 1] + 2 * err
-        rows, cols = np.nonzero(d2 <= limit[:, None])
+        if single:
+            rows, cols = _candidates((-2.0 * x).astype(np.float32) @ small[0], small[1], kk, 2.0 ** -22 * (x.shape[1] + 8) * (xx + bb.max()) + 1e-30)
+            single = len(rows) <= FEW * kk * len(x)
+        if not single:
+            rows, cols = _candidates((-2.0 * x) @ b.T, bb, kk, 1e-12 * x.shape[1] * (xx + bb.max(initial=0.0)) + 1e-300)
         dist_ = np.empty(len(rows))
         piece = max(1, PAIRS_AT_ONCE // max(1, x.shape[1]))
         for i in range(0, len(rows), piece):
@@ -62,21 +87,22 @@ def block_topk(q: np.ndarray, qid: np.ndarray, b: np.ndarray, bid: np.ndarray, k
 
 def knn_join(
     queries: DataFrame, base: DataFrame, k: int, q_id: str = "qid", b_id: str = "bid",
-    vec: str = "vec", q_block: int = 4096, b_chunk: int = 65_536, least_chunk: int = 128,
+    vec: str = "vec", q_block: int = 16_384, b_chunk: int = 131_072, least_chunk: int = 128,
 ) -> DataFrame:
     """Exact k nearest base rows (Euclidean) for every row of a stated query set.
 
     Output ``(q_id, b_id, distance, rank)`` with ``rank`` 1..k ordered by
     ``(distance, b_id)``.  Inputs carry an ``array<double>`` column ``vec``.
-    A task holds at most about ``q_block`` queries and ``b_chunk`` base rows; small base tables are
-    cut into chunks of ``least_chunk`` rows or more until every core has one.
+    A task holds at most about ``q_block`` queries (fewer where their lists would pass ``LISTED`` neighbours) and
+    ``b_chunk`` base rows; where that gives too few tasks, the base is cut into chunks of ``least_chunk`` rows or more
+    until every core has one.  Rows travel once per block or chunk of the other side, lists once per chunk.
     """
     spark = queries.sparkSession
     n_base, n_query = base.count(), queries.count()
     if n_base == 0 or n_query == 0:
         return spark.createDataFrame([], f"{q_id} long, {b_id} long, distance double, rank int")
-    chunks = max(math.ceil(n_base / b_chunk), min(spark.sparkContext.defaultParallelism, math.ceil(n_base / least_chunk)))
-    blocks = math.ceil(n_query / q_block)
+    blocks = math.ceil(n_query / max(1, min(q_block, LISTED // k)))
+    chunks = max(math.ceil(n_base / b_chunk), min(math.ceil(spark.sparkContext.defaultParallelism / blocks), math.ceil(n_base / least_chunk)))
     b = base.select(F.col(b_id).cast("long").alias("_bid"), F.col(vec).alias("_bv")).select(
         "*", F.pmod(F.xxhash64("_bid"), F.lit(chunks)).alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
     q = queries.select(F.col(q_id).cast("long").alias("_qid"), F.col(vec).alias("_qv")).select(
