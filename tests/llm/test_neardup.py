@@ -113,3 +113,19 @@ def test_one_of_each_group_judges_id_and_text(spark):
     got = sorted(map(str, (tuple(r) for r in N.one_of_each_group(docs).collect())))
     assert got == sorted(map(str, [(1, a, "x"), (1, b, "x"), (3, c, "z"), rows[6], (4, None, "e"), (4, "", "e"), (5, "", "e")]))
     assert N.one_of_each_group(empty_frame(spark)).count() == 0
+
+
+def test_rounds_without_new_links_leave_the_components(spark, monkeypatch):
+    """One pair links in the first round, nothing after: the labels are made once, and no crowded list is looked into."""
+    random.seed(31)
+    bits = [[f"p{i}x{j}" for j in range(30)] for i in range(4)]
+    rows = []
+    for i in range(8):  # 30 shared words in a text of 90: far below the threshold
+        rows.append((i, " ".join([f"a{i}y{j}" for j in range(60)] + bits[i % 4])))
+    rows.append((100, rows[0][1] + " end"))
+    made, looked = [], []
+    was = N.components
+    monkeypatch.setattr(N, "components", lambda edges: made.append(1) or was(edges))
+    monkeypatch.setattr(N, "_crowded_lists", lambda *a: looked.append(1))
+    check(spark, rows)
+    assert len(made) == 1 and not looked

@@ -2,10 +2,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import edge_frame, edge_rows, empty_frame
 from vantage.llm import pii
+from vantage.llm.common import stage
 
 RX = {"email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
       "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -115,3 +117,32 @@ def test_recall_of_the_further_kinds(spark, sf):
     plain = [(i, t) for i, t in enumerate(["the password is secret", "token ring", "my secret garden", "sk-ip this", "eyJust", "AKIA"] * 20)]
     clean = pii.find_pii(spark.createDataFrame(plain, "doc_id long, text string")).collect()
     assert not any(r["spans"] for r in clean)
+
+
+def test_the_fit_is_one_job_on_the_vote_table(spark):
+    """The classifier's steps make no jobs: each one broadcast its coefficients and tasks, which filled the driver."""
+    random.seed(3)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
+    found = stage(docs.select(pii.candidates(F.coalesce("text", F.lit(""))).alias("spans")), "t")
+    sc = spark.sparkContext
+    sc.setJobGroup("pii-fit", "fit")
+    model = pii.fit(found)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert model is not None and len(sc.statusTracker().getJobIdsForGroup("pii-fit")) <= 4
+
+
+def test_logistic_finds_the_least_regularised_loss(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    rng = np.random.default_rng(5)
+    x = (rng.random((60, 5)) < 0.4).astype(float)
+    x[:, 4] = 1.0  # a constant column stays without weight
+    p = np.clip(1 / (1 + np.exp(-(x @ [4.0, -3.0, 1.0, 0.0, 0.0]))), 1e-3, 1 - 1e-3)
+    n = rng.integers(1, 1000, 60).astype(float)
+    both, y, w = np.concatenate([x, x]), np.repeat([1.0, 0.0], 60), np.concatenate([n * p, n * (1 - p)])
+    got, bias = pii.logistic(both, y, w)
+    frame = spark.createDataFrame([(float(a), float(b), *map(float, r)) for a, b, r in zip(y, w, both, strict=True)],
+                                  "label double, weight double, " + ", ".join(f"x{i} double" for i in range(5))).coalesce(1)
+    frame = VectorAssembler(inputCols=[f"x{i}" for i in range(5)], outputCol="features").transform(frame)
+    want = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=200, tol=1e-10, standardization=False).fit(frame)
+    assert np.allclose(got, want.coefficients.toArray(), atol=1e-4) and abs(bias - want.intercept) < 1e-4

@@ -188,16 +188,11 @@ def _reach(sets: DataFrame, threshold: int) -> DataFrame:
         .where(100 * F.col("common") >= threshold * F.col("size"))
 
 
-def _list_sizes(at: DataFrame) -> DataFrame:
-    return at.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _small_list_pairs(outside: DataFrame, at: DataFrame, close, small_list: int) -> DataFrame:
     """Cross-component pairs of the lists of at most ``small_list`` members, as they are."""
-    few = _list_sizes(at).where(F.col("n") <= small_list).select("token")
     others = at.select("token", F.col("node").alias("node2"), F.col("label").alias("label2"),
                        F.col("size").alias("size2"), F.col("common").alias("common2"))
-    return outside.drop("node2", "size2", "common2", "main").join(few, "token").join(others, "token") \
+    return outside.where(F.col("listed") <= small_list).drop("node2", "size2", "common2", "main", "listed").join(others, "token") \
         .where(F.col("label") != F.col("label2")).where(close) \
         .select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"))
 
@@ -295,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("node", F.col("t.token").alias("token"))
     posts = stage(posted, "near-posts")
     lists = posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    posts = posts.join(lists.select("token"), "token")
+    posts = stage(posts.join(lists.select("token"), "token"), "near-met")
     nodes = stage(posts.select("node").distinct(), "near-nodes")
     sigs = stage(big.select("node", "sig").join(nodes, "node"), "near-sigs")
     sets = stage(full_sets(docs, nodes, id_col, text_col, k), "near-sets")
@@ -305,19 +300,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     close = F.expr(f"100 * {common} >= {threshold} * (size + size2 - {common})")
     mate = [F.col(f"hub.{c}").alias(f"{c}2") for c in ("node", "size", "common")]
 
-    links = None
-    labels = None
+    links, labels, seek, new = None, None, None, True
+    at = posts.withColumn("label", F.col("node"))
     for turn in range(star_rounds + 1):
-        if labels is None:
-            at = posts.withColumn("label", F.col("node"))
-        else:
+        # without new links the lists stay as they are, and another star round would compare the same pairs
+        if turn < star_rounds and not new:
+            continue
+        if labels is not None and new:
             at = posts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             open_lists = at.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
             at = stage(at.join(open_lists.select("token"), "token"), "near-open")
         # a list's hub is the member with the fewest shingles of its own, of the list's largest component
         members = at.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("own", "node", "size", "common")).alias("hub"))
         best = F.max_by(F.struct(F.col("label").alias("main"), "hub"), F.struct("n", -F.col("hub.own"), -F.col("hub.node")))
-        main = members.groupBy("token").agg(best.alias("m")).select("token", "m.main", "m.hub").select("token", "main", *mate)
+        main = members.groupBy("token").agg(best.alias("m"), F.sum("n").alias("listed"))
+        main = stage(main.select("token", "m.main", "m.hub", "listed").select("token", "main", *mate, "listed"), "near-main")
         outside = at.join(main, "token").where("label <> main")
         if turn < star_rounds:
             # one hub a member: the one it shares most lists with
@@ -325,22 +322,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .groupBy("node").agg(F.max_by("node2", F.struct("n", "node2")).alias("node2")) \
                 .select(F.col("node").alias("u"), F.col("node2").alias("v"))
         else:
-            crowded = at.join(main, "token").join(_list_sizes(at).where(F.col("n") > small_list).select("token"), "token")
-            certain, seek, find = _crowded_lists(crowded, sets, threshold)
-            # first one member a list, the one nearest to the hub: sets that link with it need no others
-            one = F.min_by(F.struct("node2", "label2"), F.struct("s2", "node2")).alias("o")
-            nearest = find.groupBy("main", "e").agg(one).select("main", "e", "o.node2", "o.label2")
-            pairs = _small_list_pairs(outside, at, close, small_list).unionByName(certain).unionByName(_met(seek, nearest)).distinct()
+            pairs = _small_list_pairs(outside, at, close, small_list)
+            big = main.where(F.col("listed") > small_list)
+            if not big.isEmpty():
+                certain, seek, find = _crowded_lists(at.join(big, "token"), sets, threshold)
+                # first one member a list, the one nearest to the hub: sets that link with it need no others
+                one = F.min_by(F.struct("node2", "label2"), F.struct("s2", "node2")).alias("o")
+                nearest = find.groupBy("main", "e").agg(one).select("main", "e", "o.node2", "o.label2")
+                pairs = pairs.unionByName(certain).unionByName(stage(_met(seek, nearest), "near-met-hub"))
+            pairs = pairs.distinct()
         found = _verified(pairs, sigs, sets, need, threshold)
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
-    # sets that are still outside their lists' component meet everybody whom they can reach
-    home = labels.select(F.col("node").alias("main"), F.col("label").alias("home"))
-    rest = _relabelled(seek, labels, "node", "label").join(home, "main", "left") \
-        .where(F.col("label") != F.coalesce("home", "main")).drop("home")
-    last = stage(_met(rest, _relabelled(find, labels, "node2", "label2")).distinct(), "near-rest")
-    if not last.isEmpty():
-        labels = components(links.unionByName(_verified(last, sigs, sets, need, threshold)))
+        new = not found.isEmpty()
+        if labels is None or new:
+            labels = components(links)
+    if seek is not None:
+        # sets that are still outside their lists' component meet everybody whom they can reach
+        home = labels.select(F.col("node").alias("main"), F.col("label").alias("home"))
+        rest = _relabelled(seek, labels, "node", "label").join(home, "main", "left") \
+            .where(F.col("label") != F.coalesce("home", "main")).drop("home")
+        last = stage(_met(rest, _relabelled(find, labels, "node2", "label2")).distinct(), "near-rest")
+        if not last.isEmpty():
+            more = _verified(last, sigs, sets, need, threshold)
+            if not more.isEmpty():
+                labels = components(links.unionByName(more))
     node_of = classes.select("n_shingles", "d1", "d2", "node").join(labels, "node", "left") \
         .select("n_shingles", "d1", "d2", F.coalesce("label", "node").alias("component_id"))
     own = prints.select("doc_id", "n_shingles", "d1", "d2")

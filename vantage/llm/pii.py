@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -251,14 +252,37 @@ def reliabilities(rows: list[dict], rounds: int = 50) -> tuple[list[float], dict
     return post, chance
 
 
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 40) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept of the least weighted mean loss plus ridge / 2 * |coefficients|^2, by Newton steps."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = weight / weight.sum()
+    pull = np.append(np.full(x.shape[1] - 1, ridge), 0.0)  # the intercept is free
+
+    def loss(b):
+        z = x @ b
+        return w @ (np.logaddexp(0.0, z) - y * z) + pull @ (b * b) / 2
+
+    b = np.zeros(x.shape[1])
+    now = loss(b)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -500, 500)))
+        step = np.linalg.solve((x.T * (w * p * (1 - p))) @ x + np.diag(pull + 1e-12), x.T @ (w * (p - y)) + pull * b)
+        size = 1.0
+        while size > 1e-6 and loss(b - size * step) > now:
+            size /= 2
+        if size <= 1e-6 or now - loss(b - size * step) < 1e-14:
+            break
+        b = b - size * step
+        now = loss(b)
+    return b[:-1], float(b[-1])
+
+
 def fit(found: DataFrame) -> Model | None:
     """Model from a table of candidates (array column ``spans``); None where there is no candidate.
 
-    The table of vote patterns has at most 10 kinds x 3^4 votes x 3 sizes x 4 mixtures rows.
+    The table of vote patterns has at most 10 kinds x 3^4 votes x 3 sizes x 4 mixtures rows, so the classifier is
+    fitted on it in place: a distributed fit of so few rows would be a job and two broadcasts for every step.
     """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
     keys = ["kind", *LABELERS, "size", "mix"]
     table = found.select(F.explode("spans").alias("s")).select("s.*").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     rows = [r.asDict() for r in table.collect()]
@@ -268,16 +292,10 @@ def fit(found: DataFrame) -> Model | None:
     post, chance = reliabilities(rows)
     fields = [("kind", k) for k in (*BASE, *EXTRA)] + [(k, v) for k in LABELERS for v in (-1, 1)] \
         + [("size", v) for v in (0, 2)] + [("mix", v) for v in (1, 3, 4)]
-    data = []
-    for r, p in zip(rows, post, strict=True):
-        p = min(max(p, 1e-3), 1 - 1e-3)
-        x = [1.0 if r[f] == v else 0.0 for f, v in fields]
-        data += [(1.0, float(r["n"] * p), *x), (0.0, float(r["n"] * (1 - p)), *x)]
-    names = [f"x{i}" for i in range(len(fields))]
-    frame = found.sparkSession.createDataFrame(data, "label double, weight double, " + ", ".join(f"{x} double" for x in names)).coalesce(1)
-    frame = VectorAssembler(inputCols=names, outputCol="features").transform(frame)
-    lr = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=40, standardization=False).fit(frame)
-    return Model(chance, {f: float(w) for f, w in zip(fields, lr.coefficients, strict=True)}, float(lr.intercept))
+    x = np.array([[float(r[f] == v) for f, v in fields] for r in rows])
+    n, p = np.array([float(r["n"]) for r in rows]), np.clip(np.array(post), 1e-3, 1 - 1e-3)
+    coefficients, bias = logistic(np.concatenate([x, x]), np.repeat([1.0, 0.0], len(rows)), np.concatenate([n * p, n * (1 - p)]))
+    return Model(chance, {f: float(w) for f, w in zip(fields, coefficients, strict=True)}, bias)
 
 
 def accepted(spans: Column, model: Model | None, least: float = 0.5) -> Column:
