@@ -457,7 +457,7 @@ def gmm_diag_fit(df: DataFrame, vec: str, k: int, seed: int = 100, max_iter: int
 def gmm_predict(df: DataFrame, vec: str, params: dict, out: str = "cluster") -> DataFrame:
     """Most likely component per row (JVM expression over the literal parameters)."""
     w, mu, var = params["weights"], params["means"], params["vars"]
-    const = [math.log(w[c]) - 0.5 * float(np.sum(np.log(var[c]) + LOG2PI)) for c in range(len(w))]
+    const = [(math.log(w[c]) if w[c] > 0 else -math.inf) - 0.5 * float(np.sum(np.log(var[c]) + LOG2PI)) for c in range(len(w))]
     M, IV = lit_matrix(mu.tolist()), lit_matrix((1.0 / var).tolist())
     terms = F.transform(M, lambda m, i: F.struct(
         (-(F.lit(0.0) + F.element_at(F.array(*[F.lit(v) for v in const]), i + 1)

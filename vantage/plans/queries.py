@@ -1359,10 +1359,23 @@ def _add_cluster_features(spark, sf):
     return f.select("vec_id", "label", *[c for c in f.columns if c.startswith("km_") or c.startswith("em_")])
 
 
+CLASSIFIED_KMEANS, CLASSIFIED_EM = 9, 24   # the cluster numbers of the studied classifier
+
+
+def _fitted_cluster_features(spark, sf):
+    """One-hot clusters of a k-means (best of 10 runs) and of a diagonal mixture, both fitted to the whole table."""
+    e = FX.emb(spark, sf)
+    km, start = CU.kmeans_batches(e, "vec_id", [("vec", [CLASSIFIED_KMEANS], 10), ("vec", [CLASSIFIED_EM], 1)])
+    em = _mixtures_from(e, [("vec", start)])[0][CLASSIFIED_EM]
+    e = e.withColumn("km", argmin_dist(_lit(km[CLASSIFIED_KMEANS]["c"]), "vec"))
+    e = CU.gmm_predict(e, "vec", em, out="em")
+    return P.one_hot(e, ["km", "em"], level_map={"km": range(CLASSIFIED_KMEANS), "em": range(CLASSIFIED_EM)})
+
+
 @q("cluster_then_classify")
 def _cluster_then_classify(spark, sf):
-    """MLP on cluster features joined to the full table and to each projection."""
-    f = S.split_random(_cluster_features(spark, sf), "vec_id", FX.TEST_PCT).persist()
+    """MLP on fitted clusters joined to the full table and to each projection."""
+    f = S.split_random(_fitted_cluster_features(spark, sf), "vec_id", FX.TEST_PCT).persist()
     oh = [c for c in f.columns if c.startswith("km_") or c.startswith("em_")]
     hot = F.array(*[F.col(c).cast("double") for c in oh])
     rows = []
