@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import lit_matrix
-from .linalg import gathered, pack_rows, reduce_packed, reduce_partials, stack_vectors, unpack
+from .linalg import dealt, gathered, pack_rows, reduce_packed, reduce_partials, stack_vectors, unpack
 from .prep import levels as label_levels
 
 
@@ -142,6 +142,225 @@ def _by_cluster(lab: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
     return hot.T @ v
 
 
+STATE_ROWS, LABELLING, CHANGED, MOST_LOOKED, LEAST_GAP, MOST_GAP = 4096, 1.5, 1.5, 0.7, 1e-4, 6e4
+
+
+class _Rows:
+    """A block's vectors about their mean: in doubles, in floats (either way round), and their lengths."""
+
+    def __init__(self, x: np.ndarray, mean: np.ndarray):
+        with np.errstate(all="ignore"):
+            self.wide = x - mean
+            self.low = self.wide.astype(np.float32)
+            self.low_t = np.ascontiguousarray(self.low.T)
+            self.norm2 = (self.wide * self.wide).sum(1)
+            self.norm = np.sqrt(self.norm2).astype(np.float32)
+
+
+def _split(near: np.ndarray, lab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of the labelled centres (rows of ``near``), their values, and the least of the others."""
+    flat, cell = near.ravel(), lab * near.shape[1] + np.arange(near.shape[1])
+    own = flat.take(cell)
+    flat[cell] = np.inf
+    return cell, own, np.minimum.reduce(near, axis=0)
+
+
+def _least(near: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(near.T).argmin(1)
+
+
+def _labels(rows: _Rows, c: np.ndarray, at: np.ndarray | None = None, old: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Nearest of the centres ``c`` (about the mean) for the rows ``at`` (all), and how much farther the second is at least.
+
+    Products of floats settle the rows whose nearest centre is clear beyond their rounding, products of doubles most others, and
+    the rest is measured term by term: a row's label does not depend on the rows beside it.  With ``old`` labels the clear ones
+    are only confirmed (and no gaps given).
+    """
+    def some(v, i=None):
+        v = v if at is None else v.take(at, axis=0)
+        return v if i is None else v.take(i, axis=0)
+
+    with np.errstate(all="ignore"):
+        c2 = (c * c).sum(1)
+        far = float(c2.max())
+        unsure, length = (c.shape[1] + 8) * 2.0 ** -23, 2.0 * math.sqrt(far)
+        near = (-2.0 * c).astype(np.float32) @ (rows.low_t if at is None else rows.low.take(at, axis=0).T)
+        near += c2.astype(np.float32)[:, None]
+        lab = _least(near) if old is None else old.astype(np.intp)
+        cell, own, second = _split(near, lab)
+        slack = some(rows.norm) * np.float32(unsure * length)
+        slack += np.float32(unsure * far + 1e-36)   # below that floats are too coarse
+        open_ = np.flatnonzero(~(second - own > slack))
+        gap = _gap(own, second, slack, some(rows.norm2)) if old is None else None
+        if old is not None and len(open_):   # most of these have changed, clearly
+            near.ravel()[cell] = own
+            near = near.take(open_, axis=1)
+            lab[open_] = got = _least(near)
+            _, own, second = _split(near, got)
+            open_ = open_[~(second - own > slack[open_])]
+        if len(open_):
+            where = open_ if at is None else at[open_]
+            near = (-2.0 * c) @ rows.wide.take(where, axis=0).T + c2[:, None]
+            got = _least(near)
+            _, own, second = _split(near, got)
+            slack = (unsure * 2.0 ** -28) * (far + length * rows.norm[where].astype(float))
+            if gap is not None:
+                gap[open_] = _gap(own, second, slack, rows.norm2[where])
+            tied = np.flatnonzero(~(second - own > slack))
+            for i in range(0, len(tied), 256):
+                few = tied[i:i + 256]
+                got[few] = ((rows.wide[where[few], None] - c[None]) ** 2).sum(2).argmin(1)
+                if gap is not None:
+                    gap[open_[few]] = 0.0
+            lab[open_] = got
+    return lab, gap
+
+
+def _gap(own: np.ndarray, second: np.ndarray, slack: np.ndarray, norm2: np.ndarray) -> np.ndarray:
+    """Lower bound of the difference of the two distances whose squares are ``norm2 + own`` and ``norm2 + second``."""
+    own, second, slack = own.astype(float), second.astype(float), slack.astype(float)
+    both = np.sqrt(np.maximum(norm2 + own + slack, 0.0)) + np.sqrt(np.maximum(norm2 + second + slack, 0.0))
+    return np.where(np.isfinite(second), (second - own - slack) * 0.999 / both, np.where(np.isnan(second), 0.0, np.inf))
+
+
+def _lloyd(src: DataFrame, runs: list[dict], dims: Sequence[int], means: Sequence[np.ndarray], unit: Sequence[float],
+           still: Sequence[float], n: float, max_iter: int) -> None:
+    """Lloyd steps of all runs together until each moves its centres by ``still`` at most; sets their centres ``c``, ``iterations``
+    and ``cost``.  ``unit`` is the scale of a vector column's components.
+
+    Every row keeps, per run, its nearest centre at some earlier step and a lower bound of how much farther the second nearest
+    was.  While the centres have moved by less than that, the row's label stands unmeasured; only the rows that change
+    cluster move the sums.  The labels are taken anew once a step costs more than the mean step since they were taken.
+    """
+    kind = np.uint8 if max(m["k"] for m in runs) <= 256 else np.uint32
+    numbers = [("lab", kind), ("gap", np.float16)]
+
+    def first(mats, nums, cs=[(m["view"], m["c"]) for m in runs]):
+        rows = [_Rows(x, mean) for x, mean in zip(mats, means, strict=True)]
+        ones = [np.hstack([np.ones((len(x), 1)), x]) for x in mats]
+        return np.concatenate([_by_cluster(_labels(rows[v], c - means[v])[0], ones[v], len(c)).ravel() for v, c in cs])
+
+    def labelled(live):
+        cs = [(m["view"], m["c"]) for m in live]
+
+        def label(batches):
+            for mats in _merged(batches, STATE_ROWS):
+                rows = [_Rows(x, mean) for x, mean in zip(mats, means, strict=True)]
+                lab, gap = np.empty((len(cs), len(mats[0])), kind), np.empty((len(cs), len(mats[0])), np.float16)
+                for i, (v, c) in enumerate(cs):
+                    lab[i], g = _labels(rows[v], c - means[v])
+                    g = g / unit[v]
+                    gap[i] = np.where(g >= LEAST_GAP, np.minimum(g, MOST_GAP), 0.0)   # not a number: 0
+                yield pa.RecordBatch.from_pydict({
+                    "n": pa.array([len(mats[0])], pa.int32()), "dims": pa.array([[x.shape[1] for x in mats]], pa.list_(pa.int32())),
+                    "x": [np.hstack(mats).tobytes()], "lab": [lab.tobytes()], "gap": [gap.tobytes()]})
+
+        out = src.mapInArrow(label, "n int, dims array<int>, x binary, lab binary, gap binary").persist()
+        out._tasks = src._tasks
+        for i, m in enumerate(live):
+            m["slot"], m["from"], m["held"] = i, m["c"], m["sums"]
+        return out
+
+    live, state = list(runs), None
+    try:
+        for step in range(max_iter + 1):
+            if step == 0:
+                tot, at = reduce_packed(src, first, sum(m["k"] * (dims[m["view"]] + 1) for m in runs)), 0
+                for m in runs:
+                    k, d = m["k"], dims[m["view"]]
+                    m["sums"] = tot[at:at + k * (d + 1)].reshape(k, d + 1)
+                    at += k * (d + 1)
+                spent = None
+            else:
+                asked = []
+                for m in live:
+                    moved = np.sqrt(((m["c"] - m["from"]) ** 2).sum(1))
+                    top = np.sort(moved)[-2:]
+                    other = np.where(moved == top[-1], top[0], top[-1]) if len(moved) > 1 else 0.0
+                    asked.append((m["view"], m["slot"], m["c"], ((moved + other) * 1.00001 / unit[m["view"]]).astype(np.float32)))
+                length = sum(len(c) * (dims[v] + 1) for v, _, c, _ in asked)
+
+                def change(mats, nums, asked=asked, length=length):
+                    rows = [_Rows(x, mean) for x, mean in zip(mats, means, strict=True)]
+                    size = len(mats[0])
+                    lab, gap = nums[0].reshape(-1, size), nums[1].reshape(-1, size)
+                    out, at = np.zeros(length + 2), 0
+                    for v, slot, c, far in asked:
+                        was = lab[slot]
+                        look = np.flatnonzero(~(gap[slot].astype(np.float32) > far[was]))
+                        k, d = c.shape
+                        if len(look):
+                            out[-2] += len(look)
+                            if len(look) > MOST_LOOKED * size:   # measuring all costs less than picking
+                                look = np.arange(size)
+                                now, _ = _labels(rows[v], c - means[v], None, was)
+                            else:
+                                now, _ = _labels(rows[v], c - means[v], look, was[look])
+                            new = np.flatnonzero(now != was[look])
+                            if len(new):
+                                out[-1] += len(new)
+                                hot, col = np.zeros((k, len(new))), np.arange(len(new))
+                                hot[now[new], col] = 1.0
+                                hot[was[look[new]], col] = -1.0
+                                part = out[at:at + k * (d + 1)].reshape(k, d + 1)
+                                part[:, 0] = hot.sum(1)
+                                part[:, 1:] = hot @ mats[v][look[new]]
+                        at += k * (d + 1)
+                    return out
+
+                tot, at = reduce_packed(state, change, length + 2, numbers), 0
+                for m in live:
+                    k, d = m["k"], dims[m["view"]]
+                    m["sums"] = m["held"] + tot[at:at + k * (d + 1)].reshape(k, d + 1)
+                    at += k * (d + 1)
+                last = float(tot[-2] + CHANGED * tot[-1]) / max(n * len(live), 1.0)
+                spent, since = spent + last, since + 1
+            moving = []
+            for m in live:
+                part = m["sums"]
+                new = np.where(part[:, :1] > 0, part[:, 1:] / np.maximum(part[:, :1], 1.0), m["c"])
+                if ((new - m["c"]) ** 2).sum() > still[m["view"]] and step < max_iter:
+                    m["next"], m["iterations"] = new, step + 1
+                    moving.append(m)
+            live = moving
+            if not live:
+                break
+            if spent is None or last > spent / since:
+                if state is not None:
+                    state.unpersist()
+                state, spent, since = labelled(live), LABELLING, 0
+            for m in live:
+                m["c"] = m["next"]
+    finally:
+        if state is not None:
+            state.unpersist()
+
+    def cost(mats, nums, cs=[(m["view"], m["c"]) for m in runs]):
+        rows = [_Rows(x, mean) for x, mean in zip(mats, means, strict=True)]
+        out = []
+        for v, c in cs:
+            c = c - means[v]
+            near = rows[v].wide @ (-2.0 * c.T) + (c * c).sum(1)
+            out.append(np.maximum(rows[v].norm2 + near.min(1), 0.0).sum())
+        return np.array(out)
+
+    for m, total in zip(runs, reduce_packed(src, cost, len(runs)), strict=True):
+        m["cost"] = float(total)
+
+
+def _merged(batches, rows: int):
+    """The packed blocks' matrices, joined to blocks of about ``rows`` rows."""
+    held, n = [], 0
+    for mats, _ in unpack(batches):
+        held.append(mats)
+        n += len(mats[0])
+        if n >= rows:
+            yield [np.vstack(part) for part in zip(*held, strict=True)]
+            held, n = [], 0
+    if held:
+        yield [np.vstack(part) for part in zip(*held, strict=True)]
+
+
 def kmeans_batch(df: DataFrame, vec: str, id_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 100,
                  max_iter: int = 300, tol: float = 1e-4) -> dict[int, dict]:
     """Best of ``n_init`` k-means runs for every k: ``{k: centres, cost, iterations}``."""
@@ -152,14 +371,15 @@ def kmeans_batches(df: DataFrame, id_col: str, jobs: Sequence[tuple[str, Sequenc
                    max_iter: int = 300, tol: float = 1e-4) -> list[dict[int, dict]]:
     """:func:`kmeans_batch` for every job ``(vector column, ks, n_init)`` on the same rows.
 
-    All runs of all k and of all jobs advance together: one scan per Lloyd step folds every task's rows into the
-    counts and sums of all runs that still move, so the number of scans is that of the slowest run.
+    All runs of all k and of all jobs advance together (:func:`_lloyd`): one scan per Lloyd step gives the counts and sums of
+    all runs that still move, so the number of scans is that of the slowest run.
     """
     vecs = list(dict.fromkeys(v for v, _, _ in jobs))
     view = [vecs.index(v) for v, _, _ in jobs]
-    kept = pack_rows(df.select(*vecs, F.xxhash64(F.col(id_col).cast("string")).alias("_h")), vecs, ["_h"]).persist()
+    packed = pack_rows(df.select(*vecs, F.xxhash64(F.col(id_col).cast("string")).alias("_h")), vecs, ["_h"])
+    src = dealt(packed)
+    src.persist()
     try:
-        src = gathered(kept)
         sets = _seed_sets(src, [(view[j], n, max(ks, default=1)) for j, (_, ks, n) in enumerate(jobs)], seed)
         if not sets:
             return [{} for _ in jobs]
@@ -170,47 +390,22 @@ def kmeans_batches(df: DataFrame, id_col: str, jobs: Sequence[tuple[str, Sequenc
         def sums(mats, nums):
             return np.concatenate([np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]) for x in mats])
 
-        spread, at, still = reduce_packed(src, sums, sum(1 + 2 * d for d in dims)), 0, []
+        spread, at, still, means = reduce_packed(src, sums, sum(1 + 2 * d for d in dims)), 0, [], []
+        unit = []
         for d in dims:
             n, mean, square = spread[at], spread[at + 1:at + 1 + d] / spread[at], spread[at + 1 + d:at + 1 + 2 * d] / spread[at]
-            still.append(tol * float(np.maximum(square - mean * mean, 0.0).mean()))
+            var = float(np.maximum(square - mean * mean, 0.0).mean())
+            still.append(tol * var)
+            means.append(mean)
+            unit.append(math.sqrt(var) if 0 < var < math.inf else 1.0)
             at += 1 + 2 * d
         runs = [{"job": j, "view": view[j], "k": k, "run": r, "c": _spread_centres(*sets[j][r], k, np.random.default_rng([seed, k, r])), "iterations": 0}
                 for j, (_, ks, n_init) in enumerate(jobs) for k in ks for r in range(n_init)]
-        live = list(runs)
-        for step in range(max_iter + 1):
-            cs = [(m["view"], m["c"]) for m in live]
-
-            def fold(mats, nums, cs=cs):
-                rows = np.arange(len(mats[0]))
-                ones = [np.hstack([np.ones((len(x), 1)), x]) for x in mats]
-                norms = [(x * x).sum(1) for x in mats]
-                out = []
-                for v, c in cs:   # squared distances but for the row's own norm, in one product
-                    near = ones[v] @ np.vstack([(c * c).sum(1), -2.0 * c.T])
-                    lab = near.argmin(1)
-                    hot = (lab[None, :] == np.arange(len(c))[:, None]).astype(float)
-                    out += [(hot @ ones[v]).ravel(), [np.maximum(norms[v] + near[rows, lab], 0.0).sum()]]
-                return np.concatenate(out)
-
-            tot = reduce_packed(src, fold, sum(len(c) * (dims[v] + 1) + 1 for v, c in cs))
-            at, moving = 0, []
-            for m in live:
-                k, d = m["k"], dims[m["view"]]
-                part = tot[at:at + k * (d + 1)].reshape(k, d + 1)
-                m["cost"] = float(tot[at + k * (d + 1)])
-                at += k * (d + 1) + 1
-                new = np.where(part[:, :1] > 0, part[:, 1:] / np.maximum(part[:, :1], 1.0), m["c"])
-                if ((new - m["c"]) ** 2).sum() > still[m["view"]] and step < max_iter:
-                    m["c"], m["iterations"] = new, step + 1
-                    moving.append(m)
-            live = moving
-            if not live:
-                break
+        _lloyd(src, runs, dims, means, unit, still, n, max_iter)
         return [{k: min((m for m in runs if m["job"] == j and m["k"] == k), key=lambda m: (m["cost"], m["run"])) for k in ks}
                 for j, (_, ks, _) in enumerate(jobs)]
     finally:
-        kept.unpersist()
+        src.unpersist()
 
 
 def gmm_batch(df: DataFrame, vec: str, starts: dict[int, np.ndarray], max_iter: int = 100, tol: float = 1e-3,

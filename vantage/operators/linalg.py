@@ -208,15 +208,27 @@ def unpack(batches, numbers: Sequence[tuple[str, type]] = ()):
             yield [x[:, a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)], [np.frombuffer(row[c], t) for c, t in numbers]
 
 
+def _task_counts(packed: DataFrame) -> tuple[int, int]:
+    parts = packed.rdd.getNumPartitions()
+    return parts, max(packed.sparkSession.sparkContext.defaultParallelism, -(-parts // SPLITS_PER_TASK))
+
+
 def gathered(packed: DataFrame) -> DataFrame:
     """``packed`` in about as many tasks as there are cores."""
-    parts = packed.rdd.getNumPartitions()
-    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, -(-parts // SPLITS_PER_TASK))
+    parts, tasks = _task_counts(packed)
     out = packed.coalesce(tasks)
     out._tasks = min(parts, tasks)   # asked for once, not in every step
     return out
 
 
+def dealt(packed: DataFrame) -> DataFrame:
+    """As :func:`gathered`, with the blocks dealt anew: the splits of a table may hold very different numbers of rows."""
+    _, tasks = _task_counts(packed)
+    out = packed.repartition(tasks)
+    out._tasks = tasks
+    return out
+
+
 def reduce_packed(src: DataFrame, fn, length: int, numbers: Sequence[tuple[str, type]] = ()) -> np.ndarray:
     """Sum of ``fn(matrices, numbers) -> float array[length]`` over the blocks of a :func:`gathered` frame.
 
